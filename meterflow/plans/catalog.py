@@ -9,8 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from meterflow.functions import expressions as X
+from meterflow.operators import detect as D
+from meterflow.operators import lateness as L
+from meterflow.operators import metrics as M
+from meterflow.operators import quality as Q
 from meterflow.operators import rollup as R
+from meterflow.schema import READING, READING_FIELDS, SITE_WINDOW_FIELDS
+from meterflow.sources import json_decode as J
+from meterflow.sources import kafka as K
+from meterflow.sources import payloads as P
 from meterflow.plans.present import present
 from meterflow.sources.adapter import load_readings
 
@@ -57,3 +67,241 @@ def q_rollup_merge(spark, sf_dir):
     one = R.site_rollup(load_readings(spark, sf_dir), 1, carry=True)
     merged = R.merge_rollup(one, 15).select(*R.SITE_WINDOW_FIELDS)
     return present(R.with_document_keys(merged))
+
+
+# --- fixture parameters (FIXTURES.md: 1 h windows for metrics, site-day for statistics)
+METRIC_MINUTES = 60
+MA_WINDOWS = 3
+SIGMA_WINDOWS = 4
+FIXTURE_MAX_KW = 350.0
+
+
+def _readings(spark, sf_dir):
+    return load_readings(spark, sf_dir)
+
+
+def _hourly(spark, sf_dir):
+    return R.site_rollup(_readings(spark, sf_dir), METRIC_MINUTES)
+
+
+@register("late_routing")
+def q_late_routing(spark, sf_dir):
+    r = L.route_lateness(_readings(spark, sf_dir))
+    return present(r.select("event_id", "meterId", "siteId", "timestamp", "ingestMs", "lagMs", "lateness"))
+
+
+@register("delta_pct")
+def q_delta_pct(spark, sf_dir):
+    return present(M.delta_pct(_hourly(spark, sf_dir), METRIC_MINUTES))
+
+
+@register("moving_avg")
+def q_moving_avg(spark, sf_dir):
+    return present(M.moving_avg(_hourly(spark, sf_dir), METRIC_MINUTES, MA_WINDOWS))
+
+
+@register("sigma")
+def q_sigma(spark, sf_dir):
+    """Within-window σ of readings and trailing σ of the 4 preceding hourly means."""
+    r = _readings(spark, sf_dir)
+    audit = R.site_rollup(r, METRIC_MINUTES, audit=True).select(
+        "siteId", "windowStart", "count", "stddevUsageKw")
+    trail = M.trailing_sigma(R.site_rollup(r, METRIC_MINUTES), METRIC_MINUTES, SIGMA_WINDOWS)
+    return present(audit.join(trail, ["siteId", "windowStart"]))
+
+
+@register("profile_deviation")
+def q_profile_deviation(spark, sf_dir):
+    r = _readings(spark, sf_dir)
+    return present(M.profile_deviation(R.site_rollup(r, METRIC_MINUTES), r))
+
+
+@register("detect_spike")
+def q_detect_spike(spark, sf_dir):
+    d = D.detect_spike(M.delta_pct(_hourly(spark, sf_dir), METRIC_MINUTES))
+    return present(d.drop("explain"))
+
+
+@register("detect_sustained")
+def q_detect_sustained(spark, sf_dir):
+    return present(D.detect_sustained(D.sustained_windows(_readings(spark, sf_dir))).drop("explain"))
+
+
+@register("detect_silence")
+def q_detect_silence(spark, sf_dir):
+    return present(D.detect_silence(D.meter_gaps(_readings(spark, sf_dir))).drop("explain"))
+
+
+@register("detect_zscore")
+def q_detect_zscore(spark, sf_dir):
+    return present(D.detect_zscore(_readings(spark, sf_dir)).drop("explain"))
+
+
+@register("detect_iqr")
+def q_detect_iqr(spark, sf_dir):
+    return present(D.detect_iqr(_readings(spark, sf_dir)).drop("explain"))
+
+
+def _alerts(spark, sf_dir):
+    return D.standard_alerts(_readings(spark, sf_dir), METRIC_MINUTES)
+
+
+@register("alerts_all")
+def q_alerts_all(spark, sf_dir):
+    return present(_alerts(spark, sf_dir).drop("explain"))
+
+
+@register("alerts_index_routing")
+def q_alerts_index_routing(spark, sf_dir):
+    a = _alerts(spark, sf_dir)
+    return present(a.select("timestamp", "meterId", "siteId", "alertType",
+                            X.alert_index_name("timestamp").alias("index_name")))
+
+
+@register("scaled_usage")
+def q_scaled_usage(spark, sf_dir):
+    r = _readings(spark, sf_dir)
+    scaled = X.scaled_float("usageKw")
+    return present(r.select("event_id", "usageKw", scaled.alias("usageScaled"),
+                            (scaled / F.lit(100.0)).alias("usageStored")))
+
+
+@register("load_profile")
+def q_load_profile(spark, sf_dir):
+    r = _readings(spark, sf_dir)
+    return present(r.select("event_id", "timestamp", X.utc_hour("timestamp").alias("hourUtc"),
+                            F.weekday(X.epoch_ms_to_date("timestamp")).alias("weekday"),
+                            X.load_profile_factor("timestamp").alias("expectedFactor")))
+
+
+@register("index_routing")
+def q_index_routing(spark, sf_dir):
+    ro = R.with_document_keys(R.site_rollup(_readings(spark, sf_dir), 15))
+    return present(ro.select("siteId", "windowStart", "windowEnd", "index_name",
+                             X.epoch_ms_to_date("windowEnd").alias("index_date")))
+
+
+@register("doc_id")
+def q_doc_id(spark, sf_dir):
+    ro = R.with_document_keys(R.site_rollup(_readings(spark, sf_dir), 1))
+    return present(ro.select("siteId", "windowStart", "windowSizeMinutes", "doc_id"))
+
+
+@register("raw_index_routing")
+def q_raw_index_routing(spark, sf_dir):
+    r = _readings(spark, sf_dir)
+    return present(r.select("event_id", "meterId", "siteId", "timestamp",
+                            X.raw_index_name("timestamp").alias("index_name")))
+
+
+@register("index_date_parse")
+def q_index_date_parse(spark, sf_dir):
+    ro = R.with_document_keys(R.site_rollup(_readings(spark, sf_dir), 15))
+    names = ro.select("index_name").distinct()
+    return present(names.select("index_name", X.index_date_from_name("index_name").alias("index_date")))
+
+
+@register("index_inventory")
+def q_index_inventory(spark, sf_dir):
+    ro = R.with_document_keys(R.site_rollup(_readings(spark, sf_dir), 15))
+    return present(ro.groupBy("index_name").agg(F.count(F.lit(1)).alias("docCount")))
+
+
+@register("dq_value_range")
+def q_dq_value_range(spark, sf_dir):
+    q = Q.value_range(_readings(spark, sf_dir), max_kw=FIXTURE_MAX_KW)
+    return present(q.select("event_id", "meterId", "siteId", "usageKw", "reason"))
+
+
+@register("dq_window_range")
+def q_dq_window_range(spark, sf_dir):
+    return present(Q.window_range(R.site_rollup(_readings(spark, sf_dir), 15)))
+
+
+@register("dq_missing_site")
+def q_dq_missing_site(spark, sf_dir):
+    dec = _decoded(spark, sf_dir)
+    q = Q.missing_site(dec.where(~F.col("dead")))
+    return present(q.select("event_id", "meterId", "timestamp", "reason"))
+
+
+@register("dq_electrical_limits")
+def q_dq_electrical_limits(spark, sf_dir):
+    q = Q.electrical_limits(_readings(spark, sf_dir))
+    return present(q.select("event_id", "meterId", "siteId", "voltage", "pf", "reason"))
+
+
+@register("dq_power_identity")
+def q_dq_power_identity(spark, sf_dir):
+    q = Q.power_identity(_readings(spark, sf_dir))
+    return present(q.select("event_id", "meterId", "siteId", "current", "expectedCurrent",
+                            "identityError", "reason"))
+
+
+@register("dq_absent_site_windows")
+def q_dq_absent_site_windows(spark, sf_dir):
+    return present(Q.absent_site_windows(_readings(spark, sf_dir), 15))
+
+
+@register("ops_output")
+def q_ops_output(spark, sf_dir):
+    q = Q.ops_output(_readings(spark, sf_dir), {"usage_max_kw": FIXTURE_MAX_KW})
+    return present(q.select("event_id", "meterId", "siteId", "timestamp", "reasons"))
+
+
+@register("audit_snapshot")
+def q_audit_snapshot(spark, sf_dir):
+    return present(Q.audit_snapshot(_readings(spark, sf_dir), METRIC_MINUTES))
+
+
+@register("console_line")
+def q_console_line(spark, sf_dir):
+    ro = R.site_rollup(_readings(spark, sf_dir), 1)
+    return ro.select("siteId", "windowStart", X.console_line("1m").alias("line"))
+
+
+@register("agg_document_json")
+def q_agg_document_json(spark, sf_dir):
+    ro = R.with_document_keys(R.site_rollup(_readings(spark, sf_dir), 1))
+    return ro.select("index_name", "doc_id", X.document_json(SITE_WINDOW_FIELDS).alias("document"))
+
+
+def _decoded(spark, sf_dir, mode="lenient"):
+    pay = P.payloads_from_readings(_readings(spark, sf_dir))
+    return J.decode_payloads(pay, "value", mode=mode, keep=["event_id"])
+
+
+@register("decode_json")
+def q_decode_json(spark, sf_dir):
+    """Readings decoded from table-derived JSON payloads (lenient mode)."""
+    dec = _decoded(spark, sf_dir)
+    return present(J.readings_of(dec, keep=["event_id"]))
+
+
+@register("decode_ops")
+def q_decode_ops(spark, sf_dir):
+    ops = J.ops_of(_decoded(spark, sf_dir), keep=["event_id"])
+    return present(ops.select("event_id", "siteId", "timestamp", "voltage",
+                              F.concat_ws(",", "reasons").alias("reasons"), "emit"))
+
+
+@register("decode_dead_letter")
+def q_decode_dead_letter(spark, sf_dir):
+    dead = J.dead_letter_of(_decoded(spark, sf_dir), keep=["event_id"])
+    return present(dead.select("event_id"))
+
+
+@register("decode_strict")
+def q_decode_strict(spark, sf_dir):
+    """Strict mode: unknown keys and failed casts are dead letters, missing fields go to ops."""
+    dec = _decoded(spark, sf_dir, mode="strict")
+    return present(dec.select("event_id", "dead", "emit",
+                              F.concat_ws(",", "reasons").alias("reasons")))
+
+
+@register("encode_kafka")
+def q_encode_kafka(spark, sf_dir):
+    """Kafka records (key = meterId, JSON value) read back into typed fields."""
+    rec = K.encode_readings(_readings(spark, sf_dir), keep=["event_id"])
+    back = F.from_json("value", READING)
+    return present(rec.select("event_id", "key", back.alias("v")).select("event_id", "key", "v.*"))

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from meterflow.plans.oracle_base import (READINGS, SITE_WINDOW_SELECT, agg_index_name, doc_id,
-                                         rollup_cte)
+from meterflow.plans.present import ROUND_SHIFT
+from meterflow.plans.oracle_base import (READINGS, SITE_WINDOW_SELECT, agg_index_name, date_text,
+                                         day_date, doc_id, index_date, rollup_cte)
 
 ORACLE: dict[str, str] = {}
 
@@ -18,3 +19,246 @@ ORACLE["site_rollup_5m"] = _rollup_doc(5)
 ORACLE["site_rollup_15m"] = _rollup_doc(15)
 ORACLE["sliding_rollup"] = _rollup_doc(60, 15)
 ORACLE["rollup_merge"] = _rollup_doc(15)
+
+
+HOUR = 3_600_000
+DAY = 86_400_000
+
+
+def _defect_case(eid: str = "event_id") -> str:
+    from meterflow.sources.payloads import DEFECT_RULES
+    whens = " ".join(f"WHEN {eid} % {m} = {r} THEN '{name}'" for m, r, name in DEFECT_RULES)
+    return f"CASE {whens} END"
+
+
+def _factor(ms: str) -> str:
+    h = f"(({ms}) % {DAY}) // {HOUR}"
+    dow = f"isodow({day_date(ms)})"
+    return f"""(CASE WHEN {dow} >= 6 AND {h} >= 9 AND {h} < 18 THEN CAST(0.4 AS DOUBLE)
+      WHEN {dow} >= 6 THEN CAST(0.2 AS DOUBLE)
+      WHEN {h} >= 8 AND {h} < 18 THEN CAST(1.0 AS DOUBLE)
+      WHEN {h} >= 18 AND {h} < 22 THEN CAST(0.5 AS DOUBLE)
+      WHEN {h} >= 6 AND {h} < 8 THEN CAST(0.6 AS DOUBLE)
+      ELSE CAST(0.25 AS DOUBLE) END)"""
+
+
+HOURLY = f"{READINGS}, {rollup_cte('ro', 60)}"
+
+DELTA_CTE = f"""delta AS (
+  SELECT c.siteId, c.windowStart, c.windowEnd, c.windowSizeMinutes, c.avgUsageKw,
+         p.avgUsageKw AS prevAvgUsageKw,
+         CASE WHEN p.avgUsageKw = 0 THEN NULL
+              ELSE (c.avgUsageKw - p.avgUsageKw) / p.avgUsageKw * 100 END AS deltaPct
+  FROM ro c LEFT JOIN ro p ON p.siteId = c.siteId AND p.windowStart = c.windowStart - {HOUR})"""
+
+ORACLE["late_routing"] = f"""WITH {READINGS}
+SELECT event_id, meterId, siteId, "timestamp", ingestMs, ingestMs - "timestamp" AS lagMs,
+  CASE WHEN ingestMs - "timestamp" <= 120000 THEN 'on_time'
+       WHEN ingestMs - "timestamp" <= 600000 THEN 'late_exception' ELSE 'too_late' END AS lateness
+FROM readings"""
+
+ORACLE["delta_pct"] = f"""WITH {HOURLY}, {DELTA_CTE}
+SELECT siteId, windowStart, windowEnd, windowSizeMinutes, round(avgUsageKw, 6) AS avgUsageKw,
+  round(prevAvgUsageKw, 6) AS prevAvgUsageKw, round(deltaPct, 6) AS deltaPct FROM delta"""
+
+ORACLE["moving_avg"] = f"""WITH {HOURLY}
+SELECT c.siteId, c.windowStart, c.windowEnd, c.windowSizeMinutes, round(c.avgUsageKw, 6) AS avgUsageKw,
+  round(avg(p.avgUsageKw), 6) AS movingAvgUsageKw, count(*) AS maWindows
+FROM ro c JOIN ro p ON p.siteId = c.siteId
+  AND p.windowStart BETWEEN c.windowStart - {2 * HOUR} AND c.windowStart
+GROUP BY c.siteId, c.windowStart, c.windowEnd, c.windowSizeMinutes, c.avgUsageKw"""
+
+ORACLE["sigma"] = f"""WITH {READINGS}, {rollup_cte('ro', 60, extra=', stddev_samp(usageKw) AS stddevUsageKw')}
+SELECT c.siteId, c.windowStart, c."count", round(c.stddevUsageKw, 6) AS stddevUsageKw,
+  round(c.avgUsageKw, 6) AS avgUsageKw, round(avg(p.avgUsageKw), 6) AS trailingMean,
+  round(stddev_samp(p.avgUsageKw), 6) AS trailingSigma, count(p.avgUsageKw) AS trailingWindows
+FROM ro c LEFT JOIN ro p ON p.siteId = c.siteId
+  AND p.windowStart BETWEEN c.windowStart - {4 * HOUR} AND c.windowStart - {HOUR}
+GROUP BY c.siteId, c.windowStart, c."count", c.stddevUsageKw, c.avgUsageKw"""
+
+ORACLE["profile_deviation"] = f"""WITH {HOURLY},
+  m AS (SELECT siteId, avg(usageKw) AS siteMeanKw FROM readings GROUP BY siteId)
+SELECT ro.siteId, ro.windowStart, ro.windowSizeMinutes, round(ro.avgUsageKw, 6) AS avgUsageKw,
+  round(m.siteMeanKw, 6) AS siteMeanKw, {_factor('ro.windowStart')} AS expectedFactor,
+  round(ro.avgUsageKw / (m.siteMeanKw * {_factor('ro.windowStart')}), 6) AS profileDeviation
+FROM ro JOIN m USING (siteId)"""
+
+SPIKE_SELECT = f"""SELECT windowStart AS "timestamp", CAST(NULL AS VARCHAR) AS meterId, siteId,
+  avgUsageKw AS usageKw, 'SPIKE' AS alertType,
+  CASE WHEN deltaPct >= 200 THEN 'CRITICAL' ELSE 'WARNING' END AS alertLevel,
+  windowSizeMinutes, deltaPct FROM delta WHERE deltaPct >= 100"""
+
+SUSTAINED_CTE = f"""{rollup_cte('sl', 60, slide=15)},
+  sustained AS (SELECT windowStart AS "timestamp", CAST(NULL AS VARCHAR) AS meterId, siteId,
+    avgUsageKw AS usageKw, 'SUSTAINED' AS alertType, 'WARNING' AS alertLevel, windowEnd, "count",
+    minUsageKw FROM sl WHERE minUsageKw >= 40 AND "count" >= 3)"""
+
+SILENCE_CTE = f"""g AS (SELECT meterId, siteId, "timestamp" AS lastSeen, usageKw,
+    lead("timestamp") OVER (PARTITION BY meterId ORDER BY "timestamp", event_id) AS nextSeen FROM readings),
+  silence AS (SELECT lastSeen + {DAY} AS "timestamp", meterId, siteId, usageKw, 'SILENCE' AS alertType,
+    'WARNING' AS alertLevel, lastSeen, nextSeen, nextSeen - lastSeen AS gapMs
+    FROM g WHERE nextSeen - lastSeen > {DAY})"""
+
+DAYWIN_CTE = f"""r2 AS (SELECT *, "timestamp" - "timestamp" % {DAY} AS windowStart FROM readings),
+  st AS (SELECT siteId, windowStart, avg(usageKw) AS mu, stddev_samp(usageKw) AS sigma, count(*) AS n
+         FROM r2 GROUP BY siteId, windowStart),
+  zs AS (SELECT r2."timestamp", r2.meterId, r2.siteId, r2.usageKw, 'ZSCORE' AS alertType,
+    CASE WHEN abs((usageKw - mu) / sigma) >= 6 THEN 'CRITICAL' ELSE 'WARNING' END AS alertLevel,
+    r2.windowStart, mu, sigma, (usageKw - mu) / sigma AS zScore
+    FROM r2 JOIN st USING (siteId, windowStart) WHERE sigma > 0 AND abs((usageKw - mu) / sigma) >= 3),
+  qt AS (SELECT siteId, windowStart, quantile_cont(usageKw, 0.25) AS q1, quantile_cont(usageKw, 0.75) AS q3
+         FROM r2 GROUP BY siteId, windowStart),
+  iq AS (SELECT r2."timestamp", r2.meterId, r2.siteId, r2.usageKw, 'IQR' AS alertType,
+    'WARNING' AS alertLevel, r2.windowStart, q1, q3
+    FROM r2 JOIN qt USING (siteId, windowStart)
+    WHERE usageKw < q1 - 1.5 * (q3 - q1) OR usageKw > q3 + 1.5 * (q3 - q1))"""
+
+ORACLE["detect_spike"] = f"""WITH {HOURLY}, {DELTA_CTE}, s AS ({SPIKE_SELECT})
+SELECT "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw, alertType, alertLevel,
+  windowSizeMinutes, round(deltaPct, 6) AS deltaPct FROM s"""
+
+ORACLE["detect_sustained"] = f"""WITH {READINGS}, {SUSTAINED_CTE}
+SELECT "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw, alertType, alertLevel, windowEnd,
+  "count", round(minUsageKw, 6) AS minUsageKw FROM sustained"""
+
+ORACLE["detect_silence"] = f"""WITH {READINGS}, {SILENCE_CTE}
+SELECT "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw, alertType, alertLevel,
+  lastSeen, nextSeen, gapMs FROM silence"""
+
+ORACLE["detect_zscore"] = f"""WITH {READINGS}, {DAYWIN_CTE}
+SELECT "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw, alertType, alertLevel, windowStart,
+  round(mu, 6) AS mu, round(sigma, 6) AS sigma, round(zScore, 6) AS zScore FROM zs"""
+
+ORACLE["detect_iqr"] = f"""WITH {READINGS}, {DAYWIN_CTE}
+SELECT "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw, alertType, alertLevel, windowStart,
+  round(q1, 6) AS q1, round(q3, 6) AS q3 FROM iq"""
+
+ALERTS_CTE = f"""{HOURLY}, {DELTA_CTE}, {SUSTAINED_CTE}, {SILENCE_CTE}, {DAYWIN_CTE},
+  alerts AS (
+    SELECT "timestamp", meterId, siteId, usageKw, alertType, alertLevel FROM ({SPIKE_SELECT}) s
+    UNION ALL SELECT "timestamp", meterId, siteId, usageKw, alertType, alertLevel FROM sustained
+    UNION ALL SELECT "timestamp", meterId, siteId, usageKw, alertType, alertLevel FROM silence
+    UNION ALL SELECT "timestamp", meterId, siteId, usageKw, alertType, alertLevel FROM zs
+    UNION ALL SELECT "timestamp", meterId, siteId, usageKw, alertType, alertLevel FROM iq)"""
+
+ORACLE["alerts_all"] = f"""WITH {ALERTS_CTE}
+SELECT "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw, alertType, alertLevel FROM alerts"""
+
+ORACLE["alerts_index_routing"] = f"""WITH {ALERTS_CTE}
+SELECT "timestamp", meterId, siteId, alertType,
+  concat('power-alerts-', {index_date('"timestamp"')}) AS index_name FROM alerts"""
+
+ORACLE["scaled_usage"] = f"""WITH {READINGS}
+SELECT event_id, round(usageKw, 6) AS usageKw, CAST(floor(usageKw * 100 + 0.5) AS BIGINT) AS usageScaled,
+  round(CAST(floor(usageKw * 100 + 0.5) AS BIGINT) / 100.0, 6) AS usageStored FROM readings"""
+
+ORACLE["load_profile"] = f"""WITH {READINGS}
+SELECT event_id, "timestamp", CAST(("timestamp" % {DAY}) // {HOUR} AS INTEGER) AS hourUtc,
+  CAST(isodow({day_date('"timestamp"')}) - 1 AS INTEGER) AS weekday,
+  {_factor('"timestamp"')} AS expectedFactor FROM readings"""
+
+ORACLE["index_routing"] = f"""WITH {READINGS}, {rollup_cte('ro', 15)}
+SELECT siteId, windowStart, windowEnd, {agg_index_name()} AS index_name,
+  {date_text('windowEnd')} AS index_date FROM ro"""
+
+ORACLE["doc_id"] = f"""WITH {READINGS}, {rollup_cte('ro', 1)}
+SELECT siteId, windowStart, windowSizeMinutes, {doc_id()} AS doc_id FROM ro"""
+
+ORACLE["raw_index_routing"] = f"""WITH {READINGS}
+SELECT event_id, meterId, siteId, "timestamp",
+  concat('power-usage-raw-', {index_date('"timestamp"')}) AS index_name FROM readings"""
+
+ORACLE["index_date_parse"] = f"""WITH {READINGS}, {rollup_cte('ro', 15)}
+SELECT DISTINCT {agg_index_name()} AS index_name, {date_text('windowEnd')} AS index_date FROM ro"""
+
+ORACLE["index_inventory"] = f"""WITH {READINGS}, {rollup_cte('ro', 15)}
+SELECT {agg_index_name()} AS index_name, count(*) AS docCount FROM ro GROUP BY 1"""
+
+ORACLE["dq_value_range"] = f"""WITH {READINGS}
+SELECT event_id, meterId, siteId, round(usageKw, 6) AS usageKw,
+  CASE WHEN usageKw < 0 THEN 'usage_below_min' ELSE 'usage_above_max' END AS reason
+FROM readings WHERE usageKw < 0 OR usageKw > 350"""
+
+ORACLE["dq_window_range"] = f"""WITH {READINGS}, {rollup_cte('ro', 15)}
+SELECT siteId, windowStart, windowEnd, windowSizeMinutes, windowStart < windowEnd AS startBeforeEnd,
+  windowEnd - windowStart = windowSizeMinutes * 60000 AS lengthMatches,
+  windowStart % (windowSizeMinutes * 60000) = 0 AS aligned,
+  windowStart < windowEnd AND windowEnd - windowStart = windowSizeMinutes * 60000
+    AND windowStart % (windowSizeMinutes * 60000) = 0 AS windowValid FROM ro"""
+
+DECODED_CTE = f"""d AS (SELECT *, {_defect_case()} AS defect FROM readings)"""
+
+ORACLE["dq_missing_site"] = f"""WITH {READINGS}, {DECODED_CTE}
+SELECT event_id, meterId, "timestamp", 'missing_site' AS reason FROM d WHERE defect = 'no_site'"""
+
+ORACLE["dq_electrical_limits"] = f"""WITH {READINGS}
+SELECT event_id, meterId, siteId, round(voltage, 6) AS voltage, round(pf, 6) AS pf,
+  concat_ws(',', CASE WHEN voltage < 209 OR voltage > 231 THEN 'voltage_out_of_range' END,
+                 CASE WHEN pf < 0.88 OR pf > 0.95 THEN 'pf_out_of_range' END) AS reason
+FROM readings WHERE coalesce(voltage < 209 OR voltage > 231, false) OR coalesce(pf < 0.88 OR pf > 0.95, false)"""
+
+ORACLE["dq_power_identity"] = f"""WITH {READINGS},
+  e AS (SELECT *, usageKw * 1000 / (voltage * pf) AS expectedCurrent FROM readings)
+SELECT event_id, meterId, siteId, round("current", 6) AS "current", round(expectedCurrent, 6) AS expectedCurrent,
+  round(abs("current" - expectedCurrent) / abs(expectedCurrent), 6) AS identityError,
+  'power_identity' AS reason
+FROM e WHERE abs("current" - expectedCurrent) / abs(expectedCurrent) > 0.01"""
+
+ORACLE["dq_absent_site_windows"] = f"""WITH {READINGS},
+  p AS (SELECT DISTINCT siteId, "timestamp" - "timestamp" % 900000 AS windowStart FROM readings),
+  span AS (SELECT siteId, min(windowStart) AS f, max(windowStart) AS l FROM p GROUP BY siteId),
+  e AS (SELECT siteId, unnest(range(f, l + 1, 900000)) AS windowStart FROM span)
+SELECT siteId, windowStart, windowStart + 900000 AS windowEnd, CAST(15 AS INTEGER) AS windowSizeMinutes
+FROM e WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.siteId = e.siteId AND p.windowStart = e.windowStart)"""
+
+ORACLE["ops_output"] = f"""WITH {READINGS},
+  o AS (SELECT event_id, meterId, siteId, "timestamp", concat_ws(',',
+    CASE WHEN siteId IS NULL OR trim(siteId) = '' THEN 'missing_site' END,
+    CASE WHEN usageKw < 0 THEN 'usage_below_min' END,
+    CASE WHEN usageKw > 350 THEN 'usage_above_max' END,
+    CASE WHEN voltage < 209 OR voltage > 231 THEN 'voltage_out_of_range' END,
+    CASE WHEN pf < 0.88 OR pf > 0.95 THEN 'pf_out_of_range' END,
+    CASE WHEN abs("current" - usageKw * 1000 / (voltage * pf)) / abs(usageKw * 1000 / (voltage * pf)) > 0.01
+         THEN 'power_identity' END) AS reasons FROM readings)
+SELECT * FROM o WHERE reasons <> ''"""
+
+ORACLE["audit_snapshot"] = f"""WITH {READINGS}, {rollup_cte('ro', 60, extra=''', stddev_samp(usageKw) AS stddevUsageKw,
+    count(*) FILTER (WHERE voltage IS NULL) AS voltageNulls,
+    count(*) FILTER (WHERE "current" IS NULL) AS currentNulls,
+    count(*) FILTER (WHERE pf IS NULL) AS pfNulls''')}
+SELECT {SITE_WINDOW_SELECT}, round(stddevUsageKw, 6) AS stddevUsageKw, voltageNulls, currentNulls, pfNulls
+FROM ro"""
+
+ORACLE["decode_json"] = f"""WITH {READINGS}, {DECODED_CTE}
+SELECT meterId, siteId, CASE WHEN defect = 'no_timestamp' THEN CAST(0 AS BIGINT) ELSE "timestamp" END AS "timestamp",
+  round(usageKw, 6) AS usageKw, CASE WHEN defect = 'bad_voltage' THEN NULL ELSE round(voltage, 6) END AS voltage,
+  round("current", 6) AS "current", round(pf, 6) AS pf, event_id
+FROM d WHERE defect IS NULL OR defect NOT IN ('tombstone', 'no_site', 'truncated')"""
+
+ORACLE["decode_ops"] = f"""WITH {READINGS}, {DECODED_CTE}
+SELECT event_id, CASE WHEN defect = 'no_site' THEN NULL ELSE siteId END AS siteId,
+  CASE WHEN defect = 'no_timestamp' THEN CAST(0 AS BIGINT) ELSE "timestamp" END AS "timestamp",
+  CASE WHEN defect = 'bad_voltage' THEN NULL ELSE round(voltage, 6) END AS voltage,
+  CASE defect WHEN 'no_site' THEN 'missing_site' WHEN 'unknown_key' THEN 'unknown_keys'
+    WHEN 'bad_voltage' THEN 'bad_voltage' WHEN 'no_timestamp' THEN 'missing_timestamp' END AS reasons,
+  defect <> 'no_site' AS emit
+FROM d WHERE defect IN ('no_site', 'unknown_key', 'bad_voltage', 'no_timestamp')"""
+
+ORACLE["decode_dead_letter"] = f"""WITH {READINGS}, {DECODED_CTE}
+SELECT event_id FROM d WHERE defect = 'truncated'"""
+
+ORACLE["decode_strict"] = f"""WITH {READINGS}, {DECODED_CTE}
+SELECT event_id, coalesce(defect IN ('unknown_key', 'bad_voltage', 'truncated'), false) AS dead,
+  defect IS NULL OR defect IN ('quoted_usage', 'decimal_timestamp') AS emit,
+  CASE WHEN defect IN ('unknown_key', 'bad_voltage', 'truncated') THEN 'dead_letter'
+       WHEN defect = 'no_site' THEN 'missing_site' WHEN defect = 'no_timestamp' THEN 'missing_timestamp'
+       ELSE '' END AS reasons
+FROM d WHERE defect IS NULL OR defect <> 'tombstone'"""
+
+ORACLE["encode_kafka"] = f"""WITH {READINGS}
+SELECT event_id, meterId AS "key", meterId, siteId, "timestamp", round(usageKw, 6) AS usageKw,
+  round(voltage, 6) AS voltage, round("current", 6) AS "current", round(pf, 6) AS pf FROM readings"""
+
+
+# Same shifted half-up rounding as ``plans.present`` (every ``round(x, 6)`` above).
+ORACLE = {k: v.replace(", 6)", f" + {ROUND_SHIFT!r}, 6)") for k, v in ORACLE.items()}

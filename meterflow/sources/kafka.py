@@ -42,9 +42,11 @@ def kafka_values(raw: DataFrame) -> DataFrame:
     return raw.select("value", F.col("timestamp").alias("kafka_timestamp"), "partition", "offset")
 
 
-def encode_readings(readings: DataFrame, key_col: str = "meterId") -> DataFrame:
+def encode_readings(readings: DataFrame, key_col: str = "meterId",
+                    keep: list[str] | None = None) -> DataFrame:
     """Kafka records of readings: key = meter id, value = the reading as JSON."""
     return readings.select(
+        *(keep or []),
         F.col(key_col).cast("string").alias("key"),
         F.to_json(F.struct(*[F.col(f) for f in READING_FIELDS])).alias("value"))
 
