@@ -305,3 +305,7 @@ def q_encode_kafka(spark, sf_dir):
     rec = K.encode_readings(_readings(spark, sf_dir), keep=["event_id"])
     back = F.from_json("value", READING)
     return present(rec.select("event_id", "key", back.alias("v")).select("event_id", "key", "v.*"))
+
+
+# streaming and storage queries register themselves on import
+from meterflow.plans import stream_catalog as _stream_catalog  # noqa: E402,F401

@@ -260,5 +260,66 @@ SELECT event_id, meterId AS "key", meterId, siteId, "timestamp", round(usageKw,
   round(voltage, 6) AS voltage, round("current", 6) AS "current", round(pf, 6) AS pf FROM readings"""
 
 
+# --- streaming (windows closed by the final watermark) and storage -----------------
+CLOSED = '(SELECT max("timestamp") FROM readings) - 120000'
+
+
+def _closed(sql: str, end: str = "windowEnd") -> str:
+    return f"SELECT * FROM ({sql}) c WHERE {end} <= {CLOSED}"
+
+
+ORACLE["stream_tumbling"] = f"""WITH {READINGS}, {rollup_cte('ro', 60)}
+SELECT {SITE_WINDOW_SELECT}, {agg_index_name()} AS index_name, {doc_id()} AS doc_id FROM ro
+WHERE windowEnd <= {CLOSED}"""
+
+ORACLE["stream_sliding"] = f"""WITH {READINGS}, {rollup_cte('ro', 60, slide=15)}
+SELECT {SITE_WINDOW_SELECT}, {agg_index_name()} AS index_name, {doc_id()} AS doc_id FROM ro
+WHERE windowEnd <= {CLOSED}"""
+
+ORACLE["stream_delta_pct"] = f"""WITH {HOURLY}, {DELTA_CTE}
+SELECT siteId, windowStart, windowEnd, windowSizeMinutes, round(avgUsageKw, 6) AS avgUsageKw,
+  round(prevAvgUsageKw, 6) AS prevAvgUsageKw, round(deltaPct, 6) AS deltaPct FROM delta
+WHERE windowEnd <= {CLOSED}"""
+
+ORACLE["stream_moving_avg"] = f"""WITH {HOURLY}
+SELECT c.siteId, c.windowStart, c.windowEnd, c.windowSizeMinutes, round(c.avgUsageKw, 6) AS avgUsageKw,
+  round(avg(p.avgUsageKw), 6) AS movingAvgUsageKw, count(*) AS maWindows
+FROM ro c JOIN ro p ON p.siteId = c.siteId
+  AND p.windowStart BETWEEN c.windowStart - {2 * HOUR} AND c.windowStart
+WHERE c.windowEnd <= {CLOSED}
+GROUP BY c.siteId, c.windowStart, c.windowEnd, c.windowSizeMinutes, c.avgUsageKw"""
+
+ORACLE["stream_sustained"] = f"""WITH {READINGS}, {SUSTAINED_CTE}
+SELECT "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw, alertType, alertLevel, windowEnd,
+  "count", round(minUsageKw, 6) AS minUsageKw FROM sustained WHERE windowEnd <= {CLOSED}"""
+
+ORACLE["stream_silence"] = f"""WITH {READINGS},
+  g AS (SELECT meterId, siteId, "timestamp" AS lastSeen, usageKw,
+    lead("timestamp") OVER (PARTITION BY meterId ORDER BY "timestamp", event_id) AS nextSeen FROM readings)
+SELECT lastSeen + {DAY} AS "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw,
+  'SILENCE' AS alertType, 'WARNING' AS alertLevel, lastSeen
+FROM g WHERE nextSeen - lastSeen > {DAY} OR (nextSeen IS NULL AND lastSeen + {DAY} <= {CLOSED})"""
+
+ORACLE["stream_upsert"] = ORACLE["stream_tumbling"]
+ORACLE["stream_fanout"] = ORACLE["decode_json"]
+ORACLE["sink_latest_wins"] = ORACLE["site_rollup_15m"]
+ORACLE["alias_view"] = ORACLE["site_rollup_1m"]
+
+_PARTS = f"""WITH {READINGS}, {rollup_cte('ro', 15)},
+  p AS (SELECT DISTINCT {agg_index_name()} AS index_name, {day_date('windowEnd')} AS d FROM ro)
+SELECT index_name, strftime(d, '%Y-%m-%d') AS index_date,
+  CAST(date_diff('day', d, DATE '2024-02-15') AS INTEGER) AS ageDays FROM p"""
+
+ORACLE["retention_keep"] = f"SELECT * FROM ({_PARTS}) x WHERE ageDays <= 30"
+ORACLE["retention_drop"] = f"SELECT * FROM ({_PARTS}) x WHERE ageDays > 30"
+
+ORACLE["index_missing_days"] = f"""WITH {READINGS}, {rollup_cte('ro', 15)},
+  p AS (SELECT DISTINCT siteId, {day_date('windowEnd')} AS d FROM ro),
+  s AS (SELECT siteId, min(d) AS f, max(d) AS l FROM p GROUP BY siteId),
+  e AS (SELECT siteId, CAST(unnest(generate_series(f, l, INTERVAL 1 DAY)) AS DATE) AS d FROM s)
+SELECT siteId, strftime(d, '%Y-%m-%d') AS index_date FROM e
+WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.siteId = e.siteId AND p.d = e.d)"""
+
+
 # Same shifted half-up rounding as ``plans.present`` (every ``round(x, 6)`` above).
 ORACLE = {k: v.replace(", 6)", f" + {ROUND_SHIFT!r}, 6)") for k, v in ORACLE.items()}
