@@ -18,6 +18,18 @@ from meterflow.schema import (AGG_INDEX_PREFIX, ALERT_INDEX_PREFIX, CONSOLE_TIME
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
+def once(df, expr: Column, name: str):
+    """Add ``expr`` as column ``name``, evaluated exactly once per row.
+
+    Filters above a projection are rewritten in terms of the projected
+    expressions, so a predicate over several fields of one expensive parse
+    (``from_json``, ``get_json_object``) would repeat the parse per field.
+    A one-element ``explode`` makes the value a generator output, which
+    predicates cannot be pushed beneath.
+    """
+    return df.select("*", F.explode(F.array(expr)).alias(name))
+
+
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

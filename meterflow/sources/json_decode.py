@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterflow.functions.expressions import once
 from meterflow.schema import READING_FIELDS
 
 CORRUPT = "_corrupt"
@@ -51,7 +52,7 @@ def decode_payloads(df: DataFrame, value_col: str = "value", mode: str = "lenien
     base = (df.select(raw.alias("_raw"), *keep)
               .where(F.col("_raw").isNotNull() & (F.trim(F.col("_raw")) != F.lit("null"))))
     p = F.from_json("_raw", _TEXT_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    parsed = base.select("_raw", *keep, p.alias("p"))
+    parsed = once(base, p, "p")
 
     txt = {f: F.col(f"p.{f}") for f in READING_FIELDS}
     ts_val = F.coalesce(txt["timestamp"].try_cast("bigint"),

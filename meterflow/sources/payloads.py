@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterflow.functions.expressions import once
 from meterflow.schema import READING_FIELDS
 
 # fixed values: (modulus, remainder, defect) in priority order
@@ -54,5 +55,5 @@ def payloads_from_readings(readings: DataFrame) -> DataFrame:
     for name, fields in variants.items():
         value = value.when(d == name, _json(fields))
     value = value.otherwise(full)
-    return readings.withColumn("defect", defect_of(F.col("event_id"))) \
-                   .select("event_id", "defect", value.alias("value"))
+    tagged = once(readings.select("event_id", *READING_FIELDS), defect_of(F.col("event_id")), "defect")
+    return once(tagged, value, "value").select("event_id", "defect", "value")
