@@ -321,5 +321,17 @@ SELECT siteId, strftime(d, '%Y-%m-%d') AS index_date FROM e
 WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.siteId = e.siteId AND p.d = e.d)"""
 
 
+ORACLE["stream_spike"] = f"""WITH {HOURLY}, {DELTA_CTE}, s AS ({SPIKE_SELECT})
+SELECT "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw, alertType, alertLevel,
+  windowSizeMinutes, round(deltaPct, 6) AS deltaPct FROM s WHERE "timestamp" + {HOUR} <= {CLOSED}"""
+
+# strict decode keeps readings whose payload has no defect or a harmless one
+_STRICT_OK = f"""ok AS (SELECT * FROM readings
+  WHERE {_defect_case()} IS NULL OR {_defect_case()} IN ('quoted_usage', 'decimal_timestamp'))"""
+ORACLE["pipeline_end_to_end"] = f"""WITH {READINGS}, {_STRICT_OK}, {rollup_cte('ro', 1, source='ok')}
+SELECT {SITE_WINDOW_SELECT}, {agg_index_name()} AS index_name, {doc_id()} AS doc_id FROM ro
+WHERE windowEnd <= (SELECT max("timestamp") FROM ok) - 120000"""
+
+
 # Same shifted half-up rounding as ``plans.present`` (every ``round(x, 6)`` above).
 ORACLE = {k: v.replace(", 6)", f" + {ROUND_SHIFT!r}, 6)") for k, v in ORACLE.items()}

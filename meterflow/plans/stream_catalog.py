@@ -173,3 +173,23 @@ def q_retention_drop(spark, sf_dir):
 @register("index_missing_days")
 def q_index_missing_days(spark, sf_dir):
     return present(RT.missing_days(_docs(spark, sf_dir, 15)))
+
+
+@register("stream_spike")
+def q_stream_spike(spark, sf_dir):
+    s = D.detect_spike(SJ.stream_delta_pct(replayed_readings(spark, sf_dir), METRIC_MINUTES))
+    return present(RP.run_available_now(s, "stream_spike").drop("explain"))
+
+
+@register("pipeline_end_to_end")
+def q_pipeline_end_to_end(spark, sf_dir):
+    """Payload files -> strict decode -> 1-minute site rollup -> document log (latest wins)."""
+    from meterflow.streaming.pipeline import start_aggregation
+    src = scratch_path(spark, "pipeline-src")
+    RP.write_replay(P.payloads_from_readings(load_readings(spark, sf_dir)), src, REPLAY_BATCHES)
+    payloads = RP.replay_stream(spark, src, spark.read.parquet(src).schema)
+    docs = scratch_path(spark, "pipeline-docs")
+    q = start_aggregation(spark, payloads, 1, docs, trigger=None,
+                          lines_path=scratch_path(spark, "pipeline-console"))
+    q.awaitTermination()
+    return present(S.latest_wins(spark, docs).select(*DOC_COLUMNS))
