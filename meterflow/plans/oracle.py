@@ -333,5 +333,11 @@ SELECT {SITE_WINDOW_SELECT}, {agg_index_name()} AS index_name, {doc_id()} AS doc
 WHERE windowEnd <= (SELECT max("timestamp") FROM ok) - 120000"""
 
 
+ORACLE["stream_zscore"] = f"""WITH {READINGS}, {DAYWIN_CTE}
+SELECT "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw, alertType, alertLevel, windowStart,
+  round(mu, 6) AS mu, round(sigma, 6) AS sigma, round(zScore, 6) AS zScore FROM zs
+WHERE windowStart + {DAY} <= {CLOSED}"""
+
+
 # Same shifted half-up rounding as ``plans.present`` (every ``round(x, 6)`` above).
 ORACLE = {k: v.replace(", 6)", f" + {ROUND_SHIFT!r}, 6)") for k, v in ORACLE.items()}

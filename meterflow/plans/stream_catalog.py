@@ -193,3 +193,9 @@ def q_pipeline_end_to_end(spark, sf_dir):
                           lines_path=scratch_path(spark, "pipeline-console"))
     q.awaitTermination()
     return present(S.latest_wins(spark, docs).select(*DOC_COLUMNS))
+
+
+@register("stream_zscore")
+def q_stream_zscore(spark, sf_dir):
+    s = SJ.stream_zscore(replayed_readings(spark, sf_dir), 86_400_000, D.ZSCORE_LIMIT)
+    return present(RP.run_available_now(s, "stream_zscore"))

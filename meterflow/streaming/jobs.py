@@ -91,3 +91,34 @@ def stream_silence(readings: DataFrame, silence_ms: int) -> DataFrame:
 
 def console_lines(rollup: DataFrame, job_name: str) -> DataFrame:
     return rollup.select(console_line(job_name).alias("value"))
+
+
+def stream_zscore(readings: DataFrame, size_ms: int, limit: float, salts: int = 8) -> DataFrame:
+    """Readings with |z| >= limit against their own closed site-window statistics.
+
+    Statistics come from a windowed aggregation of the same stream; each
+    reading waits in the join state until its window's statistics are
+    emitted (bounded by the window size plus the watermark delay).  The join
+    key carries a deterministic salt so a hot site-window's buffered
+    readings spread over ``salts`` state partitions.
+    """
+    size_s = size_ms // 1000
+    stats = readings.groupBy(F.window("ts", f"{size_s} seconds").alias("w"), "siteId").agg(
+        F.avg("usageKw").alias("mu"), F.stddev_samp("usageKw").alias("sigma"),
+        F.count(F.lit(1)).alias("n"))
+    stats = stats.select(
+        F.col("siteId").alias("s_site"), ts_to_epoch_ms(F.col("w.start")).alias("s_start"),
+        F.col("w.end").alias("s_end"), "mu", "sigma", "n",
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("s_salt"))
+    r = readings.withColumns({
+        "r_start": F.col("timestamp") - F.pmod(F.col("timestamp"), F.lit(size_ms)),
+        "r_salt": F.pmod(F.xxhash64("meterId", "timestamp", "usageKw"), F.lit(salts)).cast("int")})
+    j = r.join(stats, F.expr(f"""siteId = s_site AND r_start = s_start AND r_salt = s_salt
+        AND s_end > ts AND s_end <= ts + INTERVAL {size_s} SECONDS"""))
+    z = F.try_divide(F.col("usageKw") - F.col("mu"), F.col("sigma"))
+    return j.withColumn("zScore", z).where(
+        F.col("sigma").isNotNull() & (F.col("sigma") > 0) & (F.abs("zScore") >= limit)).select(
+        "timestamp", "meterId", "siteId", "usageKw", F.lit("ZSCORE").alias("alertType"),
+        F.when(F.abs("zScore") >= 2 * limit, F.lit("CRITICAL")).otherwise(F.lit("WARNING"))
+         .alias("alertLevel"),
+        F.col("r_start").alias("windowStart"), "mu", "sigma", "zScore")
