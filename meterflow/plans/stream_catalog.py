@@ -36,9 +36,14 @@ RETENTION_DAYS = 30
 DOC_COLUMNS = SITE_WINDOW_FIELDS + ["index_name", "doc_id"]
 
 
+# state partitions of the replayed queries, sized from the replayed row count
+_PARTS: dict[int, int] = {}
+
+
 def replayed_readings(spark, sf_dir, batches: int = REPLAY_BATCHES, event_time: bool = True):
     src = scratch_path(spark, "replay-src")
-    RP.write_replay(load_readings(spark, sf_dir, with_ts=False), src, batches)
+    rows = RP.write_replay(load_readings(spark, sf_dir, with_ts=False), src, batches)
+    _PARTS[id(spark)] = RP.state_partitions(spark, rows)
     schema = spark.read.parquet(src).schema
     s = RP.replay_stream(spark, src, schema)
     s = s.withColumn("ts", epoch_ms_to_ts("timestamp"))
@@ -48,37 +53,37 @@ def replayed_readings(spark, sf_dir, batches: int = REPLAY_BATCHES, event_time:
 @register("stream_tumbling")
 def q_stream_tumbling(spark, sf_dir):
     s = R.with_document_keys(SJ.stream_rollup(replayed_readings(spark, sf_dir), METRIC_MINUTES))
-    return present(RP.run_available_now(s, "stream_tumbling").select(*DOC_COLUMNS))
+    return present(RP.run_available_now(s, "stream_tumbling", partitions=_PARTS.get(id(spark))).select(*DOC_COLUMNS))
 
 
 @register("stream_sliding")
 def q_stream_sliding(spark, sf_dir):
     s = R.with_document_keys(SJ.stream_rollup(replayed_readings(spark, sf_dir), 60, 15))
-    return present(RP.run_available_now(s, "stream_sliding").select(*DOC_COLUMNS))
+    return present(RP.run_available_now(s, "stream_sliding", partitions=_PARTS.get(id(spark))).select(*DOC_COLUMNS))
 
 
 @register("stream_delta_pct")
 def q_stream_delta_pct(spark, sf_dir):
     s = SJ.stream_delta_pct(replayed_readings(spark, sf_dir), METRIC_MINUTES)
-    return present(RP.run_available_now(s, "stream_delta_pct"))
+    return present(RP.run_available_now(s, "stream_delta_pct", partitions=_PARTS.get(id(spark))))
 
 
 @register("stream_moving_avg")
 def q_stream_moving_avg(spark, sf_dir):
     s = SJ.stream_moving_avg(replayed_readings(spark, sf_dir), METRIC_MINUTES, MA_WINDOWS)
-    return present(RP.run_available_now(s, "stream_moving_avg"))
+    return present(RP.run_available_now(s, "stream_moving_avg", partitions=_PARTS.get(id(spark))))
 
 
 @register("stream_sustained")
 def q_stream_sustained(spark, sf_dir):
     s = D.detect_sustained(D.sustained_windows(replayed_readings(spark, sf_dir)))
-    return present(RP.run_available_now(s, "stream_sustained").drop("explain"))
+    return present(RP.run_available_now(s, "stream_sustained", partitions=_PARTS.get(id(spark))).drop("explain"))
 
 
 @register("stream_silence")
 def q_stream_silence(spark, sf_dir):
     s = SJ.stream_silence(replayed_readings(spark, sf_dir), SILENCE_MS)
-    return present(RP.run_available_now(s, "stream_silence").select(
+    return present(RP.run_available_now(s, "stream_silence", partitions=_PARTS.get(id(spark))).select(
         "timestamp", "meterId", "siteId", "usageKw", "alertType", "alertLevel", "lastSeen"))
 
 
@@ -87,7 +92,7 @@ def q_stream_processing_time(spark, sf_dir):
     """1-minute processing-time windows (the original job's active mode)."""
     s = SJ.with_processing_time(replayed_readings(spark, sf_dir, event_time=False))
     ro = SJ.stream_rollup(s, 1, time_col="pt")
-    return RP.run_available_now(ro, "stream_processing_time")
+    return RP.run_available_now(ro, "stream_processing_time", partitions=_PARTS.get(id(spark)))
 
 
 @register("stream_upsert")
@@ -99,7 +104,7 @@ def q_stream_upsert(spark, sf_dir):
     def sink(batch, batch_id):
         S.write_batch(S.to_documents(batch), path, batch_id)
 
-    RP.run_foreach_batch(ro, "stream_upsert", sink)
+    RP.run_foreach_batch(ro, "stream_upsert", sink, partitions=_PARTS.get(id(spark)))
     return present(S.latest_wins(spark, path).select(*DOC_COLUMNS))
 
 
@@ -178,7 +183,7 @@ def q_index_missing_days(spark, sf_dir):
 @register("stream_spike")
 def q_stream_spike(spark, sf_dir):
     s = D.detect_spike(SJ.stream_delta_pct(replayed_readings(spark, sf_dir), METRIC_MINUTES))
-    return present(RP.run_available_now(s, "stream_spike").drop("explain"))
+    return present(RP.run_available_now(s, "stream_spike", partitions=_PARTS.get(id(spark))).drop("explain"))
 
 
 @register("pipeline_end_to_end")
@@ -198,4 +203,4 @@ def q_pipeline_end_to_end(spark, sf_dir):
 @register("stream_zscore")
 def q_stream_zscore(spark, sf_dir):
     s = SJ.stream_zscore(replayed_readings(spark, sf_dir), 86_400_000, D.ZSCORE_LIMIT)
-    return present(RP.run_available_now(s, "stream_zscore"))
+    return present(RP.run_available_now(s, "stream_zscore", partitions=_PARTS.get(id(spark))))

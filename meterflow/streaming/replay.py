@@ -16,17 +16,27 @@ from pyspark.sql import functions as F
 from meterflow.session import scratch_path
 
 
+# stateful streaming partitions are fixed at the first start of a query and are
+# not coalesced by adaptive execution, so they are sized from the input volume
+ROWS_PER_STATE_PARTITION = 250_000
+
+
+def state_partitions(spark: SparkSession, rows: int) -> int:
+    limit = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(limit, -(-rows // ROWS_PER_STATE_PARTITION)))
+
+
 def write_replay(df: DataFrame, path: str, batches: int = 5, order_col: str = "event_id",
                  files_per_batch: int = 1) -> int:
-    """Write ``batches`` contiguous ranges of ``order_col``; returns files per batch."""
-    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    """Write ``batches`` contiguous ranges of ``order_col``; returns the row count."""
+    lo, hi, rows = df.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).first()
     step = (hi - lo) // batches + 1
     for i in range(batches):
         part = df.where((F.col(order_col) >= lo + i * step) & (F.col(order_col) < lo + (i + 1) * step))
         part = part.repartitionByRange(files_per_batch, order_col) if files_per_batch > 1 \
             else part.coalesce(1)
         part.write.mode("append").parquet(path)
-    return files_per_batch
+    return rows
 
 
 def replay_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1) -> DataFrame:
@@ -35,29 +45,43 @@ def replay_stream(spark: SparkSession, path: str, schema, files_per_batch: int =
             .parquet(path))
 
 
+def _start(writer, spark: SparkSession, partitions: int | None):
+    """Start a query; a fresh query takes its state partition count from the
+    session at start (the query runs on a clone of the session)."""
+    if not partitions:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, old)
+
+
 def run_available_now(stream: DataFrame, name: str, output_mode: str = "append",
-                      out_path: str | None = None) -> DataFrame:
+                      out_path: str | None = None, partitions: int | None = None) -> DataFrame:
     """Run a streaming frame over all available input into parquet; read it back."""
     spark = stream.sparkSession
     out = out_path or scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
-    q = (stream.writeStream.format("parquet").outputMode(output_mode)
-         .option("path", out).option("checkpointLocation", ckpt)
-         .queryName(f"{name}_{ckpt[-12:]}")
-         .trigger(availableNow=True).start())
+    q = _start(stream.writeStream.format("parquet").outputMode(output_mode)
+               .option("path", out).option("checkpointLocation", ckpt)
+               .queryName(f"{name}_{ckpt[-12:]}")
+               .trigger(availableNow=True), spark, partitions)
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def run_foreach_batch(stream: DataFrame, name: str, fn) -> str:
+def run_foreach_batch(stream: DataFrame, name: str, fn, partitions: int | None = None) -> str:
     """Run ``fn(batch_df, batch_id)`` over all available input; returns the checkpoint path."""
     spark = stream.sparkSession
     ckpt = scratch_path(spark, f"{name}-ckpt")
-    q = (stream.writeStream.foreachBatch(fn).option("checkpointLocation", ckpt)
-         .queryName(f"{name}_{ckpt[-12:]}")
-         .trigger(availableNow=True).start())
+    q = _start(stream.writeStream.foreachBatch(fn).option("checkpointLocation", ckpt)
+               .queryName(f"{name}_{ckpt[-12:]}")
+               .trigger(availableNow=True), spark, partitions)
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
