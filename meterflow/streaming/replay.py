@@ -28,7 +28,14 @@ def state_partitions(spark: SparkSession, rows: int) -> int:
 
 def write_replay(df: DataFrame, path: str, batches: int = 5, order_col: str = "event_id",
                  files_per_batch: int = 1) -> int:
-    """Write ``batches`` contiguous ranges of ``order_col``; returns the row count."""
+    """Write ``batches`` contiguous ranges of ``order_col``; returns the row count.
+
+    The input is computed once into a staging table next to ``path``; the
+    ranges are then cut from it (range filters reach the parquet scan).
+    """
+    staging = f"{path.rstrip('/')}-staging"
+    df.write.mode("overwrite").parquet(staging)
+    df = df.sparkSession.read.parquet(staging)
     lo, hi, rows = df.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).first()
     step = (hi - lo) // batches + 1
     for i in range(batches):
