@@ -53,3 +53,14 @@ def test_entry_runs(spark):
 def test_every_query_has_sql_or_is_rows_only(spark):
     rows_only = set(E.queries()) - set(E.oracle_sql())
     assert rows_only == {"console_line", "agg_document_json", "stream_processing_time"}
+
+
+@pytest.mark.parametrize("name", ["index_routing", "load_profile", "retention_keep", "detect_silence"])
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    key = "spark.sql.session.timeZone"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "America/Los_Angeles")
+    try:
+        test_query_matches_sql(spark, con, name)
+    finally:
+        spark.conf.set(key, old)
