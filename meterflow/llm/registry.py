@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from meterflow.llm.decontaminate import ORACLE_OP10, op10_benchmark_decontamination
 from meterflow.llm.ngram_join import op1_ngram_jaccard_join
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_benchmark_decontamination": ORACLE_OP10,
+}
