@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from meterflow.llm.decontaminate import stage_decontaminate
 from meterflow.llm.ngram_join import stage_jaccard
+from meterflow.llm.suffix_dedup import stage_suffix_dedup
 from meterflow.session import scratch_path
 
 STAGES = [
     ("ngram_jaccard_join", stage_jaccard),
+    ("suffix_array_dedup", stage_suffix_dedup),
+    ("benchmark_decontamination", stage_decontaminate),
 ]
 
 #: The stages verify whole texts by rules that SQL can't express; tests hold them against brute force.

@@ -1,11 +1,13 @@
-"""Connected components by alternating large and small stars."""
+"""Connected components by alternating stars, and cuts of a long job's lineage."""
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.session import shared_dir
+from meterflow.session import scratch_path, shared_dir
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -40,3 +42,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
     star = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return star.union(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Write a step's result to the shared folder, read it back, and let the driver free the step's shuffle files.
+
+    Spark frees shuffle files when the driver's JVM collects its garbage, which
+    may not happen for half an hour; a long job asks for it after each step.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.parquet(path)

@@ -140,3 +140,50 @@ def shingle_sets(data, off, width: int):
             yield v
         else:
             yield np.empty(0, U64)
+
+
+def sliding_min(v: np.ndarray, w: int) -> np.ndarray:
+    """Minimum of every ``w`` neighbours."""
+    n = len(v) - w + 1
+    pad = -len(v) % w
+    x = np.concatenate((v, np.full(pad, ~U64(0)))).reshape(-1, w)
+    left = np.minimum.accumulate(x, axis=1).ravel()
+    right = np.minimum.accumulate(x[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(right[:n], left[w - 1: w - 1 + n])
+
+
+CODES = _byte_codes(False)
+
+
+def anchored_segments(data: np.ndarray, off: np.ndarray, length: int, k: int):
+    """Runs of neighbouring ``length``-byte windows that share their smallest ``k``-byte string.
+
+    Yields, block by block, arrays (text index, start in the text, number of
+    windows, hash of the smallest string, hash of the run's whole bytes).  The
+    choice depends on a window's bytes alone, so equal windows always carry
+    the same first hash.  A run may be cut where a block ends.
+    """
+    w = length - k + 1
+    lo, n = 0, int(off[-1])
+    while lo < n:
+        hi = min(lo + BLOCK, n)
+        to = min(hi + length - 1, n)
+        d = data[lo:to]
+        if len(d) >= length:
+            p, q = _powers(len(d) + 1)
+            c = np.zeros(len(d) + 1, dtype=U64)
+            np.cumsum(CODES[d] * p[: len(d)], dtype=U64, out=c[1:])
+            h = mix((c[k:] - c[:-k]) * q[: len(d) - k + 1])
+            low = U64((1 << 21) - 1)
+            best = sliding_min((h & ~low) | np.arange(len(h), dtype=U64), w)
+            text = np.searchsorted(off, np.arange(lo, lo + len(best)), side="right") - 1
+            ok = np.arange(lo, lo + len(best)) + length <= off[text + 1]
+            at = (best & low).astype(np.int64)
+            new = np.ones(len(best), dtype=bool)
+            new[1:] = (at[1:] != at[:-1]) | (text[1:] != text[:-1]) | (ok[1:] != ok[:-1])
+            s = np.flatnonzero(new)
+            e = np.append(s[1:], len(best))
+            s, e = s[ok[s]], e[ok[s]]
+            g = mix((c[e + length - 1] - c[s]) * q[s] + (e - s).astype(U64))
+            yield text[s], s + lo - off[text[s]], e - s, h[at[s]], g
+        lo = hi

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from meterflow.llm.decontaminate import ORACLE_OP10, op10_benchmark_decontamination
 from meterflow.llm.ngram_join import op1_ngram_jaccard_join
+from meterflow.llm.suffix_dedup import op3_suffix_array_dedup
 
-QUERIES = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
-    "op10_benchmark_decontamination": op10_benchmark_decontamination,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_ngram_jaccard_join,
+    op3_suffix_array_dedup,
+    op10_benchmark_decontamination,
+)}
 
 ORACLE: dict[str, str] = {
     "op10_benchmark_decontamination": ORACLE_OP10,
