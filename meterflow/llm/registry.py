@@ -5,10 +5,12 @@ from __future__ import annotations
 from meterflow.llm.decontaminate import ORACLE_OP10, op10_benchmark_decontamination
 from meterflow.llm.ngram_join import op1_ngram_jaccard_join
 from meterflow.llm.suffix_dedup import op3_suffix_array_dedup
+from meterflow.llm.warc import op8_warc
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join,
     op3_suffix_array_dedup,
+    op8_warc,
     op10_benchmark_decontamination,
 )}
 
