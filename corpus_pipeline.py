@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from meterflow.llm.decontaminate import stage_decontaminate
+from meterflow.llm.language_id import stage_language_id
 from meterflow.llm.ngram_join import stage_jaccard
 from meterflow.llm.suffix_dedup import stage_suffix_dedup
 from meterflow.session import scratch_path
 
 STAGES = [
+    ("language_id", stage_language_id),
     ("ngram_jaccard_join", stage_jaccard),
     ("suffix_array_dedup", stage_suffix_dedup),
     ("benchmark_decontamination", stage_decontaminate),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from meterflow.llm.decontaminate import ORACLE_OP10, op10_benchmark_decontamination
 from meterflow.llm.html_text import op9_html_extraction
+from meterflow.llm.language_id import op4_language_id
 from meterflow.llm.ngram_join import op1_ngram_jaccard_join
 from meterflow.llm.suffix_dedup import op3_suffix_array_dedup
 from meterflow.llm.warc import op8_warc
@@ -11,6 +12,7 @@ from meterflow.llm.warc import op8_warc
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join,
     op3_suffix_array_dedup,
+    op4_language_id,
     op8_warc,
     op9_html_extraction,
     op10_benchmark_decontamination,
