@@ -6,11 +6,13 @@ from meterflow.llm.decontaminate import ORACLE_OP10, op10_benchmark_decontaminat
 from meterflow.llm.html_text import op9_html_extraction
 from meterflow.llm.language_id import op4_language_id
 from meterflow.llm.ngram_join import op1_ngram_jaccard_join
+from meterflow.llm.quality import op2_quality_classifier
 from meterflow.llm.suffix_dedup import op3_suffix_array_dedup
 from meterflow.llm.warc import op8_warc
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_jaccard_join,
+    op2_quality_classifier,
     op3_suffix_array_dedup,
     op4_language_id,
     op8_warc,
