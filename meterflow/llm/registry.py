@@ -8,6 +8,7 @@ from meterflow.llm.language_id import op4_language_id
 from meterflow.llm.ngram_join import op1_ngram_jaccard_join
 from meterflow.llm.quality import op2_quality_classifier
 from meterflow.llm.suffix_dedup import op3_suffix_array_dedup
+from meterflow.llm.toxicity import op6_toxicity
 from meterflow.llm.warc import op8_warc
 
 QUERIES = {f.__name__: f for f in (
@@ -15,6 +16,7 @@ QUERIES = {f.__name__: f for f in (
     op2_quality_classifier,
     op3_suffix_array_dedup,
     op4_language_id,
+    op6_toxicity,
     op8_warc,
     op9_html_extraction,
     op10_benchmark_decontamination,
