@@ -6,6 +6,7 @@ from meterflow.llm.decontaminate import ORACLE_OP10, op10_benchmark_decontaminat
 from meterflow.llm.html_text import op9_html_extraction
 from meterflow.llm.language_id import op4_language_id
 from meterflow.llm.ngram_join import op1_ngram_jaccard_join
+from meterflow.llm.pq_dedup import op7_embedding_near_dedup
 from meterflow.llm.quality import op2_quality_classifier
 from meterflow.llm.suffix_dedup import op3_suffix_array_dedup
 from meterflow.llm.toxicity import op6_toxicity
@@ -17,6 +18,7 @@ QUERIES = {f.__name__: f for f in (
     op3_suffix_array_dedup,
     op4_language_id,
     op6_toxicity,
+    op7_embedding_near_dedup,
     op8_warc,
     op9_html_extraction,
     op10_benchmark_decontamination,
