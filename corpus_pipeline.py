@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from meterflow.llm.decontaminate import stage_decontaminate
 from meterflow.llm.language_id import stage_language_id
+from meterflow.llm.mixing import stage_mix
 from meterflow.llm.ngram_join import stage_jaccard
 from meterflow.llm.suffix_dedup import stage_suffix_dedup
 from meterflow.session import scratch_path
@@ -13,6 +14,7 @@ STAGES = [
     ("ngram_jaccard_join", stage_jaccard),
     ("suffix_array_dedup", stage_suffix_dedup),
     ("benchmark_decontamination", stage_decontaminate),
+    ("source_mixing", stage_mix),
 ]
 
 #: The stages verify whole texts by rules that SQL can't express; tests hold them against brute force.

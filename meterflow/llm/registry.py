@@ -5,6 +5,7 @@ from __future__ import annotations
 from meterflow.llm.decontaminate import ORACLE_OP10, op10_benchmark_decontamination
 from meterflow.llm.html_text import op9_html_extraction
 from meterflow.llm.language_id import op4_language_id
+from meterflow.llm.mixing import ORACLE_OP5, op5_source_mixing
 from meterflow.llm.ngram_join import op1_ngram_jaccard_join
 from meterflow.llm.pq_dedup import op7_embedding_near_dedup
 from meterflow.llm.quality import op2_quality_classifier
@@ -17,6 +18,7 @@ QUERIES = {f.__name__: f for f in (
     op2_quality_classifier,
     op3_suffix_array_dedup,
     op4_language_id,
+    op5_source_mixing,
     op6_toxicity,
     op7_embedding_near_dedup,
     op8_warc,
@@ -25,5 +27,6 @@ QUERIES = {f.__name__: f for f in (
 )}
 
 ORACLE: dict[str, str] = {
+    "op5_source_mixing": ORACLE_OP5,
     "op10_benchmark_decontamination": ORACLE_OP10,
 }

@@ -229,7 +229,8 @@ SPAN = "doc long, start long, size long, first_doc long, first_start long"
 def _shared_contexts(docs: DataFrame, length: int) -> DataFrame:
     seg = settle(docs.mapInArrow(_contexts(length), "h long, g long, doc long, start long, n int"), "contexts")
     often = seg.groupBy("h").agg(F.count("*").alias("c"), (F.min("g") != F.max("g")).alias("several")).where("c > 1")
-    return settle(seg.join(often.select("h", "several"), "h"), "shared")
+    often = settle(often.select("h", "several"), "often")  # a table of its own, so that the join can split hot anchors
+    return settle(seg.join(often, "h"), "shared")
 
 
 def _equal_contexts(shared: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
