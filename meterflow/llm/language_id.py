@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from meterflow.llm.kernel import text_buffers
 
@@ -162,8 +163,8 @@ def identify(docs: DataFrame, profiles: DataFrame, keep: list[str], ranks: int =
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(Profiles(profiles.collect(), ranks))
     d = docs.select(*keep, F.col("text").cast("string").alias("text")) if "text" not in keep else docs.select(*keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in d.schema)
-    return d.mapInArrow(_predict(shared), f"{schema}, lang_pred string, score double")
+    schema = StructType([*d.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return d.mapInArrow(_predict(shared), schema)
 
 
 def held_out(doc_id: str, parts: int, rest: int):

@@ -40,10 +40,11 @@ def topic() -> Column:
 
 
 def token_counts(docs: DataFrame, topic_of: Column | None = None) -> DataFrame:
-    """``docs`` with ``source`` and ``lang`` ('' for null) under ``mix_*`` names, ``mix_topic`` and ``mix_tokens``."""
-    return docs.withColumns({
-        "mix_source": F.coalesce(F.col("source").cast("string"), F.lit("")), "mix_lang": F.coalesce(F.col("lang").cast("string"), F.lit("")),
-        "mix_topic": F.coalesce(topic_of if topic_of is not None else topic(), F.lit("")), "mix_tokens": n_tokens()})
+    """``doc_id``, the cell columns (``source`` and ``lang`` with '' for null, ``topic``), ``n_tokens`` and the whole ``row``."""
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
+        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
+        F.coalesce(topic_of if topic_of is not None else topic(), F.lit("")).alias("topic"), n_tokens().alias("n_tokens"), F.struct("*").alias("row"))
 
 
 def tempered(cells: DataFrame, column: str, power: float) -> DataFrame:
@@ -96,38 +97,39 @@ def draw(doc_id: str = "doc_id") -> Column:
 
 
 def sampling(docs: DataFrame, budget: float = BUDGET, temper: dict[str, float] | None = None, targets: dict[str, DataFrame] | None = None) -> DataFrame:
-    """``docs`` with ``mix_*`` columns, ``probability`` and ``sampled``.
+    """The columns of :func:`token_counts` with ``probability`` and ``sampled`` for every row.
 
     ``targets`` may name a table (value, ``share``) for ``source``, ``lang``
     or ``topic``; the others are tempered.  Null sources and languages count
     as ''; null, empty and wordless texts have no tokens and are never drawn;
     repeated rows are drawn together.  An empty table gives an empty result.
     """
-    cols = {"source": "mix_source", "lang": "mix_lang", "topic": "mix_topic"}
+    names = ["source", "lang", "topic"]
     rows = token_counts(docs)
-    cells = cut(rows.groupBy(*cols.values()).agg(F.sum("mix_tokens").alias("tokens")))
+    cells = cut(rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")))
     goals = {}
-    for name, c in cols.items():
-        if targets and name in targets:
-            goals[c] = targets[name].select(F.col(name).cast("string").alias(c), "share")
+    for c in names:
+        if targets and c in targets:
+            goals[c] = targets[c].select(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c), F.col("share").cast("double").alias("share"))
         else:
-            goals[c] = tempered(cells, c, (temper or TEMPER)[name])
-    cells = cut(calibrate(rake(cells, goals), budget).select(*cols.values(), "probability"))
+            goals[c] = tempered(cells, c, (temper or TEMPER)[c])
+    cells = cut(calibrate(rake(cells, goals), budget).select(*names, "probability"))
     if cells.limit(SMALL_CELLS + 1).count() <= SMALL_CELLS:
         cells = F.broadcast(cells)
-    return rows.join(cells, list(cols.values())).withColumn("sampled", draw() < F.col("probability"))
+    drawn = rows.join(cells, names).withColumn("probability", F.when(F.col("n_tokens") > 0, F.col("probability")).otherwise(0.0))
+    return drawn.withColumn("sampled", draw() < F.col("probability"))
 
 
 def stage_mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Last pipeline stage: the drawn documents with their topic, tokens and probability."""
+    """Last pipeline stage: the drawn documents with ``mix_topic``, ``mix_tokens`` and ``mix_probability``."""
+    added = {"mix_topic": "topic", "mix_tokens": "n_tokens", "mix_probability": "probability"}
     out = sampling(docs).where("sampled")
-    return out.select(*docs.columns, F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"), "probability")
+    return out.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in added), *(F.col(c).alias(n) for n, c in added.items()))
 
 
 def op5_source_mixing(spark, sf_dir: str) -> DataFrame:
     out = sampling(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select("doc_id", F.col("mix_topic").alias("topic"), F.col("mix_tokens").alias("n_tokens"),
-                      F.round("probability", 6).alias("probability"), "sampled")
+    return out.select("doc_id", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "sampled")
 
 
 def _oracle() -> str:
@@ -161,9 +163,10 @@ def _oracle() -> str:
     parts.append(f"""p AS MATERIALIZED (
   SELECT source, lang, topic, CASE WHEN tokens > 0 THEN least(1.0::DOUBLE, scale * w / tokens) ELSE 0 END AS p FROM w{k}, s{CALIBRATION_ROUNDS})""")
     return "WITH " + ",\n".join(parts) + """
-SELECT doc_id, topic, n_tokens, round(p, 6) AS probability,
-  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':mix'), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 < p AS sampled
-FROM d JOIN p USING (source, lang, topic)
+SELECT doc_id, topic, n_tokens, round(p, 6) AS probability, u < p AS sampled
+FROM (SELECT doc_id, topic, n_tokens, CASE WHEN n_tokens > 0 THEN p ELSE 0 END AS p,
+  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':mix'), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u
+  FROM d JOIN p USING (source, lang, topic))
 """
 
 

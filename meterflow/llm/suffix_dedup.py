@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from meterflow.llm.components import settle
 from meterflow.llm.kernel import CODES, U64, _powers, anchored_segments, mix, text_buffers
@@ -372,8 +373,8 @@ def stage_suffix_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     white space is left go.
     """
     kind = _with_spans(docs, LENGTH).select("row", "text", "spans")
-    row = kind.schema["row"].dataType.simpleString()
-    out = kind.mapInArrow(_apply(["row", "kept", "removed"], True), f"row {row}, kept string, removed long")
+    schema = StructType([kind.schema["row"], StructField("kept", StringType()), StructField("removed", LongType())])
+    out = kind.mapInArrow(_apply(["row", "kept", "removed"], True), schema)
     out = out.where("removed = 0 OR trim(kept) <> ''")
     cols = [F.coalesce("kept", F.col("row.text")).alias("text") if c == "text"
             else F.when(F.col("kept").isNull(), F.col("row.n_chars")).otherwise(F.length("kept")).cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
