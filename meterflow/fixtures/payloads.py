@@ -37,8 +37,8 @@ def _json(fields: dict) -> F.Column:
     return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]))
 
 
-def payloads_from_readings(readings: DataFrame) -> DataFrame:
-    """``event_id, defect, value`` where value is the (possibly damaged) JSON text."""
+def payloads_from_readings(readings: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``event_id, defect, value`` and ``keep``; value is the (possibly damaged) JSON text."""
     base = {f: F.col(f) for f in READING_FIELDS}
     d = F.col("defect")
     variants = {
@@ -55,5 +55,5 @@ def payloads_from_readings(readings: DataFrame) -> DataFrame:
     for name, fields in variants.items():
         value = value.when(d == name, _json(fields))
     value = value.otherwise(full)
-    tagged = once(readings.select("event_id", *READING_FIELDS), defect_of(F.col("event_id")), "defect")
-    return once(tagged, value, "value").select("event_id", "defect", "value")
+    tagged = once(readings.select("event_id", *READING_FIELDS, *keep), defect_of(F.col("event_id")), "defect")
+    return once(tagged, value, "value").select("event_id", "defect", "value", *keep)

@@ -1,11 +1,12 @@
 """Replay a table as a file stream, and run a query to completion.
 
-``write_replay`` cuts a frame into contiguous ranges of an ordering column
-and writes them one after another, so file modification order equals event
-order; ``replay_stream`` reads them back with ``maxFilesPerTrigger`` so each
-range is one micro-batch.  ``run_available_now`` drains a streaming query
-into a parquet sink and returns the committed output as a static frame.
-All folders are fresh sub-folders of the shared checkpoint directory.
+``write_replay`` cuts a frame into contiguous ranges of an ordering column and
+writes them one after another, so file modification order equals event order;
+each range is itself range-partitioned into several files, written and read in
+parallel.  ``replay_stream`` reads them back with ``maxFilesPerTrigger``, one
+range per micro-batch.  ``run_available_now`` drains a streaming query into a
+parquet sink and returns the committed output as a static frame.  All folders
+are fresh sub-folders of the shared checkpoint directory.
 """
 
 from __future__ import annotations
@@ -16,45 +17,37 @@ from pyspark.sql import functions as F
 from meterflow.session import scratch_path
 
 
-# stateful streaming partitions are fixed at the first start of a query and are
-# not coalesced by adaptive execution, so they are sized from the input volume
-ROWS_PER_STATE_PARTITION = 250_000
-
-
-def state_partitions(spark: SparkSession, rows: int) -> int:
-    limit = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(limit, -(-rows // ROWS_PER_STATE_PARTITION)))
+FILES_PER_BATCH = 4
 
 
 def write_replay(df: DataFrame, path: str, batches: int = 5, order_col: str = "event_id",
-                 files_per_batch: int = 1) -> int:
-    """Write ``batches`` contiguous ranges of ``order_col``; returns the row count.
+                 files_per_batch: int = FILES_PER_BATCH) -> None:
+    """Write ``batches`` contiguous ranges of ``order_col``.
 
     The input is computed once into a staging table next to ``path``; the
-    ranges are then cut from it (range filters reach the parquet scan).
+    ranges are then cut from it (range filters reach the parquet scan), each
+    into ``files_per_batch`` files.
     """
     staging = f"{path.rstrip('/')}-staging"
     df.write.mode("overwrite").parquet(staging)
     df = df.sparkSession.read.parquet(staging)
-    lo, hi, rows = df.agg(F.min(order_col), F.max(order_col), F.count(F.lit(1))).first()
+    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
     step = (hi - lo) // batches + 1
     for i in range(batches):
         part = df.where((F.col(order_col) >= lo + i * step) & (F.col(order_col) < lo + (i + 1) * step))
-        part = part.repartitionByRange(files_per_batch, order_col) if files_per_batch > 1 \
-            else part.coalesce(1)
-        part.write.mode("append").parquet(path)
-    return rows
+        part.repartitionByRange(files_per_batch, order_col).write.mode("append").parquet(path)
 
 
-def replay_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1) -> DataFrame:
+def replay_stream(spark: SparkSession, path: str, schema, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     return (spark.readStream.schema(schema)
             .option("maxFilesPerTrigger", str(files_per_batch))
             .parquet(path))
 
 
 def _start(writer, spark: SparkSession, partitions: int | None):
-    """Start a query; a fresh query takes its state partition count from the
-    session at start (the query runs on a clone of the session)."""
+    """Start a query with ``partitions`` state partitions, the session's number
+    unless given.  A fresh query takes it from the session at start (it runs
+    on a clone of the session); a restarted one keeps its checkpoint's."""
     if not partitions:
         return writer.start()
     key = "spark.sql.shuffle.partitions"

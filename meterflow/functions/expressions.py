@@ -68,10 +68,9 @@ def index_date_text(c) -> Column:
     return F.date_format(epoch_ms_to_date(c), INDEX_DATE_FORMAT)
 
 
-def agg_index_name(window_end_ms, window_size_minutes, prefix: str = AGG_INDEX_PREFIX) -> Column:
-    """Daily index of a window document: routed by the window **end** (UTC)."""
-    return F.concat(F.lit(prefix + "-"), col(window_size_minutes).cast("string"), F.lit("m-"),
-                    index_date_text(window_end_ms))
+def agg_index_name(window_end_ms, size_label, prefix: str = AGG_INDEX_PREFIX) -> Column:
+    """Daily index of a window document: its size label and the day of the window **end** (UTC)."""
+    return F.concat(F.lit(prefix + "-"), col(size_label), F.lit("-"), index_date_text(window_end_ms))
 
 
 def raw_index_name(event_ms, prefix: str = RAW_INDEX_PREFIX) -> Column:
@@ -102,7 +101,7 @@ def console_time(ms) -> Column:
 
 
 def console_line(job_name: str) -> Column:
-    """The console text printed per window result."""
+    """The console text printed per window result (fixed values: its wording and order)."""
     return F.format_string(
         "[%s] SiteId: %s, Window: %s ~ %s, Count: %d, Avg: %.2f kW, Max: %.2f kW, Min: %.2f kW, Sum: %.2f kW",
         F.lit(job_name), F.col("siteId"), console_time("windowStart"), console_time("windowEnd"),
@@ -113,20 +112,3 @@ def console_line(job_name: str) -> Column:
 def document_json(fields: list[str]) -> Column:
     """JSON text of a document, null fields written out as ``null``."""
     return F.to_json(F.struct(*[F.col(f) for f in fields]), {"ignoreNullFields": "false"})
-
-
-def load_profile_factor(event_ms) -> Column:
-    """Expected load factor by UTC hour and weekday (the simulator's profile).
-
-    Weekend (Sat/Sun): 0.4 between 09 and 18 h, else 0.2. Weekday: 08-18 h 1.0,
-    18-22 h 0.5, 06-08 h 0.6, otherwise 0.25.
-    """
-    h = utc_hour(event_ms)
-    dow = F.weekday(epoch_ms_to_date(event_ms))  # 0 = Monday ... 6 = Sunday
-    weekend = dow >= 5
-    return (F.when(weekend & (h >= 9) & (h < 18), F.lit(0.4))
-            .when(weekend, F.lit(0.2))
-            .when((h >= 8) & (h < 18), F.lit(1.0))
-            .when((h >= 18) & (h < 22), F.lit(0.5))
-            .when((h >= 6) & (h < 8), F.lit(0.6))
-            .otherwise(F.lit(0.25)))

@@ -59,7 +59,7 @@ def detect_sustained(windows: DataFrame, threshold_kw: float = SUSTAINED_KW) ->
         "windowEnd", "count", "minUsageKw")
 
 
-def meter_gaps(readings: DataFrame, silence_ms: int = SILENCE_MS) -> DataFrame:
+def meter_gaps(readings: DataFrame, silence_ms: int = SILENCE_MS, arrival: str = "event_id") -> DataFrame:
     """Consecutive readings of a meter more than ``silence_ms`` apart.
 
     Readings are first reduced to (meter, time bucket of width T) -> first
@@ -67,27 +67,29 @@ def meter_gaps(readings: DataFrame, silence_ms: int = SILENCE_MS) -> DataFrame:
     not by the reading rate.  A gap longer than T cannot fall inside one
     bucket, so it always runs from the last reading of a bucket to the
     first reading of the meter's next non-empty bucket; the ``lead`` over
-    the compact bucket table finds it.
+    the compact bucket table finds it.  Readings of one millisecond are
+    ordered by ``arrival``.
     """
     b = F.floor(F.col("timestamp") / F.lit(silence_ms)).cast("bigint")
     buckets = readings.groupBy("meterId", b.alias("_b")).agg(
         F.min("timestamp").alias("_first"), F.max("timestamp").alias("_last"),
-        F.min_by("siteId", "timestamp").alias("_firstSite"),
-        F.max_by("siteId", "timestamp").alias("_lastSite"),
-        F.max_by("usageKw", "timestamp").alias("_lastKw"))
+        F.max_by(F.struct("siteId", "usageKw"), F.struct("timestamp", arrival)).alias("_l"))
     w = Window.partitionBy("meterId").orderBy("_b")
     nxt = buckets.withColumn("_next", F.lead("_first").over(w))
     gap = F.col("_next") - F.col("_last")
     return nxt.where(gap > silence_ms).select(
-        "meterId", F.col("_lastSite").alias("siteId"), F.col("_last").alias("lastSeen"),
-        F.col("_next").alias("nextSeen"), gap.alias("gapMs"), F.col("_lastKw").alias("lastUsageKw"))
+        "meterId", F.col("_l.siteId").alias("siteId"), F.col("_last").alias("lastSeen"),
+        F.col("_next").alias("nextSeen"), gap.alias("gapMs"), F.col("_l.usageKw").alias("lastUsageKw"))
 
 
-def open_silences(readings: DataFrame, as_of_ms: int, silence_ms: int = SILENCE_MS) -> DataFrame:
+def open_silences(readings: DataFrame, as_of_ms: int, silence_ms: int = SILENCE_MS,
+                  arrival: str = "event_id") -> DataFrame:
     """Meters whose last reading is more than T before ``as_of_ms`` (open tail)."""
     last = readings.groupBy("meterId").agg(
-        F.max("timestamp").alias("lastSeen"), F.max_by("siteId", "timestamp").alias("siteId"),
-        F.max_by("usageKw", "timestamp").alias("lastUsageKw"))
+        F.max("timestamp").alias("lastSeen"),
+        F.max_by(F.struct("siteId", "usageKw"), F.struct("timestamp", arrival)).alias("_l"))
+    last = last.select("meterId", "lastSeen", F.col("_l.siteId").alias("siteId"),
+                       F.col("_l.usageKw").alias("lastUsageKw"))
     return last.where(F.lit(as_of_ms) - F.col("lastSeen") > silence_ms).select(
         "meterId", "siteId", "lastSeen", F.lit(None).cast("bigint").alias("nextSeen"),
         (F.lit(as_of_ms) - F.col("lastSeen")).alias("gapMs"), "lastUsageKw")

@@ -18,10 +18,9 @@ hash-partitioned aggregation on (site, slot).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.functions.expressions import load_profile_factor
 from meterflow.schema import MINUTE_MS
 
 WINDOW_KEYS = ["siteId", "windowStart"]
@@ -85,14 +84,13 @@ def site_mean(readings: DataFrame) -> DataFrame:
     return readings.groupBy("siteId").agg(F.avg("usageKw").alias("siteMeanKw"))
 
 
-def profile_deviation(rollup: DataFrame, readings: DataFrame) -> DataFrame:
-    """Ratio of a window's mean to the site mean scaled by the expected load factor.
+def profile_deviation(rollup: DataFrame, readings: DataFrame, factor: Column) -> DataFrame:
+    """Ratio of a window's mean to the site mean scaled by ``factor``, the expected load of the window.
 
     The per-site means are one row per site; adaptive execution broadcasts
     them when the runtime size is small and keeps a shuffle join otherwise.
     """
     means = site_mean(readings)
-    factor = load_profile_factor("windowStart")
     return rollup.join(means, "siteId").select(
         "siteId", "windowStart", "windowSizeMinutes", "avgUsageKw", "siteMeanKw",
         factor.alias("expectedFactor"),

@@ -7,8 +7,6 @@ the site's own active range, so no site × window cross product is built.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,14 +24,18 @@ def value_range(readings: DataFrame, min_kw: float = LIMITS["usage_min_kw"],
         "reason", F.when(kw < min_kw, F.lit("usage_below_min")).otherwise(F.lit("usage_above_max")))
 
 
-def window_range(rollup: DataFrame) -> DataFrame:
-    """Q2: window sanity flags (start < end, length = size, aligned start)."""
-    size = F.col("windowSizeMinutes").cast("bigint") * F.lit(MINUTE_MS)
+def window_range(rollup: DataFrame, size_ms: int | None = None, slide_ms: int | None = None) -> DataFrame:
+    """Q2: window sanity flags (start < end, length = size, start on the slide's grid).
+
+    The size is the row's ``windowSizeMinutes`` unless given (as it must be
+    below a minute); the slide is the size unless given.
+    """
+    size = F.lit(size_ms) if size_ms else F.col("windowSizeMinutes").cast("bigint") * F.lit(MINUTE_MS)
     return rollup.select(
         "siteId", "windowStart", "windowEnd", "windowSizeMinutes",
         (F.col("windowStart") < F.col("windowEnd")).alias("startBeforeEnd"),
         ((F.col("windowEnd") - F.col("windowStart")) == size).alias("lengthMatches"),
-        (F.pmod(F.col("windowStart"), size) == 0).alias("aligned"),
+        (F.pmod(F.col("windowStart"), F.lit(slide_ms) if slide_ms else size) == 0).alias("aligned"),
     ).withColumn("windowValid", F.col("startBeforeEnd") & F.col("lengthMatches") & F.col("aligned"))
 
 
@@ -112,7 +114,3 @@ def ops_output(readings: DataFrame, limits: dict | None = None) -> DataFrame:
 def audit_snapshot(readings: DataFrame, minutes: int, slide_minutes: int | None = None) -> DataFrame:
     """O3: window statistics snapshot (A1-A6, σ, null counts) per site-window."""
     return R.site_rollup(readings, minutes, slide_minutes, audit=True)
-
-
-def union_findings(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -30,6 +30,14 @@ def _arrival_key(arrival: str | list[str]) -> Column:
     return F.struct(*[F.col(a) for a in arrival])
 
 
+def size_seconds(minutes: float) -> int:
+    """Window size in seconds: whole minutes, or whole seconds below one minute."""
+    s = round(minutes * 60, 6)
+    if s <= 0 or s != int(s) or s > 60 and s % 60:
+        raise ValueError(f"a window of {s} s has no index name: use whole minutes, or whole seconds below a minute")
+    return int(s)
+
+
 def _duration(minutes: int | float) -> str:
     return f"{int(round(minutes * 60))} seconds"
 
@@ -62,7 +70,7 @@ def _finish(df: DataFrame, minutes: float, carry: bool, extra: list[str]) -> Dat
         "avgCurrent": F.try_divide("sumCurrent", "currentCount"),
         "avgPf": F.try_divide("sumPf", "pfCount"),
     }
-    out = df.withColumns(cols).withColumn("windowSizeMinutes", F.lit(int(minutes)).cast("int"))
+    out = df.withColumns(cols).withColumn("windowSizeMinutes", F.lit(size_seconds(minutes) // 60).cast("int"))
     keep = list(SITE_WINDOW_FIELDS) + extra
     if carry:
         keep += CARRY_COLUMNS
@@ -115,9 +123,16 @@ def merge_rollup(rollup: DataFrame, to_minutes: int) -> DataFrame:
     return _finish(g, to_minutes, True, [])
 
 
+def size_label() -> Column:
+    """``5m`` for whole minutes; below a minute the size field is 0 and the label is like ``15s``."""
+    seconds = ((F.col("windowEnd") - F.col("windowStart")) / 1000).cast("int").cast("string")
+    return F.when(F.col("windowSizeMinutes") > 0, F.concat(F.col("windowSizeMinutes").cast("string"), F.lit("m"))) \
+        .otherwise(F.concat(seconds, F.lit("s")))
+
+
 def with_document_keys(rollup: DataFrame) -> DataFrame:
     """Add the daily index name (by window end, UTC) and document id."""
     return rollup.withColumns({
-        "index_name": agg_index_name("windowEnd", "windowSizeMinutes"),
+        "index_name": agg_index_name("windowEnd", size_label()),
         "doc_id": doc_id("siteId", "windowStart"),
     })

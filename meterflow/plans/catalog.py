@@ -17,10 +17,11 @@ from meterflow.operators import lateness as L
 from meterflow.operators import metrics as M
 from meterflow.operators import quality as Q
 from meterflow.operators import rollup as R
-from meterflow.schema import READING, READING_FIELDS, SITE_WINDOW_FIELDS
+from meterflow.schema import READING, SITE_WINDOW, SITE_WINDOW_FIELDS
 from meterflow.sources import json_decode as J
 from meterflow.sources import kafka as K
-from meterflow.sources import payloads as P
+from meterflow.fixtures import payloads as P
+from meterflow.fixtures.load_profile import load_profile_factor
 from meterflow.plans.present import present
 from meterflow.sources.adapter import load_readings
 
@@ -61,6 +62,12 @@ def q_sliding_rollup(spark, sf_dir):
     return _rollup_doc(spark, sf_dir, 60, 15)
 
 
+@register("sliding_15s")
+def q_sliding_15s(spark, sf_dir):
+    """15-second windows sliding every 5 seconds, under an index name of their own."""
+    return _rollup_doc(spark, sf_dir, 0.25, 5 / 60)
+
+
 @register("rollup_merge")
 def q_rollup_merge(spark, sf_dir):
     """1-minute rollup merged up to 15 minutes; must equal the direct rollup."""
@@ -113,7 +120,7 @@ def q_sigma(spark, sf_dir):
 @register("profile_deviation")
 def q_profile_deviation(spark, sf_dir):
     r = _readings(spark, sf_dir)
-    return present(M.profile_deviation(R.site_rollup(r, METRIC_MINUTES), r))
+    return present(M.profile_deviation(R.site_rollup(r, METRIC_MINUTES), r, load_profile_factor("windowStart")))
 
 
 @register("detect_spike")
@@ -171,7 +178,7 @@ def q_load_profile(spark, sf_dir):
     r = _readings(spark, sf_dir)
     return present(r.select("event_id", "timestamp", X.utc_hour("timestamp").alias("hourUtc"),
                             F.weekday(X.epoch_ms_to_date("timestamp")).alias("weekday"),
-                            X.load_profile_factor("timestamp").alias("expectedFactor")))
+                            load_profile_factor("timestamp").alias("expectedFactor")))
 
 
 @register("index_routing")
@@ -215,7 +222,13 @@ def q_dq_value_range(spark, sf_dir):
 
 @register("dq_window_range")
 def q_dq_window_range(spark, sf_dir):
-    return present(Q.window_range(R.site_rollup(_readings(spark, sf_dir), 15)))
+    """Sliding windows, some of which are damaged by rule: a start off the grid, or an end before the start."""
+    ro = R.site_rollup(_readings(spark, sf_dir), 60, 15)
+    slot = F.pmod(F.col("windowStart") / 900_000, F.lit(11)).cast("int")
+    bad = ro.withColumns({
+        "windowEnd": F.when(slot == 3, F.col("windowStart") - 60_000).otherwise(F.col("windowEnd")),
+        "windowStart": F.when(slot == 7, F.col("windowStart") + 1000).otherwise(F.col("windowStart"))})
+    return present(Q.window_range(bad, slide_ms=900_000))
 
 
 @register("dq_missing_site")
@@ -256,14 +269,24 @@ def q_audit_snapshot(spark, sf_dir):
 
 @register("console_line")
 def q_console_line(spark, sf_dir):
+    """The console text taken apart again: everything before the numbers, and the numbers."""
     ro = R.site_rollup(_readings(spark, sf_dir), 1)
-    return ro.select("siteId", "windowStart", X.console_line("1m").alias("line"))
+    line = ro.select("*", X.console_line("1m").alias("line"))
+    shown = {n: F.regexp_extract("line", f"{n}: ([-0-9.]+) kW", 1).cast("double") for n in ("Avg", "Max", "Min", "Sum")}
+    close = {n: F.abs(shown[n] - F.col(c)) < 0.006 for n, c in (("Avg", "avgUsageKw"), ("Sum", "sumUsageKw"))}
+    return present(line.select("siteId", "windowStart", F.substring_index("line", ", Avg", 1).alias("head"),
+                               shown["Max"].alias("maxKw"), shown["Min"].alias("minKw"),
+                               close["Avg"].alias("avgShown"), close["Sum"].alias("sumShown")))
 
 
 @register("agg_document_json")
 def q_agg_document_json(spark, sf_dir):
+    """The document text read back: its key list, in order, and its typed fields."""
     ro = R.with_document_keys(R.site_rollup(_readings(spark, sf_dir), 1))
-    return ro.select("index_name", "doc_id", X.document_json(SITE_WINDOW_FIELDS).alias("document"))
+    doc = ro.select("index_name", "doc_id", X.document_json(SITE_WINDOW_FIELDS).alias("document"))
+    back = doc.select("index_name", "doc_id", F.concat_ws(",", F.json_object_keys("document")).alias("keys"),
+                      F.from_json("document", SITE_WINDOW).alias("d"))
+    return present(back.select("index_name", "doc_id", "keys", "d.*"))
 
 
 def _decoded(spark, sf_dir, mode="lenient"):

@@ -18,6 +18,8 @@ ORACLE["site_rollup_1m"] = _rollup_doc(1)
 ORACLE["site_rollup_5m"] = _rollup_doc(5)
 ORACLE["site_rollup_15m"] = _rollup_doc(15)
 ORACLE["sliding_rollup"] = _rollup_doc(60, 15)
+ORACLE["sliding_15s"] = f"""WITH {READINGS}, {rollup_cte('ro', 0.25, slide=5 / 60)}
+SELECT {SITE_WINDOW_SELECT}, {agg_index_name(size='15', unit='s')} AS index_name, {doc_id()} AS doc_id FROM ro"""
 ORACLE["rollup_merge"] = _rollup_doc(15)
 
 
@@ -26,7 +28,7 @@ DAY = 86_400_000
 
 
 def _defect_case(eid: str = "event_id") -> str:
-    from meterflow.sources.payloads import DEFECT_RULES
+    from meterflow.fixtures.payloads import DEFECT_RULES
     whens = " ".join(f"WHEN {eid} % {m} = {r} THEN '{name}'" for m, r, name in DEFECT_RULES)
     return f"CASE {whens} END"
 
@@ -179,12 +181,24 @@ SELECT event_id, meterId, siteId, round(usageKw, 6) AS usageKw,
   CASE WHEN usageKw < 0 THEN 'usage_below_min' ELSE 'usage_above_max' END AS reason
 FROM readings WHERE usageKw < 0 OR usageKw > 350"""
 
-ORACLE["dq_window_range"] = f"""WITH {READINGS}, {rollup_cte('ro', 15)}
-SELECT siteId, windowStart, windowEnd, windowSizeMinutes, windowStart < windowEnd AS startBeforeEnd,
-  windowEnd - windowStart = windowSizeMinutes * 60000 AS lengthMatches,
-  windowStart % (windowSizeMinutes * 60000) = 0 AS aligned,
-  windowStart < windowEnd AND windowEnd - windowStart = windowSizeMinutes * 60000
-    AND windowStart % (windowSizeMinutes * 60000) = 0 AS windowValid FROM ro"""
+ORACLE["dq_window_range"] = f"""WITH {READINGS}, {rollup_cte('ro', 60, slide=15)},
+  b AS (SELECT siteId, windowSizeMinutes,
+    CASE WHEN (windowStart // 900000) % 11 = 7 THEN windowStart + 1000 ELSE windowStart END AS windowStart,
+    CASE WHEN (windowStart // 900000) % 11 = 3 THEN windowStart - 60000 ELSE windowEnd END AS windowEnd FROM ro),
+  f AS (SELECT *, windowStart < windowEnd AS startBeforeEnd, windowEnd - windowStart = 3600000 AS lengthMatches,
+    windowStart % 900000 = 0 AS aligned FROM b)
+SELECT *, startBeforeEnd AND lengthMatches AND aligned AS windowValid FROM f"""
+
+_CLOCK = "strftime(make_timestamp({} * 1000), '%Y-%m-%d %H:%M:%S')"
+ORACLE["console_line"] = f"""WITH {READINGS}, {rollup_cte('ro', 1)}
+SELECT siteId, windowStart, concat('[1m] SiteId: ', siteId, ', Window: ', {_CLOCK.format('windowStart')}, ' ~ ',
+    {_CLOCK.format('windowEnd')}, ', Count: ', CAST("count" AS VARCHAR)) AS head,
+  round(maxUsageKw, 6) AS maxKw, round(minUsageKw, 6) AS minKw, true AS avgShown, true AS sumShown FROM ro"""
+
+ORACLE["agg_document_json"] = f"""WITH {READINGS}, {rollup_cte('ro', 1)}
+SELECT {SITE_WINDOW_SELECT}, {agg_index_name()} AS index_name, {doc_id()} AS doc_id,
+  'siteId,meterId,windowStart,windowEnd,windowSizeMinutes,count,avgUsageKw,maxUsageKw,minUsageKw,sumUsageKw,'
+  || 'avgVoltage,avgCurrent,avgPf' AS keys FROM ro"""
 
 DECODED_CTE = f"""d AS (SELECT *, {_defect_case()} AS defect FROM readings)"""
 
@@ -300,9 +314,14 @@ SELECT lastSeen + {DAY} AS "timestamp", meterId, siteId, round(usageKw, 6) AS us
   'SILENCE' AS alertType, 'WARNING' AS alertLevel, lastSeen
 FROM g WHERE nextSeen - lastSeen > {DAY} OR (nextSeen IS NULL AND lastSeen + {DAY} <= {CLOSED})"""
 
+ORACLE["stream_processing_time"] = f"""WITH {READINGS}, arrived AS (SELECT * REPLACE (ingestMs AS "timestamp") FROM readings),
+  {rollup_cte('ro', 1, source='arrived')}
+SELECT {SITE_WINDOW_SELECT} FROM ro WHERE windowEnd <= (SELECT max(ingestMs) FROM readings)"""
+
 ORACLE["stream_upsert"] = ORACLE["stream_tumbling"]
 ORACLE["stream_fanout"] = ORACLE["decode_json"]
 ORACLE["sink_latest_wins"] = ORACLE["site_rollup_15m"]
+ORACLE["sink_restart"] = ORACLE["site_rollup_15m"]
 ORACLE["alias_view"] = ORACLE["site_rollup_1m"]
 
 _PARTS = f"""WITH {READINGS}, {rollup_cte('ro', 15)},
@@ -314,7 +333,8 @@ ORACLE["retention_keep"] = f"SELECT * FROM ({_PARTS}) x WHERE ageDays <= 30"
 ORACLE["retention_drop"] = f"SELECT * FROM ({_PARTS}) x WHERE ageDays > 30"
 
 ORACLE["index_missing_days"] = f"""WITH {READINGS}, {rollup_cte('ro', 15)},
-  p AS (SELECT DISTINCT siteId, {day_date('windowEnd')} AS d FROM ro),
+  p AS (SELECT DISTINCT siteId, {day_date('windowEnd')} AS d FROM ro
+        WHERE ({day_date('windowEnd')} - DATE '1970-01-01') % 5 <> 3),
   s AS (SELECT siteId, min(d) AS f, max(d) AS l FROM p GROUP BY siteId),
   e AS (SELECT siteId, CAST(unnest(generate_series(f, l, INTERVAL 1 DAY)) AS DATE) AS d FROM s)
 SELECT siteId, strftime(d, '%Y-%m-%d') AS index_date FROM e
@@ -328,6 +348,22 @@ SELECT "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw, alertType, al
 # strict decode keeps readings whose payload has no defect or a harmless one
 _STRICT_OK = f"""ok AS (SELECT * FROM readings
   WHERE {_defect_case()} IS NULL OR {_defect_case()} IN ('quoted_usage', 'decimal_timestamp'))"""
+# the routing job's four outputs hold every payload but the tombstones
+ORACLE["stream_raw"] = f"""WITH {READINGS}, {_STRICT_OK}
+SELECT event_id, meterId, siteId, "timestamp", round(usageKw, 6) AS usageKw, round(voltage, 6) AS voltage,
+  round("current", 6) AS "current", round(pf, 6) AS pf,
+  concat('power-usage-raw-', {index_date('"timestamp"')}) AS index_name FROM ok WHERE ingestMs - "timestamp" <= 120000"""
+ORACLE["stream_late"] = f"""WITH {READINGS}, {_STRICT_OK}
+SELECT event_id, meterId, siteId, "timestamp", round(usageKw, 6) AS usageKw, ingestMs - "timestamp" AS lagMs,
+  CASE WHEN ingestMs - "timestamp" <= 600000 THEN 'late_exception' ELSE 'too_late' END AS lateness
+FROM ok WHERE ingestMs - "timestamp" > 120000"""
+ORACLE["stream_ops"] = f"""WITH {READINGS}, {DECODED_CTE}
+SELECT event_id, meterId, CASE WHEN defect = 'no_site' THEN NULL ELSE siteId END AS siteId,
+  CASE defect WHEN 'no_site' THEN 'missing_site' ELSE 'missing_timestamp' END AS reasons, false AS emit
+FROM d WHERE defect IN ('no_site', 'no_timestamp')"""
+ORACLE["stream_dead"] = f"""WITH {READINGS}, {DECODED_CTE}
+SELECT event_id FROM d WHERE defect IN ('unknown_key', 'bad_voltage', 'truncated')"""
+
 ORACLE["pipeline_end_to_end"] = f"""WITH {READINGS}, {_STRICT_OK}, {rollup_cte('ro', 1, source='ok')}
 SELECT {SITE_WINDOW_SELECT}, {agg_index_name()} AS index_name, {doc_id()} AS doc_id FROM ro
 WHERE windowEnd <= (SELECT max("timestamp") FROM ok) - 120000"""

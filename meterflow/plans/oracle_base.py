@@ -43,21 +43,21 @@ def r6(x: str) -> str:
     return f"round({x}, 6)"
 
 
-def rollup_cte(name: str, minutes: int, source: str = "readings", slide: int | None = None,
+def rollup_cte(name: str, minutes: float, source: str = "readings", slide: float | None = None,
                extra: str = "") -> str:
     """Site rollup as a CTE: tumbling, or sliding via an explicit slot list."""
-    size = minutes * 60000
+    size = round(minutes * 60000)
     if slide is None:
         win = f"""SELECT *, "timestamp" - "timestamp" % {size} AS windowStart FROM {source}"""
     else:
-        step = slide * 60000
+        step = round(slide * 60000)
         n = -(-size // step)
         win = (f"""SELECT s.*, ("timestamp" - "timestamp" % {step}) - j * {step} AS windowStart
                    FROM {source} s, range(0, {n}) t(j)
                    WHERE ("timestamp" - "timestamp" % {step}) - j * {step} + {size} > "timestamp" """)
     return f"""{name} AS (
   SELECT siteId, arg_min(meterId, event_id) AS meterId, windowStart,
-         windowStart + {size} AS windowEnd, CAST({minutes} AS INTEGER) AS windowSizeMinutes,
+         windowStart + {size} AS windowEnd, CAST({size // 60000} AS INTEGER) AS windowSizeMinutes,
          count(*) AS "count", sum(usageKw) / count(*) AS avgUsageKw,
          max(usageKw) AS maxUsageKw, min(usageKw) AS minUsageKw, sum(usageKw) AS sumUsageKw,
          avg(voltage) AS avgVoltage, avg("current") AS avgCurrent, avg(pf) AS avgPf{extra}
@@ -71,8 +71,8 @@ SITE_WINDOW_SELECT = """siteId, meterId, windowStart, windowEnd, windowSizeMinut
   round(avgVoltage, 6) AS avgVoltage, round(avgCurrent, 6) AS avgCurrent, round(avgPf, 6) AS avgPf"""
 
 
-def agg_index_name(end: str = "windowEnd", size: str = "windowSizeMinutes") -> str:
-    return f"concat('power-usage-agg-', CAST({size} AS VARCHAR), 'm-', {index_date(end)})"
+def agg_index_name(end: str = "windowEnd", size: str = "windowSizeMinutes", unit: str = "m") -> str:
+    return f"concat('power-usage-agg-', CAST({size} AS VARCHAR), '{unit}-', {index_date(end)})"
 
 
 def doc_id(site: str = "siteId", start: str = "windowStart") -> str:

@@ -22,10 +22,10 @@ from meterflow.sinks import documents as S
 from meterflow.sinks import retention as RT
 from meterflow.sinks import stores as ST
 from meterflow.sources import json_decode as J
-from meterflow.sources import payloads as P
+from meterflow.fixtures import payloads as P
 from meterflow.sources.adapter import load_readings
 from meterflow.streaming import jobs as SJ
-from meterflow.streaming import replay as RP
+from meterflow.fixtures import replay as RP
 
 REPLAY_BATCHES = 5
 SILENCE_MS = 24 * 3_600_000
@@ -36,14 +36,14 @@ RETENTION_DAYS = 30
 DOC_COLUMNS = SITE_WINDOW_FIELDS + ["index_name", "doc_id"]
 
 
-# state partitions of the replayed queries, sized from the replayed row count
-_PARTS: dict[int, int] = {}
+# state partitions of the replayed queries: these tables are small, a production job sets its own
+STATE_PARTITIONS = 4
 
 
-def replayed_readings(spark, sf_dir, batches: int = REPLAY_BATCHES, event_time: bool = True):
+def replayed_readings(spark, sf_dir, batches: int = REPLAY_BATCHES, event_time: bool = True,
+                      order_col: str = "event_id"):
     src = scratch_path(spark, "replay-src")
-    rows = RP.write_replay(load_readings(spark, sf_dir, with_ts=False), src, batches)
-    _PARTS[id(spark)] = RP.state_partitions(spark, rows)
+    RP.write_replay(load_readings(spark, sf_dir, with_ts=False), src, batches, order_col)
     schema = spark.read.parquet(src).schema
     s = RP.replay_stream(spark, src, schema)
     s = s.withColumn("ts", epoch_ms_to_ts("timestamp"))
@@ -53,46 +53,47 @@ def replayed_readings(spark, sf_dir, batches: int = REPLAY_BATCHES, event_time:
 @register("stream_tumbling")
 def q_stream_tumbling(spark, sf_dir):
     s = R.with_document_keys(SJ.stream_rollup(replayed_readings(spark, sf_dir), METRIC_MINUTES))
-    return present(RP.run_available_now(s, "stream_tumbling", partitions=_PARTS.get(id(spark))).select(*DOC_COLUMNS))
+    return present(RP.run_available_now(s, "stream_tumbling", partitions=STATE_PARTITIONS).select(*DOC_COLUMNS))
 
 
 @register("stream_sliding")
 def q_stream_sliding(spark, sf_dir):
     s = R.with_document_keys(SJ.stream_rollup(replayed_readings(spark, sf_dir), 60, 15))
-    return present(RP.run_available_now(s, "stream_sliding", partitions=_PARTS.get(id(spark))).select(*DOC_COLUMNS))
+    return present(RP.run_available_now(s, "stream_sliding", partitions=STATE_PARTITIONS).select(*DOC_COLUMNS))
 
 
 @register("stream_delta_pct")
 def q_stream_delta_pct(spark, sf_dir):
     s = SJ.stream_delta_pct(replayed_readings(spark, sf_dir), METRIC_MINUTES)
-    return present(RP.run_available_now(s, "stream_delta_pct", partitions=_PARTS.get(id(spark))))
+    return present(RP.run_available_now(s, "stream_delta_pct", partitions=STATE_PARTITIONS))
 
 
 @register("stream_moving_avg")
 def q_stream_moving_avg(spark, sf_dir):
     s = SJ.stream_moving_avg(replayed_readings(spark, sf_dir), METRIC_MINUTES, MA_WINDOWS)
-    return present(RP.run_available_now(s, "stream_moving_avg", partitions=_PARTS.get(id(spark))))
+    return present(RP.run_available_now(s, "stream_moving_avg", partitions=STATE_PARTITIONS))
 
 
 @register("stream_sustained")
 def q_stream_sustained(spark, sf_dir):
     s = D.detect_sustained(D.sustained_windows(replayed_readings(spark, sf_dir)))
-    return present(RP.run_available_now(s, "stream_sustained", partitions=_PARTS.get(id(spark))).drop("explain"))
+    return present(RP.run_available_now(s, "stream_sustained", partitions=STATE_PARTITIONS).drop("explain"))
 
 
 @register("stream_silence")
 def q_stream_silence(spark, sf_dir):
     s = SJ.stream_silence(replayed_readings(spark, sf_dir), SILENCE_MS)
-    return present(RP.run_available_now(s, "stream_silence", partitions=_PARTS.get(id(spark))).select(
+    return present(RP.run_available_now(s, "stream_silence", partitions=STATE_PARTITIONS).select(
         "timestamp", "meterId", "siteId", "usageKw", "alertType", "alertLevel", "lastSeen"))
 
 
 @register("stream_processing_time")
 def q_stream_processing_time(spark, sf_dir):
-    """1-minute processing-time windows (the original job's active mode)."""
-    s = SJ.with_processing_time(replayed_readings(spark, sf_dir, event_time=False))
+    """1-minute windows by arrival (the original job's active mode), replayed in order of arrival."""
+    r = replayed_readings(spark, sf_dir, event_time=False, order_col="ingestMs")
+    s = SJ.with_processing_time(r, epoch_ms_to_ts("ingestMs"))
     ro = SJ.stream_rollup(s, 1, time_col="pt")
-    return RP.run_available_now(ro, "stream_processing_time", partitions=_PARTS.get(id(spark)))
+    return present(RP.run_available_now(ro, "stream_processing_time", partitions=STATE_PARTITIONS))
 
 
 @register("stream_upsert")
@@ -104,7 +105,7 @@ def q_stream_upsert(spark, sf_dir):
     def sink(batch, batch_id):
         S.write_batch(S.to_documents(batch), path, batch_id)
 
-    RP.run_foreach_batch(ro, "stream_upsert", sink, partitions=_PARTS.get(id(spark)))
+    RP.run_foreach_batch(ro, "stream_upsert", sink, partitions=STATE_PARTITIONS)
     return present(S.latest_wins(spark, path).select(*DOC_COLUMNS))
 
 
@@ -153,6 +154,19 @@ def q_sink_latest_wins(spark, sf_dir):
     return present(S.latest_wins(spark, path).select(*DOC_COLUMNS))
 
 
+@register("sink_restart")
+def q_sink_restart(spark, sf_dir):
+    """A first run's batches 0-5 hold partial results; a new checkpoint starts at batch 0 with the full ones."""
+    r = load_readings(spark, sf_dir)
+    path = scratch_path(spark, "doc-log")
+    on_time = S.to_documents(R.site_rollup(L.route_lateness(r).where(F.col("lateness") == "on_time"), 15))
+    first = S.open_run(spark, path, "checkpoint-a")
+    for batch in (0, 5):
+        S.write_batch(on_time, path, batch, first)
+    S.write_batch(S.to_documents(R.site_rollup(r, 15)), path, 0, S.open_run(spark, path, "checkpoint-b"))
+    return present(S.latest_wins(spark, path).select(*DOC_COLUMNS))
+
+
 @register("alias_view")
 def q_alias_view(spark, sf_dir):
     path = scratch_path(spark, "agg-store")
@@ -175,15 +189,54 @@ def q_retention_drop(spark, sf_dir):
     return present(RT.retention_drop(_parts(spark, sf_dir), RETENTION_AS_OF, RETENTION_DAYS))
 
 
+# every day whose number leaves 3 by this modulus is left out, so that there are gaps to find
+GAP_DAYS = 5
+
+
 @register("index_missing_days")
 def q_index_missing_days(spark, sf_dir):
-    return present(RT.missing_days(_docs(spark, sf_dir, 15)))
+    docs = _docs(spark, sf_dir, 15)
+    return present(RT.missing_days(docs.where(F.unix_date("index_date") % GAP_DAYS != 3)))
 
 
 @register("stream_spike")
 def q_stream_spike(spark, sf_dir):
     s = D.detect_spike(SJ.stream_delta_pct(replayed_readings(spark, sf_dir), METRIC_MINUTES))
-    return present(RP.run_available_now(s, "stream_spike", partitions=_PARTS.get(id(spark))).drop("explain"))
+    return present(RP.run_available_now(s, "stream_spike", partitions=STATE_PARTITIONS).drop("explain"))
+
+
+def _routed(spark, sf_dir):
+    """The routing job over damaged payloads: folders of its four outputs."""
+    from meterflow.streaming.pipeline import start_routing
+    src, out = scratch_path(spark, "route-src"), scratch_path(spark, "routed")
+    RP.write_replay(P.payloads_from_readings(load_readings(spark, sf_dir, with_ts=False), ("ingestMs",)), src, REPLAY_BATCHES)
+    payloads = RP.replay_stream(spark, src, spark.read.parquet(src).schema)
+    start_routing(spark, payloads, out, arrival=["event_id"], trigger=None).awaitTermination()
+    return out
+
+
+@register("stream_raw")
+def q_stream_raw(spark, sf_dir):
+    raw = spark.read.parquet(f"{_routed(spark, sf_dir)}/raw")
+    return present(raw.select("event_id", "meterId", "siteId", "timestamp", "usageKw", "voltage", "current", "pf", "index_name"))
+
+
+@register("stream_late")
+def q_stream_late(spark, sf_dir):
+    late = spark.read.parquet(f"{_routed(spark, sf_dir)}/late")
+    return present(late.select("event_id", "meterId", "siteId", "timestamp", "usageKw", "lagMs", "lateness"))
+
+
+@register("stream_ops")
+def q_stream_ops(spark, sf_dir):
+    ops = spark.read.parquet(f"{_routed(spark, sf_dir)}/ops")
+    return present(ops.select("event_id", "meterId", "siteId", F.concat_ws(",", "reasons").alias("reasons"), "emit"))
+
+
+@register("stream_dead")
+def q_stream_dead(spark, sf_dir):
+    dead = spark.read.parquet(f"{_routed(spark, sf_dir)}/dead")
+    return present(dead.select("event_id"))
 
 
 @register("pipeline_end_to_end")
@@ -203,4 +256,4 @@ def q_pipeline_end_to_end(spark, sf_dir):
 @register("stream_zscore")
 def q_stream_zscore(spark, sf_dir):
     s = SJ.stream_zscore(replayed_readings(spark, sf_dir), 86_400_000, D.ZSCORE_LIMIT)
-    return present(RP.run_available_now(s, "stream_zscore", partitions=_PARTS.get(id(spark))))
+    return present(RP.run_available_now(s, "stream_zscore", partitions=STATE_PARTITIONS))

@@ -24,7 +24,6 @@ ALERT_INDEX_PREFIX = "power-alerts"       # + "-" + yyyy.MM.dd of alert time
 INDEX_DATE_FORMAT = "yyyy.MM.dd"
 INDEX_DATE_REGEX = r"\d{4}\.\d{2}\.\d{2}"
 DEFAULT_TOPIC = "power-usage-metrics"
-DEFAULT_GROUP_ID = "flink-power-usage-aggregator"
 CONSOLE_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # scaled_float factor of usageKw in the alert mapping
 USAGE_SCALING_FACTOR = 100

@@ -45,13 +45,16 @@ def get_session(master: str | None = None, app: str = "meterflow",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for lineage cuts and scratch tables.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). When
-    neither is set, as in tests, sets a fresh local one.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  When
+    neither is set, a session in local mode (tests) gets a fresh folder; on a
+    cluster that is an error, since a machine-local folder is not shared.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="meterflow-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         spark.conf.set("spark.checkpoint.dir", d)

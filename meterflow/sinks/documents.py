@@ -1,23 +1,28 @@
 """Document store with replay-safe upserts.
 
 The original sink indexes each window result under ``{siteId}-{windowStart}``
-in a daily index, so a replayed result overwrites the earlier one.  Here a
-micro-batch is written to its own ``batch_id`` partition with dynamic
-partition overwrite (re-running a batch replaces exactly its own files), and
-readers take the latest batch per document key.  :func:`compact` folds the
-log into one version per key.
+in a daily index, so a replayed result overwrites the earlier one.  Here the
+store is a log: each micro-batch owns the folder ``run=R/batch_id=N``, which a
+repeated batch replaces as a whole, and readers take the latest (run, batch)
+per document key.  A run is one checkpoint's life: a restart from the same
+checkpoint keeps its run, a new checkpoint (whose batch ids start at 0 again)
+gets the next one, so versions only grow.  :func:`compact` folds the log into
+one version per key, keeps the versions, and can take further batches.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 from meterflow.functions.expressions import epoch_ms_to_date
 from meterflow.operators.rollup import with_document_keys
 
-DOC_KEY = ["windowSizeMinutes", "doc_id"]
+# the index name holds the window size and the day; the date is in the key so that a day's filter prunes folders
+DOC_KEY = ["windowSizeMinutes", "index_date", "index_name", "doc_id"]
 PARTITIONS = ["windowSizeMinutes", "index_date"]
+VERSION = ["run", "batch_id"]
 
 
 def to_documents(rollup: DataFrame) -> DataFrame:
@@ -25,41 +30,53 @@ def to_documents(rollup: DataFrame) -> DataFrame:
     return with_document_keys(rollup).withColumn("index_date", epoch_ms_to_date("windowEnd"))
 
 
-def write_batch(docs: DataFrame, path: str, batch_id: int) -> None:
-    """Idempotent write of one batch of documents (safe to repeat after a failure)."""
-    (docs.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*PARTITIONS, "batch_id")
-     .parquet(path))
+def open_run(spark: SparkSession, path: str, checkpoint: str) -> int:
+    """Run number of a checkpoint on this store; a checkpoint not seen before gets the next number."""
+    runs = f"{path.rstrip('/')}/_runs"
+    schema = "checkpoint string, run bigint"
+    try:
+        known = spark.read.schema(schema).parquet(runs)
+        row = known.agg(F.max("run").alias("last"), F.max(F.when(F.col("checkpoint") == checkpoint, F.col("run"))).alias("own")).first()
+    except AnalysisException:  # no run yet
+        row = None
+    if row and row["own"] is not None:
+        return row["own"]
+    run = (row["last"] if row and row["last"] is not None else -1) + 1
+    spark.createDataFrame([(checkpoint, run)], schema).write.mode("append").parquet(runs)
+    return run
+
+
+def write_batch(docs: DataFrame, path: str, batch_id: int, run: int = 0) -> None:
+    """Write one batch of documents; a repeat replaces exactly what the batch wrote before."""
+    (docs.write.mode("overwrite").partitionBy(*PARTITIONS)
+     .parquet(f"{path.rstrip('/')}/run={run}/batch_id={batch_id}"))
 
 
 def latest_wins(spark: SparkSession, path: str, key: list[str] | None = None) -> DataFrame:
-    """One row per document key: the version from the highest batch id.
+    """One row per document key: the version of the highest (run, batch).
 
     ``max_by`` is a partial aggregate, so repeated replays of a hot key are
-    reduced before the shuffle.
+    reduced before the shuffle.  A filter on the size or day prunes folders.
     """
     key = key or DOC_KEY
-    log = spark.read.parquet(path)
+    log = spark.read.option("basePath", path).parquet(path)
     cols = [c for c in log.columns if c not in key]
-    latest = log.groupBy(*key).agg(F.max_by(F.struct(*cols), "batch_id").alias("_d"))
+    latest = log.groupBy(*key).agg(F.max_by(F.struct(*cols), F.struct(*VERSION)).alias("_d"))
     return latest.select(*key, "_d.*")
 
 
 def compact(spark: SparkSession, path: str, out_path: str) -> None:
-    """Write the latest version of every document into a new, log-free table."""
-    (latest_wins(spark, path).drop("batch_id")
-     .write.mode("overwrite").partitionBy(*PARTITIONS).parquet(out_path))
+    """Write the latest version of every document, under its run and batch, into a new log."""
+    latest_wins(spark, path).write.mode("overwrite").partitionBy(*VERSION, *PARTITIONS).parquet(out_path)
 
 
 def elasticsearch_writer(docs: DataFrame, nodes: str, resource: str = "{index_name}"):
     """Writer for the Elasticsearch connector when its jar is on the classpath:
-    per-row index from ``index_name`` and ``doc_id`` as the document id (upsert)."""
+    per-row index from ``index_name`` and ``doc_id`` as the document id (the whole document replaces an older one)."""
     return (docs.write.format("es")
             .option("es.nodes", nodes)
             .option("es.resource", resource)
             .option("es.mapping.id", "doc_id")
-            .option("es.mapping.exclude", "index_name,doc_id,index_date,batch_id")
-            .option("es.write.operation", "upsert")
+            .option("es.mapping.exclude", "index_name,doc_id,index_date,run,batch_id")
+            .option("es.write.operation", "index")
             .mode("append"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.functions.expressions import epoch_ms_to_ts, ntz_to_epoch_ms, once
+from meterflow.functions.expressions import epoch_ms_to_ts, ntz_to_epoch_ms
 
 READING_COLUMNS = ["meterId", "siteId", "timestamp", "usageKw", "voltage", "current", "pf",
                    "event_id", "ingestMs"]
@@ -29,8 +29,9 @@ def readings_from_events(events: DataFrame, with_ts: bool = True) -> DataFrame:
     value; a 20 % current error on multiples of 11); arrival time
     ``ingestMs = timestamp + k * 10 s`` drives the lateness rules.
     """
-    parsed = once(events.select("event_id", "ts", "user_id", "value", "props"),
-                  F.get_json_object("props", "$.k").cast("int"), "k")
+    # a plain projection: a query that uses none of the fields derived from k never reads ``props``
+    parsed = events.select("event_id", "ts", "user_id", "value",
+                           F.get_json_object("props", "$.k").cast("int").alias("k"))
     k = F.col("k")
     base = parsed.select(
         F.concat(F.lit("MTR-"), F.lpad(F.col("user_id").cast("string"), 4, "0")).alias("meterId"),

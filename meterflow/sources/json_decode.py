@@ -38,12 +38,29 @@ def _reason(cond: Column, label: str) -> Column:
     return F.when(cond, F.lit(label))
 
 
+# a JSON number, or the names a text may give to the special doubles
+_NUMBER = r"^\s*([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|NaN|[+-]?Infinity)\s*$"
+# timestamps that calendar functions can handle: 1970 up to the end of year 9999
+MIN_TIMESTAMP_MS, MAX_TIMESTAMP_MS = 0, 253_402_300_799_999
+
+
+def _number(text: Column) -> Column:
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+
+
+def _infinite(value: Column) -> Column:
+    return value.isNotNull() & (F.abs(value) == F.lit(float("inf")))
+
+
 def decode_payloads(df: DataFrame, value_col: str = "value", mode: str = "lenient",
-                    keep: list[str] | None = None) -> DataFrame:
+                    keep: list[str] | None = None, min_ms: int = MIN_TIMESTAMP_MS,
+                    max_ms: int = MAX_TIMESTAMP_MS) -> DataFrame:
     """Parse JSON readings; returns fields + ``_raw``, ``reasons``, ``dead``, ``emit``.
 
     ``keep`` lists pass-through columns (arrival keys such as Kafka offsets or
     ``event_id``). Null payloads and the JSON literal ``null`` yield no row.
+    An empty text in a number field counts as missing.  Infinite usage and
+    timestamps outside ``[min_ms, max_ms]`` give no reading, only ops rows.
     """
     if mode not in ("lenient", "strict"):
         raise ValueError("mode must be 'lenient' or 'strict'")
@@ -55,10 +72,11 @@ def decode_payloads(df: DataFrame, value_col: str = "value", mode: str = "lenien
     parsed = once(base, p, "p")
 
     txt = {f: F.col(f"p.{f}") for f in READING_FIELDS}
-    ts_val = F.coalesce(txt["timestamp"].try_cast("bigint"),
-                        txt["timestamp"].try_cast("double").try_cast("bigint"))
-    kw_val = txt["usageKw"].try_cast("double")
-    opt_val = {f: txt[f].try_cast("double") for f in _OPTIONAL}
+    for f in ["timestamp", "usageKw", *_OPTIONAL]:
+        txt[f] = F.when(F.trim(txt[f]) != F.lit(""), txt[f])
+    ts_val = F.coalesce(txt["timestamp"].try_cast("bigint"), _number(txt["timestamp"]).try_cast("bigint"))
+    kw_val = _number(txt["usageKw"])
+    opt_val = {f: _number(txt[f]) for f in _OPTIONAL}
 
     unknown = F.array_except(F.coalesce(F.json_object_keys("_raw"), F.array().cast("array<string>")),
                              F.array(*[F.lit(f) for f in READING_FIELDS]))
@@ -68,9 +86,12 @@ def decode_payloads(df: DataFrame, value_col: str = "value", mode: str = "lenien
         nested_bad = nested_bad | F.coalesce(_is_nested(txt[f]), F.lit(False))
     ts_bad = txt["timestamp"].isNotNull() & ts_val.isNull()
     kw_bad = txt["usageKw"].isNotNull() & kw_val.isNull()
-    opt_bad = {f: txt[f].isNotNull() & (opt_val[f].isNull() | F.isnan(opt_val[f])) for f in _OPTIONAL}
+    ts_far = ts_val.isNotNull() & ((ts_val < min_ms) | (ts_val > max_ms))
+    opt_bad = {f: txt[f].isNotNull() & (opt_val[f].isNull() | F.isnan(opt_val[f]) | _infinite(opt_val[f]))
+               for f in _OPTIONAL}
     any_opt_bad = opt_bad["voltage"] | opt_bad["current"] | opt_bad["pf"]
     kw_nan = kw_val.isNotNull() & F.isnan(kw_val)
+    kw_inf = _infinite(kw_val)
     site_missing = txt["siteId"].isNull() | (F.trim(txt["siteId"]) == F.lit(""))
     ts_missing = txt["timestamp"].isNull()
     kw_missing = txt["usageKw"].isNull()
@@ -86,13 +107,15 @@ def decode_payloads(df: DataFrame, value_col: str = "value", mode: str = "lenien
         _reason(ts_missing, "missing_timestamp"),
         _reason(kw_missing, "missing_usage"),
         _reason(kw_nan, "nan_usage"),
+        _reason(kw_inf, "infinite_usage"),
+        _reason(ts_far, "timestamp_out_of_range"),
         _reason(opt_bad["voltage"], "bad_voltage"),
         _reason(opt_bad["current"], "bad_current"),
         _reason(opt_bad["pf"], "bad_pf"),
         _reason(has_unknown, "unknown_keys"),
     ), lambda x: x.isNotNull())
 
-    blocked = site_missing | kw_nan
+    blocked = site_missing | kw_nan | kw_inf | ts_far
     if mode == "strict":
         blocked = blocked | ts_missing | kw_missing
 

@@ -10,36 +10,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.schema import DEFAULT_GROUP_ID, DEFAULT_TOPIC, READING_FIELDS
+from meterflow.schema import DEFAULT_TOPIC, READING_FIELDS
 
 # arrival order of a Kafka record: first-seen meter uses it (see rollup)
 KAFKA_ARRIVAL = ["kafka_timestamp", "partition", "offset"]
 
 
-def kafka_reader(spark: SparkSession, servers: str, topic: str = DEFAULT_TOPIC,
-                 group_id: str = DEFAULT_GROUP_ID, starting: str = "latest",
-                 max_offsets_per_trigger: int | None = None):
-    """Streaming Kafka reader; ``starting`` is 'latest' or 'earliest'.
+def kafka_options(servers: str, group_id: str, topic: str = DEFAULT_TOPIC, starting: str = "latest",
+                  max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> dict[str, str]:
+    """Source options; ``starting`` is 'latest' or 'earliest'.
 
-    The starting position only applies to a fresh checkpoint. Returns the
-    reader; call ``.load()`` and then :func:`kafka_values`.
+    Expired offsets fail the job unless ``fail_on_data_loss`` is off.  The
+    starting position only applies to a fresh checkpoint.
     """
     if starting not in ("latest", "earliest"):
         raise ValueError("starting must be 'latest' or 'earliest'")
-    r = (spark.readStream.format("kafka")
-         .option("kafka.bootstrap.servers", servers)
-         .option("subscribe", topic)
-         .option("kafka.group.id", group_id)
-         .option("startingOffsets", starting)
-         .option("failOnDataLoss", "false"))
+    out = {"kafka.bootstrap.servers": servers, "subscribe": topic, "kafka.group.id": group_id,
+           "startingOffsets": starting, "failOnDataLoss": str(fail_on_data_loss).lower()}
     if max_offsets_per_trigger:
-        r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    return r
+        out["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return out
+
+
+def kafka_reader(spark: SparkSession, servers: str, group_id: str, **options):
+    """Streaming reader with :func:`kafka_options`; call ``.load()`` and then :func:`kafka_values`."""
+    return spark.readStream.format("kafka").options(**kafka_options(servers, group_id, **options))
 
 
 def kafka_values(raw: DataFrame) -> DataFrame:
-    """Keep the payload and the arrival key of Kafka records."""
-    return raw.select("value", F.col("timestamp").alias("kafka_timestamp"), "partition", "offset")
+    """Keep the payload, the arrival key and the arrival time (epoch ms) of Kafka records."""
+    return raw.select("value", F.col("timestamp").alias("kafka_timestamp"), "partition", "offset",
+                      F.unix_millis("timestamp").alias("ingestMs"))
 
 
 def encode_readings(readings: DataFrame, key_col: str = "meterId",

@@ -14,7 +14,7 @@ Structured Streaming does not allow, are rewritten as window aggregations:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.functions.expressions import console_line, ts_to_epoch_ms
@@ -28,9 +28,14 @@ def with_event_time(readings: DataFrame, delay: str = WATERMARK) -> DataFrame:
     return readings.withWatermark("ts", delay)
 
 
-def with_processing_time(readings: DataFrame) -> DataFrame:
-    """Processing-time mode: the arrival clock is the window time."""
-    return readings.withColumn("pt", F.current_timestamp()).withWatermark("pt", "0 seconds")
+def with_processing_time(readings: DataFrame, clock: Column | None = None) -> DataFrame:
+    """Processing-time mode: the arrival clock is the window time.
+
+    ``clock`` is the wall clock unless given; a replay passes its recorded
+    arrival time, so that the same windows come out of every run.
+    """
+    pt = clock if clock is not None else F.current_timestamp()
+    return readings.withColumn("pt", pt).withWatermark("pt", "0 seconds")
 
 
 def stream_rollup(readings: DataFrame, minutes: int, slide_minutes: int | None = None,
@@ -75,14 +80,14 @@ def stream_moving_avg(readings: DataFrame, minutes: int, k: int) -> DataFrame:
         "avgUsageKw", "movingAvgUsageKw", "maWindows")
 
 
-def stream_silence(readings: DataFrame, silence_ms: int) -> DataFrame:
+def stream_silence(readings: DataFrame, silence_ms: int, arrival: str = "event_id") -> DataFrame:
     """One alert per closed session of a meter (gap > T closes it)."""
     s = F.session_window("ts", f"{silence_ms // 1000} seconds").alias("session")
     g = readings.groupBy(s, "meterId").agg(
         F.max("timestamp").alias("lastSeen"), F.min("timestamp").alias("firstSeen"),
         F.count(F.lit(1)).alias("readings"),
-        F.max_by("siteId", "timestamp").alias("siteId"),
-        F.max_by("usageKw", "timestamp").alias("usageKw"))
+        F.max_by(F.struct("siteId", "usageKw"), F.struct("timestamp", arrival)).alias("_l"))
+    g = g.select("*", "_l.siteId", "_l.usageKw")
     return g.select(
         (F.col("lastSeen") + F.lit(silence_ms)).alias("timestamp"), "meterId", "siteId", "usageKw",
         F.lit("SILENCE").alias("alertType"), F.lit("WARNING").alias("alertLevel"),

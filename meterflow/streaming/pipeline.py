@@ -1,21 +1,32 @@
-"""The aggregation job: payload stream -> decode -> site rollup -> document store.
-
-Mirrors the original topology (source -> key by site -> window -> print and
-index) as one Structured Streaming query per window size: each closed window
-is upserted into the document log under its micro-batch id (replay-safe) and
-optionally rendered as console text (written as files per batch, not
-collected).  Checkpoints every ``trigger`` interval (60 s by default) under
-the shared checkpoint folder.
+"""The jobs: payload stream -> decode -> outputs.
+
+:func:`start_routing` decodes each micro-batch once and writes every payload
+to exactly one of: ``raw`` (on-time readings), ``late`` (late exception and
+too late), ``dead`` (dead letters) or, blocked by a finding, ``ops``; readings
+with a harmless finding are in ``ops`` as well.  Nothing is dropped but
+tombstones.  Each batch replaces its own folder, so a repeat changes nothing.
+
+:func:`start_aggregation` mirrors the original topology (source -> key by site
+-> window -> print and index) as one Structured Streaming query per window
+size: each closed window is upserted into the document log under its run and
+micro-batch id (replay-safe) and optionally rendered as console text (written
+as files per batch, not collected).  What its watermark would drop is in the
+``late`` output of the routing job.  Both checkpoint every ``trigger``
+interval (60 s by default) under the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterflow.functions.expressions import epoch_ms_to_ts
 from meterflow.session import scratch_path
+from meterflow.operators import lateness as L
 from meterflow.sinks import documents as S
+from meterflow.sinks import stores as ST
 from meterflow.sources import json_decode as J
+from meterflow.sources import kafka as K
 from meterflow.streaming import jobs as SJ
 
 CHECKPOINT_INTERVAL = "60 seconds"
@@ -29,6 +40,57 @@ def decoded_readings(payloads: DataFrame, mode: str = "strict", arrival: list[st
     return SJ.with_event_time(r, watermark)
 
 
+def start_jobs(spark: SparkSession, servers: str, group_id: str, path: str, minutes: list[int],
+               trigger: str | None = CHECKPOINT_INTERVAL, **options) -> list:
+    """The whole topology on Kafka: the routing query and one aggregation query per window size.
+
+    Stores lie under ``path``; each query has its own group id and checkpoint.
+    """
+    def source(name: str) -> DataFrame:
+        return K.kafka_values(K.kafka_reader(spark, servers, f"{group_id}-{name}", **options).load())
+    jobs = [start_routing(spark, source("route"), path, K.KAFKA_ARRIVAL, trigger=trigger)]
+    for m in minutes:
+        jobs.append(start_aggregation(spark, source(f"{m}m"), m, f"{path.rstrip('/')}/documents-{m}m",
+                                      arrival=K.KAFKA_ARRIVAL, trigger=trigger))
+    return jobs
+
+
+OUTPUTS = ("raw", "late", "ops", "dead")
+
+
+def route_batch(batch: DataFrame, path: str, batch_id: int, arrival: list[str],
+                ingest_col: str = "ingestMs") -> None:
+    """Write one decoded micro-batch to the four outputs (exact replacement)."""
+    keep = [*arrival, ingest_col]
+    batch.persist()
+    try:
+        readings = L.route_lateness(J.readings_of(batch, keep=keep))
+        on_time = F.col("lateness") == "on_time"
+        parts = {"raw": ST.raw_documents(readings.where(on_time)), "late": ST.raw_documents(readings.where(~on_time)),
+                 "ops": J.ops_of(batch, keep=keep), "dead": J.dead_letter_of(batch, keep=keep)}
+        for name in OUTPUTS:
+            w = parts[name].write.mode("overwrite")
+            w = w.partitionBy("index_date") if name in ("raw", "late") else w
+            w.parquet(f"{path.rstrip('/')}/{name}/batch_id={batch_id}")
+    finally:
+        batch.unpersist()
+
+
+def start_routing(spark: SparkSession, payloads: DataFrame, path: str, arrival: list[str],
+                  ingest_col: str = "ingestMs", mode: str = "strict", checkpoint: str | None = None,
+                  trigger: str | None = CHECKPOINT_INTERVAL):
+    """Start the routing query; ``ingest_col`` is the arrival time in epoch ms.
+
+    ``trigger=None`` drains the available input (``availableNow``) and stops.
+    """
+    decoded = J.decode_payloads(payloads, "value", mode=mode, keep=[*arrival, ingest_col])
+    w = (decoded.writeStream.foreachBatch(lambda b, i: route_batch(b, path, i, arrival, ingest_col))
+         .option("checkpointLocation", checkpoint or scratch_path(spark, "route-ckpt"))
+         .queryName(f"power_usage_route_{scratch_path(spark, 'q')[-8:]}"))
+    w = w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)
+    return w.start()
+
+
 def start_aggregation(spark: SparkSession, payloads: DataFrame, minutes: int, doc_path: str,
                       job_name: str | None = None, arrival: str | list[str] = "event_id",
                       mode: str = "strict", trigger: str | None = CHECKPOINT_INTERVAL,
@@ -41,11 +103,13 @@ def start_aggregation(spark: SparkSession, payloads: DataFrame, minutes: int, do
     readings = decoded_readings(payloads, mode=mode, arrival=keys)
     rollup = SJ.stream_rollup(readings, minutes)
     name = job_name or f"{minutes}m"
+    checkpoint = checkpoint or scratch_path(spark, f"agg-{name}-ckpt")
+    run = S.open_run(spark, doc_path, checkpoint)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            S.write_batch(S.to_documents(batch), doc_path, batch_id)
+            S.write_batch(S.to_documents(batch), doc_path, batch_id, run)
             if lines_path:  # the console text, written by the executors
                 SJ.console_lines(batch, name).write.mode("overwrite").text(
                     f"{lines_path}/batch_id={batch_id}")
@@ -53,7 +117,7 @@ def start_aggregation(spark: SparkSession, payloads: DataFrame, minutes: int, do
             batch.unpersist()
 
     w = (rollup.writeStream.foreachBatch(sink)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, f"agg-{name}-ckpt"))
+         .option("checkpointLocation", checkpoint)
          .queryName(f"power_usage_agg_{name}_{scratch_path(spark, 'q')[-8:]}"))
     w = w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)
     return w.start()

@@ -13,6 +13,13 @@ CASES = [
     ("extra", '{%s,"usageKw":1,"extra":1}' % BASE, (False, True, {}), (True, False)),
     ("bad_voltage", '{%s,"usageKw":1,"voltage":"x"}' % BASE, (False, True, {"voltage": None}), (True, False)),
     ("nan", '{%s,"usageKw":"NaN"}' % BASE, (False, False, {}), (True, False)),
+    ("infinite", '{%s,"usageKw":"Infinity"}' % BASE, (False, False, {}), (False, False)),
+    ("overflow", '{%s,"usageKw":1e999}' % BASE, (True, False, {}), (True, False)),
+    ("inf_voltage", '{%s,"usageKw":1,"voltage":"Infinity"}' % BASE, (False, True, {"voltage": None}), (True, False)),
+    ("java_suffix", '{%s,"usageKw":"5d"}' % BASE, (True, False, {}), (True, False)),
+    ("far_timestamp", '{"meterId":"M","siteId":"S","timestamp":9223372036854775807,"usageKw":1}', (False, False, {}), (False, False)),
+    ("negative_timestamp", '{"meterId":"M","siteId":"S","timestamp":-5,"usageKw":1}', (False, False, {}), (False, False)),
+    ("empty_number", '{%s,"usageKw":"","voltage":" "}' % BASE, (False, True, {"usageKw": 0.0, "voltage": None}), (False, False)),
     ("dup", '{"siteId":"a","siteId":"b","timestamp":1,"usageKw":1}', (False, True, {"siteId": "b"}), (False, True)),
     ("case", '{"SITEID":"y","timestamp":1,"usageKw":1}', (False, False, {}), (True, False)),
     ("nested", '{"siteId":{"a":1},"timestamp":1}', (True, False, {}), (True, False)),

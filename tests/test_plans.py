@@ -23,6 +23,24 @@ def test_scan_reads_only_needed_columns(spark):
     assert read and all("event_type" not in line for line in read)
 
 
+UNPARSED = ["delta_pct", "moving_avg", "detect_spike", "detect_sustained", "detect_silence", "detect_zscore",
+            "detect_iqr", "alerts_all", "scaled_usage", "load_profile", "raw_index_routing", "dq_value_range",
+            "dq_absent_site_windows"]
+
+
+def test_properties_are_not_read_where_nothing_uses_them(spark):
+    for name in UNPARSED:
+        p = _plan(QUERIES[name](spark, SF_SMALL))
+        assert "ReadSchema" in p and "props" not in p, name
+
+
+def test_one_day_of_the_document_log_prunes_folders(spark):
+    path = scratch_path(spark, "test-log")
+    S.write_batch(S.to_documents(R.site_rollup(load_readings(spark, SF_SMALL), 60)), path, 0)
+    p = _plan(S.latest_wins(spark, path).where("index_date = date'2024-01-05'"))
+    assert "PartitionFilters: [isnotnull(index_date" in p
+
+
 def test_no_python_udf_anywhere(spark):
     for name in ["site_rollup_15m", "delta_pct", "detect_iqr", "detect_zscore", "detect_silence",
                  "decode_json", "ops_output", "dq_absent_site_windows"]:

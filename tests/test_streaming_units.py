@@ -8,9 +8,9 @@ from meterflow.session import scratch_path
 from meterflow.sinks import documents as S
 from meterflow.sinks import retention as RT
 from meterflow.sources import kafka as K
-from meterflow.sources import payloads as P
+from meterflow.fixtures import payloads as P
 from meterflow.sources.adapter import load_readings
-from meterflow.streaming import replay as RP
+from meterflow.fixtures import replay as RP
 from meterflow.streaming.pipeline import start_aggregation
 
 
@@ -28,11 +28,66 @@ def test_pipeline_console_text_and_docs(spark):
     assert first.startswith("[15m] SiteId: SITE-") and " kW, Sum: " in first
 
 
-def test_kafka_options(spark):
-    r = K.kafka_reader(spark, "broker:9092", starting="earliest", max_offsets_per_trigger=1000)
-    assert r is not None
+def test_kafka_options():
+    o = K.kafka_options("broker:9092", "my-group", starting="earliest", max_offsets_per_trigger=1000)
+    assert o == {"kafka.bootstrap.servers": "broker:9092", "subscribe": K.DEFAULT_TOPIC, "kafka.group.id": "my-group",
+                 "startingOffsets": "earliest", "failOnDataLoss": "true", "maxOffsetsPerTrigger": "1000"}
+    assert K.kafka_options("b", "g", fail_on_data_loss=False)["failOnDataLoss"] == "false"
     with pytest.raises(ValueError):
-        K.kafka_reader(spark, "broker:9092", starting="middle")
+        K.kafka_options("broker:9092", "g", starting="middle")
+
+
+def test_batch_repeat_replaces_exactly(spark):
+    docs = S.to_documents(R.site_rollup(load_readings(spark, SF_SMALL), 60))
+    path = scratch_path(spark, "t-log")
+    S.write_batch(docs, path, 0)
+    some = docs.where("siteId = 'SITE-1'")
+    S.write_batch(some, path, 0)
+    assert S.latest_wins(spark, path).count() == some.count() < docs.count()
+
+
+def test_new_checkpoint_outranks_old_batches_and_compaction_goes_on(spark):
+    docs = S.to_documents(R.site_rollup(load_readings(spark, SF_SMALL), 60))
+    path, folded = scratch_path(spark, "t-log"), scratch_path(spark, "t-folded")
+    a, b = S.open_run(spark, path, "ckpt-a"), S.open_run(spark, path, "ckpt-b")
+    assert (a, b) == (0, 1) and S.open_run(spark, path, "ckpt-a") == 0
+    S.write_batch(docs.withColumn("count", F.lit(-1).cast("bigint")), path, 5, a)
+    S.write_batch(docs, path, 0, b)
+    assert S.latest_wins(spark, path).where("count = -1").count() == 0
+    S.compact(spark, path, folded)
+    assert S.latest_wins(spark, folded).count() == docs.count()
+    S.write_batch(docs.withColumn("count", F.lit(-2).cast("bigint")), folded, 1, b)
+    assert S.latest_wins(spark, folded).where("count <> -2").count() == 0
+
+
+def test_replay_batches_have_several_files(spark):
+    src = scratch_path(spark, "t-src")
+    RP.write_replay(load_readings(spark, SF_SMALL, with_ts=False), src, 3, files_per_batch=4)
+    assert len(spark.read.parquet(src).inputFiles()) == 12
+    out = RP.run_available_now(RP.replay_stream(spark, src, spark.read.parquet(src).schema).select(
+        "event_id", F.col("_metadata.file_path").alias("f")), "t_files", partitions=2)
+    assert out.select("f").distinct().count() == 12 and out.count() == load_readings(spark, SF_SMALL).count()
+
+
+def test_routing_outputs_hold_every_payload(spark):
+    from meterflow.streaming.pipeline import OUTPUTS, start_routing
+    r = load_readings(spark, SF_SMALL, with_ts=False)
+    edge = [(10**6 + i, v, 1_700_000_000_000) for i, v in enumerate([
+        '{"meterId":"m","siteId":"s","timestamp":9223372036854775807,"usageKw":1}',
+        '{"meterId":"m","siteId":"s","timestamp":1700000000000,"usageKw":"Infinity"}',
+        '{"meterId":"m","siteId":"s","timestamp":1700000000000,"usageKw":""}', '{bad'])]
+    pay = P.payloads_from_readings(r, ("ingestMs",)).select("event_id", "value", "ingestMs")
+    pay = pay.unionByName(spark.createDataFrame(edge, "event_id long, value string, ingestMs long"))
+    src, out = scratch_path(spark, "t-route"), scratch_path(spark, "t-routed")
+    RP.write_replay(pay, src, 2)
+    start_routing(spark, RP.replay_stream(spark, src, spark.read.parquet(src).schema), out, ["event_id"], trigger=None).awaitTermination()
+    parts = {n: spark.read.parquet(f"{out}/{n}") for n in OUTPUTS}
+    n = {k: v.count() for k, v in parts.items()}
+    blocked = parts["ops"].where("NOT emit").count()
+    assert n["raw"] + n["late"] + n["dead"] + blocked == pay.where("value IS NOT NULL").count()
+    why = {x.event_id: x.reasons for x in parts["ops"].where("event_id >= 1000000").collect()}
+    assert why[10**6] == ["timestamp_out_of_range"] and why[10**6 + 2] == ["missing_usage"]
+    assert 10**6 + 3 in {x.event_id for x in parts["dead"].collect()}
 
 
 def test_encode_key_is_meter(spark):
