@@ -115,8 +115,8 @@ def window_stats(readings: DataFrame, size_ms: int) -> DataFrame:
 def detect_zscore(readings: DataFrame, size_ms: int = DAY_MS, limit: float = ZSCORE_LIMIT) -> DataFrame:
     """Readings with |z| >= limit against their own site-window mean and σ.
 
-    Window statistics are joined back to the readings with a salted join so a
-    hot site-window is spread over several tasks.
+    Window statistics are joined back to the readings; adaptive execution
+    broadcasts them or splits a hot site-window over several tasks.
     """
     stats = window_stats(readings, size_ms)
     r = readings.withColumn("windowStart",
@@ -168,10 +168,14 @@ def all_alerts(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [to_alerts(f) for f in frames])
 
 
-def standard_alerts(readings: DataFrame, minutes: int = 60) -> DataFrame:
-    """Every rule with its default parameters on one readings frame."""
+def standard_alerts(readings: DataFrame, minutes: int = 60, as_of_ms: int | None = None) -> DataFrame:
+    """Every rule with its default parameters on one readings frame.
+
+    With ``as_of_ms``, meters that are still silent then give an alert too.
+    """
     ro = R.site_rollup(readings, minutes)
-    return all_alerts([
+    still = [] if as_of_ms is None else [detect_silence(open_silences(readings, as_of_ms))]
+    return all_alerts(still + [
         detect_spike(M.delta_pct(ro, minutes)),
         detect_sustained(sustained_windows(readings)),
         detect_silence(meter_gaps(readings)),

@@ -65,20 +65,37 @@ def power_identity(readings: DataFrame, tolerance: float = LIMITS["identity_tole
         .where(F.col("identityError") > tolerance).withColumn("reason", F.lit("power_identity"))
 
 
-def absent_site_windows(readings: DataFrame, minutes: int) -> DataFrame:
-    """Q6: windows inside a site's active range [first, last reading] with no reading.
-
-    Expected windows are generated per (site, day) from the site's range,
-    a bounded fan-out of at most one day of windows per row; the present
-    windows are removed with a left anti join on (site, window start).
+def absent_site_windows(readings: DataFrame, minutes: int, sites: DataFrame | None = None,
+                        from_ms: int | None = None, as_of_ms: int | None = None) -> DataFrame:
+    """Q6: windows of a site's range with no reading.
+
+    The range runs from a site's first to its last reading unless ``from_ms``
+    or ``as_of_ms`` say otherwise; readings outside them are left out, so one
+    bad timestamp can't stretch it.  ``sites`` (``siteId``) lists the expected
+    sites, which may never have reported; it needs both bounds.
+
+    Expected windows are generated per (site, day), a bounded fan-out of at
+    most one day of windows per row; the present windows are removed with a
+    left anti join on (site, window start).
     """
     size = minutes * MINUTE_MS
     if DAY_MS % size:
         raise ValueError("window size must divide a day")
-    start = F.col("timestamp") - F.pmod(F.col("timestamp"), F.lit(size))
-    present = readings.select("siteId", start.alias("windowStart")).distinct()
-    span = present.groupBy("siteId").agg(F.min("windowStart").alias("_first"),
-                                         F.max("windowStart").alias("_last"))
+    if sites is not None and (from_ms is None or as_of_ms is None):
+        raise ValueError("a list of sites needs from_ms and as_of_ms")
+    t = F.col("timestamp")
+    if from_ms is not None:
+        readings = readings.where(t >= from_ms)
+    if as_of_ms is not None:
+        readings = readings.where(t <= as_of_ms)
+    present = readings.select("siteId", (t - F.pmod(t, F.lit(size))).alias("windowStart")).distinct()
+    span = present.groupBy("siteId").agg(F.min("windowStart").alias("_first"), F.max("windowStart").alias("_last"))
+    if sites is not None:
+        span = sites.select("siteId").distinct().join(span, "siteId", "left")
+    if from_ms is not None:
+        span = span.withColumn("_first", F.lit(from_ms - from_ms % size))
+    if as_of_ms is not None:
+        span = span.withColumn("_last", F.lit(as_of_ms - as_of_ms % size))
     day0 = F.col("_first") - F.pmod(F.col("_first"), F.lit(DAY_MS))
     days = span.select("siteId", "_first", "_last",
                        F.explode(F.sequence(day0, F.col("_last"), F.lit(DAY_MS))).alias("_day"))

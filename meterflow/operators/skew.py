@@ -3,8 +3,10 @@
 A single site (or site-day) may hold a third of all readings.  Two patterns
 keep such a group from landing in one task:
 
-* :func:`salted_join` joins the big side to a per-group statistics table on
-  ``keys + salt``; the salt is a deterministic hash of the big side's row
+* :func:`salted_join` joins the big side to a per-group statistics table.  By
+  default it is a plain join: adaptive execution broadcasts the statistics
+  when they are small and splits skewed partitions otherwise.  Where salts
+  are asked for, the key gets a deterministic hash of the big side's row
   (task retries see the same assignment) and the small side is replicated
   once per salt value.
 * :func:`exact_percentiles` computes exact interpolated percentiles per
@@ -17,18 +19,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALT_BUCKETS = 16
 # groups up to this size are ranked over all their distinct values
 EXACT_SMALL_GROUP = 200_000
 
 
-def salt_of(cols: list[str], buckets: int = SALT_BUCKETS) -> Column:
+def salt_of(cols: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(buckets)).cast("int")
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], salt_cols: list[str],
-                buckets: int = SALT_BUCKETS, how: str = "inner") -> DataFrame:
-    """Equi-join ``big`` to a per-key table with hot keys spread over ``buckets`` tasks."""
+                buckets: int | None = None, how: str = "inner") -> DataFrame:
+    """Equi-join ``big`` to a per-key table; with ``buckets``, hot keys are spread over so many tasks."""
+    if not buckets:
+        return big.join(small, on, how)
     b = big.withColumn("_salt", salt_of(salt_cols, buckets))
     s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     return b.join(s, on + ["_salt"], how).drop("_salt")
@@ -83,7 +86,10 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
     picked = t.groupBy(*keys, "_pi", "_n", "_r").agg(
         F.max(F.when(hit_lo, F.col("_xk"))).alias("_xl"),
         F.max(F.when(hit_hi, F.col("_xk"))).alias("_xh"))
-    q = F.col("_xl") + (F.col("_r") - F.floor("_r")) * (F.col("_xh") - F.col("_xl"))
+    # a target rank outside its bracket would mean that the sketch broke its bound
+    broken = F.coalesce(F.abs("_xl") == F.lit(float("inf")), F.lit(True)) | F.coalesce(F.abs("_xh") == F.lit(float("inf")), F.lit(True))
+    q = F.when(broken, F.raise_error(F.lit("a percentile's rank lies outside its bracket")).cast("double")).otherwise(
+        F.col("_xl") + (F.col("_r") - F.floor("_r")) * (F.col("_xh") - F.col("_xl")))
     return picked.groupBy(*keys).agg(
         F.max("_n").alias("n"),
         *[F.max(F.when(F.col("_pi") == i, q)).alias(f"{prefix}{i}") for i in range(n_p)])

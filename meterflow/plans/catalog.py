@@ -150,7 +150,9 @@ def q_detect_iqr(spark, sf_dir):
 
 
 def _alerts(spark, sf_dir):
-    return D.standard_alerts(_readings(spark, sf_dir), METRIC_MINUTES)
+    """All rules as of the last reading, so that meters silent until then are included."""
+    r = _readings(spark, sf_dir)
+    return D.standard_alerts(r, METRIC_MINUTES, r.agg(F.max("timestamp")).first()[0])
 
 
 @register("alerts_all")
@@ -256,6 +258,15 @@ def q_dq_absent_site_windows(spark, sf_dir):
     return present(Q.absent_site_windows(_readings(spark, sf_dir), 15))
 
 
+@register("dq_absent_sites")
+def q_dq_absent_sites(spark, sf_dir):
+    """Hourly windows without a reading for a list of sites, two of which never report, over the table's whole range."""
+    r = _readings(spark, sf_dir)
+    sites = r.select(F.concat(F.lit("SITE-"), (F.substring("meterId", 5, 10).cast("int") % 7).cast("string")).alias("siteId")).distinct()
+    lo, hi = r.agg(F.min("timestamp"), F.max("timestamp")).first()
+    return present(Q.absent_site_windows(r, METRIC_MINUTES, sites, lo, hi))
+
+
 @register("ops_output")
 def q_ops_output(spark, sf_dir):
     q = Q.ops_output(_readings(spark, sf_dir), {"usage_max_kw": FIXTURE_MAX_KW})

@@ -140,6 +140,8 @@ ALERTS_CTE = f"""{HOURLY}, {DELTA_CTE}, {SUSTAINED_CTE}, {SILENCE_CTE}, {DAYWIN_
     SELECT "timestamp", meterId, siteId, usageKw, alertType, alertLevel FROM ({SPIKE_SELECT}) s
     UNION ALL SELECT "timestamp", meterId, siteId, usageKw, alertType, alertLevel FROM sustained
     UNION ALL SELECT "timestamp", meterId, siteId, usageKw, alertType, alertLevel FROM silence
+    UNION ALL SELECT lastSeen + {DAY}, meterId, siteId, usageKw, 'SILENCE', 'WARNING' FROM g
+      WHERE nextSeen IS NULL AND (SELECT max("timestamp") FROM readings) - lastSeen > {DAY}
     UNION ALL SELECT "timestamp", meterId, siteId, usageKw, alertType, alertLevel FROM zs
     UNION ALL SELECT "timestamp", meterId, siteId, usageKw, alertType, alertLevel FROM iq)"""
 
@@ -225,6 +227,13 @@ ORACLE["dq_absent_site_windows"] = f"""WITH {READINGS},
 SELECT siteId, windowStart, windowStart + 900000 AS windowEnd, CAST(15 AS INTEGER) AS windowSizeMinutes
 FROM e WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.siteId = e.siteId AND p.windowStart = e.windowStart)"""
 
+ORACLE["dq_absent_sites"] = f"""WITH {READINGS},
+  p AS (SELECT DISTINCT siteId, "timestamp" - "timestamp" % {HOUR} AS windowStart FROM readings),
+  s AS (SELECT DISTINCT concat('SITE-', CAST(CAST(substr(meterId, 5) AS INTEGER) % 7 AS VARCHAR)) AS siteId FROM readings),
+  e AS (SELECT siteId, unnest(range((SELECT min(windowStart) FROM p), (SELECT max(windowStart) FROM p) + 1, {HOUR})) AS windowStart FROM s)
+SELECT siteId, windowStart, windowStart + {HOUR} AS windowEnd, CAST(60 AS INTEGER) AS windowSizeMinutes
+FROM e WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.siteId = e.siteId AND p.windowStart = e.windowStart)"""
+
 ORACLE["ops_output"] = f"""WITH {READINGS},
   o AS (SELECT event_id, meterId, siteId, "timestamp", concat_ws(',',
     CASE WHEN siteId IS NULL OR trim(siteId) = '' THEN 'missing_site' END,
