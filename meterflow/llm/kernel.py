@@ -67,6 +67,16 @@ def text_buffers(col) -> tuple[np.ndarray, np.ndarray]:
     return data[off[0]: off[-1]], off - off[0]
 
 
+def pieces(batch, column: str = "text", limit: int = 1 << 20):
+    """Slices of a record batch whose texts hold about ``limit`` bytes, one row at least."""
+    _, off = text_buffers(batch.column(column))
+    lo, n = 0, len(batch)
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(off, off[lo] + limit, side="right")) - 1)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 def word_spans(data: np.ndarray, off: np.ndarray, is_word: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words in ``data[lo:hi]``; texts never share a word."""
     m = is_word[data[lo:hi]]

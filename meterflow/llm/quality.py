@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.llm.components import cut, settle
+from meterflow.llm.kernel import pieces
 from meterflow.llm.language_id import held_out
 from meterflow.llm.text_stats import QUALITY, quality_stats
 
@@ -29,7 +30,7 @@ TREES, DEPTH, LASSO, MAX_RULES = 24, 3, 0.002, 200
 def with_stats(docs: DataFrame, names: list[str], stats) -> DataFrame:
     """Columns ``doc_id`` and ``names`` of every row, from the whole text."""
     def run(batches):
-        for b in batches:
+        for b in (piece for whole in batches for piece in pieces(whole)):
             s = stats(b.column("text"))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(np.asarray(s[c], np.float64)) for c in names)], ["doc_id", *names])
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.llm.components import cut, settle
-from meterflow.llm.kernel import CODES_LOWER, U64, mix, text_buffers, word_hashes, word_spans
+from meterflow.llm.kernel import CODES_LOWER, U64, mix, pieces, text_buffers, word_hashes, word_spans
 from meterflow.llm.language_id import held_out
 from meterflow.llm.quality import SAMPLE, labelled_sample
 from meterflow.llm.text_stats import byte_counts, per_text, share
@@ -85,7 +85,7 @@ class Words:
 
 def _terms(batches):
     """Distinct hashes of each labelled document, with a kind in place of a name."""
-    for b in batches:
+    for b in (piece for whole in batches for piece in pieces(whole)):
         x = Words(b.column("text"))
         label = np.asarray(b.column("label"))
         for i, (lo, hi) in enumerate(zip(x.w[:-1].tolist(), x.w[1:].tolist())):
@@ -116,7 +116,7 @@ def _features(lexicon: np.ndarray):
     you = np.sort(word_hashes(*text_buffers(pa.array([" ".join(SECOND_PERSON)])), IS_WORD, CODES_LOWER)[0])
 
     def run(batches):
-        for b in batches:
+        for b in (piece for whole in batches for piece in pieces(whole)):
             x = Words(b.column("text"))
             n = np.diff(x.w)
             full, start, plain = _in(x.full, lexicon), np.zeros(len(x.full), bool), _in(x.plain, lexicon) & (x.plain != 0)
