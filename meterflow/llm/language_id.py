@@ -21,7 +21,7 @@ from meterflow.llm.kernel import text_buffers
 RANKS = 400
 DOC_RANKS = 400
 #: Characters worked on at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _LETTERS: list[np.ndarray] = []
 
 
@@ -87,7 +87,7 @@ def _count_task(batches):
         parts: dict[str, list] = {}
         for lang, keys in zip(b.column("lang").to_pylist(), document_grams(*text_buffers(b.column("text")))):
             parts.setdefault(lang, []).append(keys)
-            if sum(map(len, parts[lang])) > 4 * BLOCK:
+            if sum(map(len, parts[lang])) > BLOCK // 2:
                 held[lang] = _add(held.get(lang), parts.pop(lang))
         for lang, p in parts.items():
             held[lang] = _add(held.get(lang), p)
