@@ -28,6 +28,8 @@ WINDOW = 10
 RAREST = 3
 #: Term tables of up to this many rows are broadcast (a few tens of MB); larger ones join by shuffle.
 BROADCAST_TERMS = 200_000
+#: Item tables with up to this many words or windows in all are broadcast.
+BROADCAST_ENTRIES = 1_000_000
 DELIMITER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 DELIMITER_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -48,6 +50,12 @@ def _small(terms: DataFrame) -> tuple[DataFrame, bool]:
     return (F.broadcast(t) if fits else t), fits
 
 
+def _fitting(table: DataFrame, size: Column) -> DataFrame:
+    """A benchmark-sized table, marked for broadcast where its counted entries allow."""
+    t = cut(table)
+    return F.broadcast(t) if (t.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_ENTRIES else t
+
+
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
     """Distinct item texts as exact words ``iw`` with key ``k`` and the ``ids`` (strings) that have them.
 
@@ -93,7 +101,7 @@ def phrase_candidates(postings: DataFrame, sel: DataFrame) -> DataFrame:
            .groupBy("rid", "k", "diag").agg(F.collect_set("off").alias("got")))
     needs = (sel.groupBy("k", "s").agg(F.collect_set("off").alias("req"))
              .groupBy("k").agg(F.collect_list(F.struct("s", "req")).alias("wins"), F.min(F.size("req")).alias("few")))
-    found = met.join(needs, "k").where("size(got) >= few").withColumn("starts", F.expr(
+    found = met.join(_fitting(needs, F.size("wins")), "k").where("size(got) >= few").withColumn("starts", F.expr(
         "transform(filter(wins, w -> diag + w.s >= 0 AND size(array_except(w.req, got)) = 0), w -> w.s)"))
     return found.where("size(starts) > 0").select("rid", "k", "diag", "starts")
 
@@ -117,30 +125,35 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, span: int = 50, win
             .select("doc_id", "item_id").distinct())
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.struct("*").alias("row"))
+def _rows(docs: DataFrame, whole: bool = False) -> DataFrame:
+    """``doc_id``, ``text`` and a join key for every row; with ``whole``, also the input row as the struct ``row``."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                    *([F.struct("*").alias("row")] if whole else []))
     return d.withColumn("rid", F.coalesce("doc_id", F.xxhash64("text")))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rarest: int = RAREST) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rarest: int = RAREST, whole: bool = False) -> DataFrame:
     """Words of each document that lie in an occurrence of a benchmark window.
 
     Returns, for every row of ``docs`` (``doc_id``, ``text``; other columns
     are ignored), ``doc_id``, ``n_words``, ``n_hit``, ``n_items``,
-    ``items_sha256``, ``contaminated``, the sorted ``items`` and the whole
-    input row as the struct ``row``.  A null or
+    ``items_sha256``, ``contaminated`` and the sorted ``items``; with
+    ``whole``, also the input row as the struct ``row``.  A null or
     empty text has no words.  Repeated rows and rows with a null ``doc_id``
     are each judged by their own text.  Empty tables give no hits or no rows.
     """
-    docs, items = _rows(docs), cut(benchmark_items(benchmark))
+    docs, items = _rows(docs, whole), cut(benchmark_items(benchmark))
     sel = cut(rarest_terms(docs, items, window, rarest))
     found = phrase_candidates(write_postings(docs, sel), sel)
-    per = (found.join(items, "k").groupBy("rid").agg(F.collect_list(F.struct("diag", "starts", "iw", "ids")).alias("c")))
+    per = (found.join(_fitting(items, F.size("iw")), "k").groupBy("rid").agg(F.collect_list(F.struct("diag", "starts", "iw", "ids")).alias("c")))
     size = f"least({int(window)}, size(x.iw))"
-    exact = F.split(_ascii_lower(F.col("text")), DELIMITER)
+    kept = ["row"] if whole else []
+    docs = docs.select("rid", "doc_id", "row") if whole else docs.select("rid", "doc_id", "text")  # the text is shuffled once
+    text = F.col("row.text").cast("string") if whole else F.col("text")
+    exact = F.split(_ascii_lower(text), DELIMITER)
     # one-element arrays bind a value once for the lambda inside
     out = docs.join(per, "rid", "left").select(
-        "doc_id", "row", F.split("text", DELIMITER_ANY_CASE).alias("raw"),
+        "doc_id", *kept, F.split(text, DELIMITER_ANY_CASE).alias("raw"),
         F.when(F.col("c").isNotNull(), F.array(F.struct(exact.alias("w"), F.col("c").alias("c")))).alias("z"))
     out = out.withColumn("v", F.expr(f"""transform(z, z -> filter(transform(z.c, x -> named_struct('ids', x.ids, 'diag', x.diag, 'len', {size},
         'ok', filter(x.starts, s -> slice(z.w, x.diag + s + 1, {size}) = slice(x.iw, s + 1, {size})))), y -> size(y.ok) > 0))"""))
@@ -148,22 +161,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, r
         'hit', size(array_distinct(flatten(transform(v, y -> flatten(transform(y.ok, s -> sequence(y.diag + s, y.diag + s + y.len - 1))))))),
         'items', array_sort(array_distinct(flatten(transform(v, y -> y.ids))))))[0]"""))
     n = "size(raw) - IF(raw[0] = '', 1, 0) - IF(size(raw) > 1 AND raw[size(raw) - 1] = '', 1, 0)"
-    out = out.select("doc_id", "row", F.expr(f"CASE WHEN raw IS NULL THEN 0 ELSE {n} END").cast("long").alias("n_words"),
+    out = out.select("doc_id", *kept, F.expr(f"CASE WHEN raw IS NULL THEN 0 ELSE {n} END").cast("long").alias("n_words"),
                      F.coalesce(F.col("r.hit"), F.lit(0)).cast("long").alias("n_hit"),
                      F.coalesce(F.col("r.items"), F.array().cast("array<string>")).alias("items"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                      F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "items", "row")
+                      F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "items", *kept)
 
 
 def stage_decontaminate(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents with a benchmark window go, all others stay as they are."""
-    judged = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    judged = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), whole=True)
     return judged.where("NOT contaminated").select("row.*")
 
 
 def op10_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("items", "row")
+    return contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("items")
 
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"

@@ -37,7 +37,7 @@ ANCHOR = 20
 #: Contexts of one anchor that a single task resolves; beyond it, step 4.
 HOT_CONTEXTS = 20_000
 #: Contexts that one task of step 3 holds on average.
-TASK_CONTEXTS = 30_000
+TASK_CONTEXTS = 12_000
 
 
 def _contexts(length: int):
@@ -344,8 +344,10 @@ def _source(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, named.join(ids, "doc_id", "left_anti").unionByName(twice.where("text = t2").select("doc_id", "text"))
 
 
-def _with_spans(docs: DataFrame, length: int) -> DataFrame:
+def _with_spans(docs: DataFrame, length: int, keep: str) -> DataFrame:
+    """Every row's ``doc_id``, its ``text`` or whole ``row`` (which holds the text), and its spans."""
     rows, use = _source(docs)
+    rows = rows.select("doc_id", keep)  # the text is shuffled once
     spans = settle(repeats(use, length), "spans")
     per = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
     return rows.join(per.withColumnRenamed("doc", "doc_id"), "doc_id", "left")
@@ -362,7 +364,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ``docs`` are ignored; an empty table gives an empty result.
     """
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    return _with_spans(docs, length).select("doc_id", "text", "spans").mapInArrow(
+    return _with_spans(docs, length, "text").select("doc_id", "text", "spans").mapInArrow(
         _apply(names, False), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -372,7 +374,7 @@ def stage_suffix_dedup(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     Characters cut by a stretch's edge stay whole.  Documents of which only
     white space is left go.
     """
-    kind = _with_spans(docs, LENGTH).select("row", "text", "spans")
+    kind = _with_spans(docs, LENGTH, "row").select("row", F.col("row.text").cast("string").alias("text"), "spans")
     schema = StructType([kind.schema["row"], StructField("kept", StringType()), StructField("removed", LongType())])
     out = kind.mapInArrow(_apply(["row", "kept", "removed"], True), schema)
     out = out.where("removed = 0 OR trim(kept) <> ''")
