@@ -16,6 +16,7 @@ link when ``100 * |A n B| >= percent * |A u B|``.
 
 from __future__ import annotations
 
+import string
 import zlib
 from hashlib import blake2b
 from math import isqrt
@@ -26,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark import TaskContext
 
-from meterflow.llm.components import connected_components, cut
-from meterflow.llm.kernel import shingle_sets, text_buffers
+from meterflow.llm.components import connected_components, cut, settle
+from meterflow.llm.kernel import pieces, shingle_sets, text_buffers
 
 #: log2 of the sketch's counters (2**20 counters of 4 bytes: 4 MB, whatever the corpus).
 SKETCH_BITS = 20
@@ -44,7 +45,7 @@ def _scan(width: int):
     """One pass: set size and fingerprint of each row, and the task's sketch."""
     def run(batches):
         total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-        for b in batches:
+        for b in (piece for whole in batches for piece in pieces(whole)):
             n, fp = [], []
             for s in _sizes(b, width):
                 n.append(len(s))
@@ -75,7 +76,7 @@ def _add_counts(key, t):
 def _sketch(scan: DataFrame) -> bytes:
     """Sum the tasks' sketches in two levels; 4 MB reach the driver, at any input size."""
     parts = scan.where("chunk IS NOT NULL").select("chunk", "part", "counts")
-    level = max(1, isqrt(scan.rdd.getNumPartitions()))
+    level = max(1, isqrt(1 + (parts.agg(F.max("part")).first()[0] or 0)))
     summed = parts.groupBy("chunk", F.expr(f"part % {level}")).applyInArrow(
         _add_counts, "chunk int, counts binary")
     summed = summed.groupBy("chunk").applyInArrow(_add_counts, "chunk int, counts binary")
@@ -91,7 +92,7 @@ def _prefixes(width: int, percent: int, sketch):
     """Rare-first prefix, length of its indexing part, and bin counts of each set."""
     def run(batches):
         counts = np.frombuffer(sketch.value, dtype=np.uint32)
-        for b in batches:
+        for b in (piece for whole in batches for piece in pieces(whole)):
             n, pre, idx, bins = [], [], [], []
             for s in _sizes(b, width):
                 k = len(s)
@@ -114,7 +115,7 @@ def _prefixes(width: int, percent: int, sketch):
 
 def _verify(width: int, percent: int):
     def run(batches):
-        for b in batches:
+        for b in (piece for whole in batches for half in pieces(whole, "ta") for piece in pieces(half, "tb")):
             ok = []
             for x, y in zip(shingle_sets(*text_buffers(b.column("ta")), width), shingle_sets(*text_buffers(b.column("tb")), width)):
                 both = np.concatenate((x, y))
@@ -143,12 +144,13 @@ def _link(pairs: DataFrame, info: DataFrame, docs: DataFrame, width: int, percen
     p = (pairs.distinct().join(bins.toDF("a", "na", "ba"), "a").join(bins.toDF("b", "nb", "bb"), "b")
          .where(f"aggregate(zip_with(ba, bb, (x, y) -> least(x, y)), 0, (s, x) -> s + x) >= {_least_overlap('na', 'nb', percent)}"
                 " OR greatest(na, nb) > 65535").select("a", "b"))
-    p = cut(p.distinct())
+    p = settle(p.distinct(), "pairs")
     need = p.select("a").union(p.select("b")).toDF("doc_id").distinct()
-    texts = docs.join(need, "doc_id", "left_semi").distinct()
-    side = p.join(texts.toDF("a", "ta"), "a")
-    both = side.join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
-    return cut(both.mapInArrow(_verify(width, percent), "a long, b long").distinct())
+    # one plan at every size: small inputs are not broadcast either
+    texts = docs.join(need.hint("merge"), "doc_id", "left_semi").distinct()
+    side = p.join(texts.toDF("a", "ta").hint("merge"), "a")
+    both = side.join(texts.toDF("b", "tb").hint("merge"), "b").select("a", "b", "ta", "tb")
+    return settle(both.mapInArrow(_verify(width, percent), "a long, b long").distinct(), "links")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -162,7 +164,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scan = cut(docs.mapInArrow(_scan(width), "doc_id long, n long, fp binary, chunk int, part int, counts binary"))
+    scan = settle(docs.mapInArrow(_scan(width), "doc_id long, n long, fp binary, chunk int, part int, counts binary"), "sets")
     rows = scan.where("chunk IS NULL").select("doc_id", "n", "fp")
     classes = rows.where("fp IS NOT NULL AND doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep"))
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
@@ -170,13 +172,14 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     sketch = spark.sparkContext.broadcast(_sketch(scan))
     info = docs.where("doc_id IS NOT NULL").mapInArrow(
         _prefixes(width, percent, sketch), "doc_id long, n long, prefix array<long>, idx long, bins array<int>")
-    info = cut(info.where("n > 0").join(reps, "doc_id", "left_semi").distinct())
+    info = settle(info.where("n > 0").join(reps, "doc_id", "left_semi").distinct(), "prefixes")
 
     post = info.select("doc_id", "n", "idx", F.posexplode("prefix").alias("pos", "gram"))
     # the pivot of a prefix shingle is the member that has it earliest
     pivot = (post.groupBy("gram").agg(F.min(F.struct("pos", "n", "idx", "doc_id")).alias("pv"), F.count("*").alias("c"))
              .where("c > 1").drop("c"))
-    shared = cut(post.join(pivot, "gram"))
+    pivot = settle(pivot, "pivots")  # a table of its own, so that the join can split hot shingles
+    shared = settle(post.join(pivot.hint("merge"), "gram"), "shared-grams")
     ends = shared.withColumn("me", F.struct("pos", "n", "idx", "doc_id")).where("doc_id <> pv.doc_id")
     first = "(pv.n < me.n OR (pv.n = me.n AND pv.doc_id < me.doc_id))"
     star = (ends.select(F.expr(f"IF({first}, pv, me)").alias("x"), F.expr(f"IF({first}, me, pv)").alias("y"))
@@ -214,8 +217,27 @@ def stage_jaccard(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     comp = jaccard_components(docs, 5, 80)
     kept = comp.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    named = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    return named.unionByName(docs.where("doc_id IS NULL"))
 
 
 def op1_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), 3, 90)
+
+
+ORACLE_OP1 = f"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, hash(CASE WHEN len(w) >= 3 THEN array_to_string(w[i:i + 2], ' ') ELSE array_to_string(w, ' ') END) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, c) AS (SELECT doc_id, doc_id FROM w UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id),
+m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM w JOIN m USING (doc_id) LEFT JOIN n USING (doc_id)
+"""

@@ -208,3 +208,16 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, slack: float = SLAC
 
 def op7_embedding_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLE_OP7 = """
+WITH RECURSIVE v AS MATERIALIZED (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0),
+p AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r(vec_id, c) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT p.b, r.c FROM r JOIN p ON p.a = r.vec_id),
+m AS (SELECT vec_id, min(c) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n FROM p GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN m USING (vec_id) LEFT JOIN n USING (vec_id)
+"""

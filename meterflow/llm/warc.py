@@ -131,7 +131,8 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     typed = p.join(first, ["sha", "n"]).select(
         "page_id", "url", "html", F.expr(f"CASE WHEN n >= {int(least_bytes)} AND page_id <> lead THEN lead END").alias("first"))
     (typed.mapInArrow(_members, "member binary").select(F.col("member").cast("string").alias("value"))
-     .write.option("encoding", "ISO-8859-1").option("lineSep", SEPARATOR.decode("latin-1")).text(path))
+     .write.option("maxRecordsPerFile", 0)  # one file for each task, as the offsets say
+     .option("encoding", "ISO-8859-1").option("lineSep", SEPARATOR.decode("latin-1")).text(path))
 
 
 def read_archives(spark, path: str) -> DataFrame:
@@ -216,3 +217,17 @@ def op8_warc(spark, sf_dir: str) -> DataFrame:
     write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
     index = merged_index(read_archives(spark, path))
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# base32 of the hexadecimal SHA-1: five hexadecimal digits are four letters
+ORACLE_OP8 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS lead
+  FROM pages)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(x, 5 * (i // 4) + 1, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31), 1) FOR i IN range(32)], '') AS payload_digest,
+  CASE WHEN page_id = lead THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> lead THEN lead END AS refers_to
+FROM p
+"""

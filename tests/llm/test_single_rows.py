@@ -119,7 +119,7 @@ def test_toxicity_planted_words(spark, prose, odd_docs, no_docs):
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('/root/testdata/sf0.001/{t}.parquet')")
     df = registry.QUERIES[name](spark, "/root/testdata/sf0.001")
     cur = con.execute(registry.ORACLE[name])
@@ -143,6 +143,19 @@ def test_mixing_meets_marginals_and_odd_rows(spark, odd_docs, no_docs):
     assert stage.columns == [*odd_docs.columns, "mix_topic", "mix_tokens", "mix_probability"] and stage.count() <= len(odd)
 
 
+def test_word_counts_and_forms():
+    texts = ["a b  c", None, "", " \n", "x|y", "hi!! 1", "hi! !", "no 7", "é", "!", "!"]
+    data, off = kernel.text_buffers(pa.array(texts))
+    old = kernel.BLOCK
+    try:
+        for block in (2, 5, old):
+            kernel.BLOCK = block
+            assert kernel.word_counts(data, off).tolist() == [len((t or "").split()) for t in texts]
+    finally:
+        kernel.BLOCK = old
+    assert mixing._forms(data, off) == ["prose"] * 4 + ["table", "shout", "prose", "figures"] + ["prose"] * 3
+
+
 def test_warc_round_trip(spark):
     r = random.Random(3)
     rows = [(i if i % 37 else None, r.choice([None, "http://www.a.de/x?y=1", "https://b.org/é z\r\n", "bad[://", ""]),
