@@ -128,6 +128,16 @@ def word_hashes(data, off, is_word=NOT_SPACE, codes=CODES_LOWER) -> tuple[np.nda
     return h, np.searchsorted(st, off)
 
 
+def word_counts(data, off, is_word=NOT_SPACE) -> np.ndarray:
+    """Number of words of each text."""
+    n = np.zeros(len(off) - 1, np.int64)
+    for lo, hi in _blocks(data, off, is_word):
+        s, _ = word_spans(data, off, is_word, lo, hi)
+        text, count = np.unique(np.searchsorted(off, s + lo, side="right") - 1, return_counts=True)
+        n[text] += count
+    return n
+
+
 def shingle_sets(data, off, width: int):
     """Yield, for each text, the sorted distinct hashes of its word shingles.
 

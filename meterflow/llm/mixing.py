@@ -10,10 +10,15 @@ repeated or resumed run draws the same ones.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from meterflow.llm.components import cut, settle
+from meterflow.llm.kernel import text_buffers, word_counts
+from meterflow.llm.text_stats import _is, byte_counts
 
 #: Raking rounds over the three marginals, and rounds of the calibration.
 ROUNDS, CALIBRATION_ROUNDS = 10, 8
@@ -23,28 +28,45 @@ BUDGET = 0.5
 TEMPER = {"source": 0.5, "lang": 0.3, "topic": 0.8}
 #: Cell tables of at most so many rows (some MB) are raked in one task and broadcast to the documents.
 SMALL_CELLS = 200_000
-SPACE = r"[ \t\n\x0B\f\r]+"
+_MARKS = {"bar": _is("|"), "digit": _is((48, 57))}
 
 
-def n_tokens() -> Column:
-    """White-space separated words of the whole text; 0 for null."""
-    w = F.split(F.col("text").cast("string"), SPACE)
-    n = F.size(w) - (F.get(w, F.lit(0)) == "").cast("int") - ((F.size(w) > 1) & (F.element_at(w, -1) == "")).cast("int")
-    return F.when(F.col("text").isNull(), F.lit(0)).otherwise(n).cast("long")
+def _forms(data: np.ndarray, off: np.ndarray) -> list[str]:
+    """The form of each text: table (a bar), shout (two exclamation marks in a row), figures (a digit) or prose."""
+    c = byte_counts(data, off, _MARKS)
+    twice = np.flatnonzero((data[1:] == 33) & (data[:-1] == 33)) + 1
+    twice = twice[~np.isin(twice, off)]  # the two lie in one text
+    loud = np.zeros(len(off) - 1, bool)
+    loud[np.searchsorted(off, twice, side="right") - 1] = True
+    return np.select([c["bar"] > 0, loud, c["digit"] > 0], ["table", "shout", "figures"], "prose").tolist()
 
 
-def topic() -> Column:
-    """The documents carry no topic; by default the form of the text stands for it."""
-    t = F.col("text").cast("string")
-    return (F.when(t.contains("|"), "table").when(t.contains("!!"), "shout").when(t.rlike("[0-9]"), "figures").otherwise("prose"))
+def _count(names: list[str]):
+    def run(batches):
+        for b in (x for x in batches if len(x)):
+            text = b.column("row").field(b.schema.field("row").type.get_field_index("text")) if "row" in names else b.column("text")
+            data, off = text_buffers(text)
+            topic = b.column("topic") if "topic" in b.schema.names else pa.array(_forms(data, off), pa.string())
+            own = {"n_tokens": pa.array(word_counts(data, off)), "topic": topic}
+            yield pa.RecordBatch.from_arrays([own[c] if c in own else b.column(c) for c in names], names)
+    return run
 
 
-def token_counts(docs: DataFrame, topic_of: Column | None = None) -> DataFrame:
-    """``doc_id``, the cell columns (``source`` and ``lang`` with '' for null, ``topic``), ``n_tokens`` and the whole ``row``."""
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
-        F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
-        F.coalesce(topic_of if topic_of is not None else topic(), F.lit("")).alias("topic"), n_tokens().alias("n_tokens"), F.struct("*").alias("row"))
+def token_counts(docs: DataFrame, topic_of: Column | None = None, whole: bool = False) -> DataFrame:
+    """``doc_id``, the cell columns (``source`` and ``lang`` with '' for null, ``topic``) and ``n_tokens``.
+
+    Tokens are white-space separated words of the whole text.  The documents
+    carry no topic: without ``topic_of`` the form of the text stands for it.
+    With ``whole``, the input row comes along as the struct ``row``.
+    """
+    d = docs.withColumn("text", F.col("text").cast("string"))
+    d = d.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
+                 F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
+                 *([] if topic_of is None else [F.coalesce(topic_of.cast("string"), F.lit("")).alias("topic")]),
+                 F.struct("*").alias("row") if whole else F.col("text"))
+    fields = {f.name: f for f in d.schema} | {"topic": StructField("topic", StringType()), "n_tokens": StructField("n_tokens", LongType())}
+    names = ["doc_id", "source", "lang", "topic", "n_tokens", *(["row"] if whole else [])]
+    return d.mapInArrow(_count(names), StructType([fields[c] for c in names]))
 
 
 def tempered(cells: DataFrame, column: str, power: float) -> DataFrame:
@@ -96,7 +118,8 @@ def draw(doc_id: str = "doc_id") -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":mix"))), 1, 13), 16, 10).cast("double") / float(16 ** 13)
 
 
-def sampling(docs: DataFrame, budget: float = BUDGET, temper: dict[str, float] | None = None, targets: dict[str, DataFrame] | None = None) -> DataFrame:
+def sampling(docs: DataFrame, budget: float = BUDGET, temper: dict[str, float] | None = None, targets: dict[str, DataFrame] | None = None,
+             topic_of: Column | None = None, whole: bool = False) -> DataFrame:
     """The columns of :func:`token_counts` with ``probability`` and ``sampled`` for every row.
 
     ``targets`` may name a table (value, ``share``) for ``source``, ``lang``
@@ -105,7 +128,9 @@ def sampling(docs: DataFrame, budget: float = BUDGET, temper: dict[str, float] |
     repeated rows are drawn together.  An empty table gives an empty result.
     """
     names = ["source", "lang", "topic"]
-    rows = token_counts(docs)
+    rows = token_counts(docs, topic_of, whole)
+    if not whole:
+        rows = settle(rows, "tokens")  # a few bytes for each document: the texts are read once
     cells = cut(rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")))
     goals = {}
     for c in names:
@@ -123,7 +148,7 @@ def sampling(docs: DataFrame, budget: float = BUDGET, temper: dict[str, float] |
 def stage_mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Last pipeline stage: the drawn documents with ``mix_topic``, ``mix_tokens`` and ``mix_probability``."""
     added = {"mix_topic": "topic", "mix_tokens": "n_tokens", "mix_probability": "probability"}
-    out = sampling(docs).where("sampled")
+    out = sampling(docs, whole=True).where("sampled")
     return out.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in added), *(F.col(c).alias(n) for n, c in added.items()))
 
 
