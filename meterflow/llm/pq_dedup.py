@@ -4,7 +4,9 @@
 2. A coarse quantiser (inverted lists) and residual subspace codes are fitted
    on a bounded sample; every class is then indexed.
 3. A query probes the lists whose cells a near vector may lie in: those whose
-   border with its own cell is closer than a slack.
+   border with its own cell is no farther than the threshold's distance.  No
+   vector beyond such a border is near, so probing loses nothing.  Two lists
+   meet once, from the lower one, and a query is sent once for many lists.
 4. In a list, table lookups give the distance to every coded vector.  A coded
    vector is off by its known coding error at most, so what lies beyond the
    threshold plus that error is ruled out without loss.
@@ -14,6 +16,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,10 +31,8 @@ SAMPLE = 20_000
 PER_LIST, MAX_LISTS = 256, 1024
 #: Dimensions of a subspace and centroids in each.
 SUB_DIMS, SUB_CENTROIDS = 4, 256
-#: Slack of the probes, in standard deviations of a random near vector's offset across a cell border.
-SLACK = 2.0
-#: Vectors of a list, and queries, that one task group holds on average.
-INDEX_BLOCK, QUERY_BLOCK = 2048, 4096
+#: Vectors of a group of lists, and queries, that one task group holds on average.
+INDEX_BLOCK, QUERY_BLOCK = 8192, 8192
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int, seed: int) -> np.ndarray:
@@ -69,24 +71,24 @@ class Quantiser:
             rest[:, s] -= b[code[:, i]]
         return a, code, np.sqrt((rest * rest).sum(1))
 
-    def probes(self, x: np.ndarray, slack: float) -> np.ndarray:
-        """Which lists each unit vector probes."""
+    def probes(self, x: np.ndarray, reach: float) -> np.ndarray:
+        """Which lists each unit vector probes: all that hold a vector within ``reach``, whatever the data's shape."""
         c = self.coarse
         d = 1 - 2 * x @ c.T + (c * c).sum(1)
         own = d.argmin(1)
         gap = np.sqrt(np.maximum((c * c).sum(1)[:, None] - 2 * c @ c.T + (c * c).sum(1), 1e-12))
         border = (d - d.min(1)[:, None]) / (2 * gap[own])
         border[np.arange(len(x)), own] = 0
-        return border <= slack
+        return border <= reach
 
     def lookup(self, q: np.ndarray, which: int, code: np.ndarray) -> np.ndarray:
-        """Squared distances of queries to coded vectors of one list, by table lookups."""
+        """Squared distances of coded vectors of one list (rows) to queries (columns), by table lookups."""
         rest = q - self.coarse[which]
-        out = np.zeros((len(q), len(code)))
+        out = np.zeros((len(code), len(q)), np.float32)
         for i, (s, b) in enumerate(zip(self.cuts, self.books)):
             r = rest[:, s]
-            table = (r * r).sum(1)[:, None] - 2 * r @ b.T + (b * b).sum(1)
-            out += table[:, code[:, i]]
+            table = (b * b).sum(1)[:, None] - 2 * b @ r.T + (r * r).sum(1)
+            out += np.take(table.astype(np.float32), code[:, i], axis=0)
         return out
 
 
@@ -95,7 +97,7 @@ def _matrix(col, dim: int) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
-def _index(shared, dim: int, slack: float):
+def _index(shared, dim: int, reach: float):
     def run(batches):
         z = shared.value
         for b in batches:
@@ -103,7 +105,7 @@ def _index(shared, dim: int, slack: float):
                 continue
             x = _matrix(b.column("v"), dim)
             a, code, err = z.encode(x)
-            p = z.probes(x, slack)
+            p = z.probes(x, reach) & (np.arange(len(z.coarse)) >= a[:, None])
             lists = pa.ListArray.from_arrays(np.concatenate(([0], np.cumsum(p.sum(1)))).astype(np.int32), np.nonzero(p)[1].astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [b.column("cid"), b.column("m"), b.column("v"), pa.array(a.astype(np.int32)), pa.array([c.tobytes() for c in code], pa.binary()),
@@ -113,90 +115,111 @@ def _index(shared, dim: int, slack: float):
 
 def _search(shared, dim: int, cosine: float):
     def run(q, i):
-        none = pa.table({"cid": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
         if not q.num_rows or not i.num_rows:
-            return none
-        z, which = shared.value, q.column("list")[0].as_py()
+            return pa.table({"cid": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
+        z = shared.value
         xq, xi = _matrix(q.column("v"), dim), _matrix(i.column("v"), dim)
         iq, ii = np.asarray(q.column("cid")), np.asarray(i.column("cid"))
+        mq, mi = np.asarray(q.column("m")), np.asarray(i.column("m"))
+        own, held = np.asarray(q.column("list")), np.asarray(i.column("list"))
+        asked = q.column("lists").combine_chunks()
+        asker, target = np.repeat(np.arange(len(iq)), np.diff(np.asarray(asked.offsets))), np.asarray(asked.flatten())
         code = np.frombuffer(b"".join(i.column("code").to_pylist()), np.uint8).reshape(len(ii), -1)
-        far = (np.sqrt(max(2 - 2 * cosine, 0)) + np.asarray(i.column("err")) + 1e-6) ** 2
-        a, b = [], []
-        for lo in range(0, len(iq), 512):
-            s, t = np.nonzero(z.lookup(xq[lo: lo + 512], which, code) <= far)
-            s += lo
-            for k in range(0, len(s), 200_000):  # exact cosine of the candidates
-                u, v = s[k: k + 200_000], t[k: k + 200_000]
-                ok = ((xq[u] * xi[v]).sum(1) >= cosine) & (iq[u] != ii[v])
-                a.append(u[ok])
-                b.append(v[ok])
-        a, b = np.concatenate(a), np.concatenate(b)
-        if not len(a):
-            return none
-        n = np.zeros(len(iq), np.int64)
-        np.add.at(n, a, np.asarray(i.column("m"))[b])
-        ids, node = np.unique(np.concatenate((iq[a], ii[b])), return_inverse=True)
-        x, y = node[: len(a)], node[len(a):]
+        far = (np.sqrt(max(2 - 2 * cosine, 0)) + np.asarray(i.column("err")) + 1e-6) ** 2 + 1e-4  # tables are rounded to 32 bits
+        nq, ni = np.zeros(len(iq), np.int64), np.zeros(len(ii), np.int64)
+        ids, node = np.unique(np.concatenate((iq, ii)), return_inverse=True)
         root = np.arange(len(ids))  # smallest id of each part of the group
-        while True:
-            low = root.copy()
-            np.minimum.at(low, x, root[y])
-            np.minimum.at(low, y, root[x])
-            low = low[low]
-            if (low == root).all():
-                break
-            root = low
-        hit = np.flatnonzero(n)
-        return pa.table({"cid": pa.array(np.concatenate((iq[hit], ids))), "n": pa.array(np.concatenate((n[hit], np.zeros(len(ids), np.int64)))),
-                         "root": pa.array(np.concatenate((iq[hit], ids[root])))})
+        for which in np.unique(held):
+            at, ask = np.flatnonzero(held == which), asker[target == which]
+            for lo in range(0, len(ask), 512):
+                some = ask[lo: lo + 512]
+                t, s = np.nonzero(z.lookup(xq[some], which, code[at]) <= far[at, None])
+                for k in range(0, len(s), 200_000):  # exact cosine of the candidates
+                    u, v = some[s[k: k + 200_000]], at[t[k: k + 200_000]]
+                    ok = ((xq[u] * xi[v]).sum(1) >= cosine) & (iq[u] != ii[v])
+                    u, v = u[ok], v[ok]
+                    np.add.at(nq, u, mi[v])
+                    once = own[u] != which  # inside a list, each end asks for the other
+                    np.add.at(ni, v[once], mq[u[once]])
+                    root = _joined(root, root[node[u]], root[node[len(iq) + v]])
+        hits = [(iq[nq > 0], nq[nq > 0]), (ii[ni > 0], ni[ni > 0])]
+        far_end = np.flatnonzero(root != np.arange(len(ids)))
+        cid = np.concatenate([h[0] for h in hits] + [ids[far_end]])
+        n = np.concatenate([h[1] for h in hits] + [np.zeros(len(far_end), np.int64)])
+        return pa.table({"cid": pa.array(cid), "n": pa.array(n), "root": pa.array(np.concatenate([h[0] for h in hits] + [ids[root[far_end]]]))})
     return run
 
 
+def _joined(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Smallest node of each part after its parts ``x`` and ``y`` are joined."""
+    if not len(x):
+        return root
+    part = np.arange(len(root))
+    while True:
+        low = part.copy()
+        np.minimum.at(low, x, part[y])
+        np.minimum.at(low, y, part[x])
+        low = low[low]
+        if (low == part).all():
+            return part[root]
+        part = low
+
+
 def usable() -> str:
     """SQL condition for a vector that can link: no null or non-finite part, not zero."""
     return ("vec_id IS NOT NULL AND v IS NOT NULL AND size(v) > 0 AND forall(v, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity'))"
             " AND exists(v, x -> x <> 0)")
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.9, slack: float = SLACK) -> DataFrame:
+def _found(classes: DataFrame, dim: int, cosine: float) -> DataFrame:
+    """Link counts and spanning forest (``cid``, ``n``, ``root``) of the classes, all of length ``dim``."""
+    n = classes.count()
+    sample = classes.orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE).select("v").toArrow().column("v")
+    z = classes.sparkSession.sparkContext.broadcast(Quantiser(_matrix(sample, dim), int(min(max(n // PER_LIST, 1), MAX_LISTS))))
+    reach = np.sqrt(max(2 - 2 * cosine, 0)) + 1e-6
+    index = settle(classes.mapInArrow(_index(z, dim, float(reach)),
+                                      "cid long, m long, v array<double>, list int, code binary, err double, probes array<int>"), "pq-index")
+    groups, held_by = [0] * len(z.value.coarse), 0  # lists in a row share a group; a long list is one of its own
+    for r in sorted(index.groupBy("list").count().collect()):  # a row for each list, MAX_LISTS at most
+        same = held_by + r["count"] <= INDEX_BLOCK
+        groups[r["list"]] = g = max(groups) + (not same)
+        held_by = r["count"] + (held_by if same else 0)
+    group_of = F.array(*(F.lit(g) for g in groups))
+    index = index.withColumn("group", group_of[F.col("list")])
+    asked = (index.withColumn("at", F.transform("probes", lambda j: group_of[j]))
+             .select("cid", "m", "v", "list", "probes", "at", F.explode(F.array_distinct("at")).alias("group")))
+    size = index.groupBy("group").agg(F.ceil(F.count("*") / INDEX_BLOCK).cast("int").alias("nb"))
+    load = asked.groupBy("group").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("nq"))
+    plan = F.broadcast(cut(size.join(load, "group")))
+    lists = F.filter("probes", lambda j, k: F.col("at")[k] == F.col("group")).alias("lists")
+    asked = (asked.join(plan, "group").select("cid", "m", "v", "list", lists, "group", F.expr("pmod(xxhash64(cid), nq)").alias("qb"),
+                                              F.explode(F.expr("sequence(0L, nb - 1L)")).alias("b")))
+    held = (index.join(plan, "group").select("cid", "m", "v", "code", "err", "list", "group", F.explode(F.expr("sequence(0L, nq - 1L)")).alias("qb"),
+                                             F.expr("pmod(xxhash64(cid), nb)").alias("b")))
+    key = ["group", "qb", "b"]
+    held = held.select("cid", "m", "v", "code", "err", "list", *key).toDF("cid", "m", "v", "code", "err", "list", *(f"i_{k}" for k in key))
+    return settle(asked.groupBy(*key).cogroup(held.groupBy(*(f"i_{k}" for k in key))).applyInArrow(_search(z, dim, cosine), "cid long, n long, root long"), "pq-links")
+
+
+def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     """Links, component and keeper of every row of ``vectors`` (``vec_id``, ``embedding``).
 
     Returns ``vec_id``, ``n_links``, ``component_id``, ``kept``.  Vectors that
     are null, empty, zero, or hold null or non-finite parts link with nothing,
-    nor do rows with a null id (null component, not kept) and vectors of
-    another than the most frequent length.  Rows that repeat an
+    nor do rows with a null id (null component, not kept).  Vectors link with
+    those of their own length; each length is indexed and searched on its own.
+    Rows that repeat an
     id and its vector count as vectors of their own; different vectors of one
     id share their links.  Other columns are ignored; an empty table gives an
     empty result.
     """
-    spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     rows = rows.withColumn("ok", F.expr(usable()))
-    dims = rows.where("ok").groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if dims is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    dim = dims["d"]
-    rows = rows.withColumn("ok", F.col("ok") & (F.size("v") == dim))
     classes = cut(rows.where("ok").groupBy("v").agg(F.min("vec_id").alias("cid"), F.count("*").alias("m")))
-    n = classes.count()
-    sample = classes.orderBy(F.xxhash64("cid"), "cid").limit(SAMPLE).select("v").toArrow().column("v")
-    z = spark.sparkContext.broadcast(Quantiser(_matrix(sample, dim), int(min(max(n // PER_LIST, 1), MAX_LISTS))))
-    border = slack * np.sqrt(max(2 - 2 * cosine, 0)) / np.sqrt(dim)
-    index = settle(classes.mapInArrow(_index(z, dim, float(border)),
-                                      "cid long, m long, v array<double>, list int, code binary, err double, probes array<int>"), "pq-index")
-    asked = index.select("cid", "v", F.explode("probes").alias("list"))
-    size = index.groupBy("list").agg(F.ceil(F.count("*") / INDEX_BLOCK).cast("int").alias("nb"))
-    load = index.select(F.explode("probes").alias("list")).groupBy("list").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("nq"))
-    plan = F.broadcast(cut(size.join(load, "list")))  # a row for each list, MAX_LISTS at most
-    asked = (asked.join(plan, "list").withColumn("qb", F.expr("pmod(xxhash64(cid), nq)"))
-             .select("cid", "v", "list", "qb", F.explode(F.expr("sequence(0, nb - 1)")).alias("b")))
-    held = (index.join(plan, "list").withColumn("b", F.expr("pmod(xxhash64(cid), nb)"))
-            .select("cid", "m", "v", "code", "err", "list", "b", F.explode(F.expr("sequence(0, nq - 1)")).alias("qb")))
-    key = ["list", "qb", "b"]
-    key_of = [F.col("list"), F.col("qb").cast("long").alias("qb"), F.col("b").cast("long").alias("b")]
-    asked = asked.select("cid", "v", *key_of)
-    held = held.select("cid", "m", "v", "code", "err", *key_of).toDF("cid", "m", "v", "code", "err", *(f"i_{k}" for k in key))
-    found = settle(asked.groupBy(*key).cogroup(held.groupBy(*(f"i_{k}" for k in key))).applyInArrow(_search(z, dim, cosine), "cid long, n long, root long"), "pq-links")
+    dims = [r["d"] for r in classes.select(F.size("v").alias("d")).distinct().orderBy("d").collect()]
+    if not dims:
+        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
+    found = reduce(DataFrame.union, [_found(classes.where(F.size("v") == d), d, cosine) for d in dims])
     links = found.groupBy("cid").agg(F.sum("n").alias("n"))
     comp = connected_components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     known = (classes.join(links, "cid", "left").join(comp.toDF("cid", "component"), "cid", "left")

@@ -193,3 +193,17 @@ def test_vectors_match_brute_force(spark):
     assert sum(got[i][1] == comp[i] for i in ids) >= 0.99 * len(ids)
     assert all(got[i] == (0, i, True) for i in (600, 601, 602, 603, 606, 607, 608)) and got[None] == (0, None, False)
     assert pq_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_vectors_of_few_directions_match_brute_force(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(5000, 6)) @ rng.normal(size=(6, 64)) + rng.normal(size=(5000, 64)) * .02  # 19 lists near a subspace of 6 dimensions
+    short = rng.normal(size=(60, 3))  # another length is a group of its own
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(10_000 + i, v.tolist()) for i, v in enumerate(short)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = {r.vec_id: r.n_links for r in pq_dedup.near_duplicates(df).collect()}
+    for first, m in ((0, x), (10_000, short)):
+        u = m / np.linalg.norm(m, axis=1, keepdims=True)
+        link = u @ u.T >= 0.9
+        np.fill_diagonal(link, False)
+        assert link.sum() > 100 and [got[first + i] for i in range(len(m))] == link.sum(1).tolist()
