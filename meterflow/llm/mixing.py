@@ -22,6 +22,8 @@ from meterflow.llm.text_stats import _is, byte_counts
 
 #: Raking rounds over the three marginals, and rounds of the calibration.
 ROUNDS, CALIBRATION_ROUNDS = 10, 8
+#: Raking within caps: blocks of ``ROUNDS`` rounds at most, and the change of the marginals' share at which it stops.
+MOST_BLOCKS, STILL = 50, 1e-7
 #: Share of the corpus' tokens to draw.
 BUDGET = 0.5
 #: Targets: each marginal's token shares to this power, made to sum to 1.
@@ -95,6 +97,67 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     return settle(cells.drop(*(f"goal_{c}" for c in targets)), "raked")
 
 
+def _rake_task(names: list[str], reach: float, rounds: int):
+    def run(batches):
+        batches = [b for b in batches if len(b)]
+        if not batches:
+            return
+        t = pa.Table.from_batches(batches)
+        tokens, w, sides, gap = np.asarray(t.column("tokens"), np.float64), np.asarray(t.column("weight"), np.float64), [], None
+        for c in names:
+            code = np.asarray(t.column(c).combine_chunks().dictionary_encode().indices)
+            goal = np.zeros(code.max() + 1)
+            goal[code] = np.asarray(t.column(f"goal_{c}"))
+            sides.append((code, goal))
+        for k in range(MOST_BLOCKS * rounds):
+            for code, goal in sides:
+                now = np.bincount(code, w)
+                w = np.minimum(tokens, w * np.divide(goal, now, out=np.zeros_like(goal), where=now > 0)[code])
+            if k % rounds == rounds - 1:
+                last, gap = gap, sum(np.abs(np.bincount(code, w) - goal).sum() for code, goal in sides) / reach
+                if gap < STILL or last is not None and abs(last - gap) < STILL:
+                    break
+        t = t.set_column(t.schema.get_field_index("weight"), "weight", pa.array(w))
+        yield from t.combine_chunks().to_batches()
+    return run
+
+
+def rake_within(cells: DataFrame, targets: dict[str, DataFrame], budget: float, rounds: int = ROUNDS) -> DataFrame:
+    """Add ``weight`` to ``cells``: expected tokens that meet the targets and exceed no cell's tokens.
+
+    Goals are as in :func:`rake`, for ``budget`` of all tokens; a value with
+    fewer tokens than its goal gives all it has, and the others share the
+    rest.  A cell is capped within the rounds, so that what it can't give
+    goes to cells of the same values, until the marginals stop moving.
+    """
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    goals, size = {}, {}
+    for c, t in targets.items():
+        have = cells.where("tokens > 0").groupBy(c).agg(F.sum("tokens").alias("tokens"))
+        goals[c] = cut(have.join(t.where("share > 0").select(c, F.col("share").alias("weight")), c))
+        size[c] = goals[c].agg(F.sum("tokens")).first()[0] or 0
+    reach = min([budget * total, *size.values()])
+    if not reach:
+        return cells.withColumn("weight", F.lit(0.0))
+    for c, g in goals.items():
+        g = calibrate(g, reach / size[c], g.count() + 1)
+        cells = cells.join(g.select(c, (F.col("probability") * F.col("tokens")).alias(f"goal_{c}")), c, "left").fillna(0.0, [f"goal_{c}"])
+    cells = settle(cells.withColumn("weight", F.col("tokens") * F.lit(reach / total)), "cells")
+    if cells.limit(SMALL_CELLS + 1).count() <= SMALL_CELLS:  # the same rounds in one task
+        return settle(cells.coalesce(1).mapInArrow(_rake_task(list(targets), reach, rounds), cells.schema), "raked").drop(*(f"goal_{c}" for c in targets))
+    gap = None
+    for _ in range(MOST_BLOCKS):
+        for _ in range(rounds):
+            for c in targets:
+                now = F.sum("weight").over(Window.partitionBy(c))
+                cells = cells.withColumn("weight", F.when(now > 0, F.least(F.col("tokens").cast("double"), F.col("weight") * (F.col(f"goal_{c}") / now))).otherwise(0.0))
+        cells = settle(cells, "raked")
+        last, gap = gap, sum(cells.groupBy(c).agg(F.abs(F.sum("weight") - F.first(f"goal_{c}")).alias("g")).agg(F.sum("g")).first()[0] for c in targets) / reach
+        if gap < STILL or last is not None and abs(last - gap) < STILL:
+            break
+    return cells.drop(*(f"goal_{c}" for c in targets))
+
+
 def calibrate(cells: DataFrame, budget: float, rounds: int = CALIBRATION_ROUNDS) -> DataFrame:
     """Add ``probability`` to raked cells: ``weight / tokens`` scaled to the budget, 1 at most.
 
@@ -103,12 +166,13 @@ def calibrate(cells: DataFrame, budget: float, rounds: int = CALIBRATION_ROUNDS)
     """
     n = cells.agg(F.sum("tokens").alias("t"), F.sum("weight").alias("w")).first()
     want = budget * (n["t"] or 0)
-    scale = want / n["w"] if n["w"] else 0.0
+    scale, capped = want / n["w"] if n["w"] else 0.0, None
     for _ in range(rounds):
         full = F.lit(scale) * F.col("weight") >= F.col("tokens")
         m = cells.agg(F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("t"), F.sum(F.when(full, 0.0).otherwise(F.col("weight"))).alias("w")).first()
-        if not m["w"]:
+        if not m["w"] or m["t"] == capped:  # the capped cells stay the same
             break
+        capped = m["t"]
         scale = (want - m["t"]) / m["w"]
     return cells.withColumn("probability", F.expr(f"CASE WHEN tokens > 0 THEN least(1D, {scale!r}D * weight / tokens) ELSE 0D END"))
 
@@ -119,11 +183,12 @@ def draw(doc_id: str = "doc_id") -> Column:
 
 
 def sampling(docs: DataFrame, budget: float = BUDGET, temper: dict[str, float] | None = None, targets: dict[str, DataFrame] | None = None,
-             topic_of: Column | None = None, whole: bool = False) -> DataFrame:
+             topic_of: Column | None = None, whole: bool = False, within: bool = True) -> DataFrame:
     """The columns of :func:`token_counts` with ``probability`` and ``sampled`` for every row.
 
     ``targets`` may name a table (value, ``share``) for ``source``, ``lang``
-    or ``topic``; the others are tempered.  Null sources and languages count
+    or ``topic``; the others are tempered.  Without ``within``, cells are
+    capped after the raking only, which misses marginals.  Null sources and languages count
     as ''; null, empty and wordless texts have no tokens and are never drawn;
     repeated rows are drawn together.  An empty table gives an empty result.
     """
@@ -138,7 +203,7 @@ def sampling(docs: DataFrame, budget: float = BUDGET, temper: dict[str, float] |
             goals[c] = targets[c].select(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c), F.col("share").cast("double").alias("share"))
         else:
             goals[c] = tempered(cells, c, (temper or TEMPER)[c])
-    cells = cut(calibrate(rake(cells, goals), budget).select(*names, "probability"))
+    cells = cut(calibrate(rake_within(cells, goals, budget) if within else rake(cells, goals), budget).select(*names, "probability"))
     if cells.limit(SMALL_CELLS + 1).count() <= SMALL_CELLS:
         cells = F.broadcast(cells)
     drawn = rows.join(cells, names).withColumn("probability", F.when(F.col("n_tokens") > 0, F.col("probability")).otherwise(0.0))
@@ -153,7 +218,7 @@ def stage_mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def op5_source_mixing(spark, sf_dir: str) -> DataFrame:
-    out = sampling(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    out = sampling(spark.read.parquet(f"{sf_dir}/documents.parquet"), within=False)  # the rule of its SQL
     return out.select("doc_id", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "sampled")
 
 

@@ -218,6 +218,17 @@ def test_main_text_odd_pages(spark):
     assert html_text.extract_text(pages.limit(0)).count() == 0
 
 
+def test_mixing_meets_all_marginals_at_the_budget(spark):
+    out = mixing.sampling(spark.read.parquet(f"{SF_MID}/documents.parquet")).withColumn("t", F.col("n_tokens") * F.col("probability")).persist()
+    all_tokens, drawn = out.agg(F.sum("n_tokens"), F.sum("t")).first()
+    assert abs(drawn - mixing.BUDGET * all_tokens) < 1e-6 * drawn and out.where("probability > 1").count() == 0
+    for c, power in mixing.TEMPER.items():
+        rows = out.groupBy(c).agg(F.sum("n_tokens").alias("n"), F.sum("t").alias("t")).where("n > 0").collect()
+        norm = sum(r.n ** power for r in rows)
+        assert all(abs(r.t / drawn - r.n ** power / norm) < 2e-4 for r in rows), c
+    out.unpersist()
+
+
 def test_pipeline_keeps_clean_documents_and_columns(spark, tmp_path):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
     at = docs
