@@ -153,7 +153,15 @@ def _link(pairs: DataFrame, info: DataFrame, docs: DataFrame, width: int, percen
     return settle(both.mapInArrow(_verify(width, percent), "a long, b long").distinct(), "links")
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+def _star(shared: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of each prefix shingle's pivot with its other members."""
+    ends = shared.withColumn("me", F.struct("pos", "n", "idx", "doc_id")).where("doc_id <> pv.doc_id")
+    first = "(pv.n < me.n OR (pv.n = me.n AND pv.doc_id < me.doc_id))"
+    return (ends.select(F.expr(f"IF({first}, pv, me)").alias("x"), F.expr(f"IF({first}, me, pv)").alias("y"))
+            .where(_allowed(percent)).select(F.expr("x.doc_id AS a"), F.expr("y.doc_id AS b")))
+
+
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, count_links: bool = False) -> DataFrame:
     """Set size and component of every row of ``docs`` (``doc_id``, ``text``; other columns are ignored).
 
     Returns ``doc_id``, ``n_shingles``, ``component_id``.  A null or wordless
@@ -161,6 +169,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     null ``doc_id`` gives a null component and links with nothing.  Rows that
     repeat a ``doc_id`` count as one document with the union of their links;
     each keeps its own row.  An empty table gives an empty result.
+
+    With ``count_links``, every candidate pair is verified, also those inside
+    one component, and ``n_links`` is added: the documents that a row's
+    document links with, equal ones included.  A group of near copies then
+    costs a number of pairs quadratic in its distinct texts.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -180,17 +193,19 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
              .where("c > 1").drop("c"))
     pivot = settle(pivot, "pivots")  # a table of its own, so that the join can split hot shingles
     shared = settle(post.join(pivot.hint("merge"), "gram"), "shared-grams")
-    ends = shared.withColumn("me", F.struct("pos", "n", "idx", "doc_id")).where("doc_id <> pv.doc_id")
-    first = "(pv.n < me.n OR (pv.n = me.n AND pv.doc_id < me.doc_id))"
-    star = (ends.select(F.expr(f"IF({first}, pv, me)").alias("x"), F.expr(f"IF({first}, me, pv)").alias("y"))
-            .where(_allowed(percent)).select(F.expr("x.doc_id AS a"), F.expr("y.doc_id AS b")))
-    links = _link(star, info, docs, width, percent)
-    comp = cut(connected_components(links))
+    links = None
+    if not count_links:
+        links = _link(_star(shared, percent), info, docs, width, percent)
+        comp = cut(connected_components(links))
 
     # The rest: pairs whose ends are in different components.  Equal (shingle, size, place) cells meet first,
     # so that pairs the filters rule out, or that lie inside one component, are never spelled out.
-    own = cut(shared.drop("pv").join(comp.toDF("doc_id", "component"), "doc_id", "left")
-              .withColumn("component", F.coalesce("component", "doc_id")))
+    # To count links, each document counts as a component of its own.
+    if count_links:
+        own = shared.drop("pv").withColumn("component", F.col("doc_id"))
+    else:
+        own = shared.drop("pv").join(comp.toDF("doc_id", "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    own = cut(own)
     cell = own.groupBy("gram", "n", "idx", "pos").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
     some = own.groupBy("gram").agg(F.min("component").alias("l"), F.max("component").alias("h")).where("l <> h").select("gram")
     cell = cell.join(some, "gram", "left_semi")
@@ -202,12 +217,20 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     rest = (pairs.join(left, ["gram", "n", "p"]).join(right, ["gram", "n2", "p2"]).where("ca <> cb")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     more = _link(rest, info, docs, width, percent)
-    comp = connected_components(links.union(more))
-
-    named = classes.join(comp.toDF("rep", "component"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
+    links = links.union(more) if links is not None else more
+    comp = connected_components(links)
+
+    named = classes.join(comp.toDF("rep", "component"), "rep", "left").select("fp", "rep", F.coalesce("component", "rep").alias("component_id"))
+    if count_links:
+        size = cut(rows.where("doc_id IS NOT NULL").join(classes, "fp").groupBy("rep").agg(F.countDistinct("doc_id").alias("m")))
+        both = links.union(links.select("b", "a")).toDF("rep", "other").distinct()
+        linked = both.join(size.toDF("other", "om"), "other").groupBy("rep").agg(F.sum("om").alias("far"))
+        n_links = size.join(linked, "rep", "left").select("rep", (F.col("m") - 1 + F.coalesce("far", F.lit(0))).alias("n_links"))
+        named = named.join(n_links, "rep", "left")
     return (rows.join(named, "fp", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.expr("CASE WHEN doc_id IS NOT NULL THEN coalesce(component_id, doc_id) END").alias("component_id")))
+                    F.expr("CASE WHEN doc_id IS NOT NULL THEN coalesce(component_id, doc_id) END").alias("component_id"),
+                    *([F.expr("CASE WHEN doc_id IS NOT NULL THEN coalesce(n_links, 0L) ELSE 0L END").alias("n_links")] if count_links else [])))
 
 
 def stage_jaccard(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

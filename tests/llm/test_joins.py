@@ -47,6 +47,25 @@ def test_jaccard_components_match_brute_force(spark, prose, width, percent):
     assert got == {i: (len(s[i]), want[i]) for i in s}
 
 
+def test_jaccard_links_match_brute_force(spark, prose):
+    r = random.Random(9)
+    texts, at = {}, 0
+    for g in range(4):
+        base = prose(80, 300 + g).split()
+        for i in range(12):  # near copies of one text: nearly all pairs of a group link
+            w = list(base)
+            if i > 1:  # the first two are equal
+                w[r.randrange(80)] = f"new{i}"
+            texts[at] = " ".join(w)
+            at += 1
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    s = {i: shingles(t, 3) for i, t in texts.items()}
+    linked = lambda a, b: 100 * len(s[a] & s[b]) >= 85 * len(s[a] | s[b])
+    want = components(sorted(s), linked)
+    got = {x.doc_id: (x.n_links, x.component_id) for x in ngram_join.jaccard_components(df, 3, 85, count_links=True).collect()}
+    assert got == {a: (sum(linked(a, b) for b in s if a != b), want[a]) for a in s} and sum(n for n, _ in got.values()) > 300
+
+
 def test_jaccard_odd_rows(odd_docs, no_docs):
     rows = ngram_join.jaccard_components(odd_docs, 3, 90).collect()
     assert len(rows) == odd_docs.count()
