@@ -4,7 +4,9 @@ Paragraphs pass points for their length and commas to their ancestors; an
 element's points are discounted by the share of its text inside links.  The
 best container is kept with the siblings that score well or read like
 paragraphs.  Menus, headers, footers, sidebars, notices, adverts, forms,
-comments, scripts and styles never count and never come out.
+comments, scripts and styles never count and never come out.  A class or id
+alone doesn't drop what holds the page's only article, most of its paragraphs,
+or, inside an article, plain paragraphs under a name that may be content's.
 """
 
 from __future__ import annotations
@@ -35,6 +37,12 @@ MARKED = frozenset("ad ads advert adverts advertisement advertising sponsor spon
                    "replies respond cookie cookies consent notice notices popup modal overlay newsletter subscribe subscription share sharing "
                    "social breadcrumb breadcrumbs menu nav navbar navigation footer masthead related widget toolbar pagination pager login "
                    "signup skip complementary contentinfo search alert disclaimer gdpr paywall".split())
+#: Words that make a name tell of a layout, as in with-sidebar and no-banner.
+LAYOUT = frozenset("with without no has".split())
+#: Marked words that also occur in names of content, as in related-work and search-results.
+AMBIGUOUS = frozenset("related search share sharing social notice notices alert disclaimer menu subscription reply replies skip".split())
+#: Marked words of what readers write, which may be longer than the article.
+READERS = frozenset("comment comments disqus reply replies respond".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
              "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}, "tfoot": {"tr", "td", "th", "tbody"}}
 SCOPE = frozenset("ul ol table dl div article section main body html select".split())
@@ -44,7 +52,7 @@ PARAGRAPH = frozenset("p pre blockquote td dd li".split())
 class Node:
     __slots__ = ("tag", "parent", "parts", "drop", "score", "size", "linked", "own", "mark")
 
-    def __init__(self, tag, parent, drop=False, mark=False):
+    def __init__(self, tag, parent, drop=False, mark=frozenset()):
         self.tag, self.parent, self.drop, self.mark = tag, parent, drop, mark
         self.parts: list = []  # child nodes and decoded strings, in page order
         self.score = 0.0
@@ -52,19 +60,73 @@ class Node:
         self.own = ""
 
 
-def _marked(tag: str, attributes: str, inside: bool) -> bool:
+def _marked(tag: str, attributes: str, inside: bool) -> tuple[bool, frozenset]:
+    """Whether an element is hidden, and the words that mark it; names of a layout don't."""
+    words: set = set()
     for name, value in _ATTRIBUTE.findall(attributes):
         name = name.lower()
         if name == "hidden":
-            return True
+            return True, frozenset()
         v = value.strip("\"'")
         if name == "aria-hidden" and v == "true" or name == "style" and re.search(r"display\s*:\s*none", v):
-            return True
+            return True, frozenset()
         if name in ("class", "id", "role"):
-            words = {w.lower() for w in _NAME_PART.findall(v)}
-            if words & MARKED or "header" in words and not inside and tag not in ("h1", "h2", "h3", "article", "main"):
-                return True
-    return False
+            for token in v.split():
+                part = {w.lower() for w in _NAME_PART.findall(token)}
+                if part & LAYOUT:
+                    continue
+                found = part & MARKED
+                if "header" in part and not inside and tag not in ("h1", "h2", "h3", "article", "main"):
+                    found = found | {"header"}
+                # a lone ambiguous word, or one beside other marks, marks for certain
+                words |= {f"{w}-" if w in AMBIGUOUS and part - MARKED else w for w in found}
+    return False, frozenset(words)
+
+
+def _spare(nodes: list[Node]) -> None:
+    """Undo the drop of elements that are marked by a name only, but hold the page's main text."""
+    marked = [x for x in nodes if x.mark]
+    if not marked:
+        return
+    soft, gone, plain, named = set(marked), {}, {}, {}
+    for x in nodes:  # parents come first
+        up = x.parent
+        gone[x] = up is not None and gone[up] or x.drop and x not in soft
+        # no marked element around x, itself included
+        plain[x] = (up is None or plain[up]) and x not in soft
+        named[x] = x.tag in ("article", "main") or up is not None and named[up]
+    free = any(x.tag in ("article", "main") and plain[x] and not gone[x] for x in nodes)
+    points, holds = dict.fromkeys(nodes, 0.0), dict.fromkeys(nodes, False)
+    linked, size, commas = dict.fromkeys(nodes, 0), dict.fromkeys(nodes, 0), dict.fromkeys(nodes, 0)
+    for x in reversed(nodes):
+        if gone[x]:
+            continue
+        text = _SPACE.sub(" ", "".join(p for p in x.parts if isinstance(p, str))).strip()
+        size[x] += len(text)
+        commas[x] += text.count(",")
+        if x.tag == "a":
+            linked[x] = size[x]
+        if text and (x.tag in PARAGRAPH or x.tag in BLOCK):
+            p = 1 + commas[x] + size[x] / 100 if x.tag in PARAGRAPH else _points(text)
+            points[x] += (p / 10 if x.tag in PARAGRAPH and size[x] < 25 else p) * (1 - linked[x] / size[x])
+        holds[x] = holds[x] or x.tag in ("article", "main")
+        up = x.parent
+        if up is not None:
+            points[up] += 0 if x.mark & READERS else points[x]
+            commas[up] += commas[x]
+            size[up] += size[x]
+            linked[up] += linked[x]
+            holds[up] = holds[up] or holds[x]
+    most = points[nodes[0]] / 2
+    for x in marked:
+        if gone[x] or x.tag in DROPPED:
+            continue
+        if named[x]:  # inside an article
+            content = all(w.endswith("-") for w in x.mark) and size[x] > 80 and linked[x] < 0.25 * size[x]
+        else:
+            content = not free and not x.mark & READERS and (holds[x] or points[x] > most)
+        if content:
+            x.drop = False
 
 
 def parse(page: str) -> list[Node]:
@@ -101,8 +163,9 @@ def parse(page: str) -> list[Node]:
                 _close(stack, {"head"})
             up = stack[-1]
             inside = any(x.tag in ("article", "main") for x in stack)
-            mark = tag not in ("html", "body", "article", "main") and bool(m[3]) and _marked(tag, m[3], inside)
-            node = Node(tag, up, tag in DROPPED or mark or tag == "header" and not inside, mark)
+            hidden, mark = _marked(tag, m[3], inside) if m[3] and tag not in ("html", "body", "article", "main") else (False, frozenset())
+            hidden = hidden or tag in DROPPED or tag == "header" and not inside
+            node = Node(tag, up, hidden or bool(mark), frozenset() if hidden else mark)
             up.parts.append(node)
             nodes.append(node)
             if tag in VOID or m[3].endswith("/") and tag not in BLOCK | RAW:
@@ -186,6 +249,7 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     nodes = parse(page)
+    _spare(nodes)
     _measure(nodes)
     for x in nodes:  # lists of links are menus
         if not x.drop and x.tag in ("ul", "ol") and x.size and x.linked > 0.9 * x.size and sum(isinstance(p, Node) for p in x.parts) > 1:
@@ -225,7 +289,11 @@ def main_text(page: str | None) -> str:
             kept.append(x)
         elif isinstance(x, Node) and not x.drop and x.size:
             plain = x.linked < 0.25 * x.size
-            if rank.get(x, 0) >= max(10, 0.2 * rank[best]) or plain and (x.tag == "p" and x.size > 80 or x.tag in ("h1", "h2", "h3") and not kept):
+            # a sibling is judged by its own text: sentences, hardly linked, in blocks that earn points
+            sentences = x.size >= 25 and any(t.rstrip("\"')\u201d\u2019").endswith((".", "!", "?", ":", "\u2026")) for t in _blocks([x]))
+            earned = x.tag in PARAGRAPH or rank.get(x, 0) >= 0.5 * x.size / 100
+            if rank.get(x, 0) >= max(10, 0.2 * rank[best]) or plain and (sentences and earned or x.tag == "p" and x.size > 80
+                                                                         or x.tag in ("h1", "h2", "h3") and not kept):
                 kept.append(x)
     return "\n\n".join(_blocks(kept))
 

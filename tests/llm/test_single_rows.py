@@ -208,6 +208,25 @@ def test_main_text(main):
     assert html_text.main_text(PAGE.format(main=main)) == TEXT
 
 
+@pytest.mark.parametrize("name", ["layout with-sidebar", "no-sidebar", "has-banner", "content-with-nav", "page sidebar", "widget"])
+def test_main_text_inside_marked_layouts(name):
+    assert html_text.main_text(PAGE.format(main=f"<div class='{name}'><article>{BODY}</article></div>")) == TEXT
+    assert html_text.main_text(PAGE.format(main=f"<div class='{name}'><div>{BODY}</div></div>")) == TEXT
+
+
+def test_main_text_keeps_content_named_like_boilerplate():
+    long = "Earlier authors, as we have seen, had measured the same meters, over two years, and found the same drift."
+    page = f"<article><h1>T</h1><p>{long}</p><section class='related-work'><p>{long}</p></section><p id='search-results'>{long}</p><div class='related'>More: {long}</div></article>"
+    assert html_text.main_text(PAGE.format(main=page)) == "\n\n".join(["T", long, long, long])
+
+
+def test_main_text_keeps_short_sections_beside_a_long_one():
+    long = "A long, plain paragraph, with commas, of the main story, that goes on and on, for a while. " * 4
+    page = f"<div><section><p>{long}</p><p>{long}</p><p>{long}</p></section><section><p>This short section, too, is text.</p></section><p>And a short last line.</p></div><div>Home | News | Sport | Weather | More</div>"
+    got = html_text.main_text(f"<html><body>{page}</body></html>")
+    assert "This short section, too, is text." in got and "Home" not in got
+
+
 def test_main_text_odd_pages(spark):
     odd = [None, "", "<p>hi", "just text", "<article><h1>T</h1><p>x</p></article>", "<div>" * 4000 + "deep, text", "<p a='unclosed>x</p>", "<!-- open", "<script>x", "</p></div>"]
     want = ["", "", "hi", "just text", "T\n\nx", "deep, text"]
