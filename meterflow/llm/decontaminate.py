@@ -107,8 +107,10 @@ def phrase_candidates(postings: DataFrame, sel: DataFrame) -> DataFrame:
 
 
 def proximity_matches(docs: DataFrame, benchmark: DataFrame, span: int = 50, window: int = WINDOW, rarest: int = RAREST) -> DataFrame:
-    """Documents that have all rarest terms of a window within ``span`` words of its rarest one, in any order.
+    """Documents that have all words of a window within ``span`` words of its lead term, in any order.
 
+    The lead is one of the window's rarest terms.  These only find candidate
+    places; there, all words of the window are compared with the document.
     Returns distinct ``doc_id``, ``item_id`` (string).  Null texts and ids
     match nothing; empty tables give an empty result.
     """
@@ -119,10 +121,13 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, span: int = 50, win
     lead = size.select("k", "s", "n", F.col("m.term").alias("term"))
     base = post.join(lead, "term").select("rid", "k", "s", "n", F.col("pos").alias("at"), F.explode(F.expr("array(b - 1, b, b + 1)")).alias("b"))
     other = post.join(sel.select("k", "s", "term").distinct(), "term").select("rid", "k", "s", "term", "pos", "b")
-    hit = (base.join(other, ["rid", "k", "s", "b"]).where(f"abs(pos - at) <= {int(span)}")
-           .groupBy("rid", "k", "s", "n", "at").agg(F.countDistinct("term").alias("c")).where("c = n").select("rid", "k").distinct())
-    return (hit.join(items.select("k", F.explode("ids").alias("item_id")), "k").join(docs.select("rid", "doc_id").distinct(), "rid")
-            .select("doc_id", "item_id").distinct())
+    near = (base.join(other, ["rid", "k", "s", "b"]).where(f"abs(pos - at) <= {int(span)}")
+            .groupBy("rid", "k", "s", "n", "at").agg(F.countDistinct("term").alias("c")).where("c = n").select("rid", "k", "s", "at"))
+    need = near.join(items.select("k", "iw"), "k").select("rid", "k", "at", F.expr(f"array_distinct(slice(iw, s + 1, {int(window)}))").alias("need"))
+    words = docs.select("rid", "doc_id", F.split(_ascii_lower(F.col("text")), DELIMITER).alias("w"))
+    around = f"slice(w, greatest(at - {int(span)}, 0) + 1, at + {int(span)} - greatest(at - {int(span)}, 0) + 1)"
+    hit = need.join(words, "rid").where(f"size(array_except(need, {around})) = 0").select("doc_id", "k").distinct()
+    return hit.join(items.select("k", F.explode("ids").alias("item_id")), "k").select("doc_id", "item_id").distinct()
 
 
 def _rows(docs: DataFrame, whole: bool = False) -> DataFrame:

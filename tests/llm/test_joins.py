@@ -192,6 +192,14 @@ def test_proximity_matches(spark, prose):
     assert got == {(1, "9")}
 
 
+def test_proximity_matches_need_all_words(spark):
+    q = [f"rare{i}" for i in range(10)]
+    docs = [(1, "a b " + " x ".join(reversed(q))), (2, " ".join(q[:3]) + " y z"), (3, " ".join(q[3:] * 5)), (4, "Rare9 " + " ".join(q[:9]).upper())]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([(9, " ".join(q))], "item_id long, text string")
+    assert {tuple(x) for x in decontaminate.proximity_matches(df, b).collect()} == {(1, "9"), (4, "9")}
+
+
 def test_vectors_match_brute_force(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(40, 16))
