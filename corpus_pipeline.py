@@ -17,7 +17,7 @@ STAGES = [
     ("source_mixing", stage_mix),
 ]
 
-#: The stages verify whole texts by rules that SQL can't express; tests hold them against brute force.
+#: The stages verify whole texts by rules that SQL can't express; tests hold their operators against brute force.
 ORACLE_SQL = None
 
 
