@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from meterflow.plans.catalog import QUERIES
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 
 def _digest(rows, cols):
     order = sorted(range(len(cols)), key=lambda i: cols[i])

@@ -1,5 +1,5 @@
 """Plan checks: partial aggregation, pruning, pushdown, no Python UDF."""
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 from meterflow.operators import rollup as R
 from meterflow.plans.catalog import QUERIES
 from meterflow.session import scratch_path

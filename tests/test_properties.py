@@ -1,7 +1,7 @@
 """Properties: re-rollup equals direct rollup, replay is idempotent, exact percentiles."""
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL
+from testdata_paths import SF_MID, SF_SMALL
 from meterflow.operators import rollup as R
 from meterflow.operators.skew import exact_percentiles
 from meterflow.session import scratch_path

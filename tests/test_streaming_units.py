@@ -2,7 +2,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 from meterflow.operators import rollup as R
 from meterflow.session import scratch_path
 from meterflow.sinks import documents as S
