@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from meterflow.llm.components import settle
 from meterflow.llm.kernel import pieces as text_slices
-from meterflow.llm.vocab import MEMO, SLICE, Memo, json_tokenizer, piece_tokenizer, slices
+from meterflow.llm.vocab import MEMO, SLICE, Memo, byte_level, json_tokenizer, piece_tokenizer, slices
 
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Pair tables of at most so many rows (some tens of MB) are broadcast; larger ones join by shuffle.
@@ -41,13 +41,6 @@ _STARTS_WHITE = re.compile(_WHITE)
 _SAFE = re.compile(rb"(?<=[!-~]) (?=[!-~])")
 
 
-def _byte_level() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 for itself, the others from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
-
-
 def _piece_bytes(model, i: int) -> bytes:
     p = model.id_to_piece(i)
     return bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace(_SPACE_SIGN, " ").encode()
@@ -62,7 +55,7 @@ class TwoEncodings:
 
     def __init__(self, byte_vocabulary: str, piece_vocabulary: str):
         self.a, self.b = json_tokenizer(byte_vocabulary, True), piece_tokenizer(piece_vocabulary)
-        level = _byte_level()
+        level = byte_level()
         size = max(self.a.get_vocab().values()) + 1
         self.a_bytes = [b""] * size
         for t, i in self.a.get_vocab().items():
@@ -109,7 +102,7 @@ class TwoEncodings:
 
     def _known(self, parts: set[bytes]) -> None:
         if len(self.lossy) > MEMO // 2:
-            self.lossy &= self.a_memo.keys() & self.b_memo.keys()
+            self.lossy &= self.a_memo.known.keys() | self.b_memo.known.keys()
         self.a_memo.learn(parts)
         self.b_memo.learn(parts)
 
@@ -121,7 +114,7 @@ class TwoEncodings:
     def _joined(self, parts: list[bytes]) -> tuple[bytes, bytes] | None:
         if self.lossy and not self.lossy.isdisjoint(parts):
             return None
-        return b"".join(map(self.a_memo.__getitem__, parts)), b"".join(map(self.b_memo.__getitem__, parts))
+        return b"".join(map(self.a_memo.known.__getitem__, parts)), b"".join(map(self.b_memo.known.__getitem__, parts))
 
     def texts(self, texts: list[bytes | None]) -> list[tuple[bytes, bytes]]:
         """Ids of each text; none for empty texts and those whose tokens don't join to space+text."""

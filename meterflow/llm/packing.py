@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from meterflow.llm.components import settle
 from meterflow.llm.kernel import pieces as text_slices
-from meterflow.llm.vocab import SLICE, Memo, json_tokenizer, slices
+from meterflow.llm.vocab import SLICE, Memo, byte_level, json_tokenizer, plain_words, slices
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
@@ -36,6 +36,13 @@ GATHER = 64
 #: Stands between parts that are encoded together: a character that is a token of its own between spaces.
 _MARK = "\x01"
 _SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
+# between a letter or digit and a sign other than an apostrophe, tokens always end
+_SIGN = rb"[!-&(-/:-@\[-`{-~]"
+_INSIDE = re.compile(rb"(?<=[a-z0-9])(?=" + _SIGN + rb")|(?<=" + _SIGN + rb")(?=[a-z0-9])")
+#: A word that case folding and composition leave as it is: a-z and the small letters of Latin-1.
+_WORD = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+#: What the strings of special tokens start with; they are case-sensitive and never cut.
+_SPECIAL = b"<|"
 
 
 class WordIds:
@@ -43,41 +50,62 @@ class WordIds:
 
     The tokenizer drops white space and joins nothing across it, so the ids
     of a text are those of its space-separated parts one after the other.
+    It folds case, so A-Z are folded first: fewer parts differ.
     """
 
     def __init__(self, vocabulary: str):
         self.tokenizer = json_tokenizer(vocabulary, False)
+        self.words, vocab = plain_words(vocabulary), self.tokenizer.get_vocab()
+        self.level = {b: c for c, b in byte_level().items() if b > 127}
+        self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocab.items() if t.endswith(self.tokenizer.model.end_of_word_suffix)]] = True
         self.mark = self.tokenizer.encode(f"a {_MARK} a", add_special_tokens=False).ids[1]
-        self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.memo = Memo(self._encode)
+        if not all(t.content.encode().startswith(_SPECIAL) for t in self.tokenizer.get_added_tokens_decoder().values()):
+            raise ValueError("a special token has another form")
+        self.memo = Memo(self._encode, split=lambda part: [part] if _SPECIAL in part else _INSIDE.split(part))
 
     def _alone(self, part: bytes) -> bytes:
         return np.array(self.tokenizer.encode(part.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
     def _encode(self, parts: list[bytes]) -> list[bytes]:
-        alone = {p for p in parts if _MARK.encode() in p or any(s in p for s in self.specials)}
-        joined = [p for p in parts if p not in alone]
-        ids = np.array(self.tokenizer.encode(f" {_MARK} ".join(p.decode() for p in joined), add_special_tokens=False).ids, "<u4")
-        raw, at = ids.tobytes(), np.flatnonzero(ids == self.mark)
-        if len(at) != max(len(joined) - 1, 0):
-            raise ValueError("the vocabulary does not keep the mark apart")
-        runs = iter([raw[4 * a: 4 * b] for a, b in zip([0, *(at + 1).tolist()], [*at.tolist(), len(ids)])])
-        return [self._alone(p) if p in alone else next(runs) for p in parts]
+        out = {p: self._alone(p) for p in parts if _MARK.encode() in p or _SPECIAL in p}
+        words = [p for p in parts if _WORD.fullmatch(p)]
+        if words:
+            text = b" ".join(words).decode("latin-1").translate(self.level)
+            ids = np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            out |= self._runs(words, ids, np.flatnonzero(self.ends_word[ids])[:-1] + 1, 0)
+        rest = [p for p in parts if p not in out]
+        if rest:
+            ids = np.array(self.tokenizer.encode(f" {_MARK} ".join(p.decode() for p in rest), add_special_tokens=False).ids, "<u4")
+            out |= self._runs(rest, ids, np.flatnonzero(ids == self.mark), 1)
+        return [out[p] for p in parts]
+
+    @staticmethod
+    def _runs(parts: list[bytes], ids: np.ndarray, at: np.ndarray, skip: int) -> dict[bytes, bytes]:
+        """The ids of each part: runs that end at ``at``, with ``skip`` ids between them."""
+        if len(at) != len(parts) - 1:
+            raise ValueError("the vocabulary does not keep the parts apart")
+        raw = ids.tobytes()
+        return {p: raw[4 * lo: 4 * hi] for p, lo, hi in zip(parts, [0, *(at + skip).tolist()], [*at.tolist(), len(ids)])}
+
+    @staticmethod
+    def _parts(text: bytes) -> list[bytes]:
+        return (text if _SPECIAL in text else text.lower()).split()
 
     def texts(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text."""
-        parts = [(t or b"").split() if len(t or b"") <= SLICE else None for t in texts]
+        parts = [self._parts(t or b"") if len(t or b"") <= SLICE else None for t in texts]
         self.memo.learn(set().union(*(p for p in parts if p)))
-        known = self.memo.__getitem__
+        known = self.memo.known.__getitem__
         out = [None if p is None else b"".join(map(known, p)) for p in parts]
         return [self._long(t) if ids is None else ids for t, ids in zip(texts, out)]
 
     def _long(self, text: bytes) -> bytes:
         out = []
         for part in slices(text, _SPACE):
-            words = part.split()
+            words = self._parts(part)
             self.memo.learn(set(words))
-            out.append(b"".join(map(self.memo.__getitem__, words)))
+            out.append(b"".join(map(self.memo.known.__getitem__, words)))
         return b"".join(out)
 
 

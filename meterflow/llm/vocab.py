@@ -38,29 +38,51 @@ def json_tokenizer(name: str, plain_specials: bool):
     return t
 
 
+def byte_level() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 for itself, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+@lru_cache(maxsize=4)
+def plain_words(name: str):
+    """A tokenizer file's merges alone, for byte-level words with single spaces between them."""
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+    t = Tokenizer.from_file(vocabulary(name))
+    t.normalizer, t.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.Split(" ", "removed")
+    return t
+
+
 @lru_cache(maxsize=4)
 def piece_tokenizer(name: str):
     import sentencepiece
     return sentencepiece.SentencePieceProcessor(model_file=vocabulary(name))
 
 
-class Memo(dict):
-    """What ``encode`` gives for distinct byte strings; ``encode`` takes a list and returns a list."""
+class Memo:
+    """``known``: what ``encode`` gives for distinct byte strings; it takes a list and returns a list of byte strings.
+
+    Where ``split`` cuts a part into several, its codes are theirs, joined.
+    """
 
-    def __init__(self, encode, limit: int = MEMO):
-        super().__init__()
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode, limit: int = MEMO, split=None):
+        self.known: dict[bytes, bytes] = {}
+        self.encode, self.limit, self.split = encode, limit, split or (lambda part: [part])
 
     def learn(self, parts: set[bytes]) -> None:
         """Encode those of ``parts`` that are not known; all of them are known afterwards."""
-        new = parts.difference(self)
-        if len(self) + len(new) > self.limit:
-            self.clear()
+        new = parts.difference(self.known)
+        if len(self.known) + len(new) > self.limit:
+            self.known.clear()
             new = parts
-        new = list(new)
-        for lo in range(0, len(new), CALL):
-            some = new[lo: lo + CALL]
-            self.update(zip(some, self.encode(some)))
+        made = {p: s for p in new if len(s := self.split(p)) > 1}
+        whole = list(new.difference(made).union(*made.values()).difference(self.known))
+        for lo in range(0, len(whole), CALL):
+            some = whole[lo: lo + CALL]
+            self.known.update(zip(some, self.encode(some)))
+        for p, s in made.items():
+            self.known[p] = b"".join(map(self.known.__getitem__, s))
 
 
 def slices(text: bytes, cut: re.Pattern, limit: int = SLICE):
