@@ -1,4 +1,8 @@
-"""A load profile by UTC hour and weekday, the baseline that the profile queries pass to the engine."""
+"""An expected load by hour and weekday (test input for the profile deviation).
+
+A triangle over the day that peaks at 14:00 UTC and loses 5 % for each hour
+of distance; Saturdays and Sundays carry four fifths of it.
+"""
 
 from __future__ import annotations
 
@@ -7,16 +11,11 @@ from pyspark.sql import functions as F
 
 from meterflow.functions.expressions import epoch_ms_to_date, utc_hour
 
-# fixed values: (weekend, first hour, end hour, factor); the rest of a day has the base factor
-PROFILE = [(True, 9, 18, 0.4), (False, 8, 18, 1.0), (False, 18, 22, 0.5), (False, 6, 8, 0.6)]
-BASE = {True: 0.2, False: 0.25}
+PEAK_HOUR, LOSS, WEEKEND_SHARE = 14, 0.05, 0.8
 
 
-def load_profile_factor(event_ms) -> Column:
-    """Expected load factor at an epoch-ms instant."""
-    hour = utc_hour(event_ms)
-    weekend = F.weekday(epoch_ms_to_date(event_ms)) >= 5  # 0 = Monday
-    c = F.when(F.lit(False), F.lit(None).cast("double"))
-    for on_weekend, first, end, factor in PROFILE:
-        c = c.when((weekend == on_weekend) & (hour >= first) & (hour < end), F.lit(factor))
-    return c.when(weekend, F.lit(BASE[True])).otherwise(F.lit(BASE[False]))
+def load_profile_factor(ms) -> Column:
+    """Expected share of the peak load at an epoch-ms instant (UTC)."""
+    away = F.abs(utc_hour(ms) - F.lit(PEAK_HOUR))
+    day = F.lit(1.0) - F.lit(LOSS) * F.least(away, F.lit(24) - away)
+    return F.when(F.weekday(epoch_ms_to_date(ms)) >= 5, day * F.lit(WEEKEND_SHARE)).otherwise(day)

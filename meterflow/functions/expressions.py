@@ -96,6 +96,13 @@ def scaled_float(c, factor: int = USAGE_SCALING_FACTOR) -> Column:
     return F.floor(col(c) * F.lit(factor) + F.lit(0.5)).cast("bigint")
 
 
+def figure(c, digits: int = 2, sign: bool = False) -> Column:
+    """Text of a number, rounded half up from its sixth decimal, so that the last bits of a sum don't show."""
+    d = F.round((col(c) + F.lit(3e-8)).try_cast("decimal(38,6)"), digits)
+    text = d.cast("string")
+    return F.when(d >= 0, F.concat(F.lit("+"), text)).otherwise(text) if sign else text
+
+
 def console_time(ms) -> Column:
     return F.date_format(epoch_ms_to_ts(ms), CONSOLE_TIME_FORMAT)
 

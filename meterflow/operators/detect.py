@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterflow.functions.expressions import figure
 from meterflow.operators import metrics as M
 from meterflow.operators import rollup as R
-from meterflow.operators.skew import exact_percentiles, salted_join
+from meterflow.operators.skew import exact_percentiles, ranked_percentiles, salted_join, sketch_quantiles
 from meterflow.schema import ALERT_FIELDS, DAY_MS
 
 SPIKE_WARNING_PCT = 100.0
@@ -24,10 +25,25 @@ SUSTAINED_MIN_COUNT = 3
 SILENCE_MS = 24 * 3_600_000
 ZSCORE_LIMIT = 3.0
 IQR_FACTOR = 1.5
+QUARTILES = [0.25, 0.75]
+# window of the rollup that the hourly and sliding rules are merged from
+BASE_MINUTES = 15
 # row identity used to spread a hot site-window over tasks
 SALT_COLS = ["meterId", "timestamp", "usageKw"]
 
 
+def silence_text(silence_ms: int) -> Column:
+    return F.format_string("no reading for more than %d s", F.lit(silence_ms // 1000))
+
+
+def zscore_text() -> Column:
+    return F.format_string("z = %s (mean %s kW, sigma %s kW, n = %d)", figure("zScore"), figure("mu"), figure("sigma"), "n")
+
+
+def iqr_text() -> Column:
+    return F.format_string("outside [%s, %s] kW (q1 %s, q3 %s)", figure("lowerFence"), figure("upperFence"), figure("q1"), figure("q3"))
+
+
 def detect_spike(deltas: DataFrame, warning: float = SPIKE_WARNING_PCT,
                  critical: float = SPIKE_CRITICAL_PCT) -> DataFrame:
     """Windows whose Δ% reaches the warning / critical level."""
@@ -36,8 +52,8 @@ def detect_spike(deltas: DataFrame, warning: float = SPIKE_WARNING_PCT,
         F.col("windowStart").alias("timestamp"), F.lit(None).cast("string").alias("meterId"),
         "siteId", F.col("avgUsageKw").alias("usageKw"), F.lit("SPIKE").alias("alertType"),
         F.when(d >= critical, F.lit("CRITICAL")).otherwise(F.lit("WARNING")).alias("alertLevel"),
-        F.format_string("avg %.2f kW vs %.2f kW in the previous %d-minute window (%+.1f%%)",
-                        "avgUsageKw", "prevAvgUsageKw", "windowSizeMinutes", "deltaPct").alias("explain"),
+        F.format_string("avg %s kW vs %s kW in the previous %d-minute window (%s%%)", figure("avgUsageKw"), figure("prevAvgUsageKw"),
+                        "windowSizeMinutes", figure("deltaPct", 1, sign=True)).alias("explain"),
         "windowSizeMinutes", "deltaPct")
 
 
@@ -45,8 +61,11 @@ def sustained_windows(readings: DataFrame, minutes: int = 60, slide_minutes: int
                       threshold_kw: float = SUSTAINED_KW, min_count: int = SUSTAINED_MIN_COUNT,
                       time_col: str = "ts") -> DataFrame:
     """Sliding windows in which every reading is at or above the threshold."""
-    ro = R.site_rollup(readings, minutes, slide_minutes, time_col=time_col)
-    return ro.where((F.col("minUsageKw") >= threshold_kw) & (F.col("count") >= min_count))
+    return sustained_of(R.site_rollup(readings, minutes, slide_minutes, time_col=time_col), threshold_kw, min_count)
+
+
+def sustained_of(rollup: DataFrame, threshold_kw: float = SUSTAINED_KW, min_count: int = SUSTAINED_MIN_COUNT) -> DataFrame:
+    return rollup.where((F.col("minUsageKw") >= threshold_kw) & (F.col("count") >= min_count))
 
 
 def detect_sustained(windows: DataFrame, threshold_kw: float = SUSTAINED_KW) -> DataFrame:
@@ -54,13 +73,13 @@ def detect_sustained(windows: DataFrame, threshold_kw: float = SUSTAINED_KW) ->
         F.col("windowStart").alias("timestamp"), F.lit(None).cast("string").alias("meterId"),
         "siteId", F.col("avgUsageKw").alias("usageKw"), F.lit("SUSTAINED").alias("alertType"),
         F.lit("WARNING").alias("alertLevel"),
-        F.format_string("%d readings in %d minutes all >= %.1f kW (min %.2f kW)", "count",
-                        "windowSizeMinutes", F.lit(threshold_kw), "minUsageKw").alias("explain"),
+        F.format_string("%d readings in %d minutes all >= %.1f kW (min %s kW)", "count",
+                        "windowSizeMinutes", F.lit(float(threshold_kw)), figure("minUsageKw")).alias("explain"),
         "windowEnd", "count", "minUsageKw")
 
 
-def meter_gaps(readings: DataFrame, silence_ms: int = SILENCE_MS, arrival: str = "event_id") -> DataFrame:
-    """Consecutive readings of a meter more than ``silence_ms`` apart.
+def meter_gaps(readings: DataFrame, silence_ms: int = SILENCE_MS, arrival: str = "event_id", as_of_ms: int | None = None) -> DataFrame:
+    """Consecutive readings of a meter more than ``silence_ms`` apart, and with ``as_of_ms`` the silences still open then.
 
     Readings are first reduced to (meter, time bucket of width T) -> first
     and last reading, a partial aggregate that is bounded by the time span,
@@ -76,7 +95,7 @@ def meter_gaps(readings: DataFrame, silence_ms: int = SILENCE_MS, arrival: str =
         F.max_by(F.struct("siteId", "usageKw"), F.struct("timestamp", arrival)).alias("_l"))
     w = Window.partitionBy("meterId").orderBy("_b")
     nxt = buckets.withColumn("_next", F.lead("_first").over(w))
-    gap = F.col("_next") - F.col("_last")
+    gap = F.coalesce("_next", F.lit(as_of_ms).cast("bigint")) - F.col("_last")
     return nxt.where(gap > silence_ms).select(
         "meterId", F.col("_l.siteId").alias("siteId"), F.col("_last").alias("lastSeen"),
         F.col("_next").alias("nextSeen"), gap.alias("gapMs"), F.col("_l.usageKw").alias("lastUsageKw"))
@@ -101,7 +120,7 @@ def detect_silence(gaps: DataFrame, silence_ms: int = SILENCE_MS) -> DataFrame:
         (F.col("lastSeen") + F.lit(silence_ms)).alias("timestamp"), "meterId", "siteId",
         F.col("lastUsageKw").alias("usageKw"), F.lit("SILENCE").alias("alertType"),
         F.lit("WARNING").alias("alertLevel"),
-        F.format_string("no reading for more than %d s", F.lit(silence_ms // 1000)).alias("explain"),
+        silence_text(silence_ms).alias("explain"),
         "lastSeen", "nextSeen", "gapMs")
 
 
@@ -128,8 +147,7 @@ def detect_zscore(readings: DataFrame, size_ms: int = DAY_MS, limit: float = ZSC
         "timestamp", "meterId", "siteId", "usageKw", F.lit("ZSCORE").alias("alertType"),
         F.when(F.abs("zScore") >= 2 * limit, F.lit("CRITICAL")).otherwise(F.lit("WARNING"))
          .alias("alertLevel"),
-        F.format_string("z = %.2f (mean %.2f kW, sigma %.2f kW, n = %d)", "zScore", "mu", "sigma", "n")
-         .alias("explain"),
+        zscore_text().alias("explain"),
         "windowStart", "mu", "sigma", "zScore")
 
 
@@ -154,8 +172,7 @@ def detect_iqr(readings: DataFrame, size_ms: int = DAY_MS, factor: float = IQR_F
     return j.where(out).select(
         "timestamp", "meterId", "siteId", "usageKw", F.lit("IQR").alias("alertType"),
         F.lit("WARNING").alias("alertLevel"),
-        F.format_string("outside [%.2f, %.2f] kW (q1 %.2f, q3 %.2f)", "lowerFence", "upperFence",
-                        "q1", "q3").alias("explain"),
+        iqr_text().alias("explain"),
         "windowStart", "q1", "q3")
 
 
@@ -168,18 +185,52 @@ def all_alerts(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [to_alerts(f) for f in frames])
 
 
+def day_stats(readings: DataFrame, size_ms: int = DAY_MS) -> DataFrame:
+    """Moments and quartile brackets of each site-window in one pass: ``n``, ``mu``, ``sigma``, ``bracket``."""
+    start = F.col("timestamp") - F.pmod(F.col("timestamp"), F.lit(size_ms))
+    return readings.groupBy("siteId", start.alias("windowStart")).agg(
+        F.count("usageKw").alias("n"), F.avg("usageKw").alias("mu"), F.stddev_samp("usageKw").alias("sigma"),
+        sketch_quantiles("usageKw", QUARTILES).alias("bracket"))
+
+
+def day_outliers(readings: DataFrame, stats: DataFrame, size_ms: int = DAY_MS, limit: float = ZSCORE_LIMIT,
+                 factor: float = IQR_FACTOR) -> DataFrame:
+    """Z-score and IQR alerts of the site-windows in ``stats`` (:func:`day_stats`), with their rule columns.
+
+    ``readings`` may be the stored history of closed windows.  One scan ranks
+    the values inside the brackets, one judges every reading by both rules.
+    """
+    keys = ["siteId", "windowStart"]
+    r = readings.withColumn("windowStart", F.col("timestamp") - F.pmod(F.col("timestamp"), F.lit(size_ms)))
+    q = ranked_percentiles(r, stats, keys, "usageKw", QUARTILES, SALT_COLS, prefix="_q").drop("n")
+    iqr = F.col("_q1") - F.col("_q0")
+    facts = stats.drop("bracket").join(q, keys).select(
+        *keys, "n", "mu", "sigma", F.col("_q0").alias("q1"), F.col("_q1").alias("q3"),
+        (F.col("_q0") - F.lit(factor) * iqr).alias("lowerFence"), (F.col("_q1") + F.lit(factor) * iqr).alias("upperFence"))
+    j = salted_join(r, facts, keys, SALT_COLS).withColumn("zScore", F.when(F.col("sigma") > 0, F.try_divide(F.col("usageKw") - F.col("mu"), F.col("sigma"))))
+    far = F.abs("zScore")
+    level = F.when(far >= 2 * limit, F.lit("CRITICAL")).otherwise(F.lit("WARNING"))
+
+    def found(kind, grade, text):
+        return F.struct(F.lit(kind).alias("alertType"), grade.alias("alertLevel"), text.alias("explain"))
+    out = (F.col("usageKw") < F.col("lowerFence")) | (F.col("usageKw") > F.col("upperFence"))
+    rules = F.array(F.when(far >= limit, found("ZSCORE", level, zscore_text())), F.when(out, found("IQR", F.lit("WARNING"), iqr_text())))
+    hits = j.where((far >= limit) | out).select("timestamp", "meterId", "siteId", "usageKw", "windowStart", "mu", "sigma", "zScore", "q1", "q3",
+                                                F.explode(F.filter(rules, lambda x: x.isNotNull())).alias("_a"))
+    return hits.select("timestamp", "meterId", "siteId", "usageKw", "_a.*", "windowStart", "mu", "sigma", "zScore", "q1", "q3")
+
+
 def standard_alerts(readings: DataFrame, minutes: int = 60, as_of_ms: int | None = None) -> DataFrame:
     """Every rule with its default parameters on one readings frame.
 
     With ``as_of_ms``, meters that are still silent then give an alert too.
+    Hourly and sliding windows are merged from one 15-minute rollup, and
+    z-score and IQR share their statistics and their join.
     """
-    ro = R.site_rollup(readings, minutes)
-    still = [] if as_of_ms is None else [detect_silence(open_silences(readings, as_of_ms))]
-    return all_alerts(still + [
-        detect_spike(M.delta_pct(ro, minutes)),
-        detect_sustained(sustained_windows(readings)),
-        detect_silence(meter_gaps(readings)),
-        detect_zscore(readings),
-        detect_iqr(readings),
+    base = R.site_rollup(readings, BASE_MINUTES, carry=True)
+    return all_alerts([
+        detect_spike(M.delta_pct(R.merge_rollup(base, minutes), minutes)),
+        detect_sustained(sustained_of(R.merge_rollup(base, 60, BASE_MINUTES))),
+        detect_silence(meter_gaps(readings, as_of_ms=as_of_ms)),
+        day_outliers(readings, day_stats(readings)),
     ])
-

@@ -26,13 +26,13 @@ from meterflow.schema import MINUTE_MS
 WINDOW_KEYS = ["siteId", "windowStart"]
 
 
-def _shifted(rollup: DataFrame, minutes: int, lags: list[int], value: str = "avgUsageKw") -> DataFrame:
+def _shifted(rollup: DataFrame, minutes: int, lags: list[int], value: str = "avgUsageKw", keep: list[str] = ()) -> DataFrame:
     """One row per (window, lag j): the window's value placed at slot start + j*n."""
     size = minutes * MINUTE_MS
     return rollup.select(
         "siteId", F.col(value).alias("_v"),
         F.explode(F.array(*[F.lit(j) for j in lags])).alias("_j"),
-        "windowStart",
+        "windowStart", *keep,
     ).withColumn("_slot", F.col("windowStart") + F.col("_j") * F.lit(size))
 
 
@@ -67,15 +67,16 @@ def moving_avg(rollup: DataFrame, minutes: int, k: int) -> DataFrame:
         "avgUsageKw", "movingAvgUsageKw", "maWindows")
 
 
-def trailing_sigma(rollup: DataFrame, minutes: int, k: int) -> DataFrame:
-    """Mean and sample σ of ``a`` over the ``k`` preceding windows (not the current)."""
-    s = _shifted(rollup, minutes, list(range(k + 1)))
+def trailing_sigma(rollup: DataFrame, minutes: int, k: int, keep: list[str] | None = None) -> DataFrame:
+    """Mean and sample σ of ``a`` over the ``k`` preceding windows (not the current); ``keep``: columns of the window's own row."""
+    s = _shifted(rollup, minutes, list(range(k + 1)), keep=keep or [])
     prior = F.when(F.col("_j") > 0, F.col("_v"))
     g = s.groupBy("siteId", F.col("_slot").alias("windowStart")).agg(
         F.max(F.when(F.col("_j") == 0, F.col("_v"))).alias("avgUsageKw"),
         F.avg(prior).alias("trailingMean"),
         F.stddev_samp(prior).alias("trailingSigma"),
         F.count(prior).alias("trailingWindows"),
+        *[F.max(F.when(F.col("_j") == 0, F.col(c))).alias(c) for c in keep or []],
         F.count_if(F.col("_j") == 0).alias("_self"))
     return g.where("_self > 0").drop("_self")
 

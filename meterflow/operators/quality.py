@@ -128,6 +128,21 @@ def ops_output(readings: DataFrame, limits: dict | None = None) -> DataFrame:
     return readings.withColumn("reasons", reasons).where(F.col("reasons") != F.lit(""))
 
 
+def window_findings(rollup: DataFrame, size_ms: int | None = None, slide_ms: int | None = None) -> DataFrame:
+    """Q2 in the ops schema: windows that fail a check, under their start."""
+    bad = window_range(rollup, size_ms, slide_ms).where("NOT windowValid")
+    none = F.lit(None)
+    return bad.select(none.cast("bigint").alias("event_id"), none.cast("string").alias("meterId"), "siteId", F.col("windowStart").alias("timestamp"),
+                      F.lit("window_range").alias("reasons"))
+
+
+def absence_findings(absent: DataFrame) -> DataFrame:
+    """Q6 in the ops schema: windows of a site without a reading, under their start."""
+    none = F.lit(None)
+    return absent.select(none.cast("bigint").alias("event_id"), none.cast("string").alias("meterId"), "siteId", F.col("windowStart").alias("timestamp"),
+                         F.lit("absent_window").alias("reasons"))
+
+
 def audit_snapshot(readings: DataFrame, minutes: int, slide_minutes: int | None = None) -> DataFrame:
     """O3: window statistics snapshot (A1-A6, σ, null counts) per site-window."""
     return R.site_rollup(readings, minutes, slide_minutes, audit=True)

@@ -21,7 +21,7 @@ from meterflow.schema import MINUTE_MS, SITE_WINDOW_FIELDS
 OPTIONAL_METRICS = ["voltage", "current", "pf"]
 _AVG_NAME = {"voltage": "avgVoltage", "current": "avgCurrent", "pf": "avgPf"}
 CARRY_COLUMNS = ["sumVoltage", "voltageCount", "sumCurrent", "currentCount", "sumPf", "pfCount",
-                 "firstArrival"]
+                 "firstArrival", "m2UsageKw"]
 
 
 def _arrival_key(arrival: str | list[str]) -> Column:
@@ -91,6 +91,8 @@ def site_rollup(readings: DataFrame, minutes: float, slide_minutes: float | None
     w = window_column(time_col, minutes, slide_minutes).alias("window")
     aggs = _base_aggs(arrival)
     extra = []
+    if carry:  # sum of squared deviations from the mean
+        aggs += [(F.var_pop("usageKw") * F.count("usageKw")).alias("m2UsageKw")]
     if audit:
         aggs += [F.stddev_samp("usageKw").alias("stddevUsageKw")]
         aggs += [F.count_if(F.col(m).isNull()).alias(f"{m}Nulls") for m in OPTIONAL_METRICS]
@@ -103,26 +105,58 @@ def site_rollup(readings: DataFrame, minutes: float, slide_minutes: float | None
     return _finish(g, minutes, carry, extra)
 
 
-def merge_rollup(rollup: DataFrame, to_minutes: int) -> DataFrame:
-    """Roll carried rollup rows up to a coarser tumbling size.
+def stddev_of_moments() -> Column:
+    """Sample standard deviation of a carried row (n, mean, sum of squared deviations); null for one reading."""
+    return F.when(F.col("count") > 1, F.sqrt(F.col("m2UsageKw") / (F.col("count") - 1)))
 
-    Sums and counts add, min/max combine, the first-seen meter is the one
-    with the smallest arrival key; equals a direct rollup at ``to_minutes``.
+
+def _merged(rollup: DataFrame, *keys) -> DataFrame:
+    """Combine carried rows: sums and counts add, min/max combine, the first-seen meter has the smallest arrival key.
+
+    Squared deviations merge pairwise by (n, mean, M2), which loses no digits
+    where means are far from 0; a group holds as many rows as small windows
+    fit into a large one.
     """
-    size = to_minutes * MINUTE_MS
-    start = F.col("windowStart") - F.pmod(F.col("windowStart"), F.lit(size))
-    g = rollup.groupBy(F.col("siteId"), start.alias("windowStart")).agg(
+    moments = F.struct(F.col("count").cast("double").alias("n"), F.col("avgUsageKw").alias("m"), F.col("m2UsageKw").alias("s"))
+
+    def merge(a, b):
+        n, d = a["n"] + b["n"], b["m"] - a["m"]
+        return F.struct(n.alias("n"), (a["m"] + d * b["n"] / n).alias("m"), (a["s"] + b["s"] + d * d * a["n"] * b["n"] / n).alias("s"))
+
+    g = rollup.groupBy(*keys).agg(
         F.sum("count").alias("count"),
         F.sum("sumUsageKw").alias("sumUsageKw"),
         F.max("maxUsageKw").alias("maxUsageKw"),
         F.min("minUsageKw").alias("minUsageKw"),
-        *[F.sum(c).alias(c) for c in CARRY_COLUMNS if c != "firstArrival"],
+        *[F.sum(c).alias(c) for c in CARRY_COLUMNS if c not in ("firstArrival", "m2UsageKw")],
         F.min_by("meterId", "firstArrival").alias("meterId"),
         F.min("firstArrival").alias("firstArrival"),
-    ).withColumn("windowEnd", F.col("windowStart") + F.lit(size))
+        F.collect_list(moments).alias("_m"))
+    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("m"), F.lit(0.0).alias("s"))
+    return g.withColumn("m2UsageKw", F.aggregate("_m", zero, merge)["s"]).drop("_m")
+
+
+def merge_rollup(rollup: DataFrame, to_minutes: int, slide_minutes: int | None = None) -> DataFrame:
+    """Roll carried rollup rows up to a coarser size (A9); equals a direct rollup at ``to_minutes``.
+
+    With ``slide_minutes`` (a multiple of the rows' size), windows slide: each
+    row goes to the ``to_minutes / slide_minutes`` windows it lies in.
+    """
+    size, step = to_minutes * MINUTE_MS, (slide_minutes or to_minutes) * MINUTE_MS
+    last = F.col("windowStart") - F.pmod(F.col("windowStart"), F.lit(step))
+    starts = F.explode(F.array(*[last - F.lit(j * step) for j in range(size // step)])) if size > step else last
+    rows = rollup.select(*[c for c in rollup.columns if c not in ("windowStart", "windowEnd")], starts.alias("windowStart"))
+    g = _merged(rows, "siteId", "windowStart").withColumn("windowEnd", F.col("windowStart") + F.lit(size))
     return _finish(g, to_minutes, True, [])
 
 
+def merge_windows(rollup: DataFrame, to_minutes: float, slide_minutes: float | None = None) -> DataFrame:
+    """A9 for streams: closed, carried rows (with their ``window``) into coarser windows, by the inner windows' time."""
+    g = _merged(rollup, window_column(F.window_time("window"), to_minutes, slide_minutes).alias("window"), F.col("siteId"))
+    g = g.withColumns({"windowStart": ts_to_epoch_ms(F.col("window.start")), "windowEnd": ts_to_epoch_ms(F.col("window.end"))})
+    return _finish(g, to_minutes, True, ["window"])
+
+
 def size_label() -> Column:
     """``5m`` for whole minutes; below a minute the size field is 0 and the label is like ``15s``."""
     seconds = ((F.col("windowEnd") - F.col("windowStart")) / 1000).cast("int").cast("string")

@@ -19,8 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# groups up to this size are ranked over all their distinct values
-EXACT_SMALL_GROUP = 200_000
+#: Sketches find a rank with an error of at most 1/accuracy of the group's size.
+SKETCH_ACCURACY = 10_000
 
 
 def salt_of(cols: list[str], buckets: int) -> Column:
@@ -37,59 +37,74 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], salt_cols: list
     return b.join(s, on + ["_salt"], how).drop("_salt")
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                      salt_cols: list[str], accuracy: int = 10_000,
-                      small_group: int = EXACT_SMALL_GROUP, prefix: str = "p") -> DataFrame:
-    """Exact continuous percentiles (linear interpolation between the two
-    neighbouring ranks, as ``percentile`` / ``quantile_cont``) per group.
+def sketch_quantiles(value: str, probs: list[float], accuracy: int = SKETCH_ACCURACY) -> Column:
+    """Aggregate of bounded size: approximate quantiles on both sides of each probability (ascending), as one array.
+
+    The two lie 3/accuracy below and above, so with the sketch's own error
+    they bracket the wanted ranks with a margin of 2/accuracy of the group.
+    """
+    d = 3 / accuracy
+    return F.percentile_approx(value, [min(max(q, 0.0), 1.0) for p in probs for q in (p - d, p + d)], accuracy)
 
-    Returns ``keys`` + ``n`` + one column ``{prefix}{i}`` per probability.
 
-    Groups of up to ``small_group`` values are ranked over all their distinct
-    values.  Larger groups keep only the values between the sketch's
-    ``p -/+ 3/accuracy`` quantiles: the sketch's rank error is at most
-    ``n/accuracy``, so the bracket holds both target ranks with a margin of
-    ``2n/accuracy`` (>= 40 values at the threshold) and everything outside it
-    collapses into one "below" and one "above" count during the partial
-    aggregation.
+def ranked_percentiles(vals: DataFrame, bounds: DataFrame, keys: list[str], value: str, probs: list[float], salt_cols: list[str],
+                       accuracy: int = SKETCH_ACCURACY, small_group: int | None = None, prefix: str = "p") -> DataFrame:
+    """Exact continuous percentiles of ``vals`` per group, ranked inside given brackets.
+
+    ``bounds``: ``keys``, ``n`` and ``bracket`` (:func:`sketch_quantiles` for
+    the same, ascending ``probs``).  A value outside all brackets collapses
+    into the count of its gap during the partial aggregation, so a group's
+    sort holds the distinct values of its brackets only.  Groups of up to
+    ``small_group`` values (``accuracy`` unless given: below that a bracket
+    may be narrower than the neighbouring ranks) keep all of theirs.  A rank
+    that falls into a gap is an error, never a wrong value.  Returns ``keys``,
+    ``n`` (values ranked) and one column ``{prefix}{i}`` per probability.
     """
-    eps = 1.0 / accuracy
-    d = 3 * eps
-    n_p = len(probs)
-    lo_q = [min(max(p - d, 0.0), 1.0) for p in probs]
-    hi_q = [min(max(p + d, 0.0), 1.0) for p in probs]
-    vals = df.select(*keys, *[c for c in salt_cols if c not in keys], F.col(value).alias("_x")) \
-             .where(F.col("_x").isNotNull())
-    sketch = vals.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_x", lo_q + hi_q, accuracy).alias("_a"))
+    small_group = accuracy if small_group is None else small_group
+    d = 3 / accuracy
     ninf, pinf = F.lit(float("-inf")), F.lit(float("inf"))
-    per_p = F.array(*[F.struct(
-        F.lit(i).alias("_pi"),
-        (ninf if p - d <= 0 else F.col("_a")[i]).alias("_lo"),
-        (pinf if p + d >= 1 else F.col("_a")[n_p + i]).alias("_hi"),
-        (F.lit(p) * (F.col("_n") - 1)).alias("_r")) for i, p in enumerate(probs)])
-    bounds = sketch.select(*keys, "_n", F.inline(per_p))
-
-    j = salted_join(vals, bounds, keys, salt_cols)
     x = F.col("_x")
-    keep = (F.col("_n") <= small_group) | ((x >= F.col("_lo")) & (x <= F.col("_hi")))
-    xk = F.when(keep, x).when(x < F.col("_lo"), ninf).otherwise(pinf)
-    counts = j.groupBy(*keys, "_pi", "_n", "_r", xk.alias("_xk")).agg(F.count(F.lit(1)).alias("_c"))
-
-    w = Window.partitionBy(*keys, "_pi").orderBy("_xk").rowsBetween(Window.unboundedPreceding, 0)
-    t = counts.withColumn("_cum", F.sum("_c").over(w))
-    rlo, rhi = F.floor("_r"), F.ceil("_r")
-    first_rank = F.col("_cum") - F.col("_c")
-    hit_lo = (first_rank <= rlo) & (rlo < F.col("_cum"))
-    hit_hi = (first_rank <= rhi) & (rhi < F.col("_cum"))
-    picked = t.groupBy(*keys, "_pi", "_n", "_r").agg(
-        F.max(F.when(hit_lo, F.col("_xk"))).alias("_xl"),
-        F.max(F.when(hit_hi, F.col("_xk"))).alias("_xh"))
-    # a target rank outside its bracket would mean that the sketch broke its bound
-    broken = F.coalesce(F.abs("_xl") == F.lit(float("inf")), F.lit(True)) | F.coalesce(F.abs("_xh") == F.lit(float("inf")), F.lit(True))
-    q = F.when(broken, F.raise_error(F.lit("a percentile's rank lies outside its bracket")).cast("double")).otherwise(
-        F.col("_xl") + (F.col("_r") - F.floor("_r")) * (F.col("_xh") - F.col("_xl")))
-    return picked.groupBy(*keys).agg(
-        F.max("_n").alias("n"),
-        *[F.max(F.when(F.col("_pi") == i, q)).alias(f"{prefix}{i}") for i in range(n_p)])
+    low = [ninf if p - d <= 0 else F.col("bracket")[2 * i] for i, p in enumerate(probs)]
+    high = [pinf if p + d >= 1 else F.col("bracket")[2 * i + 1] for i, p in enumerate(probs)]
+    j = salted_join(vals.select(*keys, *[c for c in salt_cols if c not in keys], F.col(value).alias("_x")).where("_x IS NOT NULL"),
+                    bounds.select(*keys, "n", "bracket"), keys, salt_cols)
+    inside = F.col("n") <= small_group
+    below = ninf  # a gap is named by the upper edge of the bracket below it
+    for lo, hi in zip(low, high):
+        inside = inside | ((x >= lo) & (x <= hi))
+        below = F.when(x > hi, hi).otherwise(below)
+    j = j.select(*keys, F.when(inside, x).otherwise(below).alias("_xk"), (~inside).alias("_gap"))
+    counts = j.groupBy(*keys, "_xk", "_gap").agg(F.count(F.lit(1)).alias("_c"))
+
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("_xk", "_gap").rowsBetween(Window.unboundedPreceding, 0)
+    t = counts.withColumns({"_cum": F.sum("_c").over(upto), "n": F.sum("_c").over(group)})
+    start = F.col("_cum") - F.col("_c")
+
+    def at(rank: Column) -> Column:
+        hit = (start <= rank) & (rank < F.col("_cum"))
+        broken = F.raise_error(F.lit("a percentile's rank lies outside its bracket")).cast("double")
+        return F.max(F.when(hit, F.when(F.col("_gap"), broken).otherwise(F.col("_xk"))))
+
+    picks = {}
+    for i, p in enumerate(probs):
+        r = F.lit(p) * (F.col("n") - 1)
+        picks[f"_l{i}"], picks[f"_h{i}"] = at(F.floor(r)), at(F.ceil(r))
+    picked = t.groupBy(*keys, "n").agg(*[c.alias(k) for k, c in picks.items()])
+    r = [F.lit(p) * (F.col("n") - 1) for p in probs]
+    return picked.select(*keys, "n", *[(F.col(f"_l{i}") + (r[i] - F.floor(r[i])) * (F.col(f"_h{i}") - F.col(f"_l{i}"))).alias(f"{prefix}{i}")
+                                       for i in range(len(probs))])
+
+
+def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
+                      salt_cols: list[str], accuracy: int = SKETCH_ACCURACY,
+                      small_group: int | None = None, prefix: str = "p") -> DataFrame:
+    """Exact continuous percentiles (linear interpolation between the two
+    neighbouring ranks, as ``percentile`` / ``quantile_cont``) per group,
+    for ascending ``probs``: a sketch brackets the ranks, then the values
+    inside the brackets are ranked.  Returns ``keys`` + ``n`` + one column
+    ``{prefix}{i}`` per probability.
+    """
+    vals = df.where(F.col(value).isNotNull())
+    bounds = vals.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), sketch_quantiles(value, probs, accuracy).alias("bracket"))
+    return ranked_percentiles(vals, bounds, keys, value, probs, salt_cols, accuracy, small_group, prefix)

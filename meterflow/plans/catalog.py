@@ -87,8 +87,13 @@ def _readings(spark, sf_dir):
     return load_readings(spark, sf_dir)
 
 
+def _usage(spark, sf_dir):
+    """Readings for queries on usage alone: the electrical fields are not read."""
+    return load_readings(spark, sf_dir, electrical=False)
+
+
 def _hourly(spark, sf_dir):
-    return R.site_rollup(_readings(spark, sf_dir), METRIC_MINUTES)
+    return R.site_rollup(_usage(spark, sf_dir), METRIC_MINUTES)
 
 
 @register("late_routing")
@@ -109,17 +114,15 @@ def q_moving_avg(spark, sf_dir):
 
 @register("sigma")
 def q_sigma(spark, sf_dir):
-    """Within-window σ of readings and trailing σ of the 4 preceding hourly means."""
-    r = _readings(spark, sf_dir)
-    audit = R.site_rollup(r, METRIC_MINUTES, audit=True).select(
-        "siteId", "windowStart", "count", "stddevUsageKw")
-    trail = M.trailing_sigma(R.site_rollup(r, METRIC_MINUTES), METRIC_MINUTES, SIGMA_WINDOWS)
-    return present(audit.join(trail, ["siteId", "windowStart"]))
+    """Within-window σ of readings and trailing σ of the 4 preceding hourly means, from one rollup."""
+    audit = R.site_rollup(_usage(spark, sf_dir), METRIC_MINUTES, audit=True)
+    trail = M.trailing_sigma(audit, METRIC_MINUTES, SIGMA_WINDOWS, keep=["count", "stddevUsageKw"])
+    return present(trail.select("siteId", "windowStart", "count", "stddevUsageKw", "avgUsageKw", "trailingMean", "trailingSigma", "trailingWindows"))
 
 
 @register("profile_deviation")
 def q_profile_deviation(spark, sf_dir):
-    r = _readings(spark, sf_dir)
+    r = _usage(spark, sf_dir)
     return present(M.profile_deviation(R.site_rollup(r, METRIC_MINUTES), r, load_profile_factor("windowStart")))
 
 
@@ -131,33 +134,33 @@ def q_detect_spike(spark, sf_dir):
 
 @register("detect_sustained")
 def q_detect_sustained(spark, sf_dir):
-    return present(D.detect_sustained(D.sustained_windows(_readings(spark, sf_dir))).drop("explain"))
+    return present(D.detect_sustained(D.sustained_windows(_usage(spark, sf_dir))).drop("explain"))
 
 
 @register("detect_silence")
 def q_detect_silence(spark, sf_dir):
-    return present(D.detect_silence(D.meter_gaps(_readings(spark, sf_dir))).drop("explain"))
+    return present(D.detect_silence(D.meter_gaps(_usage(spark, sf_dir))).drop("explain"))
 
 
 @register("detect_zscore")
 def q_detect_zscore(spark, sf_dir):
-    return present(D.detect_zscore(_readings(spark, sf_dir)).drop("explain"))
+    return present(D.detect_zscore(_usage(spark, sf_dir)).drop("explain"))
 
 
 @register("detect_iqr")
 def q_detect_iqr(spark, sf_dir):
-    return present(D.detect_iqr(_readings(spark, sf_dir)).drop("explain"))
+    return present(D.detect_iqr(_usage(spark, sf_dir)).drop("explain"))
 
 
 def _alerts(spark, sf_dir):
     """All rules as of the last reading, so that meters silent until then are included."""
-    r = _readings(spark, sf_dir)
+    r = _usage(spark, sf_dir)
     return D.standard_alerts(r, METRIC_MINUTES, r.agg(F.max("timestamp")).first()[0])
 
 
 @register("alerts_all")
 def q_alerts_all(spark, sf_dir):
-    return present(_alerts(spark, sf_dir).drop("explain"))
+    return present(_alerts(spark, sf_dir))
 
 
 @register("alerts_index_routing")
@@ -169,7 +172,7 @@ def q_alerts_index_routing(spark, sf_dir):
 
 @register("scaled_usage")
 def q_scaled_usage(spark, sf_dir):
-    r = _readings(spark, sf_dir)
+    r = _usage(spark, sf_dir)
     scaled = X.scaled_float("usageKw")
     return present(r.select("event_id", "usageKw", scaled.alias("usageScaled"),
                             (scaled / F.lit(100.0)).alias("usageStored")))
@@ -177,7 +180,7 @@ def q_scaled_usage(spark, sf_dir):
 
 @register("load_profile")
 def q_load_profile(spark, sf_dir):
-    r = _readings(spark, sf_dir)
+    r = _usage(spark, sf_dir)
     return present(r.select("event_id", "timestamp", X.utc_hour("timestamp").alias("hourUtc"),
                             F.weekday(X.epoch_ms_to_date("timestamp")).alias("weekday"),
                             load_profile_factor("timestamp").alias("expectedFactor")))
@@ -185,52 +188,46 @@ def q_load_profile(spark, sf_dir):
 
 @register("index_routing")
 def q_index_routing(spark, sf_dir):
-    ro = R.with_document_keys(R.site_rollup(_readings(spark, sf_dir), 15))
+    ro = R.with_document_keys(R.site_rollup(_usage(spark, sf_dir), 15))
     return present(ro.select("siteId", "windowStart", "windowEnd", "index_name",
                              X.epoch_ms_to_date("windowEnd").alias("index_date")))
 
 
 @register("doc_id")
 def q_doc_id(spark, sf_dir):
-    ro = R.with_document_keys(R.site_rollup(_readings(spark, sf_dir), 1))
+    ro = R.with_document_keys(R.site_rollup(_usage(spark, sf_dir), 1))
     return present(ro.select("siteId", "windowStart", "windowSizeMinutes", "doc_id"))
 
 
 @register("raw_index_routing")
 def q_raw_index_routing(spark, sf_dir):
-    r = _readings(spark, sf_dir)
+    r = _usage(spark, sf_dir)
     return present(r.select("event_id", "meterId", "siteId", "timestamp",
                             X.raw_index_name("timestamp").alias("index_name")))
 
 
 @register("index_date_parse")
 def q_index_date_parse(spark, sf_dir):
-    ro = R.with_document_keys(R.site_rollup(_readings(spark, sf_dir), 15))
+    ro = R.with_document_keys(R.site_rollup(_usage(spark, sf_dir), 15))
     names = ro.select("index_name").distinct()
     return present(names.select("index_name", X.index_date_from_name("index_name").alias("index_date")))
 
 
 @register("index_inventory")
 def q_index_inventory(spark, sf_dir):
-    ro = R.with_document_keys(R.site_rollup(_readings(spark, sf_dir), 15))
+    ro = R.with_document_keys(R.site_rollup(_usage(spark, sf_dir), 15))
     return present(ro.groupBy("index_name").agg(F.count(F.lit(1)).alias("docCount")))
 
 
 @register("dq_value_range")
 def q_dq_value_range(spark, sf_dir):
-    q = Q.value_range(_readings(spark, sf_dir), max_kw=FIXTURE_MAX_KW)
+    q = Q.value_range(_usage(spark, sf_dir), max_kw=FIXTURE_MAX_KW)
     return present(q.select("event_id", "meterId", "siteId", "usageKw", "reason"))
 
 
 @register("dq_window_range")
 def q_dq_window_range(spark, sf_dir):
-    """Sliding windows, some of which are damaged by rule: a start off the grid, or an end before the start."""
-    ro = R.site_rollup(_readings(spark, sf_dir), 60, 15)
-    slot = F.pmod(F.col("windowStart") / 900_000, F.lit(11)).cast("int")
-    bad = ro.withColumns({
-        "windowEnd": F.when(slot == 3, F.col("windowStart") - 60_000).otherwise(F.col("windowEnd")),
-        "windowStart": F.when(slot == 7, F.col("windowStart") + 1000).otherwise(F.col("windowStart"))})
-    return present(Q.window_range(bad, slide_ms=900_000))
+    return present(Q.window_range(_damaged_windows(spark, sf_dir), slide_ms=900_000))
 
 
 @register("dq_missing_site")
@@ -255,13 +252,13 @@ def q_dq_power_identity(spark, sf_dir):
 
 @register("dq_absent_site_windows")
 def q_dq_absent_site_windows(spark, sf_dir):
-    return present(Q.absent_site_windows(_readings(spark, sf_dir), 15))
+    return present(Q.absent_site_windows(_usage(spark, sf_dir), 15))
 
 
 @register("dq_absent_sites")
 def q_dq_absent_sites(spark, sf_dir):
     """Hourly windows without a reading for a list of sites, two of which never report, over the table's whole range."""
-    r = _readings(spark, sf_dir)
+    r = _usage(spark, sf_dir)
     sites = r.select(F.concat(F.lit("SITE-"), (F.substring("meterId", 5, 10).cast("int") % 7).cast("string")).alias("siteId")).distinct()
     lo, hi = r.agg(F.min("timestamp"), F.max("timestamp")).first()
     return present(Q.absent_site_windows(r, METRIC_MINUTES, sites, lo, hi))
@@ -273,6 +270,24 @@ def q_ops_output(spark, sf_dir):
     return present(q.select("event_id", "meterId", "siteId", "timestamp", "reasons"))
 
 
+def _damaged_windows(spark, sf_dir):
+    """Sliding windows, some of which are damaged by rule: a start off the grid, or an end before the start."""
+    ro = R.site_rollup(_usage(spark, sf_dir), 60, 15)
+    slot = F.pmod(F.col("windowStart") / 900_000, F.lit(11)).cast("int")
+    return ro.withColumns({
+        "windowEnd": F.when(slot == 3, F.col("windowStart") - 60_000).otherwise(F.col("windowEnd")),
+        "windowStart": F.when(slot == 7, F.col("windowStart") + 1000).otherwise(F.col("windowStart"))})
+
+
+@register("ops_all")
+def q_ops_all(spark, sf_dir):
+    """Every finding in one schema: readings (Q1, Q3-Q5), damaged windows (Q2) and absent hourly windows (Q6)."""
+    rows = Q.ops_output(_readings(spark, sf_dir), {"usage_max_kw": FIXTURE_MAX_KW}).select("event_id", "meterId", "siteId", "timestamp", "reasons")
+    windows = Q.window_findings(_damaged_windows(spark, sf_dir), slide_ms=900_000)
+    absent = Q.absence_findings(Q.absent_site_windows(_usage(spark, sf_dir), METRIC_MINUTES))
+    return present(rows.unionByName(windows).unionByName(absent))
+
+
 @register("audit_snapshot")
 def q_audit_snapshot(spark, sf_dir):
     return present(Q.audit_snapshot(_readings(spark, sf_dir), METRIC_MINUTES))

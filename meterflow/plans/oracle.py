@@ -34,14 +34,9 @@ def _defect_case(eid: str = "event_id") -> str:
 
 
 def _factor(ms: str) -> str:
-    h = f"(({ms}) % {DAY}) // {HOUR}"
-    dow = f"isodow({day_date(ms)})"
-    return f"""(CASE WHEN {dow} >= 6 AND {h} >= 9 AND {h} < 18 THEN CAST(0.4 AS DOUBLE)
-      WHEN {dow} >= 6 THEN CAST(0.2 AS DOUBLE)
-      WHEN {h} >= 8 AND {h} < 18 THEN CAST(1.0 AS DOUBLE)
-      WHEN {h} >= 18 AND {h} < 22 THEN CAST(0.5 AS DOUBLE)
-      WHEN {h} >= 6 AND {h} < 8 THEN CAST(0.6 AS DOUBLE)
-      ELSE CAST(0.25 AS DOUBLE) END)"""
+    away = f"abs(CAST((({ms}) % {DAY}) // {HOUR} AS INTEGER) - 14)"
+    day = f"(CAST(1 AS DOUBLE) - CAST(0.05 AS DOUBLE) * least({away}, 24 - {away}))"
+    return f"(CASE WHEN isodow({day_date(ms)}) >= 6 THEN {day} * CAST(0.8 AS DOUBLE) ELSE {day} END)"
 
 
 HOURLY = f"{READINGS}, {rollup_cte('ro', 60)}"
@@ -104,7 +99,7 @@ SILENCE_CTE = f"""g AS (SELECT meterId, siteId, "timestamp" AS lastSeen, usageKw
 DAYWIN_CTE = f"""r2 AS (SELECT *, "timestamp" - "timestamp" % {DAY} AS windowStart FROM readings),
   st AS (SELECT siteId, windowStart, avg(usageKw) AS mu, stddev_samp(usageKw) AS sigma, count(*) AS n
          FROM r2 GROUP BY siteId, windowStart),
-  zs AS (SELECT r2."timestamp", r2.meterId, r2.siteId, r2.usageKw, 'ZSCORE' AS alertType,
+  zs AS (SELECT r2."timestamp", r2.meterId, r2.siteId, r2.usageKw, n, 'ZSCORE' AS alertType,
     CASE WHEN abs((usageKw - mu) / sigma) >= 6 THEN 'CRITICAL' ELSE 'WARNING' END AS alertLevel,
     r2.windowStart, mu, sigma, (usageKw - mu) / sigma AS zScore
     FROM r2 JOIN st USING (siteId, windowStart) WHERE sigma > 0 AND abs((usageKw - mu) / sigma) >= 3),
@@ -135,18 +130,36 @@ ORACLE["detect_iqr"] = f"""WITH {READINGS}, {DAYWIN_CTE}
 SELECT "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw, alertType, alertLevel, windowStart,
   round(q1, 6) AS q1, round(q3, 6) AS q3 FROM iq"""
 
-ALERTS_CTE = f"""{HOURLY}, {DELTA_CTE}, {SUSTAINED_CTE}, {SILENCE_CTE}, {DAYWIN_CTE},
+def _fig(x: str, digits: int = 2) -> str:
+    return f"CAST(CAST(CAST({x} + {ROUND_SHIFT!r} AS DECIMAL(38,6)) AS DECIMAL(38,{digits})) AS VARCHAR)"
+
+
+_IQR = "1.5 * (q3 - q1)"
+_SILENT = "'no reading for more than 86400 s'"
+
+
+def _alerts_cte(spike: str = "true", sustained: str = "true", tail: str = "true", day: str = "true") -> str:
+    """All rules in the alert schema; the arguments limit them to closed windows."""
+    cols = '"timestamp", meterId, siteId, usageKw, alertType, alertLevel'
+    return f"""{HOURLY}, {DELTA_CTE}, {SUSTAINED_CTE}, {SILENCE_CTE}, {DAYWIN_CTE},
   alerts AS (
-    SELECT "timestamp", meterId, siteId, usageKw, alertType, alertLevel FROM ({SPIKE_SELECT}) s
-    UNION ALL SELECT "timestamp", meterId, siteId, usageKw, alertType, alertLevel FROM sustained
-    UNION ALL SELECT "timestamp", meterId, siteId, usageKw, alertType, alertLevel FROM silence
-    UNION ALL SELECT lastSeen + {DAY}, meterId, siteId, usageKw, 'SILENCE', 'WARNING' FROM g
-      WHERE nextSeen IS NULL AND (SELECT max("timestamp") FROM readings) - lastSeen > {DAY}
-    UNION ALL SELECT "timestamp", meterId, siteId, usageKw, alertType, alertLevel FROM zs
-    UNION ALL SELECT "timestamp", meterId, siteId, usageKw, alertType, alertLevel FROM iq)"""
+    SELECT windowStart AS "timestamp", CAST(NULL AS VARCHAR) AS meterId, siteId, avgUsageKw AS usageKw, 'SPIKE' AS alertType,
+      CASE WHEN deltaPct >= 200 THEN 'CRITICAL' ELSE 'WARNING' END AS alertLevel,
+      concat('avg ', {_fig('avgUsageKw')}, ' kW vs ', {_fig('prevAvgUsageKw')}, ' kW in the previous 60-minute window (+',
+             {_fig('deltaPct', 1)}, '%)') AS "explain" FROM delta WHERE deltaPct >= 100 AND ({spike})
+    UNION ALL SELECT {cols}, concat("count", ' readings in 60 minutes all >= 40.0 kW (min ', {_fig('minUsageKw')}, ' kW)') FROM sustained WHERE {sustained}
+    UNION ALL SELECT {cols}, {_SILENT} FROM silence
+    UNION ALL SELECT lastSeen + {DAY}, meterId, siteId, usageKw, 'SILENCE', 'WARNING', {_SILENT} FROM g
+      WHERE nextSeen IS NULL AND ({tail})
+    UNION ALL SELECT {cols}, concat('z = ', {_fig('zScore')}, ' (mean ', {_fig('mu')}, ' kW, sigma ', {_fig('sigma')}, ' kW, n = ', n, ')') FROM zs WHERE {day}
+    UNION ALL SELECT {cols}, concat('outside [', {_fig(f'q1 - {_IQR}')}, ', ', {_fig(f'q3 + {_IQR}')}, '] kW (q1 ', {_fig('q1')}, ', q3 ', {_fig('q3')}, ')')
+      FROM iq WHERE {day})"""
+
+
+ALERTS_CTE = _alerts_cte(tail=f'(SELECT max("timestamp") FROM readings) - lastSeen > {DAY}')
 
 ORACLE["alerts_all"] = f"""WITH {ALERTS_CTE}
-SELECT "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw, alertType, alertLevel FROM alerts"""
+SELECT "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw, alertType, alertLevel, "explain" FROM alerts"""
 
 ORACLE["alerts_index_routing"] = f"""WITH {ALERTS_CTE}
 SELECT "timestamp", meterId, siteId, alertType,
@@ -245,6 +258,11 @@ ORACLE["ops_output"] = f"""WITH {READINGS},
          THEN 'power_identity' END) AS reasons FROM readings)
 SELECT * FROM o WHERE reasons <> ''"""
 
+ORACLE["ops_all"] = f"""SELECT event_id, meterId, siteId, "timestamp", reasons FROM ({ORACLE['ops_output']}) o
+UNION ALL SELECT CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), siteId, windowStart, 'window_range' FROM ({ORACLE['dq_window_range']}) w WHERE NOT windowValid
+UNION ALL SELECT CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), siteId, windowStart, 'absent_window'
+  FROM ({ORACLE['dq_absent_site_windows'].replace('900000', str(HOUR))}) a"""
+
 ORACLE["audit_snapshot"] = f"""WITH {READINGS}, {rollup_cte('ro', 60, extra=''', stddev_samp(usageKw) AS stddevUsageKw,
     count(*) FILTER (WHERE voltage IS NULL) AS voltageNulls,
     count(*) FILTER (WHERE "current" IS NULL) AS currentNulls,
@@ -384,5 +402,46 @@ SELECT "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw, alertType, al
 WHERE windowStart + {DAY} <= {CLOSED}"""
 
 
+ORACLE["stream_iqr"] = f"""WITH {READINGS}, {DAYWIN_CTE}
+SELECT "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw, alertType, alertLevel, windowStart,
+  round(q1, 6) AS q1, round(q3, 6) AS q3 FROM iq WHERE windowStart + {DAY} <= {CLOSED}"""
+
+ORACLE["stream_alerts"] = f"""WITH {_alerts_cte(f'windowEnd <= {CLOSED}', f'windowEnd <= {CLOSED}', f'lastSeen + {DAY} <= {CLOSED}', f'windowStart + {DAY} <= {CLOSED}')}
+SELECT concat_ws('-', alertType, siteId, coalesce(meterId, ''), CAST("timestamp" AS VARCHAR)) AS alert_id, "timestamp", meterId, siteId,
+  round(usageKw, 6) AS usageKw, CAST(floor(round(usageKw, 6) * 100 + 0.5) AS BIGINT) AS usageScaled, alertType, alertLevel, "explain",
+  concat('power-alerts-', {index_date('"timestamp"')}) AS index_name FROM alerts"""
+
+ORACLE["stream_sigma"] = f"""WITH {READINGS} SELECT * FROM ({ORACLE['sigma']}) s WHERE windowStart + {HOUR} <= {CLOSED}"""
+ORACLE["stream_audit"] = f"""WITH {READINGS} SELECT * FROM ({ORACLE['audit_snapshot']}) s WHERE windowEnd <= {CLOSED}"""
+ORACLE["stream_cascade"] = f"""WITH {READINGS} SELECT * FROM ({ORACLE['site_rollup_5m']}) s WHERE windowEnd <= {CLOSED}"""
+ORACLE["stream_absent_sites"] = f"""WITH {READINGS} SELECT * FROM ({ORACLE['dq_absent_sites']}) s WHERE windowEnd <= {CLOSED}"""
+ORACLE["stream_silence_total"] = f"""WITH {READINGS}, {SILENCE_CTE}
+SELECT lastSeen + {DAY} AS "timestamp", meterId, siteId, round(usageKw, 6) AS usageKw, 'SILENCE' AS alertType, 'WARNING' AS alertLevel,
+  {_SILENT} AS "explain", lastSeen FROM g WHERE nextSeen - lastSeen > {DAY} OR nextSeen IS NULL"""
+
+ORACLE["stream_restart"] = f"""WITH {READINGS}, {DECODED_CTE}
+SELECT event_id, CASE WHEN defect IN ('unknown_key', 'bad_voltage', 'truncated') THEN 'dead'
+  WHEN defect IN ('no_site', 'no_timestamp') THEN 'ops'
+  WHEN ingestMs - "timestamp" <= 120000 THEN 'raw' ELSE 'late' END AS output,
+  CAST(event_id % 3 // 2 AS BIGINT) AS run FROM d WHERE defect IS NULL OR defect <> 'tombstone'"""
+
+ORACLE["stream_future_time"] = f"""WITH {READINGS}, ok AS (SELECT * FROM readings WHERE event_id % 1009 <> 5), {rollup_cte('ro', 60, source='ok')}
+SELECT {SITE_WINDOW_SELECT}, {agg_index_name()} AS index_name, {doc_id()} AS doc_id FROM ro
+WHERE windowEnd <= (SELECT max("timestamp") FROM ok) - 120000"""
+
+ORACLE["store_compacted"] = ORACLE["site_rollup_15m"]
+
+ORACLE["retention_applied"] = f"""WITH {READINGS}
+SELECT event_id, meterId, "timestamp", {date_text('"timestamp"')} AS index_date FROM readings
+WHERE date_diff('day', {day_date('"timestamp"')}, DATE '2024-01-20') <= 14"""
+
+ORACLE["index_unexpected_days"] = f"""WITH {READINGS}, {rollup_cte('ro', 15)},
+  c AS (SELECT {day_date('windowEnd')} AS d, count(*) AS n FROM ro WHERE ({day_date('windowEnd')} - DATE '1970-01-01') % 5 <> 3 GROUP BY 1),
+  e AS (SELECT CAST(unnest(generate_series(DATE '2024-01-04', DATE '2024-02-03', INTERVAL 1 DAY)) AS DATE) AS d)
+SELECT strftime(coalesce(c.d, e.d), '%Y-%m-%d') AS index_date, coalesce(n, 0) AS docCount,
+  CASE WHEN e.d IS NULL THEN 'unexpected' WHEN c.d IS NULL THEN 'missing' ELSE 'present' END AS status
+FROM c FULL OUTER JOIN e ON c.d = e.d"""
+
+
 # Same shifted half-up rounding as ``plans.present`` (every ``round(x, 6)`` above).
 ORACLE = {k: v.replace(", 6)", f" + {ROUND_SHIFT!r}, 6)") for k, v in ORACLE.items()}

@@ -2,27 +2,26 @@
 
 The original sink indexes each window result under ``{siteId}-{windowStart}``
 in a daily index, so a replayed result overwrites the earlier one.  Here the
-store is a log: each micro-batch owns the folder ``run=R/batch_id=N``, which a
-repeated batch replaces as a whole, and readers take the latest (run, batch)
-per document key.  A run is one checkpoint's life: a restart from the same
-checkpoint keeps its run, a new checkpoint (whose batch ids start at 0 again)
-gets the next one, so versions only grow.  :func:`compact` folds the log into
-one version per key, keeps the versions, and can take further batches.
+store is a log of batches (:mod:`meterflow.sinks.commits`): every row carries
+the run and micro-batch that wrote it, and readers take the latest (run,
+batch) per document key.  A new checkpoint, whose batch ids start at 0 again,
+gets the next run, so versions only grow.  :func:`compact` folds the log into
+one version per key in place; the log goes on taking batches.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from meterflow.functions.expressions import epoch_ms_to_date
 from meterflow.operators.rollup import with_document_keys
+from meterflow.sinks.commits import VERSION, Store
 
 # the index name holds the window size and the day; the date is in the key so that a day's filter prunes folders
 DOC_KEY = ["windowSizeMinutes", "index_date", "index_name", "doc_id"]
-PARTITIONS = ["windowSizeMinutes", "index_date"]
-VERSION = ["run", "batch_id"]
+PARTITIONS = ("windowSizeMinutes", "index_date")
+OUTPUT = "documents"
 
 
 def to_documents(rollup: DataFrame) -> DataFrame:
@@ -31,43 +30,38 @@ def to_documents(rollup: DataFrame) -> DataFrame:
 
 
 def open_run(spark: SparkSession, path: str, checkpoint: str) -> int:
-    """Run number of a checkpoint on this store; a checkpoint not seen before gets the next number."""
-    runs = f"{path.rstrip('/')}/_runs"
-    schema = "checkpoint string, run bigint"
-    try:
-        known = spark.read.schema(schema).parquet(runs)
-        row = known.agg(F.max("run").alias("last"), F.max(F.when(F.col("checkpoint") == checkpoint, F.col("run"))).alias("own")).first()
-    except AnalysisException:  # no run yet
-        row = None
-    if row and row["own"] is not None:
-        return row["own"]
-    run = (row["last"] if row and row["last"] is not None else -1) + 1
-    spark.createDataFrame([(checkpoint, run)], schema).write.mode("append").parquet(runs)
-    return run
+    """Run number of a checkpoint on this log."""
+    return Store(spark, path).open_run(checkpoint)
 
 
 def write_batch(docs: DataFrame, path: str, batch_id: int, run: int = 0) -> None:
     """Write one batch of documents; a repeat replaces exactly what the batch wrote before."""
-    (docs.write.mode("overwrite").partitionBy(*PARTITIONS)
-     .parquet(f"{path.rstrip('/')}/run={run}/batch_id={batch_id}"))
+    store = Store(docs.sparkSession, path)
+    commit = store.begin(run, batch_id)
+    store.write(OUTPUT, docs, commit, run, batch_id, PARTITIONS)
+    store.commit(commit, run, batch_id)
+    store.drop_earlier(OUTPUT, commit, run, batch_id)
 
 
-def latest_wins(spark: SparkSession, path: str, key: list[str] | None = None) -> DataFrame:
-    """One row per document key: the version of the highest (run, batch).
+def newest(rows: DataFrame, key: list[str]) -> DataFrame:
+    """One row per key: the version of the highest (run, batch).
 
     ``max_by`` is a partial aggregate, so repeated replays of a hot key are
-    reduced before the shuffle.  A filter on the size or day prunes folders.
+    reduced before the shuffle.
     """
-    key = key or DOC_KEY
-    log = spark.read.option("basePath", path).parquet(path)
-    cols = [c for c in log.columns if c not in key]
-    latest = log.groupBy(*key).agg(F.max_by(F.struct(*cols), F.struct(*VERSION)).alias("_d"))
+    cols = [c for c in rows.columns if c not in key]
+    latest = rows.groupBy(*key).agg(F.max_by(F.struct(*cols), F.struct(*VERSION)).alias("_d"))
     return latest.select(*key, "_d.*")
 
 
-def compact(spark: SparkSession, path: str, out_path: str) -> None:
-    """Write the latest version of every document, under its run and batch, into a new log."""
-    latest_wins(spark, path).write.mode("overwrite").partitionBy(*VERSION, *PARTITIONS).parquet(out_path)
+def latest_wins(spark: SparkSession, path: str, key: list[str] | None = None) -> DataFrame:
+    """The newest version of every document.  A filter on the size or day prunes folders."""
+    return newest(Store(spark, path).read(OUTPUT).drop("commit"), key or DOC_KEY)
+
+
+def compact(spark: SparkSession, path: str, key: list[str] | None = None) -> None:
+    """Fold the log into the newest version of every document, in place."""
+    Store(spark, path).compact(OUTPUT, lambda rows: newest(rows, key or DOC_KEY), PARTITIONS)
 
 
 def elasticsearch_writer(docs: DataFrame, nodes: str, resource: str = "{index_name}"):

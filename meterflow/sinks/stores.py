@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.functions.expressions import alert_index_name, epoch_ms_to_date, raw_index_name
+from meterflow.functions.expressions import alert_index_name, epoch_ms_to_date, raw_index_name, scaled_float
 from meterflow.schema import ALERT, READING
 
 
@@ -27,8 +27,14 @@ def raw_documents(readings: DataFrame) -> DataFrame:
         "index_date": epoch_ms_to_date("timestamp")})
 
 
+ALERT_KEY = ["index_date", "alert_id"]
+
+
 def alert_documents(alerts: DataFrame) -> DataFrame:
+    """Alerts with their index, their id (rule, site, meter, time) and the usage as the index stores it."""
     return typed(alerts, ALERT).withColumns({
+        "alert_id": F.concat_ws("-", "alertType", F.coalesce("siteId", F.lit("")), F.coalesce("meterId", F.lit("")), F.col("timestamp").cast("string")),
+        "usageScaled": scaled_float(F.round(F.col("usageKw") + F.lit(3e-8), 6)),  # the last bits of a mean must not decide
         "index_name": alert_index_name("timestamp"),
         "index_date": epoch_ms_to_date("timestamp")})
 

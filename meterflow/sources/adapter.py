@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.functions.expressions import epoch_ms_to_ts, ntz_to_epoch_ms
+from meterflow.functions.expressions import epoch_ms_to_ts, ntz_to_epoch_ms, once
 
 READING_COLUMNS = ["meterId", "siteId", "timestamp", "usageKw", "voltage", "current", "pf",
                    "event_id", "ingestMs"]
@@ -20,18 +20,19 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def readings_from_events(events: DataFrame, with_ts: bool = True) -> DataFrame:
+def readings_from_events(events: DataFrame, with_ts: bool = True, electrical: bool = True) -> DataFrame:
     """Map ``events`` rows to readings.
 
     meterId ``MTR-`` + user id padded to 4; site ``SITE-`` + user_id mod 5;
     epoch-ms timestamp; ``value`` is usageKw; voltage, pf and current follow
     the ``k`` property (nulls on multiples of 10, 7 and 5; one high-voltage
     value; a 20 % current error on multiples of 11); arrival time
-    ``ingestMs = timestamp + k * 10 s`` drives the lateness rules.
+    ``ingestMs = timestamp + k * 10 s`` drives the lateness rules.  The
+    property is parsed once a row; without ``electrical`` it is not read, and
+    the fields that follow from it are null.
     """
-    # a plain projection: a query that uses none of the fields derived from k never reads ``props``
-    parsed = events.select("event_id", "ts", "user_id", "value",
-                           F.get_json_object("props", "$.k").cast("int").alias("k"))
+    base = events.select("event_id", "ts", "user_id", "value", *(["props"] if electrical else []))
+    parsed = once(base, F.get_json_object("props", "$.k").cast("int"), "k") if electrical else base.withColumn("k", F.lit(None).cast("int"))
     k = F.col("k")
     base = parsed.select(
         F.concat(F.lit("MTR-"), F.lpad(F.col("user_id").cast("string"), 4, "0")).alias("meterId"),
@@ -58,5 +59,5 @@ def readings_from_events(events: DataFrame, with_ts: bool = True) -> DataFrame:
     return out
 
 
-def load_readings(spark: SparkSession, sf_dir: str, with_ts: bool = True) -> DataFrame:
-    return readings_from_events(load_table(spark, sf_dir, "events"), with_ts=with_ts)
+def load_readings(spark: SparkSession, sf_dir: str, with_ts: bool = True, electrical: bool = True) -> DataFrame:
+    return readings_from_events(load_table(spark, sf_dir, "events"), with_ts=with_ts, electrical=electrical)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterflow.functions.expressions import once
+from meterflow.operators.lateness import AHEAD_MS
 from meterflow.schema import READING_FIELDS
 
 CORRUPT = "_corrupt"
@@ -54,13 +55,17 @@ def _infinite(value: Column) -> Column:
 
 def decode_payloads(df: DataFrame, value_col: str = "value", mode: str = "lenient",
                     keep: list[str] | None = None, min_ms: int = MIN_TIMESTAMP_MS,
-                    max_ms: int = MAX_TIMESTAMP_MS) -> DataFrame:
+                    max_ms: int = MAX_TIMESTAMP_MS, arrival_ms: str | None = None,
+                    ahead_ms: int = AHEAD_MS) -> DataFrame:
     """Parse JSON readings; returns fields + ``_raw``, ``reasons``, ``dead``, ``emit``.
 
     ``keep`` lists pass-through columns (arrival keys such as Kafka offsets or
     ``event_id``). Null payloads and the JSON literal ``null`` yield no row.
     An empty text in a number field counts as missing.  Infinite usage and
     timestamps outside ``[min_ms, max_ms]`` give no reading, only ops rows.
+    Where ``arrival_ms`` names the arrival time (one of ``keep``), so do
+    timestamps more than ``ahead_ms`` after it: one wrong clock must not move
+    a stream's watermark past all other readings.
     """
     if mode not in ("lenient", "strict"):
         raise ValueError("mode must be 'lenient' or 'strict'")
@@ -74,9 +79,11 @@ def decode_payloads(df: DataFrame, value_col: str = "value", mode: str = "lenien
     txt = {f: F.col(f"p.{f}") for f in READING_FIELDS}
     for f in ["timestamp", "usageKw", *_OPTIONAL]:
         txt[f] = F.when(F.trim(txt[f]) != F.lit(""), txt[f])
-    ts_val = F.coalesce(txt["timestamp"].try_cast("bigint"), _number(txt["timestamp"]).try_cast("bigint"))
-    kw_val = _number(txt["usageKw"])
-    opt_val = {f: _number(txt[f]) for f in _OPTIONAL}
+    ts_num = F.coalesce(txt["timestamp"].try_cast("bigint"), _number(txt["timestamp"]).try_cast("bigint"))
+    # the numbers are used in many conditions: each text is tested and cast once
+    parsed = once(parsed, F.struct(ts_num.alias("timestamp"), *[_number(txt[f]).alias(f) for f in ["usageKw", *_OPTIONAL]]), "v")
+    ts_val, kw_val = F.col("v.timestamp"), F.col("v.usageKw")
+    opt_val = {f: F.col(f"v.{f}") for f in _OPTIONAL}
 
     unknown = F.array_except(F.coalesce(F.json_object_keys("_raw"), F.array().cast("array<string>")),
                              F.array(*[F.lit(f) for f in READING_FIELDS]))
@@ -87,6 +94,7 @@ def decode_payloads(df: DataFrame, value_col: str = "value", mode: str = "lenien
     ts_bad = txt["timestamp"].isNotNull() & ts_val.isNull()
     kw_bad = txt["usageKw"].isNotNull() & kw_val.isNull()
     ts_far = ts_val.isNotNull() & ((ts_val < min_ms) | (ts_val > max_ms))
+    ts_ahead = F.coalesce(ts_val > F.col(arrival_ms) + F.lit(ahead_ms), F.lit(False)) & ~ts_far if arrival_ms else F.lit(False)
     opt_bad = {f: txt[f].isNotNull() & (opt_val[f].isNull() | F.isnan(opt_val[f]) | _infinite(opt_val[f]))
                for f in _OPTIONAL}
     any_opt_bad = opt_bad["voltage"] | opt_bad["current"] | opt_bad["pf"]
@@ -109,13 +117,14 @@ def decode_payloads(df: DataFrame, value_col: str = "value", mode: str = "lenien
         _reason(kw_nan, "nan_usage"),
         _reason(kw_inf, "infinite_usage"),
         _reason(ts_far, "timestamp_out_of_range"),
+        _reason(ts_ahead, "timestamp_ahead"),
         _reason(opt_bad["voltage"], "bad_voltage"),
         _reason(opt_bad["current"], "bad_current"),
         _reason(opt_bad["pf"], "bad_pf"),
         _reason(has_unknown, "unknown_keys"),
     ), lambda x: x.isNotNull())
 
-    blocked = site_missing | kw_nan | kw_inf | ts_far
+    blocked = site_missing | kw_nan | kw_inf | ts_far | ts_ahead
     if mode == "strict":
         blocked = blocked | ts_missing | kw_missing
 

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from meterflow.functions.expressions import console_line, ts_to_epoch_ms
 from meterflow.operators import rollup as R
+from meterflow.operators.detect import silence_text
+from meterflow.operators.skew import SKETCH_ACCURACY, sketch_quantiles
 from meterflow.schema import MINUTE_MS
 
 WATERMARK = "120 seconds"
@@ -39,9 +41,73 @@ def with_processing_time(readings: DataFrame, clock: Column | None = None) -> Da
 
 
 def stream_rollup(readings: DataFrame, minutes: int, slide_minutes: int | None = None,
-                  time_col: str = "ts", carry: bool = False, keep_window: bool = False) -> DataFrame:
-    return R.site_rollup(readings, minutes, slide_minutes, time_col=time_col, carry=carry,
-                         keep_window=keep_window)
+                  time_col: str = "ts", carry: bool = False, keep_window: bool = False,
+                  arrival: str | list[str] = "event_id", audit: bool = False) -> DataFrame:
+    return R.site_rollup(readings, minutes, slide_minutes, arrival=arrival, time_col=time_col, carry=carry,
+                         keep_window=keep_window, audit=audit)
+
+
+def stream_cascade(readings: DataFrame, sizes: list[float], arrival: str | list[str] = "event_id", keep_window: bool = False) -> DataFrame:
+    """Closed windows of the last of ``sizes``, each level aggregated from the closed windows of the one before.
+
+    The source is read once and the state of a level is one row per site and
+    open window of it; sums and counts are carried (A9), so the result equals
+    the direct rollup.  Sizes are minutes, each a multiple of the one before.
+    """
+    level = stream_rollup(readings, sizes[0], carry=True, keep_window=True, arrival=arrival)
+    for m in sizes[1:]:
+        level = R.merge_windows(level, m)
+    return level if keep_window else level.drop("window")
+
+
+def stream_sigma(readings: DataFrame, minutes: int, k: int, base_minutes: int, arrival: str | list[str] = "event_id") -> DataFrame:
+    """σ inside each closed window, and mean and σ of the ``k`` window means before it.
+
+    Windows of ``base_minutes`` close with (n, mean, sum of squared
+    deviations); these merge exactly into the windows of ``minutes``, whose
+    means feed a sliding window of ``k + 1`` of them.
+    """
+    level = R.merge_windows(stream_rollup(readings, base_minutes, carry=True, keep_window=True, arrival=arrival), minutes)
+    span = F.window(F.window_time("window"), f"{(k + 1) * minutes * 60} seconds", f"{minutes * 60} seconds").alias("ow")
+    end = ts_to_epoch_ms(F.col("ow.end"))
+    rows = level.select("siteId", "windowStart", "windowEnd", "count", "avgUsageKw", R.stddev_of_moments().alias("stddevUsageKw"), "window")
+    current = F.col("windowEnd") == F.col("_end")
+    prior = F.when(~current, F.col("avgUsageKw"))
+    rows = rows.select(span, "*").withColumn("_end", end)
+    g = rows.groupBy("ow", "siteId").agg(
+        F.max(F.when(current, F.col("windowStart"))).alias("windowStart"), F.max(F.when(current, F.col("count"))).alias("count"),
+        F.max(F.when(current, F.col("stddevUsageKw"))).alias("stddevUsageKw"), F.max(F.when(current, F.col("avgUsageKw"))).alias("avgUsageKw"),
+        F.avg(prior).alias("trailingMean"), F.stddev_samp(prior).alias("trailingSigma"), F.count(prior).alias("trailingWindows"))
+    return g.where("windowStart IS NOT NULL").drop("ow")
+
+
+def with_clock(readings: DataFrame, clock: DataFrame) -> DataFrame:
+    """Readings and clock ticks as one stream with one event time, before the watermark.
+
+    ``clock`` has ``ts``, ``timestamp`` and ``siteId`` (null for a bare
+    tick).  Ticks make time pass when no reading arrives; they must run
+    behind the arrival by the lag that readings may have.
+    """
+    return readings.withColumn("tick", F.lit(False)).unionByName(clock.withColumn("tick", F.lit(True)), allowMissingColumns=True)
+
+
+def after_watermark(df: DataFrame, condition: Column) -> DataFrame:
+    """A filter that stays above the watermark, so that the rows it drops have moved it."""
+    return df.where(F.when(F.col("ts").isNotNull(), condition))
+
+
+def stream_absent(ticked: DataFrame, minutes: int) -> DataFrame:
+    """Closed windows in which an expected site has no reading.
+
+    ``ticked``: :func:`with_clock` under a watermark, with one tick for each
+    expected site and window.  A site's expectation and its readings meet in
+    one state row per window, which says at its close whether any came.
+    """
+    g = after_watermark(ticked, F.col("siteId").isNotNull()).groupBy(R.window_column("ts", minutes).alias("window"), "siteId").agg(
+        F.count_if(~F.col("tick")).alias("_n"), F.count_if("tick").alias("_expected"))
+    return g.where("_n = 0 AND _expected > 0").select(
+        "siteId", ts_to_epoch_ms(F.col("window.start")).alias("windowStart"), ts_to_epoch_ms(F.col("window.end")).alias("windowEnd"),
+        F.lit(minutes).cast("int").alias("windowSizeMinutes"))
 
 
 def stream_delta_pct(readings: DataFrame, minutes: int) -> DataFrame:
@@ -90,7 +156,7 @@ def stream_silence(readings: DataFrame, silence_ms: int, arrival: str = "event_i
     g = g.select("*", "_l.siteId", "_l.usageKw")
     return g.select(
         (F.col("lastSeen") + F.lit(silence_ms)).alias("timestamp"), "meterId", "siteId", "usageKw",
-        F.lit("SILENCE").alias("alertType"), F.lit("WARNING").alias("alertLevel"),
+        F.lit("SILENCE").alias("alertType"), F.lit("WARNING").alias("alertLevel"), silence_text(silence_ms).alias("explain"),
         "firstSeen", "lastSeen", "readings")
 
 
@@ -98,32 +164,13 @@ def console_lines(rollup: DataFrame, job_name: str) -> DataFrame:
     return rollup.select(console_line(job_name).alias("value"))
 
 
-def stream_zscore(readings: DataFrame, size_ms: int, limit: float, salts: int = 8) -> DataFrame:
-    """Readings with |z| >= limit against their own closed site-window statistics.
+def closed_day_stats(readings: DataFrame, size_ms: int, probs: list[float], accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """Statistics of each closed (site, window): ``n``, ``mu``, ``sigma`` and the bracket of each percentile.
 
-    Statistics come from a windowed aggregation of the same stream; each
-    reading waits in the join state until its window's statistics are
-    emitted (bounded by the window size plus the watermark delay).  The join
-    key carries a deterministic salt so a hot site-window's buffered
-    readings spread over ``salts`` state partitions.
+    State is one row per site and open window: moments and a quantile sketch
+    of bounded size, whatever the number of readings.
     """
-    size_s = size_ms // 1000
-    stats = readings.groupBy(F.window("ts", f"{size_s} seconds").alias("w"), "siteId").agg(
-        F.avg("usageKw").alias("mu"), F.stddev_samp("usageKw").alias("sigma"),
-        F.count(F.lit(1)).alias("n"))
-    stats = stats.select(
-        F.col("siteId").alias("s_site"), ts_to_epoch_ms(F.col("w.start")).alias("s_start"),
-        F.col("w.end").alias("s_end"), "mu", "sigma", "n",
-        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("s_salt"))
-    r = readings.withColumns({
-        "r_start": F.col("timestamp") - F.pmod(F.col("timestamp"), F.lit(size_ms)),
-        "r_salt": F.pmod(F.xxhash64("meterId", "timestamp", "usageKw"), F.lit(salts)).cast("int")})
-    j = r.join(stats, F.expr(f"""siteId = s_site AND r_start = s_start AND r_salt = s_salt
-        AND s_end > ts AND s_end <= ts + INTERVAL {size_s} SECONDS"""))
-    z = F.try_divide(F.col("usageKw") - F.col("mu"), F.col("sigma"))
-    return j.withColumn("zScore", z).where(
-        F.col("sigma").isNotNull() & (F.col("sigma") > 0) & (F.abs("zScore") >= limit)).select(
-        "timestamp", "meterId", "siteId", "usageKw", F.lit("ZSCORE").alias("alertType"),
-        F.when(F.abs("zScore") >= 2 * limit, F.lit("CRITICAL")).otherwise(F.lit("WARNING"))
-         .alias("alertLevel"),
-        F.col("r_start").alias("windowStart"), "mu", "sigma", "zScore")
+    g = readings.groupBy(F.window("ts", f"{size_ms // 1000} seconds").alias("w"), "siteId").agg(
+        F.count("usageKw").alias("n"), F.avg("usageKw").alias("mu"), F.stddev_samp("usageKw").alias("sigma"),
+        sketch_quantiles("usageKw", probs, accuracy).alias("bracket"))
+    return g.select("siteId", ts_to_epoch_ms(F.col("w.start")).alias("windowStart"), "n", "mu", "sigma", "bracket")

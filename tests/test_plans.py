@@ -34,6 +34,19 @@ def test_properties_are_not_read_where_nothing_uses_them(spark):
         assert "ReadSchema" in p and "props" not in p, name
 
 
+def test_texts_are_parsed_once(spark):
+    for name in ("ops_output", "dq_power_identity", "dq_electrical_limits", "site_rollup_15m", "decode_json", "decode_strict"):
+        p = _plan(QUERIES[name](spark, SF_SMALL)).split("== Initial Plan ==")[0]
+        assert p.count("get_json_object") <= 1 and p.count("RLIKE") <= 5 and p.count("from_json") <= 1, name
+
+
+def test_alerts_scan_the_readings_five_times_at_most(spark):
+    df = QUERIES["alerts_all"](spark, SF_SMALL)
+    df.collect()
+    p = _plan(df).split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in p and p.count("FileScan") <= 5  # rollup, statistics, ranks, judgement, silence
+
+
 def test_one_day_of_the_document_log_prunes_folders(spark):
     path = scratch_path(spark, "test-log")
     S.write_batch(S.to_documents(R.site_rollup(load_readings(spark, SF_SMALL), 60)), path, 0)
