@@ -16,7 +16,7 @@ from meterflow.functions.expressions import figure
 from meterflow.operators import metrics as M
 from meterflow.operators import rollup as R
 from meterflow.operators.skew import exact_percentiles, ranked_percentiles, salted_join, sketch_quantiles
-from meterflow.schema import ALERT_FIELDS, DAY_MS
+from meterflow.schema import ALERT_FIELDS, DAY_MS, MINUTE_MS
 
 SPIKE_WARNING_PCT = 100.0
 SPIKE_CRITICAL_PCT = 200.0
@@ -32,6 +32,20 @@ BASE_MINUTES = 15
 SALT_COLS = ["meterId", "timestamp", "usageKw"]
 
 
+def spike_level(critical: float) -> Column:
+    return F.when(F.col("deltaPct") >= critical, F.lit("CRITICAL")).otherwise(F.lit("WARNING"))
+
+
+def spike_text() -> Column:
+    return F.format_string("avg %s kW vs %s kW in the previous %d-minute window (%s%%)", figure("avgUsageKw"), figure("prevAvgUsageKw"),
+                           "windowSizeMinutes", figure("deltaPct", 1, sign=True))
+
+
+def sustained_text(threshold_kw: float) -> Column:
+    return F.format_string("%d readings in %d minutes all >= %.1f kW (min %s kW)", "count", "windowSizeMinutes", F.lit(float(threshold_kw)),
+                           figure("minUsageKw"))
+
+
 def silence_text(silence_ms: int) -> Column:
     return F.format_string("no reading for more than %d s", F.lit(silence_ms // 1000))
 
@@ -51,9 +65,8 @@ def detect_spike(deltas: DataFrame, warning: float = SPIKE_WARNING_PCT,
     return deltas.where(d >= warning).select(
         F.col("windowStart").alias("timestamp"), F.lit(None).cast("string").alias("meterId"),
         "siteId", F.col("avgUsageKw").alias("usageKw"), F.lit("SPIKE").alias("alertType"),
-        F.when(d >= critical, F.lit("CRITICAL")).otherwise(F.lit("WARNING")).alias("alertLevel"),
-        F.format_string("avg %s kW vs %s kW in the previous %d-minute window (%s%%)", figure("avgUsageKw"), figure("prevAvgUsageKw"),
-                        "windowSizeMinutes", figure("deltaPct", 1, sign=True)).alias("explain"),
+        spike_level(critical).alias("alertLevel"),
+        spike_text().alias("explain"),
         "windowSizeMinutes", "deltaPct")
 
 
@@ -73,8 +86,7 @@ def detect_sustained(windows: DataFrame, threshold_kw: float = SUSTAINED_KW) ->
         F.col("windowStart").alias("timestamp"), F.lit(None).cast("string").alias("meterId"),
         "siteId", F.col("avgUsageKw").alias("usageKw"), F.lit("SUSTAINED").alias("alertType"),
         F.lit("WARNING").alias("alertLevel"),
-        F.format_string("%d readings in %d minutes all >= %.1f kW (min %s kW)", "count",
-                        "windowSizeMinutes", F.lit(float(threshold_kw)), figure("minUsageKw")).alias("explain"),
+        sustained_text(threshold_kw).alias("explain"),
         "windowEnd", "count", "minUsageKw")
 
 
@@ -202,9 +214,9 @@ def day_outliers(readings: DataFrame, stats: DataFrame, size_ms: int = DAY_MS, l
     """
     keys = ["siteId", "windowStart"]
     r = readings.withColumn("windowStart", F.col("timestamp") - F.pmod(F.col("timestamp"), F.lit(size_ms)))
-    q = ranked_percentiles(r, stats, keys, "usageKw", QUARTILES, SALT_COLS, prefix="_q").drop("n")
+    q = ranked_percentiles(r, stats, keys, "usageKw", QUARTILES, SALT_COLS, prefix="_q", carry=["mu", "sigma"])
     iqr = F.col("_q1") - F.col("_q0")
-    facts = stats.drop("bracket").join(q, keys).select(
+    facts = q.select(
         *keys, "n", "mu", "sigma", F.col("_q0").alias("q1"), F.col("_q1").alias("q3"),
         (F.col("_q0") - F.lit(factor) * iqr).alias("lowerFence"), (F.col("_q1") + F.lit(factor) * iqr).alias("upperFence"))
     j = salted_join(r, facts, keys, SALT_COLS).withColumn("zScore", F.when(F.col("sigma") > 0, F.try_divide(F.col("usageKw") - F.col("mu"), F.col("sigma"))))
@@ -220,17 +232,30 @@ def day_outliers(readings: DataFrame, stats: DataFrame, size_ms: int = DAY_MS, l
     return hits.select("timestamp", "meterId", "siteId", "usageKw", "_a.*", "windowStart", "mu", "sigma", "zScore", "q1", "q3")
 
 
+def window_alerts(sliding: DataFrame, minutes: int, threshold_kw: float = SUSTAINED_KW, min_count: int = SUSTAINED_MIN_COUNT,
+                  warning: float = SPIKE_WARNING_PCT, critical: float = SPIKE_CRITICAL_PCT) -> DataFrame:
+    """Sustained alerts of sliding windows and spike alerts of those on the grid of ``minutes``, in one pass over the rollup."""
+    rows = M.delta_pct(sliding, minutes, keep=["count", "minUsageKw"])
+    on_grid = F.pmod("windowStart", F.lit(minutes * MINUTE_MS)) == 0
+    spike = F.when(on_grid & (F.col("deltaPct") >= warning),
+                   F.struct(F.lit("SPIKE").alias("alertType"), spike_level(critical).alias("alertLevel"), spike_text().alias("explain")))
+    sustained = F.when((F.col("minUsageKw") >= threshold_kw) & (F.col("count") >= min_count),
+                       F.struct(F.lit("SUSTAINED").alias("alertType"), F.lit("WARNING").alias("alertLevel"), sustained_text(threshold_kw).alias("explain")))
+    return rows.select(F.col("windowStart").alias("timestamp"), F.lit(None).cast("string").alias("meterId"), "siteId", F.col("avgUsageKw").alias("usageKw"),
+                       F.explode(F.filter(F.array(spike, sustained), lambda x: x.isNotNull())).alias("_a")) \
+        .select("timestamp", "meterId", "siteId", "usageKw", "_a.*")
+
+
 def standard_alerts(readings: DataFrame, minutes: int = 60, as_of_ms: int | None = None) -> DataFrame:
     """Every rule with its default parameters on one readings frame.
 
     With ``as_of_ms``, meters that are still silent then give an alert too.
-    Hourly and sliding windows are merged from one 15-minute rollup, and
-    z-score and IQR share their statistics and their join.
+    Windows slide by 15 minutes, merged from one rollup, and the hourly ones
+    are those on the hour; z-score and IQR share statistics and join.
     """
     base = R.site_rollup(readings, BASE_MINUTES, carry=True)
     return all_alerts([
-        detect_spike(M.delta_pct(R.merge_rollup(base, minutes), minutes)),
-        detect_sustained(sustained_of(R.merge_rollup(base, 60, BASE_MINUTES))),
+        window_alerts(R.merge_rollup(base, minutes, BASE_MINUTES), minutes),
         detect_silence(meter_gaps(readings, as_of_ms=as_of_ms)),
         day_outliers(readings, day_stats(readings)),
     ])

@@ -36,18 +36,19 @@ def _shifted(rollup: DataFrame, minutes: int, lags: list[int], value: str = "avg
     ).withColumn("_slot", F.col("windowStart") + F.col("_j") * F.lit(size))
 
 
-def delta_pct(rollup: DataFrame, minutes: int) -> DataFrame:
-    """Δ% of every window against its calendar-adjacent predecessor."""
-    s = _shifted(rollup, minutes, [0, 1])
+def delta_pct(rollup: DataFrame, minutes: int, keep: list[str] | None = None) -> DataFrame:
+    """Δ% of every window against its calendar-adjacent predecessor; ``keep``: columns of the window's own row."""
+    s = _shifted(rollup, minutes, [0, 1], keep=keep or [])
     g = s.groupBy("siteId", F.col("_slot").alias("windowStart")).agg(
         F.max(F.when(F.col("_j") == 0, F.col("_v"))).alias("avgUsageKw"),
         F.max(F.when(F.col("_j") == 1, F.col("_v"))).alias("prevAvgUsageKw"),
+        *[F.max(F.when(F.col("_j") == 0, F.col(c))).alias(c) for c in keep or []],
         F.count_if(F.col("_j") == 0).alias("_self"))
     size = minutes * MINUTE_MS
     return g.where("_self > 0").select(
         "siteId", "windowStart", (F.col("windowStart") + F.lit(size)).alias("windowEnd"),
         F.lit(minutes).cast("int").alias("windowSizeMinutes"),
-        "avgUsageKw", "prevAvgUsageKw",
+        *(keep or []), "avgUsageKw", "prevAvgUsageKw",
         (F.try_divide(F.col("avgUsageKw") - F.col("prevAvgUsageKw"), F.col("prevAvgUsageKw"))
          * F.lit(100)).alias("deltaPct"))
 

@@ -48,7 +48,7 @@ def sketch_quantiles(value: str, probs: list[float], accuracy: int = SKETCH_ACCU
 
 
 def ranked_percentiles(vals: DataFrame, bounds: DataFrame, keys: list[str], value: str, probs: list[float], salt_cols: list[str],
-                       accuracy: int = SKETCH_ACCURACY, small_group: int | None = None, prefix: str = "p") -> DataFrame:
+                       accuracy: int = SKETCH_ACCURACY, small_group: int | None = None, prefix: str = "p", carry: list[str] = ()) -> DataFrame:
     """Exact continuous percentiles of ``vals`` per group, ranked inside given brackets.
 
     ``bounds``: ``keys``, ``n`` and ``bracket`` (:func:`sketch_quantiles` for
@@ -58,7 +58,8 @@ def ranked_percentiles(vals: DataFrame, bounds: DataFrame, keys: list[str], valu
     ``small_group`` values (``accuracy`` unless given: below that a bracket
     may be narrower than the neighbouring ranks) keep all of theirs.  A rank
     that falls into a gap is an error, never a wrong value.  Returns ``keys``,
-    ``n`` (values ranked) and one column ``{prefix}{i}`` per probability.
+    ``n`` (values ranked), the columns ``carry`` of ``bounds`` and one column
+    ``{prefix}{i}`` per probability.
     """
     small_group = accuracy if small_group is None else small_group
     d = 3 / accuracy
@@ -67,14 +68,14 @@ def ranked_percentiles(vals: DataFrame, bounds: DataFrame, keys: list[str], valu
     low = [ninf if p - d <= 0 else F.col("bracket")[2 * i] for i, p in enumerate(probs)]
     high = [pinf if p + d >= 1 else F.col("bracket")[2 * i + 1] for i, p in enumerate(probs)]
     j = salted_join(vals.select(*keys, *[c for c in salt_cols if c not in keys], F.col(value).alias("_x")).where("_x IS NOT NULL"),
-                    bounds.select(*keys, "n", "bracket"), keys, salt_cols)
+                    bounds.select(*keys, "n", "bracket", *carry), keys, salt_cols)
     inside = F.col("n") <= small_group
     below = ninf  # a gap is named by the upper edge of the bracket below it
     for lo, hi in zip(low, high):
         inside = inside | ((x >= lo) & (x <= hi))
         below = F.when(x > hi, hi).otherwise(below)
-    j = j.select(*keys, F.when(inside, x).otherwise(below).alias("_xk"), (~inside).alias("_gap"))
-    counts = j.groupBy(*keys, "_xk", "_gap").agg(F.count(F.lit(1)).alias("_c"))
+    j = j.select(*keys, *carry, F.when(inside, x).otherwise(below).alias("_xk"), (~inside).alias("_gap"))
+    counts = j.groupBy(*keys, *carry, "_xk", "_gap").agg(F.count(F.lit(1)).alias("_c"))
 
     group = Window.partitionBy(*keys)
     upto = group.orderBy("_xk", "_gap").rowsBetween(Window.unboundedPreceding, 0)
@@ -90,9 +91,9 @@ def ranked_percentiles(vals: DataFrame, bounds: DataFrame, keys: list[str], valu
     for i, p in enumerate(probs):
         r = F.lit(p) * (F.col("n") - 1)
         picks[f"_l{i}"], picks[f"_h{i}"] = at(F.floor(r)), at(F.ceil(r))
-    picked = t.groupBy(*keys, "n").agg(*[c.alias(k) for k, c in picks.items()])
+    picked = t.groupBy(*keys, *carry, "n").agg(*[c.alias(k) for k, c in picks.items()])
     r = [F.lit(p) * (F.col("n") - 1) for p in probs]
-    return picked.select(*keys, "n", *[(F.col(f"_l{i}") + (r[i] - F.floor(r[i])) * (F.col(f"_h{i}") - F.col(f"_l{i}"))).alias(f"{prefix}{i}")
+    return picked.select(*keys, *carry, "n", *[(F.col(f"_l{i}") + (r[i] - F.floor(r[i])) * (F.col(f"_h{i}") - F.col(f"_l{i}"))).alias(f"{prefix}{i}")
                                        for i in range(len(probs))])
 
 
