@@ -57,3 +57,9 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     return spark.read.parquet(path)
+
+
+def remove(spark, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

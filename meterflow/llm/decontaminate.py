@@ -20,7 +20,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterflow.llm.components import cut
+from meterflow.llm.components import cut, remove
 from meterflow.session import scratch_path
 
 WINDOW = 10
@@ -86,10 +86,10 @@ def rarest_terms(docs: DataFrame, items: DataFrame, window: int = WINDOW, rarest
             .where(f"least > 0 AND rn <= {int(rarest)}").select("k", "s", "off", "term"))
 
 
-def write_postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """The stored postings (term, rid, pos) of ``terms`` over all documents."""
+def write_postings(docs: DataFrame, terms: DataFrame, path: str | None = None) -> DataFrame:
+    """The stored postings (term, rid, pos) of ``terms`` over all documents, in a fresh folder unless ``path`` names one."""
     named, _ = _small(terms.select("term").distinct())
-    path = scratch_path(docs.sparkSession, "postings")
+    path = path or scratch_path(docs.sparkSession, "postings")
     docs.select("rid", F.posexplode(_terms(F.col("text"))).alias("pos", "term")).join(named, "term").write.parquet(path)
     return docs.sparkSession.read.parquet(path)
 
@@ -130,35 +130,26 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, span: int = 50, win
     return hit.join(items.select("k", F.explode("ids").alias("item_id")), "k").select("doc_id", "item_id").distinct()
 
 
-def _rows(docs: DataFrame, whole: bool = False) -> DataFrame:
-    """``doc_id``, ``text`` and a join key for every row; with ``whole``, also the input row as the struct ``row``."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                    *([F.struct("*").alias("row")] if whole else []))
+def _rows(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and a join key for every row."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return d.withColumn("rid", F.coalesce("doc_id", F.xxhash64("text")))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rarest: int = RAREST, whole: bool = False) -> DataFrame:
-    """Words of each document that lie in an occurrence of a benchmark window.
-
-    Returns, for every row of ``docs`` (``doc_id``, ``text``; other columns
-    are ignored), ``doc_id``, ``n_words``, ``n_hit``, ``n_items``,
-    ``items_sha256``, ``contaminated`` and the sorted ``items``; with
-    ``whole``, also the input row as the struct ``row``.  A null or
-    empty text has no words.  Repeated rows and rows with a null ``doc_id``
-    are each judged by their own text.  Empty tables give no hits or no rows.
-    """
-    docs, items = _rows(docs, whole), cut(benchmark_items(benchmark))
+def _candidates(docs: DataFrame, items: DataFrame, window: int, rarest: int, path: str | None = None) -> DataFrame:
+    """For each document (``rid``) with phrase candidates, all of them as the list ``c``."""
     sel = cut(rarest_terms(docs, items, window, rarest))
-    found = phrase_candidates(write_postings(docs, sel), sel)
-    per = (found.join(_fitting(items, F.size("iw")), "k").groupBy("rid").agg(F.collect_list(F.struct("diag", "starts", "iw", "ids")).alias("c")))
+    found = phrase_candidates(write_postings(docs, sel, path), sel)
+    return found.join(_fitting(items, F.size("iw")), "k").groupBy("rid").agg(F.collect_list(F.struct("diag", "starts", "iw", "ids")).alias("c"))
+
+
+def _judged(docs: DataFrame, text: Column, window: int, kept: list[str]) -> DataFrame:
+    """Compare ``text`` with the candidates ``c``, word by word; adds the counts to the columns ``kept``."""
     size = f"least({int(window)}, size(x.iw))"
-    kept = ["row"] if whole else []
-    docs = docs.select("rid", "doc_id", "row") if whole else docs.select("rid", "doc_id", "text")  # the text is shuffled once
-    text = F.col("row.text").cast("string") if whole else F.col("text")
     exact = F.split(_ascii_lower(text), DELIMITER)
     # one-element arrays bind a value once for the lambda inside
-    out = docs.join(per, "rid", "left").select(
-        "doc_id", *kept, F.split(text, DELIMITER_ANY_CASE).alias("raw"),
+    out = docs.select(
+        *kept, F.split(text, DELIMITER_ANY_CASE).alias("raw"),
         F.when(F.col("c").isNotNull(), F.array(F.struct(exact.alias("w"), F.col("c").alias("c")))).alias("z"))
     out = out.withColumn("v", F.expr(f"""transform(z, z -> filter(transform(z.c, x -> named_struct('ids', x.ids, 'diag', x.diag, 'len', {size},
         'ok', filter(x.starts, s -> slice(z.w, x.diag + s + 1, {size}) = slice(x.iw, s + 1, {size})))), y -> size(y.ok) > 0))"""))
@@ -166,17 +157,53 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, r
         'hit', size(array_distinct(flatten(transform(v, y -> flatten(transform(y.ok, s -> sequence(y.diag + s, y.diag + s + y.len - 1))))))),
         'items', array_sort(array_distinct(flatten(transform(v, y -> y.ids))))))[0]"""))
     n = "size(raw) - IF(raw[0] = '', 1, 0) - IF(size(raw) > 1 AND raw[size(raw) - 1] = '', 1, 0)"
-    out = out.select("doc_id", *kept, F.expr(f"CASE WHEN raw IS NULL THEN 0 ELSE {n} END").cast("long").alias("n_words"),
-                     F.coalesce(F.col("r.hit"), F.lit(0)).cast("long").alias("n_hit"),
-                     F.coalesce(F.col("r.items"), F.array().cast("array<string>")).alias("items"))
+    return out.select(*kept, F.expr(f"CASE WHEN raw IS NULL THEN 0 ELSE {n} END").cast("long").alias("n_words"),
+                      F.coalesce(F.col("r.hit"), F.lit(0)).cast("long").alias("n_hit"),
+                      F.coalesce(F.col("r.items"), F.array().cast("array<string>")).alias("items"))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rarest: int = RAREST) -> DataFrame:
+    """Words of each document that lie in an occurrence of a benchmark window.
+
+    Returns, for every row of ``docs`` (``doc_id``, ``text``; other columns
+    are ignored), ``doc_id``, ``n_words``, ``n_hit``, ``n_items``,
+    ``items_sha256``, ``contaminated`` and the sorted ``items``.  A null or
+    empty text has no words.  Repeated rows and rows with a null ``doc_id``
+    are each judged by their own text.  Empty tables give no hits or no rows.
+    """
+    docs, items = _rows(docs), cut(benchmark_items(benchmark))
+    per = _candidates(docs, items, window, rarest)
+    docs = docs.select("rid", "doc_id", "text")  # the text is shuffled once
+    out = _judged(docs.join(per, "rid", "left"), F.col("text"), window, ["doc_id"])
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
-                      F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "items", *kept)
+                      F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "items")
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, rarest: int = RAREST) -> DataFrame:
+    """The rows of ``docs``, as they are, whose text holds no benchmark window.
+
+    Only documents with candidates are read word by word, and only the keys
+    of contaminated ones (row key and hash of the text, so that rows which
+    share an id are each judged by their own text) meet all rows.  Null and
+    empty texts are clean; repeated rows stay or go together; columns of any
+    name stay; empty tables give all rows or none.  The postings are deleted
+    before the result is returned.
+    """
+    rows, items = _rows(docs), cut(benchmark_items(benchmark))
+    path = scratch_path(docs.sparkSession, "postings")
+    per = _fitting(_candidates(rows, items, window, rarest, path), F.aggregate("c", F.lit(0), lambda n, x: n + F.size(x["iw"])))
+    judged = _judged(rows.join(per, "rid").withColumn("h", F.xxhash64("text")), F.col("text"), window, ["rid", "h"])
+    bad = cut(judged.where("n_hit > 0").select("rid", "h").distinct())
+    bad = F.broadcast(bad) if bad.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS else bad
+    remove(docs.sparkSession, path)
+    rid, text = F.coalesce(docs["doc_id"].cast("long"), F.xxhash64(docs["text"].cast("string"))), docs["text"].cast("string")
+    own = docs.select(F.struct("*").alias("row"), rid.alias("rid"), F.xxhash64(text).alias("h"))
+    return own.join(bad, ["rid", "h"], "left_anti").select("row.*")
 
 
 def stage_decontaminate(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents with a benchmark window go, all others stay as they are."""
-    judged = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), whole=True)
-    return judged.where("NOT contaminated").select("row.*")
+    """Pipeline stage: documents with a benchmark window go, all others stay as they are (:func:`clean_documents`)."""
+    return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def op10_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -183,6 +183,25 @@ def test_contamination_matches_brute_force(spark, prose, odd_docs, no_docs):
     assert clean == 0
 
 
+def test_decontamination_stage_keeps_exactly_the_clean_rows(spark, prose, odd_docs, no_docs, monkeypatch):
+    bench = [(1, prose(40, 50)), (2, "Two words"), (3, None)]
+    passage = " ".join(bench[0][1].split()[5:25])
+    rows = [(1, "clean " + prose(30, 60)), (1, prose(9, 61) + " " + passage.upper().replace("É", "é")), (2, passage), (2, passage), (None, "two words"),
+            (None, None), (None, "other"), (3, ""), (4, "two  WORDS!"), (5, "two"), (6, prose(200, 62))]
+    rows = [(i, t, "x", n) for n, (i, t) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, h string, rid int").repartition(3)
+    b = spark.createDataFrame(bench, "item_id long, text string")
+    want = sorted((r for r in rows if not hits(r[1], bench)[4]), key=str)
+    assert sorted(map(tuple, decontaminate.clean_documents(docs, b).collect()), key=str) == want and 0 < len(want) < len(rows)
+    monkeypatch.setattr(decontaminate, "BROADCAST_TERMS", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_ENTRIES", 0)
+    out = decontaminate.clean_documents(docs, b)
+    assert sorted(map(tuple, out.collect()), key=str) == want and out.columns == docs.columns
+    assert sorted(map(tuple, decontaminate.clean_documents(odd_docs, b).collect()), key=str) == sorted((tuple(r) for r in odd_docs.collect() if not hits(r.text, bench)[4]), key=str)
+    assert decontaminate.clean_documents(no_docs, b).count() == 0
+    assert decontaminate.clean_documents(docs, b.limit(0)).count() == len(rows)
+
+
 def test_proximity_matches(spark, prose):
     q = [f"rare{i}" for i in range(10)]
     docs = [(1, "a b " + " x ".join(reversed(q))), (2, " ".join(q[:5]) + " y" * 200 + " " + " ".join(q[5:])), (3, "z")]
