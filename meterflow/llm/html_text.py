@@ -13,13 +13,16 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+_MARKUP = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_TAG_REST = re.compile(r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
+_TAG_SIGN = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _SPACE = re.compile(r"\s+")
@@ -50,7 +53,7 @@ PARAGRAPH = frozenset("p pre blockquote td dd li".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "drop", "score", "size", "linked", "own", "mark")
+    __slots__ = ("tag", "parent", "parts", "drop", "score", "size", "linked", "own", "mark", "inside")
 
     def __init__(self, tag, parent, drop=False, mark=frozenset()):
         self.tag, self.parent, self.drop, self.mark = tag, parent, drop, mark
@@ -58,6 +61,36 @@ class Node:
         self.score = 0.0
         self.size = self.linked = 0
         self.own = ""
+        #: Whether it is an article or main, or lies in one.
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
+
+
+class _TagEnds:
+    """Where tags end, each found in time that adds up to the length of the page.
+
+    A tag ends at the next ``>`` outside quotes.  Once a tag turns out to have
+    no end, the ends from every sign on are worked out together, backwards.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.signs, self.ends = page, None, None
+
+    def end(self, at: int) -> int:
+        """Index of the ``>`` that ends the tag whose name ends at ``at``; -1 if none does."""
+        if self.signs is None:
+            m = _TAG_REST.match(self.page, at)
+            if m:
+                return m.end() - 1
+            self.signs = [m.start() for m in _TAG_SIGN.finditer(self.page)]
+            self.ends = [-1] * len(self.signs)
+            out = double = single = -1  # the end, for a reader that is outside quotes or inside them, after this sign
+            for k in range(len(self.signs) - 1, -1, -1):
+                c = self.page[self.signs[k]]
+                out, double, single = (self.signs[k] if c == ">" else double if c == '"' else single,
+                                       out if c == '"' else double, out if c == "'" else single)
+                self.ends[k] = out
+        k = bisect_left(self.signs, at)
+        return self.ends[k] if k < len(self.signs) else -1
 
 
 def _marked(tag: str, attributes: str, inside: bool) -> tuple[bool, frozenset]:
@@ -129,68 +162,107 @@ def _spare(nodes: list[Node]) -> None:
             x.drop = False
 
 
+def _markup(page: str):
+    """The page's text and markup in order: ('text', from, to), ('close', tag, '', end) and ('open', tag, attributes, end).
+
+    The caller may send a position to go on from.  What looks like markup
+    but has no end is text.
+    """
+    at = seek = 0
+    ends, last = _TagEnds(page), page.rfind(">")
+    while True:
+        m = _MARKUP.search(page, seek)
+        if not m:
+            break
+        i, kind = m.start(), m[0][1]
+        if m[0] == "<!--":
+            stop = page.find("-->", i + 4)
+            found, end = None, len(page) if stop < 0 else stop + 3
+        elif i > last:
+            seek = i + 1
+            continue
+        elif kind in "!?":
+            found, end = None, page.find(">", i) + 1
+        else:
+            name = _NAME.match(page, i)
+            stop = page.find(">", name.end()) if kind == "/" else ends.end(name.end())
+            if stop < 0:
+                seek = i + 1
+                continue
+            end = stop + 1
+            found = ("close" if kind == "/" else "open", name[1].lower(), page[name.end():stop])
+        if i > at:
+            yield "text", at, i, 0
+        at = seek = end
+        if found:
+            on = yield *found, end
+            if on is not None:
+                at = seek = on
+                yield  # the answer to send()
+    if at < len(page):
+        yield "text", at, len(page), 0
+
+
 def parse(page: str) -> list[Node]:
     """Elements in page order, the root first; open elements are closed as browsers close them."""
     root = Node("html", None)
-    nodes, stack, at, n = [root], [root], 0, len(page)
+    nodes, stack, n = [root], [root], len(page)
+    opened: dict[str, int] = {}  # open elements by tag: walks over the stack that would find nothing are left out
+    endless: set[str] = set()
 
-    def text(a: int, b: int) -> None:
-        if b > a:
-            stack[-1].parts.append(html.unescape(page[a:b]))
+    def leave(i: int) -> None:
+        for x in stack[i:]:
+            opened[x.tag] -= 1
+        del stack[i:]
 
-    while at < n:
-        m = _TOKEN.search(page, at)
-        if not m:
-            text(at, n)
-            break
-        text(at, m.start())
-        at = m.end()
-        if m[1]:
-            tag = m[1].lower()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-        elif m[2]:
-            tag = m[2].lower()
-            if tag == "html":
-                continue
+    def close(tags: set[str]) -> None:
+        if not any(opened.get(t) for t in tags):
+            return
+        for i in range(len(stack) - 1, 0, -1):
+            if stack[i].tag in tags:
+                return leave(i)
+            if stack[i].tag in SCOPE:
+                return None
+
+    markup = _markup(page)
+    for what, tag, rest, at in markup:
+        if what == "text":
+            stack[-1].parts.append(html.unescape(page[tag:rest]))
+        elif what == "close":
+            if opened.get(tag):
+                i = len(stack) - 1
+                while stack[i].tag != tag:
+                    i -= 1
+                leave(i)
+        elif tag != "html":
             if tag in BLOCK:
-                _close(stack, {"p"})
+                close({"p"})
             if tag in CLOSED_BY:
-                _close(stack, CLOSED_BY[tag])
+                close(CLOSED_BY[tag])
             if tag == "body":  # an unclosed head ends here
-                _close(stack, {"head"})
+                close({"head"})
             up = stack[-1]
-            inside = any(x.tag in ("article", "main") for x in stack)
-            hidden, mark = _marked(tag, m[3], inside) if m[3] and tag not in ("html", "body", "article", "main") else (False, frozenset())
+            inside = up.inside
+            hidden, mark = _marked(tag, rest, inside) if rest and tag not in ("html", "body", "article", "main") else (False, frozenset())
             hidden = hidden or tag in DROPPED or tag == "header" and not inside
             node = Node(tag, up, hidden or bool(mark), frozenset() if hidden else mark)
             up.parts.append(node)
             nodes.append(node)
-            if tag in VOID or m[3].endswith("/") and tag not in BLOCK | RAW:
+            if tag in VOID or rest.endswith("/") and tag not in BLOCK | RAW:
                 continue
             if tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
-                if not end and tag == "noscript":
-                    stack.append(node)
+                end = None if tag in endless else re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
+                if not end:
+                    endless.add(tag)
+                if end or tag != "noscript":
+                    stop = page.find(">", end.end()) if end else n
+                    markup.send(n if stop < 0 else stop + 1 if end else n)
                     continue
-                stop = page.find(">", end.end()) if end else n
-                at = n if stop < 0 else stop + 1 if end else n
-                continue
             stack.append(node)
+            opened[tag] = opened.get(tag, 0) + 1
     return nodes
 
 
-def _close(stack: list[Node], tags: set[str]) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in tags:
-            del stack[i:]
-            return
-        if stack[i].tag in SCOPE and stack[i].tag not in tags:
-            return
-
-
 def _blocks(top: list[Node]) -> list[str]:
     """Text of the elements' blocks in page order, white space folded."""
     out: list[str] = []
@@ -244,6 +316,11 @@ def _points(text: str) -> float:
     return p if len(text) >= 25 else p / 10
 
 
+def _goes_on(x: Node, rank: dict, of: float) -> bool:
+    """Whether a sibling of the main article is an article of its own weight, hardly linked: the text goes on there."""
+    return x.tag == "article" and not x.drop and x.linked < 0.25 * x.size and rank.get(x, 0) >= max(10, 0.2 * of)
+
+
 def main_text(page: str | None) -> str:
     """Main text of a page: blocks joined by an empty line; '' where there is none."""
     if not page:
@@ -280,7 +357,8 @@ def main_text(page: str | None) -> str:
     while up is not None and up.tag not in ("article", "main"):
         up = up.parent
     if up is not None:
-        return "\n\n".join(_blocks([up]))
+        parts = [x for x in up.parent.parts if isinstance(x, Node)] if up.tag == "article" else [up]
+        return "\n\n".join(_blocks([x for x in parts if x is up or _goes_on(x, rank, rank.get(up, 0))]))
     if best.parent is None:
         return "\n\n".join(_blocks([best]))
     kept = []
@@ -311,7 +389,10 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     A null or empty html, or one without main text, gives an empty text.
     Null ids and urls stay null, repeated rows stay repeated, other columns
-    are ignored, and an empty table gives an empty result.
+    are ignored, and an empty table gives an empty result.  The time for a
+    page grows with its length, whatever the markup: tags without an end are
+    text, and unclosed or deeply nested elements are walked once.  Of
+    containers with equal scores the first on the page is the best.
     """
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     return p.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

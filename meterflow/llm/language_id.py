@@ -112,7 +112,8 @@ def learn_profiles(docs: DataFrame, ranks: int = RANKS) -> DataFrame:
     counts = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text").mapInArrow(_count_task, "lang string, gram long, c long")
     total = counts.groupBy("lang", "gram").agg(F.sum("c").alias("c"))
     w = Window.partitionBy("lang").orderBy(F.desc("c"), "gram")
-    return total.withColumn("rank", F.row_number().over(w) - 1).where(F.col("rank") < ranks).select("lang", "gram", "rank")
+    # the limit stands on the row number itself, so that tasks drop what can't be in a profile before the shuffle
+    return total.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= ranks).select("lang", "gram", (F.col("rn") - 1).alias("rank"))
 
 
 class Profiles:

@@ -24,7 +24,7 @@ from meterflow.llm.text_stats import QUALITY, quality_stats
 
 #: At most so many labelled rows are learned from, those with the smallest hash of their id.
 SAMPLE = 20_000
-TREES, DEPTH, LASSO, MAX_RULES = 24, 3, 0.002, 200
+TREES, DEPTH, LASSO = 24, 3, 0.002
 
 
 def with_stats(docs: DataFrame, names: list[str], stats) -> DataFrame:
@@ -103,7 +103,7 @@ def fit_rules(rows: DataFrame, names: list[str], trees: int = TREES, depth: int
     share = n["p"] / n["n"]
     data = data.withColumn("w", F.when(F.col("label") > 0, 0.5 / share).otherwise(0.5 / (1 - share)))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7, weightCol="w", maxBins=64, minInstancesPerNode=5).fit(data)
-    rules = sorted(set().union(*(_paths(t.toDebugString, names) for t in forest.trees)), key=lambda r: (len(r), r))[:MAX_RULES]
+    rules = sorted(set().union(*(_paths(t.toDebugString, names) for t in forest.trees)), key=lambda r: (len(r), r))  # at most trees x 2 x (2**depth - 1)
     if not rules:
         return RuleEnsemble({}, float(np.log(share / (1 - share))))
     bits = data.select("label", *(rule_column(r).alias(f"r{i}") for i, r in enumerate(rules)))

@@ -263,3 +263,34 @@ def test_pipeline_keeps_clean_documents_and_columns(spark, tmp_path):
     assert 1000 >= sizes[0] >= sizes[1] >= sizes[2] >= sizes[3] >= sizes[4] > 200 and sizes[0] >= 990
     again = {x.doc_id for x in corpus_pipeline.run(spark, SF_MID).select("doc_id").collect()}
     assert again == {x.doc_id for x in at.select("doc_id").collect()}
+
+
+def test_html_time_grows_with_the_page_only():
+    from time import perf_counter
+
+    from meterflow.llm.html_text import main_text
+    pages = ["<a " * 350_000, "<a \"" * 250_001 + ">", "<a '\" " * 150_001, "<noscript>" * 100_000, "<div>" * 100_000 + "x, y. " * 50,
+             "<div>" * 100_000 + "</span>" * 100_000, "<b>" * 50_000 + "<h1>x</h1>" * 50_000, "<!-- " * 200_000, "</a " * 200_000, "<! " * 200_000]
+    for page in pages:
+        start = perf_counter()
+        main_text(page)
+        assert perf_counter() - start < 5, page[:20]
+
+
+def test_html_text_of_sibling_articles_is_kept_whole():
+    from meterflow.llm.html_text import main_text
+    first, second, third = (f"{w} part, of the text. " * 20 for w in ("First", "Second", "Third"))
+    page = (f"<body><nav>menu</nav><article><p>{first}</p></article><article><p>{second}</p></article><article class='comment'><p>{third}</p></article>"
+            "<article><a href='x'>Another page, of this site, to read next</a></article></body>")
+    assert main_text(page) == f"{first.strip()}\n\n{second.strip()}"
+
+
+def test_language_profiles_limit_their_ranking_before_the_shuffle(spark, prose):
+    from meterflow.llm.language_id import learn_profiles
+    df = spark.createDataFrame([(1, prose(300, 1), "en"), (2, prose(300, 2), "fr")], "doc_id long, text string, lang string")
+    p = learn_profiles(df, 20)
+    assert "WindowGroupLimit" in p._jdf.queryExecution().executedPlan().toString()
+    ranks = {}
+    for r in p.collect():
+        ranks.setdefault(r.lang, []).append(r["rank"])
+    assert {k: sorted(v) for k, v in ranks.items()} == {"en": list(range(20)), "fr": list(range(20))}
