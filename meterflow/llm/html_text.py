@@ -53,7 +53,7 @@ PARAGRAPH = frozenset("p pre blockquote td dd li".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "drop", "score", "size", "linked", "own", "mark", "inside")
+    __slots__ = ("tag", "parent", "parts", "drop", "score", "size", "linked", "own", "mark", "inside", "apart")
 
     def __init__(self, tag, parent, drop=False, mark=frozenset()):
         self.tag, self.parent, self.drop, self.mark = tag, parent, drop, mark
@@ -61,6 +61,7 @@ class Node:
         self.score = 0.0
         self.size = self.linked = 0
         self.own = ""
+        self.apart = False  # an article whose name says that it is not main text
         #: Whether it is an article or main, or lies in one.
         self.inside = tag in ("article", "main") or parent is not None and parent.inside
 
@@ -246,6 +247,7 @@ def parse(page: str) -> list[Node]:
             hidden, mark = _marked(tag, rest, inside) if rest and tag not in ("html", "body", "article", "main") else (False, frozenset())
             hidden = hidden or tag in DROPPED or tag == "header" and not inside
             node = Node(tag, up, hidden or bool(mark), frozenset() if hidden else mark)
+            node.apart = tag == "article" and bool(rest) and bool(_marked(tag, rest, inside)[1])
             up.parts.append(node)
             nodes.append(node)
             if tag in VOID or rest.endswith("/") and tag not in BLOCK | RAW:
@@ -318,7 +320,7 @@ def _points(text: str) -> float:
 
 def _goes_on(x: Node, rank: dict, of: float) -> bool:
     """Whether a sibling of the main article is an article of its own weight, hardly linked: the text goes on there."""
-    return x.tag == "article" and not x.drop and x.linked < 0.25 * x.size and rank.get(x, 0) >= max(10, 0.2 * of)
+    return x.tag == "article" and not x.drop and not x.apart and x.linked < 0.25 * x.size and rank.get(x, 0) >= max(10, 0.2 * of)
 
 
 def main_text(page: str | None) -> str:
