@@ -61,7 +61,7 @@ class Node:
         self.score = 0.0
         self.size = self.linked = 0
         self.own = ""
-        self.apart = False  # an article whose name says that it is not main text
+        self.apart = frozenset()  # of an article: words in its name that mark what is not main text
         #: Whether it is an article or main, or lies in one.
         self.inside = tag in ("article", "main") or parent is not None and parent.inside
 
@@ -247,7 +247,8 @@ def parse(page: str) -> list[Node]:
             hidden, mark = _marked(tag, rest, inside) if rest and tag not in ("html", "body", "article", "main") else (False, frozenset())
             hidden = hidden or tag in DROPPED or tag == "header" and not inside
             node = Node(tag, up, hidden or bool(mark), frozenset() if hidden else mark)
-            node.apart = tag == "article" and bool(rest) and bool(_marked(tag, rest, inside)[1])
+            if tag == "article" and rest:
+                node.apart = _marked(tag, rest, inside)[1]
             up.parts.append(node)
             nodes.append(node)
             if tag in VOID or rest.endswith("/") and tag not in BLOCK | RAW:
@@ -330,6 +331,10 @@ def main_text(page: str | None) -> str:
     nodes = parse(page)
     _spare(nodes)
     _measure(nodes)
+    longest = max((x.size for x in nodes if x.tag == "article" and not x.drop and not x.apart), default=-1)
+    for x in nodes:  # readers' articles beside one that is as long
+        if x.apart & READERS and x.size <= longest:
+            x.drop = True
     for x in nodes:  # lists of links are menus
         if not x.drop and x.tag in ("ul", "ol") and x.size and x.linked > 0.9 * x.size and sum(isinstance(p, Node) for p in x.parts) > 1:
             x.drop = True
