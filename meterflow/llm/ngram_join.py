@@ -11,7 +11,8 @@ link when ``100 * |A n B| >= percent * |A u B|``.
    large groups of near copies with a linear number of pairs.  Then every
    candidate pair whose two ends are still in different components is met,
    so no link between components is lost and pairs inside one are not
-   spelled out.  Each pair is verified once, on the whole texts.
+   spelled out.  Each pair is verified once, on the whole texts: what the
+   first pass compared is taken out of the second.
 """
 
 from __future__ import annotations
@@ -138,10 +139,14 @@ def _allowed(percent: int) -> str:
             f"1 + least(x.n - x.pos - 1, y.n - y.pos - 1) >= {_least_overlap('x.n', 'y.n', percent)}")
 
 
-def _link(pairs: DataFrame, info: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Verified links among distinct candidate pairs (a, b): suffix filter, then the whole texts."""
+def _link(pairs: DataFrame, info: DataFrame, docs: DataFrame, width: int, percent: int,
+          done: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Verified links among candidate pairs (a < b) that are not ``done``, and the pairs compared: suffix filter, then the whole texts."""
     bins = info.select("doc_id", "n", "bins")
-    p = (pairs.distinct().join(bins.toDF("a", "na", "ba"), "a").join(bins.toDF("b", "nb", "bb"), "b")
+    pairs = pairs.distinct()
+    if done is not None:
+        pairs = pairs.join(done, ["a", "b"], "left_anti")
+    p = (pairs.join(bins.toDF("a", "na", "ba"), "a").join(bins.toDF("b", "nb", "bb"), "b")
          .where(f"aggregate(zip_with(ba, bb, (x, y) -> least(x, y)), 0, (s, x) -> s + x) >= {_least_overlap('na', 'nb', percent)}"
                 " OR greatest(na, nb) > 65535").select("a", "b"))
     p = settle(p.distinct(), "pairs")
@@ -150,7 +155,7 @@ def _link(pairs: DataFrame, info: DataFrame, docs: DataFrame, width: int, percen
     texts = docs.join(need.hint("merge"), "doc_id", "left_semi").distinct()
     side = p.join(texts.toDF("a", "ta").hint("merge"), "a")
     both = side.join(texts.toDF("b", "tb").hint("merge"), "b").select("a", "b", "ta", "tb")
-    return settle(both.mapInArrow(_verify(width, percent), "a long, b long").distinct(), "links")
+    return settle(both.mapInArrow(_verify(width, percent), "a long, b long").distinct(), "links"), p
 
 
 def _star(shared: DataFrame, percent: int) -> DataFrame:
@@ -158,7 +163,7 @@ def _star(shared: DataFrame, percent: int) -> DataFrame:
     ends = shared.withColumn("me", F.struct("pos", "n", "idx", "doc_id")).where("doc_id <> pv.doc_id")
     first = "(pv.n < me.n OR (pv.n = me.n AND pv.doc_id < me.doc_id))"
     return (ends.select(F.expr(f"IF({first}, pv, me)").alias("x"), F.expr(f"IF({first}, me, pv)").alias("y"))
-            .where(_allowed(percent)).select(F.expr("x.doc_id AS a"), F.expr("y.doc_id AS b")))
+            .where(_allowed(percent)).select(F.expr("least(x.doc_id, y.doc_id) AS a"), F.expr("greatest(x.doc_id, y.doc_id) AS b")))
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, count_links: bool = False) -> DataFrame:
@@ -193,9 +198,9 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, count
              .where("c > 1").drop("c"))
     pivot = settle(pivot, "pivots")  # a table of its own, so that the join can split hot shingles
     shared = settle(post.join(pivot.hint("merge"), "gram"), "shared-grams")
-    links = None
+    links = done = None
     if not count_links:
-        links = _link(_star(shared, percent), info, docs, width, percent)
+        links, done = _link(_star(shared, percent), info, docs, width, percent)
         comp = cut(connected_components(links))
 
     # The rest: pairs whose ends are in different components.  Equal (shingle, size, place) cells meet first,
@@ -216,7 +221,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, count
     right = own.select("gram", F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("doc_id").alias("b"), F.col("component").alias("cb"))
     rest = (pairs.join(left, ["gram", "n", "p"]).join(right, ["gram", "n2", "p2"]).where("ca <> cb")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    more = _link(rest, info, docs, width, percent)
+    more, _ = _link(rest, info, docs, width, percent, done)
     links = links.union(more) if links is not None else more
     comp = connected_components(links)
 
