@@ -14,6 +14,8 @@ windows with one anchor is a *context* of at most ``2 * length - k`` bytes.
    covered by the repeat that starts one byte earlier.
 4. Anchors with more contexts than a task should hold are resolved by window
    hashes, aggregated before the shuffle.
+5. Pieces that continue each other are chained into maximal repeat groups of
+   any length, with all occurrences (:func:`repeat_groups`).
 
 Documents are ordered by ``doc_id``; within one, by place.
 """
@@ -24,7 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -36,6 +38,8 @@ LENGTH = 100
 ANCHOR = 20
 #: Contexts of one anchor that a single task resolves; beyond it, step 4.
 HOT_CONTEXTS = 20_000
+#: Bytes of a block by which occurrences meet the stretches that cover them.
+BLOCK = 1024
 #: Contexts that one task of step 3 holds on average.
 TASK_CONTEXTS = 12_000
 
@@ -275,6 +279,45 @@ def repeats(docs: DataFrame, length: int = LENGTH, hot_contexts: int = HOT_CONTE
     return equal.unionByName(scanned).unionByName(split)
 
 
+def _chained(pieces: DataFrame) -> DataFrame:
+    """Pieces that touch or overlap at one shift from the same first text become one stretch."""
+    lane = Window.partitionBy("doc", "first_doc", F.expr("start - first_start")).orderBy("start", "size")
+    far = F.max(F.expr("start + size")).over(lane.rowsBetween(Window.unboundedPreceding, -1))
+    part = F.sum(F.when(F.col("start") <= F.col("far"), 0).otherwise(1)).over(lane)
+    return (pieces.withColumn("far", far).withColumn("part", part).groupBy("doc", "first_doc", F.expr("start - first_start").alias("shift"), "part")
+            .agg(F.min("start").alias("start"), F.max(F.expr("start + size")).alias("end"))
+            .select("doc", "start", F.expr("end - start AS size"), "first_doc", F.expr("start - shift AS first_start")))
+
+
+def repeat_groups(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Maximal repeat groups with all their occurrences, the first included.
+
+    Each row (``first_doc``, ``first_start``, ``size``, ``doc``, ``start``)
+    is one occurrence of the stretch of ``size`` bytes that occurs first in
+    ``first_doc`` at ``first_start``.  The pieces of :func:`repeats`, whatever
+    their length, are chained into stretches of any length.  Occurrences
+    inside a longer repeat's occurrence count too: they are found by following
+    the longer repeat from its first text to its others, until nothing is
+    new.  Where a stretch's middle also occurs in a still earlier text, the
+    parts on both sides and the middle are groups of their own.  The result is
+    as large as there are occurrences.  ``docs`` as in :func:`repeats`; texts
+    without repeats and an empty table give no rows.
+    """
+    runs = settle(_chained(repeats(docs, length).distinct()), "stretches")
+    group = ["first_doc", "first_start", "size"]
+    found = settle(runs.select(*group).distinct().withColumns({"doc": F.col("first_doc"), "start": F.col("first_start")}), "firsts")
+    over = runs.select(F.col("first_doc").alias("doc"), F.col("doc").alias("to"), F.expr("start - first_start AS shift"), F.col("first_start").alias("low"),
+                       F.expr("first_start + size AS high"), F.expr(f"explode(sequence(first_start div {BLOCK}, (first_start + size - 1) div {BLOCK}))").alias("block"))
+    new = found
+    while not new.isEmpty():
+        at = new.withColumn("block", F.expr(f"start div {BLOCK}"))
+        more = (at.join(over, ["doc", "block"]).where("low <= start AND start + size <= high")
+                .select(*group, F.col("to").alias("doc"), F.expr("start + shift AS start")).distinct())
+        new = settle(more.join(found, [*group, "doc", "start"], "left_anti"), "occurrences")
+        found = settle(found.unionByName(new), "found")
+    return found
+
+
 def _merged(starts: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
     """Maximal removed runs; touching runs are one."""
     out: list[tuple[int, int]] = []
