@@ -20,10 +20,10 @@ from meterflow.llm.components import cut, settle
 from meterflow.llm.kernel import text_buffers, word_counts
 from meterflow.llm.text_stats import _is, byte_counts
 
-#: Raking rounds over the three marginals, and rounds of the calibration.
+#: Raking rounds over the three marginals in a block, and rounds of the calibration.
 ROUNDS, CALIBRATION_ROUNDS = 10, 8
-#: Raking within caps: blocks of ``ROUNDS`` rounds at most, and the change of the marginals' share at which it stops.
-MOST_BLOCKS, STILL = 50, 1e-7
+#: Raking ends when a block changes the marginals' gap by less than this share; if it has not after so many blocks, it raises.
+STILL, MOST_BLOCKS = 1e-7, 500
 #: Share of the corpus' tokens to draw.
 BUDGET = 0.5
 #: Targets: each marginal's token shares to this power, made to sum to 1.
@@ -76,25 +76,8 @@ def tempered(cells: DataFrame, column: str, power: float) -> DataFrame:
     return cells.where("tokens > 0").groupBy(column).agg(F.pow(F.sum("tokens").cast("double"), F.lit(power)).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """Add ``weight`` to ``cells`` (``tokens`` and the targets' columns) by iterative proportional fitting.
-
-    Targets (a value and its ``share``) are made to sum to 1 over the values
-    that have tokens; a value without a target gets weight 0.
-    """
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    for c, t in targets.items():
-        t = t.join(cells.where("tokens > 0").select(c).distinct(), c, "left_semi")
-        s = t.agg(F.sum("share")).first()[0] or 1.0
-        cells = cells.join(t.select(c, (F.col("share") / s * float(total)).alias(f"goal_{c}")), c, "left")
-    cells = settle(cells.withColumn("weight", F.col("tokens").cast("double")), "cells")
-    if cells.limit(SMALL_CELLS + 1).count() <= SMALL_CELLS:
-        cells = cells.coalesce(1)  # a counted small table: no shuffle in any round
-    for _ in range(rounds):
-        for c in targets:
-            now = F.sum("weight").over(Window.partitionBy(c))
-            cells = cells.withColumn("weight", F.when(now > 0, F.col("weight") * (F.coalesce(f"goal_{c}", F.lit(0.0)) / now)).otherwise(0.0))
-    return settle(cells.drop(*(f"goal_{c}" for c in targets)), "raked")
+def _still(last: float | None, gap: float) -> bool:
+    return gap < STILL or last is not None and abs(last - gap) < STILL
 
 
 def _rake_task(names: list[str], reach: float, rounds: int):
@@ -115,20 +98,24 @@ def _rake_task(names: list[str], reach: float, rounds: int):
                 w = np.minimum(tokens, w * np.divide(goal, now, out=np.zeros_like(goal), where=now > 0)[code])
             if k % rounds == rounds - 1:
                 last, gap = gap, sum(np.abs(np.bincount(code, w) - goal).sum() for code, goal in sides) / reach
-                if gap < STILL or last is not None and abs(last - gap) < STILL:
+                if _still(last, gap):
                     break
+        else:
+            raise RuntimeError(f"raking has not settled: the marginals' gap is still {gap:.3g}")
         t = t.set_column(t.schema.get_field_index("weight"), "weight", pa.array(w))
         yield from t.combine_chunks().to_batches()
     return run
 
 
-def rake_within(cells: DataFrame, targets: dict[str, DataFrame], budget: float, rounds: int = ROUNDS) -> DataFrame:
-    """Add ``weight`` to ``cells``: expected tokens that meet the targets and exceed no cell's tokens.
+def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float, rounds: int = ROUNDS) -> DataFrame:
+    """Add ``weight`` to ``cells`` (``tokens`` and the targets' columns) by iterative proportional fitting.
 
-    Goals are as in :func:`rake`, for ``budget`` of all tokens; a value with
-    fewer tokens than its goal gives all it has, and the others share the
-    rest.  A cell is capped within the rounds, so that what it can't give
-    goes to cells of the same values, until the marginals stop moving.
+    Weights are expected tokens that meet the targets (a value and its
+    ``share``) for ``budget`` of all tokens and exceed no cell's tokens.  A
+    value without a target gets weight 0; one with fewer tokens than its goal
+    gives all it has, and the others share the rest.  A cell is capped within the rounds, so that what it can't give
+    goes to cells of the same values, until the marginals stop moving; a
+    raking that doesn't settle raises.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     goals, size = {}, {}
@@ -153,8 +140,10 @@ def rake_within(cells: DataFrame, targets: dict[str, DataFrame], budget: float,
                 cells = cells.withColumn("weight", F.when(now > 0, F.least(F.col("tokens").cast("double"), F.col("weight") * (F.col(f"goal_{c}") / now))).otherwise(0.0))
         cells = settle(cells, "raked")
         last, gap = gap, sum(cells.groupBy(c).agg(F.abs(F.sum("weight") - F.first(f"goal_{c}")).alias("g")).agg(F.sum("g")).first()[0] for c in targets) / reach
-        if gap < STILL or last is not None and abs(last - gap) < STILL:
+        if _still(last, gap):
             break
+    else:
+        raise RuntimeError(f"raking has not settled: the marginals' gap is still {gap:.3g}")
     return cells.drop(*(f"goal_{c}" for c in targets))
 
 
@@ -183,14 +172,13 @@ def draw(doc_id: str = "doc_id") -> Column:
 
 
 def sampling(docs: DataFrame, budget: float = BUDGET, temper: dict[str, float] | None = None, targets: dict[str, DataFrame] | None = None,
-             topic_of: Column | None = None, whole: bool = False, within: bool = True) -> DataFrame:
+             topic_of: Column | None = None, whole: bool = False) -> DataFrame:
     """The columns of :func:`token_counts` with ``probability`` and ``sampled`` for every row.
 
     ``targets`` may name a table (value, ``share``) for ``source``, ``lang``
-    or ``topic``; the others are tempered.  Without ``within``, cells are
-    capped after the raking only, which misses marginals.  Null sources and languages count
+    or ``topic``; the others are tempered.  Null sources and languages count
     as ''; null, empty and wordless texts have no tokens and are never drawn;
-    repeated rows are drawn together.  An empty table gives an empty result.
+    repeated rows are drawn together; very long texts count like any other.  An empty table gives an empty result.
     """
     names = ["source", "lang", "topic"]
     rows = token_counts(docs, topic_of, whole)
@@ -203,7 +191,7 @@ def sampling(docs: DataFrame, budget: float = BUDGET, temper: dict[str, float] |
             goals[c] = targets[c].select(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c), F.col("share").cast("double").alias("share"))
         else:
             goals[c] = tempered(cells, c, (temper or TEMPER)[c])
-    cells = cut(calibrate(rake_within(cells, goals, budget) if within else rake(cells, goals), budget).select(*names, "probability"))
+    cells = cut(calibrate(rake(cells, goals, budget), budget).select(*names, "probability"))
     if cells.limit(SMALL_CELLS + 1).count() <= SMALL_CELLS:
         cells = F.broadcast(cells)
     drawn = rows.join(cells, names).withColumn("probability", F.when(F.col("n_tokens") > 0, F.col("probability")).otherwise(0.0))
@@ -211,14 +199,18 @@ def sampling(docs: DataFrame, budget: float = BUDGET, temper: dict[str, float] |
 
 
 def stage_mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Last pipeline stage: the drawn documents with ``mix_topic``, ``mix_tokens`` and ``mix_probability``."""
+    """Last pipeline stage: the drawn documents with ``mix_topic``, ``mix_tokens`` and ``mix_probability``.
+
+    Rows without words are never drawn, repeated rows and rows with a null id
+    are drawn together, and input columns named like the three are replaced.
+    """
     added = {"mix_topic": "topic", "mix_tokens": "n_tokens", "mix_probability": "probability"}
     out = sampling(docs, whole=True).where("sampled")
     return out.select(*(F.col("row")[c].alias(c) for c in docs.columns if c not in added), *(F.col(c).alias(n) for n, c in added.items()))
 
 
 def op5_source_mixing(spark, sf_dir: str) -> DataFrame:
-    out = sampling(spark.read.parquet(f"{sf_dir}/documents.parquet"), within=False)  # the rule of its SQL
+    out = sampling(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return out.select("doc_id", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "sampled")
 
 
@@ -229,34 +221,50 @@ def _oracle() -> str:
          WHEN regexp_matches(text, '[0-9]') THEN 'figures' ELSE 'prose' END AS topic,
     len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+'))::BIGINT AS n_tokens
   FROM documents)""",
-             "w0 AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens, sum(n_tokens)::DOUBLE AS w FROM d GROUP BY ALL)",
-             "tot AS MATERIALIZED (SELECT sum(tokens) AS total FROM w0)"]
+             """w0 AS MATERIALIZED (
+  SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM d GROUP BY ALL HAVING sum(n_tokens) > 0)""",
+             f"tot AS MATERIALIZED (SELECT {BUDGET} * sum(tokens) AS want FROM w0)"]
     for c, power in TEMPER.items():
-        parts.append(f"""g_{c} AS MATERIALIZED (
-  SELECT {c}, s / sum(s) OVER () * total AS goal
-  FROM (SELECT {c}, pow(sum(tokens), {power}) AS s FROM w0 WHERE tokens > 0 GROUP BY {c}), tot)""")
-    k = 0
-    for _ in range(ROUNDS):
-        for c in TEMPER:
-            parts.append(f"""w{k + 1} AS MATERIALIZED (
-  SELECT w.source, w.lang, w.topic, w.tokens,
-    w.w * CASE WHEN sum(w.w) OVER (PARTITION BY w.{c}) > 0 THEN coalesce(g.goal, 0) / sum(w.w) OVER (PARTITION BY w.{c}) ELSE 0 END AS w
-  FROM w{k} w LEFT JOIN g_{c} g ON w.{c} = g.{c})""")
-            k += 1
-    parts.append(f"s0 AS MATERIALIZED (SELECT {BUDGET} * sum(tokens) AS want, {BUDGET} * sum(tokens) / sum(w) AS scale FROM w{k})")
+        # goals: shares of the budget, none above what its value has
+        parts.append(f"v_{c} AS MATERIALIZED (SELECT {c}, sum(tokens) AS tokens, pow(sum(tokens), {power}) AS share FROM w0 GROUP BY {c})")
+        parts.append(f"""f_{c}(k, scale) AS (
+  SELECT 0, want / (SELECT sum(share) FROM v_{c}) FROM tot
+  UNION ALL
+  SELECT k + 1, CASE WHEN sum(CASE WHEN scale * share >= tokens THEN 0 ELSE share END) > 0
+    THEN ((SELECT want FROM tot) - sum(CASE WHEN scale * share >= tokens THEN tokens ELSE 0 END)) / sum(CASE WHEN scale * share >= tokens THEN 0 ELSE share END)
+    ELSE scale END
+  FROM f_{c}, v_{c} WHERE k <= (SELECT count(*) FROM v_{c}) GROUP BY k, scale)""")
+        parts.append(f"g_{c} AS MATERIALIZED (SELECT {c}, least(1.0::DOUBLE, arg_max(scale, k) * any_value(share) / any_value(tokens)) * any_value(tokens) AS goal "
+                     f"FROM v_{c}, f_{c} GROUP BY {c})")
+    side = [f"WHEN {i} THEN {{{i}}}" for i in range(len(TEMPER))]
+    pick = f"CASE k % {len(TEMPER)} " + " ".join(side) + " END"
+    key, goal = pick.format(*TEMPER), pick.format(*(f"goal_{c}" for c in TEMPER))
+    steps = len(TEMPER) * ROUNDS
+    off = " + ".join(f"abs(sum(w) OVER (PARTITION BY {c}) - goal_{c}) / count(*) OVER (PARTITION BY {c})" for c in TEMPER)
+    goals = ", ".join(f"goal_{c}" for c in TEMPER)
+    parts.append(f"""r(source, lang, topic, tokens, {goals}, w, k, last, gap) AS (
+  SELECT source, lang, topic, tokens, {", ".join(f"g_{c}.goal" for c in TEMPER)}, tokens * {BUDGET}::DOUBLE, 0, NULL::DOUBLE, NULL::DOUBLE
+  FROM w0 {" ".join(f"JOIN g_{c} USING ({c})" for c in TEMPER)}
+  UNION ALL
+  SELECT source, lang, topic, tokens, {goals}, w, k, CASE WHEN k % {steps} = 0 THEN gap ELSE last END,
+    CASE WHEN k % {steps} = 0 THEN sum(off) OVER () / (SELECT want FROM tot) ELSE gap END
+  FROM (SELECT *, {off} AS off
+    FROM (SELECT * REPLACE (least(tokens, w * ({goal} / sum(w) OVER (PARTITION BY {key}))) AS w, k + 1 AS k)
+      FROM r WHERE k % {steps} > 0 OR k < {MOST_BLOCKS * steps} AND (gap < {STILL} OR abs(last - gap) < {STILL}) IS NOT TRUE)))""")
+    parts.append("raked AS MATERIALIZED (SELECT source, lang, topic, tokens, w FROM r WHERE k = (SELECT max(k) FROM r))")
+    parts.append("s0 AS MATERIALIZED (SELECT any_value(want) AS want, any_value(want) / sum(w) AS scale FROM raked, tot)")
     for i in range(CALIBRATION_ROUNDS):
         parts.append(f"""s{i + 1} AS MATERIALIZED (
   SELECT want, CASE WHEN sum(CASE WHEN scale * w >= tokens THEN 0 ELSE w END) > 0
     THEN (want - sum(CASE WHEN scale * w >= tokens THEN tokens ELSE 0 END)) / sum(CASE WHEN scale * w >= tokens THEN 0 ELSE w END)
     ELSE scale END AS scale
-  FROM w{k}, s{i} GROUP BY want, scale)""")
-    parts.append(f"""p AS MATERIALIZED (
-  SELECT source, lang, topic, CASE WHEN tokens > 0 THEN least(1.0::DOUBLE, scale * w / tokens) ELSE 0 END AS p FROM w{k}, s{CALIBRATION_ROUNDS})""")
-    return "WITH " + ",\n".join(parts) + """
+  FROM raked, s{i} GROUP BY want, scale)""")
+    parts.append(f"p AS MATERIALIZED (SELECT source, lang, topic, least(1.0::DOUBLE, scale * w / tokens) AS p FROM raked, s{CALIBRATION_ROUNDS})")
+    return "WITH RECURSIVE " + ",\n".join(parts) + """
 SELECT doc_id, topic, n_tokens, round(p, 6) AS probability, u < p AS sampled
 FROM (SELECT doc_id, topic, n_tokens, CASE WHEN n_tokens > 0 THEN p ELSE 0 END AS p,
   ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':mix'), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u
-  FROM d JOIN p USING (source, lang, topic))
+  FROM d LEFT JOIN p USING (source, lang, topic))
 """
 
 
