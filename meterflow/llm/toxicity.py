@@ -15,7 +15,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterflow.llm.components import cut, settle
@@ -153,37 +153,46 @@ def toxicity_features(docs: DataFrame, lexicon: np.ndarray) -> DataFrame:
     return d.mapInArrow(_features(lexicon), "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
-def _both_labels(rows: DataFrame) -> float | None:
-    """None if both labels occur, else the rate of 1 (0.5 for no rows)."""
-    n = rows.agg(F.sum("label").alias("p"), F.count("*").alias("n")).first()
-    if not n["n"]:
-        return 0.5
-    return None if 0 < n["p"] < n["n"] else float(n["p"] / n["n"])
+#: Parts of the labelled rows: two for the lexicon, one for the trees, one for the calibration.
+PARTS = 4
+
+
+def _in_parts(chosen: DataFrame) -> tuple[DataFrame, int, int]:
+    """The bounded sample with ``part``, dealt by label so that each part holds both; rows and rows of label 1.
+
+    A label with fewer rows than parts can't be dealt: then all rows serve every part (a null ``part``).
+    """
+    n = chosen.agg(F.coalesce(F.sum("label"), F.lit(0)).alias("p"), F.count("*").alias("n")).first()
+    if min(n["p"], n["n"] - n["p"]) < PARTS:
+        return chosen.withColumn("part", F.lit(None).cast("int")), n["n"], int(n["p"])
+    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id")
+    return cut(chosen.withColumn("part", F.pmod(F.row_number().over(order), F.lit(PARTS)))), n["n"], int(n["p"])
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every row of ``docs``.
 
     Null and empty texts have zero features and a score like any other; a
-    null id is never learned from and not held out.  Where the learning rows
-    have one label only, the score is its rate; with none it is 0.  Repeated
-    rows stay repeated; other columns are ignored; an empty table gives an
+    null id is never learned from and not held out; very long texts are read
+    whole.  Lexicon, trees and calibration learn from disjoint rows, dealt by
+    label; a label with fewer rows than parts leaves all rows to each.  Where
+    the learning rows have one label only, the score is its rate; with none it
+    is 0.  Texts of equal features have equal scores.  Repeated rows stay
+    repeated; other columns are ignored; an empty table gives an
     empty result.
     """
-    chosen = labelled_sample(labels, "toxic", 5, 0, sample).withColumn("part", F.expr("pmod(xxhash64(doc_id, 11), 4)"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    lexicon = learn_lexicon(texts.join(F.broadcast(chosen.where("part < 2")), "doc_id").select("text", "label"))
+    labelled = labelled_sample(labels, "toxic", 5, 0, sample)
+    chosen, n, ones = _in_parts(cut(texts.select("doc_id").join(F.broadcast(labelled), "doc_id").distinct()))
+    lexicon = learn_lexicon(texts.join(F.broadcast(chosen.where("part IS NULL OR part < 2")), "doc_id").select("text", "label"))
     rows = settle(toxicity_features(docs, lexicon), "toxicity")
     own = rows.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), *FEATURES)
-    assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    known = cut(assemble.transform(rows.join(F.broadcast(chosen.where("part >= 2")), "doc_id")).select("features", "label", "part").coalesce(4))
-    grow, hold = known.where("part = 2"), known.where("part = 3")
-    rate = _both_labels(grow)
-    if rate is None and _both_labels(hold) is not None:
-        grow = hold = known  # too few rows to hold some back
-    if rate is not None:
-        score = F.lit(0.0 if not lexicon.size and rate == 0.5 else rate)
+    if ones in (0, n):
+        score = F.lit(ones / n if n else 0.0)
         return own.select("doc_id", "held_out", score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+    assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    known = cut(assemble.transform(rows.join(F.broadcast(chosen.where("part IS NULL OR part >= 2")), "doc_id")).select("features", "label", "part").coalesce(4))
+    grow, hold = known.where("part IS NULL OR part = 2"), known.where("part IS NULL OR part = 3")
     trees = GBTClassifier(maxIter=20, maxDepth=3, stepSize=0.2, seed=7, maxBins=64, minInstancesPerNode=5).fit(grow)
     raw = lambda df: trees.transform(df).withColumn("p", vector_to_array("probability")[1])
     steps = IsotonicRegression(featuresCol="p", labelCol="label").fit(raw(hold).select("p", "label"))
