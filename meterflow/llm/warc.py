@@ -34,6 +34,8 @@ from meterflow.session import scratch_path
 SEPARATOR = gzip.compress(b"", mtime=0)
 #: Capture time of page 0; the pages carry none, so page n is taken n seconds later.
 START = dt.datetime(2024, 1, 1)
+#: Captures in a range of the merge, on average (some hundred bytes each).
+RANGE_ROWS = 200_000
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 CAPTURE = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, "
@@ -127,8 +129,9 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                      F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("html"))
     p = p.withColumn("sha", F.sha1("html")).withColumn("n", F.octet_length("html"))
-    first = p.groupBy("sha", "n").agg(F.min("page_id").alias("lead"))
-    typed = p.join(first, ["sha", "n"]).select(
+    # only payloads that occur twice: a small table of a known size spares the pages a shuffle
+    first = p.groupBy("sha", "n").agg(F.min("page_id").alias("lead"), F.count("*").alias("c")).where("c > 1").drop("c")
+    typed = p.join(settle(first, "payloads"), ["sha", "n"], "left").select(
         "page_id", "url", "html", F.expr(f"CASE WHEN n >= {int(least_bytes)} AND page_id <> lead THEN lead END").alias("first"))
     (typed.mapInArrow(_members, "member binary").select(F.col("member").cast("string").alias("value"))
      .write.option("maxRecordsPerFile", 0)  # one file for each task, as the offsets say
@@ -204,11 +207,13 @@ def merged_index(captures: DataFrame) -> DataFrame:
     """Captures in global order of (``url_key``, ``captured_at``, ``page_id``), nulls first.
 
     Runs are sorted where the archives were read; ranges of keys, cut by page
-    id too so that one URL can't fill a task, are merged side by side.
+    id too so that one URL can't fill a task, are merged side by side.  There
+    are as many ranges as keep each at about ``RANGE_ROWS`` captures, so a
+    task's memory does not grow with the index.
     """
     key = ["url_key", "captured_at", "page_id"]
     runs = settle(captures.sortWithinPartitions(*key).mapInArrow(_run_ids, f"{CAPTURE}, run int"), "capture-runs")
-    parts = int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-runs.count() // RANGE_ROWS))
     return runs.repartitionByRange(parts, *key).sortWithinPartitions("run", *key).mapInArrow(_merge_runs, CAPTURE)
 
 
