@@ -66,6 +66,28 @@ def test_jaccard_links_match_brute_force(spark, prose):
     assert got == {a: (sum(linked(a, b) for b in s if a != b), want[a]) for a in s} and sum(n for n, _ in got.values()) > 300
 
 
+def test_jaccard_pairs_are_verified_once(spark, prose, monkeypatch):
+    r = random.Random(4)
+    rows = []
+    for g in range(6):
+        w = prose(60, 700 + g).split()
+        for i in range(10):
+            w = list(w)
+            w[r.randrange(60)] = f"new{r.randrange(10**6)}"
+            rows.append((g * 10 + i, " ".join(w)))
+    compared, real = [], ngram_join.settle
+
+    def settle(df, name):
+        out = real(df, name)
+        if name == "pairs":
+            compared.append({(x.a, x.b) for x in out.collect()})
+        return out
+    monkeypatch.setattr(ngram_join, "settle", settle)
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80).count()
+    assert got == 60 and len(compared) == 2 and compared[0] and not compared[0] & compared[1]
+    assert all(a < b for a, b in compared[0] | compared[1])
+
+
 def test_jaccard_odd_rows(odd_docs, no_docs):
     rows = ngram_join.jaccard_components(odd_docs, 3, 90).collect()
     assert len(rows) == odd_docs.count()
@@ -126,6 +148,55 @@ def test_repeat_groups_name_their_first_occurrence(spark, prose):
         assert (x.first_doc, x.first_start) < (x.doc, x.start)
 
 
+@pytest.mark.parametrize("hot", [20_000, 2])
+def test_repeat_groups_are_whole_and_name_all_occurrences(spark, hot, monkeypatch):
+    r = random.Random(12)
+    noise = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    long, part = noise(5599), noise(300)
+    half = long[2000:4500]
+    texts = {1: noise(50) + "1" + long + "2" + noise(70), 2: noise(90) + "3" + long + "4", 3: "5" + long + "6" + noise(10),
+             4: noise(33) + "7" + half + "8" + noise(5), 5: half + "9" + part + "0" + noise(40), 6: "-" + part + "+" + part, 7: noise(500), 8: ""}
+    real = suffix_dedup.repeats
+    monkeypatch.setattr(suffix_dedup, "repeats", lambda docs, length: real(docs, length, hot))
+    rows = suffix_dedup.repeat_groups(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 100).collect()
+    got = {}
+    for x in rows:
+        got.setdefault(texts[x.first_doc][x.first_start: x.first_start + x["size"]], set()).add((x.doc, x.start))
+    want = {w: {(d, i) for d, t in texts.items() for i in range(len(t)) if t.startswith(w, i)} for w in (long, half, part)}
+    assert got == want and [len(want[w]) for w in (long, half, part)] == [3, 5, 3]
+    assert all((x.first_doc, x.first_start) == min(want[texts[x.first_doc][x.first_start: x.first_start + x["size"]]]) for x in rows)
+
+
+def test_repeat_groups_of_near_copies_match_brute_force(spark, prose, no_docs):
+    r = random.Random(8)
+    base, texts = prose(120, 40), {}
+    for i in range(9):
+        at, n = r.randrange(200), r.randint(120, 400)
+        texts[i] = prose(10, 500 + i) + base[at: at + n] + prose(10, 600 + i)
+    texts[9] = texts[3]
+    raw = {i: t.encode() for i, t in texts.items()}
+    rows = suffix_dedup.repeat_groups(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 60).collect()
+    assert len({(x.first_doc, x.first_start, x["size"], x.doc, x.start) for x in rows}) == len(rows)
+    groups, covered = {}, {i: set() for i in raw}
+    for x in rows:
+        w = raw[x.first_doc][x.first_start: x.first_start + x["size"]]
+        assert len(w) >= 60 and raw[x.doc][x.start: x.start + x["size"]] == w
+        groups.setdefault(w, set()).add((x.doc, x.start))
+        covered[x.doc] |= set(range(x.start, x.start + x["size"]))
+    assert all(len(g) > 1 for g in groups.values())
+    at = {}
+    for i, t in raw.items():
+        for j in range(len(t) - 59):
+            at.setdefault(t[j:j + 60], []).append((i, j))
+    want = {i: set() for i in raw}
+    for places in at.values():
+        if len(places) > 1:
+            for i, j in places:
+                want[i] |= set(range(j, j + 60))
+    assert covered == want
+    assert suffix_dedup.repeat_groups(no_docs.select("doc_id", "text"), 60).count() == 0
+
+
 def test_repeats_odd_rows(odd_docs, no_docs):
     rows = suffix_dedup.repeated_bytes(odd_docs).collect()
     assert len(rows) == odd_docs.count()

@@ -116,6 +116,23 @@ def test_toxicity_planted_words(spark, prose, odd_docs, no_docs):
     assert {x.score for x in toxicity.toxicity_scores(odd_docs, labels.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_parts_hold_both_labels(spark):
+    rows = [(i, float(i < 5)) for i in range(400)]
+    dealt, n, ones = toxicity._in_parts(spark.createDataFrame(rows, "doc_id long, label double"))
+    parts = {}
+    for x in dealt.collect():
+        parts.setdefault(x.part, []).append(x.label)
+    assert (n, ones) == (400, 5) and sorted(parts) == [0, 1, 2, 3] and all(0 < sum(v) < len(v) for v in parts.values())
+    few, n, ones = toxicity._in_parts(spark.createDataFrame(rows[3:], "doc_id long, label double"))
+    assert (n, ones) == (397, 2) and few.where("part IS NULL").count() == 397
+
+
+def test_raking_that_does_not_settle_raises(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 1)
+    with pytest.raises(Exception, match="has not settled"):
+        mixing.sampling(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).count()
+
+
 @pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
