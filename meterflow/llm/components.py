@@ -49,6 +49,7 @@ def settle(df: DataFrame, name: str) -> DataFrame:
 
     Spark frees shuffle files when the driver's JVM collects its garbage, which
     may not happen for half an hour; a long job asks for it after each step.
+    The result's ``scratch`` names its table, for :func:`release`.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
@@ -56,10 +57,19 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     del df
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.scratch = [path]
+    return out
 
 
 def remove(spark, path: str) -> None:
     """Delete a scratch table that nothing reads any more."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(*settled: DataFrame) -> None:
+    """Delete the tables of settled steps once nothing reads them any more."""
+    for df in settled:
+        for path in df.scratch:
+            remove(df.sparkSession, path)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark import TaskContext
 
-from meterflow.llm.components import connected_components, cut, settle
+from meterflow.llm.components import connected_components, cut, release, settle
 from meterflow.llm.kernel import pieces, shingle_sets, text_buffers
 
 #: log2 of the sketch's counters (2**20 counters of 4 bytes: 4 MB, whatever the corpus).
@@ -198,9 +198,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, count
              .where("c > 1").drop("c"))
     pivot = settle(pivot, "pivots")  # a table of its own, so that the join can split hot shingles
     shared = settle(post.join(pivot.hint("merge"), "gram"), "shared-grams")
-    links = done = None
+    links = first = done = None
     if not count_links:
-        links, done = _link(_star(shared, percent), info, docs, width, percent)
+        first, done = _link(_star(shared, percent), info, docs, width, percent)
+        links = first
         comp = cut(connected_components(links))
 
     # The rest: pairs whose ends are in different components.  Equal (shingle, size, place) cells meet first,
@@ -221,10 +222,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, count
     right = own.select("gram", F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("doc_id").alias("b"), F.col("component").alias("cb"))
     rest = (pairs.join(left, ["gram", "n", "p"]).join(right, ["gram", "n2", "p2"]).where("ca <> cb")
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    more, _ = _link(rest, info, docs, width, percent, done)
+    more, compared = _link(rest, info, docs, width, percent, done)
     links = links.union(more) if links is not None else more
     comp = connected_components(links)
 
+    release(info, pivot, shared, compared, *([] if count_links else [first, done, more]))
     named = classes.join(comp.toDF("rep", "component"), "rep", "left").select("fp", "rep", F.coalesce("component", "rep").alias("component_id"))
     if count_links:
         size = cut(rows.where("doc_id IS NOT NULL").join(classes, "fp").groupBy("rep").agg(F.countDistinct("doc_id").alias("m")))
