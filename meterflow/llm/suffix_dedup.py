@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from meterflow.llm.components import settle
+from meterflow.llm.components import release, settle
 from meterflow.llm.kernel import CODES, U64, _powers, anchored_segments, mix, text_buffers
 
 LENGTH = 100
@@ -235,19 +235,20 @@ def _shared_contexts(docs: DataFrame, length: int) -> DataFrame:
     seg = settle(docs.mapInArrow(_contexts(length), "h long, g long, doc long, start long, n int"), "contexts")
     often = seg.groupBy("h").agg(F.count("*").alias("c"), (F.min("g") != F.max("g")).alias("several")).where("c > 1")
     often = settle(often.select("h", "several"), "often")  # a table of its own, so that the join can split hot anchors
-    return settle(seg.join(often, "h"), "shared")
+    shared = settle(seg.join(often, "h"), "shared")
+    release(seg, often)
+    return shared
 
 
 def _equal_contexts(shared: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """Repeats among equal contexts, and the first of each kind where an anchor has several kinds."""
+    """Repeats among equal contexts, and the kinds of context with their first."""
     kind = shared.groupBy("h", "g").agg(F.min(F.struct("doc", "start")).alias("f"), F.count("*").alias("c"),
                                         F.max("n").alias("n"), F.max("several").alias("several"))
     kind = settle(kind, "kinds")
     more = (shared.join(kind.where("c > 1").select("h", "g", "f"), ["h", "g"]).where("doc <> f.doc OR start <> f.start")
             .select("doc", "start", (F.col("n") + length - 1).cast("long").alias("size"),
                     F.col("f.doc").alias("first_doc"), F.col("f.start").alias("first_start")))
-    want = kind.where("several").select("h", F.col("f.doc").alias("doc"), F.col("f.start").alias("start"), "n")
-    return settle(more, "equal"), want
+    return settle(more, "equal"), kind
 
 
 def _named_bytes(docs: DataFrame, want: DataFrame, length: int, hot_contexts: int) -> DataFrame:
@@ -265,18 +266,24 @@ def repeats(docs: DataFrame, length: int = LENGTH, hot_contexts: int = HOT_CONTE
     says that ``size`` bytes of ``doc`` from ``start`` are an occurrence of
     the repeat that occurs first in ``first_doc`` at ``first_start``.  Rows
     with the same first occurrence and size are one group.  ``docs`` has
-    distinct non-null ``doc_id`` and ``text``.
+    distinct non-null ``doc_id`` and ``text``.  The result's ``scratch`` names
+    the tables that it reads (:func:`release`).
     """
     shared = _shared_contexts(docs, length)
-    equal, want = _equal_contexts(shared, length)
+    equal, kind = _equal_contexts(shared, length)
+    # the first of each kind where an anchor has several kinds
+    want = kind.where("several").select("h", F.col("f.doc").alias("doc"), F.col("f.start").alias("start"), "n")
     raw = _named_bytes(docs, want, length, hot_contexts)
+    release(shared, kind)
     cold, hot = raw.where("ctx IS NOT NULL"), raw.where("ctx IS NULL")
     tasks = max(1, cold.count() // TASK_CONTEXTS, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     scanned = cold.select("h", "doc", "start", "n", "ctx").repartition(tasks, "h").mapInArrow(_scan(length), SPAN)
     least = hot.groupBy("h", "w").agg(F.min(F.struct("doc", "start")).alias("f"), F.count("*").alias("c")).where("c > 1")
     split = (hot.join(least, ["h", "w"]).where("doc <> f.doc OR start <> f.start")
              .select("doc", "start", F.lit(length).cast("long").alias("size"), F.col("f.doc").alias("first_doc"), F.col("f.start").alias("first_start")))
-    return equal.unionByName(scanned).unionByName(split)
+    out = equal.unionByName(scanned).unionByName(split)
+    out.scratch = equal.scratch + raw.scratch
+    return out
 
 
 def _chained(pieces: DataFrame) -> DataFrame:
@@ -303,7 +310,9 @@ def repeat_groups(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     as large as there are occurrences.  ``docs`` as in :func:`repeats`; texts
     without repeats and an empty table give no rows.
     """
-    runs = settle(_chained(repeats(docs, length).distinct()), "stretches")
+    pieces = repeats(docs, length)
+    runs = settle(_chained(pieces.distinct()), "stretches")
+    release(pieces)
     group = ["first_doc", "first_start", "size"]
     found = settle(runs.select(*group).distinct().withColumns({"doc": F.col("first_doc"), "start": F.col("first_start")}), "firsts")
     over = runs.select(F.col("first_doc").alias("doc"), F.col("doc").alias("to"), F.expr("start - first_start AS shift"), F.col("first_start").alias("low"),
@@ -391,7 +400,9 @@ def _with_spans(docs: DataFrame, length: int, keep: str) -> DataFrame:
     """Every row's ``doc_id``, its ``text`` or whole ``row`` (which holds the text), and its spans."""
     rows, use = _source(docs)
     rows = rows.select("doc_id", keep)  # the text is shuffled once
-    spans = settle(repeats(use, length), "spans")
+    pieces = repeats(use, length)
+    spans = settle(pieces, "spans")
+    release(pieces)
     per = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
     return rows.join(per.withColumnRenamed("doc", "doc_id"), "doc_id", "left")
 
