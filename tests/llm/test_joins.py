@@ -2,8 +2,11 @@
 import hashlib
 import random
 import re
+import time
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from meterflow.llm import decontaminate, ngram_join, pq_dedup, suffix_dedup
@@ -324,3 +327,69 @@ def test_vectors_of_few_directions_match_brute_force(spark):
         link = u @ u.T >= 0.9
         np.fill_diagonal(link, False)
         assert link.sum() > 100 and [got[first + i] for i in range(len(m))] == link.sum(1).tolist()
+
+
+def links(x, cosine=0.9):
+    link = x @ x.T >= cosine
+    np.fill_diagonal(link, False)
+    return link
+
+
+def test_vectors_of_float_type_in_many_blocks_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(pq_dedup, "LEAST_BLOCK", 300)
+    rng = np.random.default_rng(7)
+    x = (rng.normal(size=(80, 32))[rng.integers(80, size=3000)] + rng.normal(size=(3000, 32)) * .4).astype(np.float32)
+    x[2900:] = rng.normal(size=32) + rng.normal(size=(100, 32)) * .05  # a large group of near copies
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in pq_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)).collect()}
+    u = x.astype(np.float64)
+    link = links(u / np.linalg.norm(u, axis=1, keepdims=True))
+    comp = components(range(len(x)), lambda a, b: link[a, b])
+    assert [got[i] for i in range(len(x))] == [(n, comp[i]) for i, n in enumerate(link.sum(1).tolist())]
+
+
+def test_vector_lists_probed():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(100, 64))[rng.integers(100, size=8000)] + rng.normal(size=(8000, 64)) * .5
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = pq_dedup.Quantiser(x, 60)
+    own = z.encode(x)[0]
+    lists, least = np.arange(60), np.full(60, np.inf)
+    np.minimum.at(least, own, (x * z.coarse[own]).sum(1))
+    p = z.probes(x, own, lists, least, 0.9)
+    a, b = np.nonzero(links(x))
+    assert len(a) > 1000 and p[a, own[b]].all() and p[np.arange(len(x)), own].all()
+    border = np.sqrt(np.maximum((z.coarse[:, None] - z.coarse) ** 2, 0).sum(2))  # lists within the threshold's distance of the border, as probed before
+    d = 1 - 2 * x @ z.coarse.T + (z.coarse ** 2).sum(1)
+    before = d - d[np.arange(len(x)), own][:, None] <= 2 * border[own] * np.sqrt(.2)
+    assert p.sum() < 0.75 * before.sum()
+
+
+def test_vector_search_costs_no_more_than_a_product():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(6000, 64))  # spread over all dimensions, so that every list is probed
+    x[:50] = x[50:100] + rng.normal(size=(50, 64)) * .1
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = pq_dedup.Quantiser(x, 24)
+    own, code, err = z.encode(x)
+    least = np.full(24, -1.0)
+    ids = pa.array(np.arange(6000))
+    t = pa.table({"cid": ids, "m": pa.array(np.ones(6000, np.int64)), "v": pq_dedup._bytes(x), "list": pa.array(own), "code": pq_dedup._bytes(code), "err": pa.array(err)})
+    search = pq_dedup._search(SimpleNamespace(value=z), least, "<f8", 0.9)
+
+    def least_cpu(f):
+        times = []
+        for _ in range(3):
+            begun = time.process_time()
+            out = f()
+            times.append(time.process_time() - begun)
+        return out, min(times)
+    found, cost = least_cpu(lambda: search(t, t).to_pandas().groupby("cid")["n"].sum())
+    link, plain = least_cpu(lambda: links(x))
+    assert link.sum() >= 100 and found.reindex(range(6000), fill_value=0).tolist() == link.sum(1).tolist()
+    assert cost < 1.3 * plain
+
+
+def test_vector_copies_do_not_grow_until_blocks_are_full():
+    assert [-(-n // pq_dedup._block(n, 64)) for n in (10_000, 50_000, 500_000)] == [5, 8, 8]
+    assert pq_dedup._block(10 ** 9, 64) * 64 * 8 == pq_dedup.BLOCK_BYTES
